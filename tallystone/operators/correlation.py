@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallystone.functions.columns import long_numbers, number, ref
 from tallystone.operators.ranks import average_ranks, value_cells
+from tallystone.session import materialize
 
 HOT_SHARE = 1000  # a value held by at least 1/HOT_SHARE of a column's rows is joined by broadcast
 PAIRS_PER_AGG = 200
@@ -22,7 +23,8 @@ def correlation(
 ) -> DataFrame:
     """Rows ``(x, y, correlation)`` for every pair with x listed before y, pairwise complete.
 
-    ``spearman`` needs ``key``, a unique row key, to bring the ranks of a row together.
+    ``spearman`` brings the ranks of a row together by ``key``, which must be unique.
+    Without one the tested columns are written once with a row number of their own.
     """
     pairs = list(combinations(columns, 2))
     if method == "pearson":
@@ -30,9 +32,10 @@ def correlation(
         return _pair_correlations(wide, {p: p for p in pairs})
     if method != "spearman":
         raise ValueError(f"unknown correlation method: {method}")
+    row_key = F.monotonically_increasing_id() if key is None else ref(key)
+    wide = df.select(row_key.alias("_key"), *[number(df, c).alias(c) for c in columns])
     if key is None:
-        raise ValueError("spearman needs the unique key column")
-    wide = df.select(ref(key).alias("_key"), *[number(df, c).alias(c) for c in columns])
+        wide = materialize(wide, "keyed")
     holes = wide.agg(*[F.count_if(ref(c).isNull()).alias(c) for c in columns]).first()
     sources: dict[Pair, Pair] = {}
     masked: dict[str, tuple[str, str]] = {}

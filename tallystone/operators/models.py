@@ -15,7 +15,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallystone.functions.columns import number, ref
@@ -139,12 +139,17 @@ def train(
     return Trained(name, dict(params or {}), model, time.monotonic() - start, is_tuned, list(features))
 
 
+def probability(column: str = "probability") -> Column:
+    """The probability of the positive class, out of a model's probability vector."""
+    return vector_to_array(column)[1]
+
+
 def score(model: Model, data: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Scored rows ``(keep…, y, p, pred)``; works on batch and streaming tables alike."""
     return model.transform(data).select(
         *[ref(k) for k in keep],
         F.col(LABEL).cast("int").alias("y"),
-        vector_to_array("probability")[1].alias("p"),
+        probability().alias("p"),
         F.col("prediction").cast("int").alias("pred"),
     )
 
@@ -156,12 +161,11 @@ def cross_validate(
 
     The held-out rows of all folds are evaluated in one aggregate at the end.
     """
-    folds = [r[0] for r in data.select(fold).distinct().orderBy(fold).collect()]
-    rows = data.count()
+    sizes = {r[0]: r[1] for r in data.groupBy(fold).count().orderBy(fold).collect()}
     parts = None
-    for f in folds:
+    for f, n_held in sizes.items():
         inside = data.where(F.col(fold) != f)
-        model = make_estimator(name, params, rows, seed).fit(inside)
+        model = make_estimator(name, params, sum(sizes.values()) - n_held, seed).fit(inside)
         held = score(model, data.where(F.col(fold) == f), keep=[fold])
         parts = held if parts is None else parts.unionByName(held)
     return threshold_metrics(parts, by=[fold]).select(F.lit(name).alias("model"), fold, "f1_score")
@@ -216,8 +220,7 @@ def random_search(
     estimator = make_estimator(name, None, rows, seed)
     # a trial is the parameter map of an estimator built for that point
     maps = [
-        {estimator.getParam(p.name): v for p, v in make_estimator(name, pt, rows, seed).extractParamMap().items()
-         if p.name not in (FEATURES, LABEL, WEIGHT)}
+        {estimator.getParam(p.name): v for p, v in make_estimator(name, pt, rows, seed).extractParamMap().items()}
         for pt in points
     ]
     n_folds = data.agg(F.max(fold)).first()[0] + 1

@@ -21,7 +21,11 @@ def variance_filter(df: DataFrame, columns: Sequence[str], threshold: float = 0.
 
 
 def correlation_filter(
-    df: DataFrame, columns: Sequence[str], key: str, threshold: float = 0.95, method: str = "spearman"
+    df: DataFrame,
+    columns: Sequence[str],
+    key: str | None = None,
+    threshold: float = 0.95,
+    method: str = "spearman",
 ) -> DataFrame:
     """A column is dropped when it correlates above the threshold with any column before it.
 
