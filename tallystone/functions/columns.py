@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,9 +51,8 @@ def number(df: DataFrame, name: str) -> Column:
 
 
 def finite_or_zero(c: Column) -> Column:
-    """Inf, NaN and NULL become 0."""
-    inf = F.lit(float("inf"))
-    return F.when(c.isNull() | F.isnan(c) | (F.abs(c) == inf), F.lit(0.0)).otherwise(c)
+    """Inf, NaN and NULL become 0; NaN sorts above Inf, so one comparison finds them all."""
+    return F.when(F.abs(c) < float("inf"), c).otherwise(0.0)
 
 
 def long_numbers(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -72,17 +71,58 @@ def long_strings(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()
     return long.where(F.col("value").isNotNull())
 
 
-def rows_per_column(wide: DataFrame, columns: Sequence[str], fields: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:
-    """Turn a wide aggregate into one row per column.
+def text_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    ``fields`` maps an output field to the suffix of its aggregate: the value of
-    field ``f`` for column ``c`` is read from ``c + suffix``.
+
+def double_literal(value: float) -> str:
+    return f"double('{value!r}')"
+
+
+def number_sql(df: DataFrame, name: str) -> str:
+    """SQL text of :func:`number`."""
+    cast = f"CAST({quoted(name)} AS DOUBLE)"
+    return f"nanvl({cast}, CAST(NULL AS DOUBLE))" if is_float(df.schema[name].dataType) else cast
+
+
+def missing_sql(df: DataFrame, name: str) -> str:
+    """SQL text of :func:`missing`."""
+    q = quoted(name)
+    return f"({q} IS NULL OR isnan({q}))" if is_float(df.schema[name].dataType) else f"({q} IS NULL)"
+
+
+def column_aggregates(
+    df: DataFrame,
+    columns: Sequence[str],
+    fields: Mapping[str, str | Callable[[str], str]],
+    by: Mapping[str, str] | None = None,
+    value: Callable[[DataFrame, str], str] = number_sql,
+) -> DataFrame:
+    """One aggregate over all columns, turned into one row ``(by…, column, field…)`` per column.
+
+    A field is an aggregate in SQL with ``{v}`` for the column's value, or a
+    function from the column name to such a text. ``by`` maps group names to
+    their SQL. Text keeps building the plan cheap when tables are wide.
     """
+    by = by or {}
+    aggs = []
+    for i, c in enumerate(columns):
+        v = value(df, c)
+        for f, template in fields.items():
+            text = template if isinstance(template, str) else template(c)
+            aggs.append(f"{text.replace('{v}', v)} AS `{i}|{f}`")
+    if by:
+        groups = [F.expr(text).alias(name) for name, text in by.items()]
+        wide = df.groupBy(*groups).agg(*[F.expr(a) for a in aggs])
+    else:
+        wide = df.selectExpr(*aggs)
     structs = [
-        F.struct(F.lit(c).alias("column"), *[ref(c + s).alias(f) for f, s in fields.items()])
-        for c in columns
+        f"named_struct('column', {text_literal(c)}, "
+        + ", ".join(f"{text_literal(f)}, `{i}|{f}`" for f in fields)
+        + ")"
+        for i, c in enumerate(columns)
     ]
-    return wide.select(*[ref(k) for k in keep], F.inline(F.array(*structs)))
+    return wide.selectExpr(*[quoted(b) for b in by], f"inline(array({', '.join(structs)}))")
 
 
 def require_columns(df: DataFrame, columns: Iterable[str]) -> None:

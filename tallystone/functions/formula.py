@@ -9,18 +9,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def divide(a: Column, b: Column) -> Column:
-    """IEEE division that ANSI mode cannot stop: x/0 is ±Inf; 0/0 is missing."""
+def signed_divide(a: Column, b: Column) -> Column:
+    """IEEE division that ANSI mode cannot stop: x/0 is ±Inf, 0/0 is missing."""
     inf = F.lit(float("inf"))
-    by_zero = F.when(a > 0, inf).when(a < 0, -inf)
-    return F.when(b != 0, a / b).when(b == 0, by_zero)
+    return F.coalesce(F.try_divide(a, b), F.when(b == 0, F.when(a > 0, inf).when(a < 0, -inf)))
 
 
 _BINARY = {
     ast.Add: lambda a, b: a + b,
     ast.Sub: lambda a, b: a - b,
     ast.Mult: lambda a, b: a * b,
-    ast.Div: divide,
 }
 _COMPARE = {
     ast.Gt: lambda a, b: a > b,
@@ -33,24 +31,31 @@ _COMPARE = {
 
 
 def formula_column(formula: str, columns: Mapping[str, Column]) -> Column:
-    """Build the column for ``formula``; names resolve through ``columns`` (already double)."""
+    """Build the column for ``formula``; names resolve through ``columns`` (already double).
 
-    def build(node: ast.AST) -> Column:
+    A quotient by zero is missing, which the caller turns into 0 like any value
+    that is not finite. Only inside a comparison does it keep its infinite value.
+    """
+
+    def build(node: ast.AST, divide) -> Column:
         match node:
             case ast.Expression(body=body):
-                return build(body)
+                return build(body, divide)
             case ast.Constant(value=int() | float() as v) if not isinstance(v, bool):
                 return F.lit(float(v))
             case ast.Name(id=name) if name in columns:
                 return columns[name]
+            case ast.BinOp(left=a, op=ast.Div(), right=b):
+                return divide(build(a, divide), build(b, divide))
             case ast.BinOp(left=a, op=op, right=b) if type(op) in _BINARY:
-                return _BINARY[type(op)](build(a), build(b))
+                return _BINARY[type(op)](build(a, divide), build(b, divide))
             case ast.UnaryOp(op=ast.USub(), operand=a):
-                return -build(a)
+                return -build(a, divide)
             case ast.Compare(left=a, ops=[op], comparators=[b]) if type(op) in _COMPARE:
-                return _COMPARE[type(op)](build(a), build(b)).cast("double")
+                left, right = build(a, signed_divide), build(b, signed_divide)
+                return _COMPARE[type(op)](left, right).cast("double")
             case ast.Call(func=ast.Name(id="abs"), args=[a], keywords=[]):
-                return F.abs(build(a))
+                return F.abs(build(a, divide))
         raise ValueError(f"not allowed in a formula: {ast.unparse(node)!r}")
 
-    return build(ast.parse(formula, mode="eval"))
+    return build(ast.parse(formula, mode="eval"), F.try_divide)

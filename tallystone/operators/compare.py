@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystone.functions import tails
-from tallystone.functions.columns import long_numbers, number, ref, rows_per_column
+from tallystone.functions.columns import column_aggregates, long_numbers, number, quoted, ref
 from tallystone.functions.normality import shapiro_wilk
 from tallystone.operators.ranks import average_ranks, tie_term, value_cells
 from tallystone.session import materialize
@@ -27,6 +27,7 @@ TWO_GROUP_SCHEMA = (
     "group2_std double, group1_n bigint, group2_n bigint, statistic double, p_value double, "
     "significant boolean, cohens_d double, effect string"
 )
+MOMENTS = {"n": "count({v})", "mean": "avg({v})", "std": "stddev_samp({v})"}
 MULTI_GROUP_SCHEMA = (
     "column string, test_type string, n_groups bigint, statistic double, p_value double, "
     "significant boolean"
@@ -35,18 +36,8 @@ MULTI_GROUP_SCHEMA = (
 
 def confidence_intervals(df: DataFrame, columns: Sequence[str], confidence: float = 0.95) -> DataFrame:
     """Mean with its t interval per column; columns with fewer than two values are left out."""
-    aggs = []
-    for c in columns:
-        v = number(df, c)
-        aggs += [
-            F.count(v).alias(c + "|n"),
-            F.avg(v).alias(c + "|m"),
-            F.stddev_samp(v).alias(c + "|s"),
-        ]
-    row = df.agg(*aggs).first()
     rows = []
-    for c in columns:
-        n, m, s = row[c + "|n"], row[c + "|m"], row[c + "|s"]
+    for c, n, m, s in column_aggregates(df, columns, MOMENTS).collect():  # one row per column
         if n < 2:
             continue
         se = s / math.sqrt(n)
@@ -62,17 +53,8 @@ def confidence_intervals(df: DataFrame, columns: Sequence[str], confidence: floa
 
 def group_moments(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
     """``(group, column, n, mean, std)`` from one grouped aggregate; missing groups are dropped."""
-    aggs = []
-    for c in columns:
-        v = number(df, c)
-        aggs += [
-            F.count(v).alias(c + "|n"),
-            F.avg(v).alias(c + "|m"),
-            F.stddev_samp(v).alias(c + "|s"),
-        ]
     rows = df.where(ref(group).isNotNull())
-    wide = rows.groupBy(ref(group).cast("string").alias("group")).agg(*aggs)
-    return rows_per_column(wide, columns, {"n": "|n", "mean": "|m", "std": "|s"}, keep=["group"])
+    return column_aggregates(rows, columns, MOMENTS, by={"group": f"CAST({quoted(group)} AS STRING)"})
 
 
 def rank_sums(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:

@@ -9,9 +9,9 @@ from itertools import combinations, combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.functions.columns import finite_or_zero, is_numeric, number, ref, rows_per_column
+from tallystone.functions.columns import column_aggregates, finite_or_zero, is_numeric, number, ref
 from tallystone.functions.formula import formula_column
-from tallystone.operators.profile import adjusted_skewness, log_profile
+from tallystone.operators.profile import SKEWNESS, log_profile
 from tallystone.operators.selectors import CheckFailed
 
 LOG_EPSILON = 1e-8  # fixed value: added before log and log10, not before log1p
@@ -136,32 +136,23 @@ def feature_report(df: DataFrame, features: Sequence[str], skew_limit: float = 1
     Infinite, missing, negative-after-log and constant columns are fatal; high
     skewness is a warning.
     """
-    aggs = []
-    inf = float("inf")
     features = [c for c in features if c in df.columns]
-    for c in features:
-        raw, v = ref(c).cast("double"), number(df, c)
-        log = F.lit("_log" in c)
-        aggs += [
-            F.count_if(F.abs(v) == inf).alias(c + "|inf"),
-            F.count_if(raw.isNull() | F.isnan(raw)).alias(c + "|nan"),
-            F.count_if(log & (v < 0)).alias(c + "|neg"),
-            adjusted_skewness(v).alias(c + "|skew"),
-            F.coalesce(F.min(v) == F.max(v), F.lit(False)).alias(c + "|const"),
-            F.avg(v).alias(c + "|mean"),
-            F.stddev_samp(v).alias(c + "|std"),
-            F.min(v).alias(c + "|min"),
-            F.max(v).alias(c + "|max"),
-        ]
     fields = {
-        "n_inf": "|inf", "n_missing": "|nan", "n_negative_log": "|neg", "skewness": "|skew",
-        "is_constant": "|const", "mean": "|mean", "std": "|std", "min": "|min", "max": "|max",
+        "n_inf": "count_if(abs({v}) = double('inf'))",
+        "n_missing": "count_if({v} IS NULL)",
+        "n_negative_log": lambda c: "count_if({v} < 0)" if "_log" in c else "count_if(false)",
+        "skewness": SKEWNESS,
+        "is_constant": "coalesce(min({v}) = max({v}), false)",
+        "mean": "avg({v})",
+        "std": "stddev_samp({v})",
+        "min": "min({v})",
+        "max": "max({v})",
     }
     fatal = (
         (F.col("n_inf") > 0) | (F.col("n_missing") > 0) | (F.col("n_negative_log") > 0) | F.col("is_constant")
     )
     skewed = F.coalesce(F.abs("skewness") > skew_limit, F.lit(False))
-    report = rows_per_column(df.agg(*aggs), features, fields)
+    report = column_aggregates(df, features, fields)
     return report.withColumn(
         "severity", F.when(fatal, "FATAL").when(skewed, "WARNING").otherwise("OK")
     )

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystone.functions.columns import (
+    column_aggregates,
     is_numeric,
     missing,
+    missing_sql,
     number,
     present,
     ref,
-    rows_per_column,
+    text_literal,
 )
 from tallystone.operators.profile import categorical_profile
 from tallystone.operators.quantiles import exact_quantiles
@@ -28,22 +30,13 @@ PARAMS_SCHEMA = "column string, strategy string, number double, text string"
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column, missing_count, missing_percent, dtype)`` of the columns with holes."""
     columns = list(columns or df.columns)
-    wide = df.agg(F.count("*").alias("_rows"), *[F.count_if(missing(df, c)).alias(c + "|m") for c in columns])
-    dtype = None
-    for c in columns:
-        name = F.lit(df.schema[c].dataType.simpleString())
-        is_c = F.col("column") == c
-        dtype = F.when(is_c, name) if dtype is None else dtype.when(is_c, name)
-    return (
-        rows_per_column(wide, columns, {"missing_count": "|m"}, keep=["_rows"])
-        .where("missing_count > 0")
-        .select(
-            "column",
-            "missing_count",
-            F.round(F.col("missing_count") * 100.0 / F.col("_rows"), 2).alias("missing_percent"),
-            dtype.alias("dtype"),
-        )
-    )
+    dtypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    fields = {
+        "missing_count": "count_if({v})",
+        "missing_percent": "round(count_if({v}) * 100.0D / count(*), 2)",
+        "dtype": lambda c: f"any_value({text_literal(dtypes[c])})",
+    }
+    return column_aggregates(df, columns, fields, value=missing_sql).where("missing_count > 0")
 
 
 def remaining_missing(df: DataFrame) -> int:

@@ -6,7 +6,9 @@ import random
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from math import exp, log
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.base import Estimator
@@ -17,6 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tallystone.functions.columns import number, ref
 from tallystone.operators.metrics import threshold_metrics
@@ -155,20 +158,27 @@ def score(model: Model, data: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def cross_validate(
-    name: str, data: DataFrame, fold: str = "fold", params: Mapping | None = None, seed: int = SEED
+    name: str,
+    data: DataFrame,
+    fold: str = "fold",
+    params: Mapping | None = None,
+    seed: int = SEED,
+    parallelism: int = 4,
 ) -> DataFrame:
     """``(model, fold, f1_score)``: fit on all other folds, score on this one.
 
-    The held-out rows of all folds are evaluated in one aggregate at the end.
+    ``parallelism`` folds are fitted at a time; the held-out rows of all folds are
+    evaluated in one aggregate at the end.
     """
     sizes = {r[0]: r[1] for r in data.groupBy(fold).count().orderBy(fold).collect()}
-    parts = None
-    for f, n_held in sizes.items():
+    def held_out(f: int) -> DataFrame:
         inside = data.where(F.col(fold) != f)
-        model = make_estimator(name, params, sum(sizes.values()) - n_held, seed).fit(inside)
-        held = score(model, data.where(F.col(fold) == f), keep=[fold])
-        parts = held if parts is None else parts.unionByName(held)
-    return threshold_metrics(parts, by=[fold]).select(F.lit(name).alias("model"), fold, "f1_score")
+        model = make_estimator(name, params, sum(sizes.values()) - sizes[f], seed).fit(inside)
+        return score(model, data.where(F.col(fold) == f), keep=[fold])
+
+    with ThreadPool(min(parallelism, len(sizes))) as pool:
+        parts = pool.map(inheritable_thread_target(held_out), list(sizes))
+    return threshold_metrics(reduce(DataFrame.unionByName, parts), by=[fold]).select(F.lit(name).alias("model"), fold, "f1_score")
 
 
 def cv_summary(scores: DataFrame, aggregate: str = "mean") -> DataFrame:
@@ -235,7 +245,7 @@ def random_search(
         parallelism=parallelism,
         seed=seed,
     )
-    scores = cv.fit(data).avgMetrics
+    scores = [float(x) for x in cv.fit(data).avgMetrics]
     best = max(range(trials), key=lambda i: (scores[i], -i))
     trials_df = data.sparkSession.createDataFrame(
         [(name, i, str(points[i]), scores[i]) for i in range(trials)],

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystone.functions.columns import number, ref, rows_per_column
+from tallystone.functions.columns import column_aggregates, double_literal, number, ref
 from tallystone.operators.metrics import score_cells
 from tallystone.operators.quantiles import exact_quantiles
 
 FINE_BINS = 2048  # resolution of the density estimate
+SPAN = {"min": "min({v})", "max": "max({v})"}
 GRID = 200  # fixed value: points of a density curve
 
 
@@ -47,19 +48,15 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int | str = "auto") -
     """``(column, bin, left_edge, right_edge, n)`` for all columns, empty bins included."""
     spans = {}
     if bins == "auto":
-        found = exact_quantiles(df, columns, [0.25, 0.75], extras={"min": F.min, "max": F.max})
+        found = exact_quantiles(df, columns, [0.25, 0.75], extras=SPAN)
         for c, s in found.items():
             if s.n:
                 low, high = s.extras["min"], s.extras["max"]
                 spans[c] = (low, high, auto_bins(s.n, low, high, s.values[0.75] - s.values[0.25]))
     else:
-        row = df.agg(
-            *[F.min(number(df, c)).alias(c + "|lo") for c in columns],
-            *[F.max(number(df, c)).alias(c + "|hi") for c in columns],
-        ).first()
-        spans = {
-            c: (row[c + "|lo"], row[c + "|hi"], int(bins)) for c in columns if row[c + "|lo"] is not None
-        }
+        for c, low, high in column_aggregates(df, columns, SPAN).collect():  # one row per column
+            if low is not None:
+                spans[c] = (low, high, int(bins))
     counts = _binned(df, spans).groupBy("column", "bin").agg(F.count("*").alias("n"))
     frame = df.sparkSession.createDataFrame(
         [(c, low, (high - low) / b, b) for c, (low, high, b) in spans.items()],
@@ -81,24 +78,16 @@ def density(df: DataFrame, columns: Sequence[str], grid: int = GRID, fine_bins:
     Rows are reduced to ``fine_bins`` means per column first, so the kernel sum
     costs bins times grid points whatever the number of rows.
     """
-    aggs = []
-    for c in columns:
-        v = number(df, c)
-        aggs += [
-            F.count(v).alias(c + "|n"), F.min(v).alias(c + "|lo"), F.max(v).alias(c + "|hi"),
-            F.stddev_samp(v).alias(c + "|s"),
-        ]
-    row = df.agg(*aggs).first()
-    usable = [c for c in columns if row[c + "|n"] > 1 and row[c + "|s"] > 0]
-    spans = {c: (row[c + "|lo"], row[c + "|hi"], fine_bins) for c in usable}
+    fields = {"n": "count({v})", **SPAN, "s": "stddev_samp({v})"}
+    rows = [r for r in column_aggregates(df, columns, fields).collect() if r["n"] > 1 and r["s"] > 0]
+    spans = {r["column"]: (r["min"], r["max"], fine_bins) for r in rows}
     cells = _binned(df, spans).groupBy("column", "bin").agg(
         F.count("*").alias("n"), F.avg("value").alias("center")
     )
     shape = df.sparkSession.createDataFrame(
         [
-            (c, row[c + "|lo"], (row[c + "|hi"] - row[c + "|lo"]) / (grid - 1),
-             row[c + "|s"] * row[c + "|n"] ** -0.2, row[c + "|n"])
-            for c in usable
+            (r["column"], r["min"], (r["max"] - r["min"]) / (grid - 1), r["s"] * r["n"] ** -0.2, r["n"])
+            for r in rows
         ],
         "column string, low double, step double, bandwidth double, total long",
     )
@@ -126,21 +115,26 @@ def _box_bounds(df: DataFrame, columns: Sequence[str], k: float) -> dict[str, tu
 def box_stats(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> DataFrame:
     """Quartiles, mean, whiskers at the furthest value within k·IQR, and the number beyond them."""
     bounds = _box_bounds(df, columns, k)
-    aggs = []
-    for c, (q1, q2, q3, low, high) in bounds.items():
-        v = number(df, c)
-        aggs += [
-            F.lit(q1).alias(c + "|q1"), F.lit(q2).alias(c + "|q2"), F.lit(q3).alias(c + "|q3"),
-            F.avg(v).alias(c + "|mean"),
-            F.min(F.when(v >= low, v)).alias(c + "|lo"),
-            F.max(F.when(v <= high, v)).alias(c + "|hi"),
-            F.count_if((v < low) | (v > high)).alias(c + "|out"),
-        ]
+
+    def at(i: int) -> Callable[[str], str]:
+        return lambda c: f"any_value({double_literal(bounds[c][i])})"
+
+    def low(c: str) -> str:
+        return double_literal(bounds[c][3])
+
+    def high(c: str) -> str:
+        return double_literal(bounds[c][4])
+
     fields = {
-        "q1": "|q1", "median": "|q2", "q3": "|q3", "mean": "|mean", "whisker_low": "|lo",
-        "whisker_high": "|hi", "n_outliers": "|out",
+        "q1": at(0),
+        "median": at(1),
+        "q3": at(2),
+        "mean": "avg({v})",
+        "whisker_low": lambda c: f"min(CASE WHEN {{v}} >= {low(c)} THEN {{v}} END)",
+        "whisker_high": lambda c: f"max(CASE WHEN {{v}} <= {high(c)} THEN {{v}} END)",
+        "n_outliers": lambda c: f"count_if({{v}} < {low(c)} OR {{v}} > {high(c)})",
     }
-    return rows_per_column(df.agg(*aggs), list(bounds), fields)
+    return column_aggregates(df, list(bounds), fields)
 
 
 def box_outliers(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> DataFrame:

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystone.functions.columns import (
     categorical_columns,
+    column_aggregates,
     long_strings,
-    number,
+    missing_sql,
     numeric_columns,
+    quoted,
     ref,
-    rows_per_column,
 )
 from tallystone.operators.quantiles import exact_quantiles
 
@@ -40,7 +41,7 @@ def numeric_profile(
         df,
         columns,
         [0.25, 0.5, 0.75],
-        extras={"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max},
+        extras={"mean": "avg({v})", "std": "stddev_samp({v})", "min": "min({v})", "max": "max({v})"},
     )
     rows = []
     for c, s in found.items():
@@ -54,11 +55,7 @@ def numeric_profile(
 
 
 def min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    aggs = []
-    for c in columns:
-        v = number(df, c)
-        aggs += [F.min(v).alias(c + "|lo"), F.max(v).alias(c + "|hi")]
-    return rows_per_column(df.agg(*aggs), columns, {"min": "|lo", "max": "|hi"})
+    return column_aggregates(df, columns, {"min": "min({v})", "max": "max({v})"})
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -107,8 +104,8 @@ def categorical_profile(df: DataFrame, columns: Sequence[str] | None = None) ->
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Distinct non-missing values per column; ``approximate`` trades exactness for no shuffle of values."""
     if approximate:
-        wide = df.agg(*[F.approx_count_distinct(ref(c)).alias(c + "|d") for c in columns])
-        return rows_per_column(wide, columns, {"unique_count": "|d"})
+        fields = {"unique_count": lambda c: f"approx_count_distinct({quoted(c)})"}
+        return column_aggregates(df, columns, fields, value=missing_sql)
     # a column without values still gets its row, from a literal list of names
     counted = (
         value_counts(df, columns).groupBy("column").agg(F.count("*").alias("unique_count"))
@@ -139,48 +136,31 @@ def class_distribution(df: DataFrame, target: str, split: str | None = None) ->
     return counts.withColumn("percent", F.col("n") * 100.0 / F.sum("n").over(w))
 
 
-def adjusted_skewness(c: Column) -> Column:
-    """Bias-adjusted sample skewness; missing below three values or without spread."""
-    n = F.count(c).cast("double")
-    biased = F.skewness(c)
-    return F.when(
-        (n >= 3) & ~F.isnan(biased), biased * F.sqrt(n * (n - 1)) / (n - 2)
-    )
+# Bias-adjusted sample skewness; missing below three values, NaN from no spread becomes missing too.
+SKEWNESS = (
+    "CASE WHEN count({v}) >= 3 THEN nanvl(skewness({v}), CAST(NULL AS DOUBLE))"
+    " * sqrt(count({v}) * (count({v}) - 1.0D)) / (count({v}) - 2) END"
+)
 
 
 def skewness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    wide = df.agg(*[adjusted_skewness(number(df, c)).alias(c + "|s") for c in columns])
-    return rows_per_column(wide, columns, {"skewness": "|s"})
+    return column_aggregates(df, columns, {"skewness": SKEWNESS})
 
 
 def log_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """What a log transform needs to know: min, max, mean, skewness, zeros, negatives."""
-    aggs = []
-    for c in columns:
-        v = number(df, c)
-        aggs += [
-            F.min(v).alias(c + "|min"),
-            F.max(v).alias(c + "|max"),
-            F.avg(v).alias(c + "|mean"),
-            adjusted_skewness(v).alias(c + "|skew"),
-            F.coalesce(F.bool_or(v == 0), F.lit(False)).alias(c + "|zero"),
-            F.coalesce(F.bool_or(v < 0), F.lit(False)).alias(c + "|neg"),
-        ]
     fields = {
-        "min": "|min",
-        "max": "|max",
-        "mean": "|mean",
-        "skewness": "|skew",
-        "has_zeros": "|zero",
-        "has_negatives": "|neg",
+        "min": "min({v})",
+        "max": "max({v})",
+        "mean": "avg({v})",
+        "skewness": SKEWNESS,
+        "has_zeros": "coalesce(bool_or({v} = 0), false)",
+        "has_negatives": "coalesce(bool_or({v} < 0), false)",
     }
-    return rows_per_column(df.agg(*aggs), columns, fields)
+    return column_aggregates(df, columns, fields)
 
 
 def group_means(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
     """Mean of every column by group, 4 decimals."""
     rows = df.where(ref(group).isNotNull())
-    wide = rows.groupBy(ref(group).alias("group")).agg(
-        *[F.round(F.avg(number(df, c)), 4).alias(c + "|m") for c in columns]
-    )
-    return rows_per_column(wide, columns, {"mean": "|m"}, keep=["group"])
+    return column_aggregates(rows, columns, {"mean": "round(avg({v}), 4)"}, by={"group": quoted(group)})

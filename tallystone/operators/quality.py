@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.functions.columns import missing, number, present, ref, rows_per_column
+from tallystone.functions.columns import column_aggregates, double_literal, missing_sql, present, ref
 from tallystone.operators.quantiles import exact_quantiles
 
 
@@ -22,10 +22,8 @@ def missing_report(
 ) -> DataFrame:
     """Columns with missing values, most affected first; NULL and NaN both count."""
     columns = list(columns or df.columns)
-    wide = df.agg(
-        F.count("*").alias("_rows"), *[F.count_if(missing(df, c)).alias(c + "|m") for c in columns]
-    )
-    report = rows_per_column(wide, columns, {"missing_count": "|m"}, keep=["_rows"])
+    fields = {"missing_count": "count_if({v})", "_rows": "count(*)"}
+    report = column_aggregates(df, columns, fields, value=missing_sql)
     fraction = F.round(F.col("missing_count") / F.col("_rows"), 4)
     return (
         report.where(F.col("missing_count") > 0)
@@ -96,40 +94,31 @@ def zscore_bounds(
     df: DataFrame, columns: Sequence[str], threshold: float = 3.0
 ) -> dict[str, tuple[float, float, float, float]]:
     """Per column ``(lower, upper, mean, std)`` from one aggregate."""
-    aggs = []
-    for c in columns:
-        v = number(df, c)
-        aggs += [F.avg(v).alias(c + "|m"), F.stddev_samp(v).alias(c + "|s")]
-    row = df.agg(*aggs).first()
-    bounds = {}
-    for c in columns:
-        m, s = row[c + "|m"], row[c + "|s"]
-        if m is not None and s is not None:
-            bounds[c] = (m - threshold * s, m + threshold * s, m, s)
-    return bounds
+    stats = column_aggregates(df, columns, {"m": "avg({v})", "s": "stddev_samp({v})"})
+    return {
+        r["column"]: (r["m"] - threshold * r["s"], r["m"] + threshold * r["s"], r["m"], r["s"])
+        for r in stats.collect()  # one row per column
+        if r["m"] is not None and r["s"] is not None
+    }
 
 
 def _outside(df: DataFrame, bounds: dict, names: tuple[str, str]) -> DataFrame:
-    wide = df.agg(
-        F.count("*").alias("_rows"),
-        *[
-            F.count_if((number(df, c) < b[0]) | (number(df, c) > b[1])).alias(c + "|o")
-            for c, b in bounds.items()
-        ],
-    )
-    structs = [
-        F.struct(
-            F.lit(c).alias("column"),
-            ref(c + "|o").alias("outlier_count"),
-            F.round(ref(c + "|o") * 100.0 / F.col("_rows"), 2).alias("outlier_percent"),
-            F.round(F.lit(b[0]), 2).alias("lower_bound"),
-            F.round(F.lit(b[1]), 2).alias("upper_bound"),
-            F.round(F.lit(b[2]), 2).alias(names[0]),
-            F.round(F.lit(b[3]), 2).alias(names[1]),
-        )
-        for c, b in bounds.items()
-    ]
-    return wide.select(F.inline(F.array(*structs)))
+    def constant(i: int):
+        return lambda c: f"round(any_value({double_literal(bounds[c][i])}), 2)"
+
+    def beyond(c: str) -> str:
+        low, high = (double_literal(b) for b in bounds[c][:2])
+        return f"count_if({{v}} < {low} OR {{v}} > {high})"
+
+    fields = {
+        "outlier_count": beyond,
+        "outlier_percent": lambda c: f"round({beyond(c)} * 100.0D / count(*), 2)",
+        "lower_bound": constant(0),
+        "upper_bound": constant(1),
+        names[0]: constant(2),
+        names[1]: constant(3),
+    }
+    return column_aggregates(df, list(bounds), fields)
 
 
 def iqr_outliers(

@@ -9,13 +9,13 @@ take part in the ordering instead of the whole column.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.functions.columns import number, ref
+from tallystone.functions.columns import column_aggregates, double_literal, number, quoted, text_literal
 from tallystone.operators.ranks import running
 
 # below this many kept rows per column one window task is enough
@@ -34,13 +34,13 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     accuracy: int = 10_000,
-    extras: Mapping[str, Callable[[Column], Column]] | None = None,
+    extras: Mapping[str, str] | None = None,
     small_window: int = SMALL_WINDOW,
 ) -> dict[str, ColumnQuantiles]:
     """Linear-interpolated quantiles per column, nulls and NaN left out.
 
-    ``extras`` are further aggregates taken in the first scan, so that a profile
-    needs no pass of its own.
+    ``extras`` are further aggregates, as SQL over ``{v}``, taken in the first scan,
+    so that a profile needs no pass of its own.
     """
     extras = extras or {}
     columns = list(columns)
@@ -49,38 +49,29 @@ def exact_quantiles(
     eps = 1.0 / accuracy
     marks = sorted({m for q in probabilities for m in (max(0.0, q - 2 * eps), min(1.0, q + 2 * eps))})
     wide = df.select(*[number(df, c).alias(c) for c in columns])
-    aggs = []
-    for i, c in enumerate(columns):
-        col = ref(c)
-        aggs.append(F.count(col).alias(f"{i}:n"))
-        aggs.append(F.percentile_approx(col, marks, accuracy).alias(f"{i}:marks"))
-        aggs.extend(make(col).alias(f"{i}:{name}") for name, make in extras.items())
-    # object aggregates stay out of codegen, and many of them make long plans: go in groups
-    first: dict = {}
-    width = max(1, 50 // (2 + len(extras)))
+    points = "array(" + ", ".join(double_literal(m) for m in marks) + ")"
+    fields = {"n": "count({v})", "marks": f"percentile_approx({{v}}, {points}, {accuracy})", **extras}
+    width = max(1, 50 // len(fields))  # many sketches in one aggregate make long plans: go in groups
+    first: dict[str, dict] = {}
     for start in range(0, len(columns), width):
-        per = 2 + len(extras)
-        first |= wide.agg(*aggs[start * per : (start + width) * per]).first().asDict()
+        part = column_aggregates(wide, columns[start : start + width], fields)
+        first |= {r["column"]: r.asDict() for r in part.collect()}  # one row per column
 
     result = {
         c: ColumnQuantiles(
-            first[f"{i}:n"],
-            {q: None for q in probabilities},
-            {name: first[f"{i}:{name}"] for name in extras},
+            first[c]["n"], {q: None for q in probabilities}, {name: first[c][name] for name in extras}
         )
-        for i, c in enumerate(columns)
+        for c in columns
     }
-    filled = {c: i for i, c in enumerate(columns) if result[c].n > 0}
+    filled = [c for c in columns if result[c].n > 0]
     if not filled:
         return result
-    brackets = {
-        c: _merge([
-            (first[f"{i}:marks"][marks.index(max(0.0, q - 2 * eps))],
-             first[f"{i}:marks"][marks.index(min(1.0, q + 2 * eps))])
-            for q in probabilities
-        ])
-        for c, i in filled.items()
-    }
+
+    def bracket(c: str, q: float) -> tuple[float, float]:
+        found = dict(zip(marks, first[c]["marks"]))
+        return found[max(0.0, q - 2 * eps)], found[min(1.0, q + 2 * eps)]
+
+    brackets = {c: _merge([bracket(c, q) for q in probabilities]) for c in filled}
     positions = {
         c: sorted({k for q in probabilities for k in _neighbours(q, result[c].n)}) for c in filled
     }
@@ -117,31 +108,33 @@ def _values_at(wide, brackets, positions, result, accuracy, n_q, small_window):
     """Values at the wanted 0-based positions: ``{column: {position: value}}``."""
     entries = []
     for c, intervals in brackets.items():
-        v = ref(c)
-        slot = None  # even slots are the gaps between brackets, odd slots the brackets
+        v = quoted(c)
+        cases = ""  # even slots are the gaps between brackets, odd slots the brackets
+        inside = []
         for i, (low, high) in enumerate(intervals):
-            slot = F.when(v < low, 2 * i) if slot is None else slot.when(v < low, 2 * i)
-            slot = slot.when(v <= high, 2 * i + 1)
-        slot = F.when(v.isNotNull(), slot.otherwise(2 * len(intervals)))
+            low_sql, high_sql = double_literal(low), double_literal(high)
+            cases += f" WHEN {v} < {low_sql} THEN {2 * i} WHEN {v} <= {high_sql} THEN {2 * i + 1}"
+            inside.append(f"{v} BETWEEN {low_sql} AND {high_sql}")
         entries.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                slot.alias("slot"),
-                F.when(slot % 2 == 1, v).alias("value"),
-            )
+            f"named_struct('column', {text_literal(c)},"
+            f" 'slot', CASE WHEN {v} IS NULL THEN NULL{cases} ELSE {2 * len(intervals)} END,"
+            f" 'value', CASE WHEN {' OR '.join(inside)} THEN {v} END)"
         )
     cells = (
-        wide.select(F.inline(F.array(*entries)))
+        wide.selectExpr(f"inline(array({', '.join(entries)}))")
         .where(F.col("slot").isNotNull())
         .groupBy("column", "slot", "value")
         .agg(F.count("*").alias("n"))
     )
     kept = max(result[c].n for c in brackets) * min(1.0, 8.0 * n_q / accuracy)
     cum = running(cells, ["column"], ["slot", "value"], ["n"], bounded=kept <= small_window)
-    wanted = None
-    for c in brackets:
-        ks = F.array(*[F.lit(k).cast("long") for k in positions[c]])
-        wanted = F.when(F.col("column") == c, ks) if wanted is None else wanted.when(F.col("column") == c, ks)
+    wanted = F.expr(
+        "CASE "
+        + " ".join(
+            f"WHEN `column` = {text_literal(c)} THEN array({', '.join(f'{k}L' for k in positions[c])})" for c in brackets
+        )
+        + " END"
+    )
     before = F.col("n_upto") - F.col("n")
     hits = (
         cum.where(F.col("slot") % 2 == 1)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.functions.columns import number, ref, rows_per_column
+from tallystone.functions.columns import column_aggregates, number, ref
 from tallystone.operators.association import target_classes
 from tallystone.operators.correlation import correlation
 from tallystone.operators.quantiles import exact_quantiles
@@ -15,8 +15,7 @@ from tallystone.operators.quantiles import exact_quantiles
 
 def variance_filter(df: DataFrame, columns: Sequence[str], threshold: float = 0.01) -> DataFrame:
     """Population variance per column and whether it exceeds the threshold."""
-    wide = df.agg(*[F.var_pop(number(df, c)).alias(c + "|v") for c in columns])
-    report = rows_per_column(wide, columns, {"variance": "|v"})
+    report = column_aggregates(df, columns, {"variance": "var_pop({v})"})
     return report.withColumn("kept", F.coalesce(F.col("variance") > threshold, F.lit(False)))
 
 

@@ -10,12 +10,14 @@ from pyspark.sql import types as T
 
 from tallystone.functions.columns import (
     categorical_columns,
+    column_aggregates,
+    double_literal,
     is_numeric,
-    number,
+    missing_sql,
     numeric_columns,
     quoted,
     ref,
-    rows_per_column,
+    text_literal,
 )
 
 
@@ -51,19 +53,12 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 
 def column_info(df: DataFrame) -> DataFrame:
     """Name, type and non-missing count of every column."""
-    names = df.columns
-    counts = df.agg(*[F.count(_not_missing(df, c)).alias(c + "_n") for c in names])
-    info = rows_per_column(counts, names, {"non_null": "_n"})
-    types = None
-    for c in names:
-        hit = F.lit(df.schema[c].dataType.simpleString())
-        cond = F.col("column") == c
-        types = F.when(cond, hit) if types is None else types.when(cond, hit)
-    return info.select("column", types.alias("dtype"), "non_null")
-
-
-def _not_missing(df: DataFrame, c: str) -> Column:
-    return number(df, c) if is_numeric(df.schema[c].dataType) else ref(c)
+    dtypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    fields = {
+        "dtype": lambda c: f"any_value({text_literal(dtypes[c])})",
+        "non_null": lambda c: f"count_if(NOT {missing_sql(df, c)})",
+    }
+    return column_aggregates(df, df.columns, fields, value=missing_sql)
 
 
 def schema_report(df: DataFrame, expected: Sequence[str]) -> DataFrame:
@@ -92,18 +87,21 @@ def dtype_report(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequen
 def range_check(df: DataFrame, bounds: Mapping[str, tuple[float | None, float | None]]) -> DataFrame:
     """Values outside inclusive bounds, for all columns in one aggregate. Missing values pass."""
     columns = [c for c in bounds if c in df.columns]
-    aggs = []
-    for c in columns:
-        low, high = bounds[c]
-        v = number(df, c)
-        aggs += [
-            F.count_if(v < low if low is not None else F.lit(False)).alias(c + "|below"),
-            F.count_if(v > high if high is not None else F.lit(False)).alias(c + "|above"),
-            F.min(v).alias(c + "|min"),
-            F.max(v).alias(c + "|max"),
-        ]
-    fields = {"n_below": "|below", "n_above": "|above", "observed_min": "|min", "observed_max": "|max"}
-    report = rows_per_column(df.agg(*aggs), columns, fields)
+
+    def beyond(side: int, sign: str):
+        def text(c: str) -> str:
+            limit = bounds[c][side]
+            return "count_if(false)" if limit is None else f"count_if({{v}} {sign} {double_literal(limit)})"
+
+        return text
+
+    fields = {
+        "n_below": beyond(0, "<"),
+        "n_above": beyond(1, ">"),
+        "observed_min": "min({v})",
+        "observed_max": "max({v})",
+    }
+    report = column_aggregates(df, columns, fields)
     return report.withColumn("passed", (F.col("n_below") == 0) & (F.col("n_above") == 0))
 
 

@@ -10,7 +10,7 @@ and gives the same answer on every read.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tallystone.functions.columns import order_key, ref, require_columns
 from tallystone.operators.association import MAX_TARGET_CLASSES
 from tallystone.operators.quantiles import exact_quantiles
+from tallystone.session import materialize
 
 PREFIX = 4  # hex digits of the histogram: 65536 buckets per class
 
@@ -54,62 +55,78 @@ class Cutoffs:
         return sum((1 - self.below(i).cast("int") for i in range(n_cuts)), F.lit(0))
 
 
-def class_counts(df: DataFrame, label: str | None) -> dict[str | None, int]:
-    if label is None:
-        return {None: df.count()}
-    counts = (
-        df.groupBy(ref(label).cast("string").alias("c"))
-        .agg(F.count("*").alias("n"))
-        .limit(MAX_TARGET_CLASSES + 1)
-        .collect()
-    )
-    if len(counts) > MAX_TARGET_CLASSES:
+Counts = dict[str | None, int]
+
+NO_CLASS = "\0"  # stands for a missing class, so that joins on the class need no null handling
+
+
+def class_counts(df: DataFrame, label: str) -> Counts:
+    counts = df.groupBy(ref(label).cast("string").alias("cls")).agg(F.count("*").alias("n"))
+    return _counts(counts, label)
+
+
+def _counts(rows: DataFrame, label: str | None) -> Counts:
+    """Rows per class from ``(cls, n)``, sorted by class; refuses a column that is no class label."""
+    found = rows.limit(MAX_TARGET_CLASSES + 1).collect()
+    if len(found) > MAX_TARGET_CLASSES:
         raise ValueError(f"{label} has more than {MAX_TARGET_CLASSES} classes")
-    return {r["c"]: r["n"] for r in sorted(counts, key=lambda r: (r["c"] is None, r["c"] or ""))}
+    named = {None if r["cls"] == NO_CLASS else r["cls"]: r["n"] for r in found}
+    return dict(sorted(named.items(), key=lambda item: (item[0] is None, item[0] or "")))
 
 
 def fit_cutoffs(
-    df: DataFrame, key: str, label: str | None, positions: dict[str | None, list[int]], seed: int
+    df: DataFrame,
+    key: str,
+    label: str | None,
+    choose: Callable[[Counts], dict[str | None, list[int]]],
+    seed: int,
 ) -> Cutoffs:
-    """Find the order value of the row at each 1-based position of its class (0 means before all)."""
+    """Find the order value of the row at each wanted position of its class.
+
+    ``choose`` turns the class sizes into 1-based positions per class; position 0
+    lies before all rows. Two scans of key and label, no row is shuffled but those
+    in a bucket that holds a cut.
+    """
     spark = df.sparkSession
     cls = ref(label).cast("string") if label is not None else F.lit(None).cast("string")
-    rows = df.select(F.coalesce(cls, F.lit("\0")).alias("cls"), order_key(key, seed).alias("order"))
+    rows = df.select(F.coalesce(cls, F.lit(NO_CLASS)).alias("cls"), order_key(key, seed).alias("order"))
     rows = rows.withColumn("bucket", F.substring("order", 1, PREFIX))
+    # at most 16^PREFIX rows per class
+    histogram = materialize(rows.groupBy("cls", "bucket").agg(F.count("*").alias("n")), "buckets")
+    counts = _counts(histogram.groupBy("cls").agg(F.sum("n").alias("n")), label)
+    positions = choose(counts)
     wanted = spark.createDataFrame(
-        [("\0" if c is None else c, ps) for c, ps in positions.items()], "cls string, wanted array<long>"
+        [(NO_CLASS if c is None else c, ps) for c, ps in positions.items()], "cls string, wanted array<long>"
     )
-    # at most 16^PREFIX rows per class
     upto = F.sum("n").over(Window.partitionBy("cls").orderBy("bucket"))
-    histogram = rows.groupBy("cls", "bucket").agg(F.count("*").alias("n")).withColumn("upto", upto)
     before = F.col("upto") - F.col("n")
     hits = (
-        histogram.join(F.broadcast(wanted), "cls")  # one row per class
+        histogram.withColumn("upto", upto)
+        .join(F.broadcast(wanted), "cls")  # one row per class
         .select(
             "cls",
             "bucket",
             before.alias("before"),
-            F.explode(F.filter("wanted", lambda p: (p > before) & (p <= F.col("upto")))).alias("position"),
+            F.filter("wanted", lambda p: (p > before) & (p <= F.col("upto"))).alias("positions"),
         )
+        .where(F.size("positions") > 0)
     )
-    hit_rows = hits.collect()  # one row per cut
-    at = spark.createDataFrame(hit_rows, hits.schema)
-    marked = at.groupBy("cls", "bucket", "before").agg(F.collect_set("position").alias("positions"))
+    cuts = spark.createDataFrame(hits.collect(), hits.schema)  # at most one row per cut
     numbered = (
-        rows.join(F.broadcast(marked), ["cls", "bucket"])  # one row per cut
+        rows.join(F.broadcast(cuts), ["cls", "bucket"])
         .withColumn("rn", F.row_number().over(Window.partitionBy("cls", "bucket").orderBy("order")))
-        .where(F.array_contains("positions", F.col("rn") + F.col("before")))
-        .select("cls", (F.col("rn") + F.col("before")).alias("position"), "order")
+        .select("cls", (F.col("rn") + F.col("before")).alias("position"), "order", "positions")
+        .where(F.array_contains("positions", F.col("position")))
     )
     found = {(r["cls"], r["position"]): r["order"] for r in numbered.collect()}
     by_class = {
-        c: [found["\0" if c is None else c, p] if p > 0 else None for p in ps]
+        c: [found[NO_CLASS if c is None else c, p] if p > 0 else None for p in ps]
         for c, ps in positions.items()
     }
     return Cutoffs(key, seed, label, by_class)
 
 
-def proportional(counts: dict[str | None, int], wanted: int) -> dict[str | None, int]:
+def proportional(counts: Counts, wanted: int) -> Counts:
     """Share ``wanted`` rows over the classes in proportion, largest remainders first."""
     total = sum(counts.values())
     exact = {c: n * wanted / total for c, n in counts.items()}
@@ -148,11 +165,11 @@ def stratified_split(
         cut = round(exact_quantiles(df, [key], [q])[key].values[q])
         train = ref(key) <= cut
     else:
-        label = target if stratify else None
-        counts = class_counts(df, label)
-        n = sum(counts.values())
-        share = proportional(counts, n - math.ceil(test_size * n))
-        train = fit_cutoffs(df, key, label, {c: [k] for c, k in share.items()}, seed).below(0)
+        def sizes(counts: Counts) -> dict[str | None, list[int]]:
+            n = sum(counts.values())
+            return {c: [k] for c, k in proportional(counts, n - math.ceil(test_size * n)).items()}
+
+        train = fit_cutoffs(df, key, target if stratify else None, sizes, seed).below(0)
     return df.withColumn(column, F.when(train, "train").otherwise("test"))
 
 
@@ -160,16 +177,18 @@ def stratified_folds(
     df: DataFrame, key: str, target: str, folds: int = 10, seed: int = 42, column: str = "fold"
 ) -> DataFrame:
     """Add a fold number 0 … folds-1; every class is spread over the folds as evenly as possible."""
-    counts = class_counts(df, target)
-    positions = {c: [n * i // folds for i in range(1, folds)] for c, n in counts.items()}
-    return df.withColumn(column, fit_cutoffs(df, key, target, positions, seed).fold())
+    def even(counts: Counts) -> dict[str | None, list[int]]:
+        return {c: [n * i // folds for i in range(1, folds)] for c, n in counts.items()}
+
+    return df.withColumn(column, fit_cutoffs(df, key, target, even, seed).fold())
 
 
 def under_sample(df: DataFrame, key: str, target: str, seed: int = 42) -> DataFrame:
     """Keep as many rows of each class as the smallest class has."""
-    counts = class_counts(df, target)
-    least = min(counts.values())
-    return df.where(fit_cutoffs(df, key, target, {c: [least] for c in counts}, seed).below(0))
+    def smallest(counts: Counts) -> dict[str | None, list[int]]:
+        return {c: [min(counts.values())] for c in counts}
+
+    return df.where(fit_cutoffs(df, key, target, smallest, seed).below(0))
 
 
 def class_weights(df: DataFrame, target: str) -> DataFrame:

@@ -28,7 +28,7 @@ KEY, TARGET = "Customer_ID", "Loan_Status"
 
 def _ready(spark, sf):
     """Prepared loans with their key, as ``(train, test, feature names)`` of assembled rows."""
-    ready, _ = prepare(loan(spark, sf), replace(loan_settings(), keep_key=True))
+    ready, _ = prepare(loan(spark, sf), replace(loan_settings(), keep_key=True), check_shift=False)
     names = [c for c in ready.columns if c not in (KEY, TARGET, "split")]
     rows = materialize(models.assemble(ready, names, TARGET, keep=[KEY, "split"]), "assembled")
     train, test = (rows.where(F.col("split") == s).drop("split") for s in ("train", "test"))
@@ -78,7 +78,8 @@ def cross_validation_summary(spark, sf):
 def random_search(spark, sf):
     train, _, _ = _ready(spark, sf)
     folded = stratified_folds(train, KEY, models.LABEL, 3).persist()
-    _, trials = models.random_search("LogisticRegression", folded, trials=4)
+    space = {"n_estimators": ("int", 5, 15), "max_depth": ("int", 3, 6), "max_features": ("categorical", ["sqrt", "log2"])}
+    _, trials = models.random_search("RandomForest", folded, trials=4, space=space)
     return trials
 
 
@@ -121,16 +122,12 @@ def preparation_shift(spark, sf):
 
 # ---- sources --------------------------------------------------------------------------------
 
-LOAN_COLUMNS = ", ".join(
-    f"round({f.name}, 4) AS {f.name}" if f.dataType.typeName() == "double" else f.name for f in LOAN_SCHEMA.fields
-)
-
 
-@query("csv_round_trip", f"SELECT {LOAN_COLUMNS} FROM ({LOAN})")
+@query("csv_round_trip", LOAN)
 def csv_round_trip(spark, sf):
     path = scratch_path(spark, "csv")
     write_table(loan(spark, sf), path, "csv")
-    return rounded(read_table(spark, path, "csv", LOAN_SCHEMA, categorical=["Gender", TARGET]))
+    return read_table(spark, path, "csv", LOAN_SCHEMA, categorical=["Gender", TARGET])
 
 
 @query(
@@ -173,7 +170,7 @@ STREAMED = ["Applicant_Income", "Loan_Amount"]
     f"""WITH loan AS ({LOAN}),
     s AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in STREAMED)} FROM loan)
     SELECT Customer_ID, {", ".join(f"round(({c} - m_{c}) / s_{c}, 4) + 0.0 AS {c}" for c in STREAMED)},
-      round({ALL_FEATURES["Income_Ratio"]}, 4) AS Income_Ratio, CAST(Property_Area = 'Urban' AS INT) AS Property_Area_Urban,
+      {ALL_FEATURES["Income_Ratio"]} AS Income_Ratio, CAST(Property_Area = 'Urban' AS INT) AS Property_Area_Urban,
       CASE Loan_Status WHEN 'Y' THEN 1 ELSE 0 END AS Loan_Status
     FROM loan, s""",
 )
@@ -183,7 +180,7 @@ def stream_preparation(spark, sf):
     out = scratch_path(spark, "prepared")
     write_stream(prepare_stream(stream, fitted), out).awaitTermination()
     picked = spark.read.parquet(out).select(KEY, *STREAMED, "Income_Ratio", "Property_Area_Urban", TARGET)
-    return rounded(picked)
+    return rounded(picked, 4, STREAMED)
 
 
 @query("stream_scoring")

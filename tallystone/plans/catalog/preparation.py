@@ -35,9 +35,9 @@ SHARES = """
 counts AS (SELECT {label} AS cls, count(*) AS n FROM orders GROUP BY 1),
 total AS (SELECT sum(n) AS n, sum(n) - ceil(0.2 * sum(n)) AS n_train FROM counts),
 exact AS (SELECT cls, counts.n, counts.n * n_train / total.n AS x, n_train FROM counts, total),
-ranked AS (SELECT *, row_number() OVER (ORDER BY x - floor(x) DESC, cls) AS at,
+ranked AS (SELECT *, row_number() OVER (ORDER BY x - floor(x) DESC, cls) AS pos,
   n_train - sum(floor(x)) OVER () AS spare FROM exact),
-share AS (SELECT cls, floor(x) + CASE WHEN at <= spare THEN 1 ELSE 0 END AS k FROM ranked)
+share AS (SELECT cls, floor(x) + CASE WHEN pos <= spare THEN 1 ELSE 0 END AS k FROM ranked)
 """
 
 
@@ -189,9 +189,9 @@ PART_HOLES = "SELECT p_partkey, p_retailprice, CASE WHEN p_partkey % 10 = 3 THEN
     "knn_impute",
     f"""WITH src AS ({PART_HOLES.format(part="part")}),
     near AS (SELECT a.p_partkey, b.p_size, row_number() OVER (PARTITION BY a.p_partkey
-               ORDER BY sqrt(2 * pow(a.p_retailprice - b.p_retailprice, 2)), b.p_partkey) AS at
+               ORDER BY sqrt(2 * pow(a.p_retailprice - b.p_retailprice, 2)), b.p_partkey) AS pos
              FROM src a JOIN src b ON a.p_size IS NULL AND b.p_size IS NOT NULL),
-    fill AS (SELECT p_partkey, avg(p_size) AS v FROM near WHERE at <= 5 GROUP BY 1)
+    fill AS (SELECT p_partkey, avg(p_size) AS v FROM near WHERE pos <= 5 GROUP BY 1)
     SELECT p_partkey, p_retailprice, round(coalesce(CAST(p_size AS DOUBLE), v), 4) AS p_size
     FROM src LEFT JOIN fill USING (p_partkey)""",
 )
@@ -275,9 +275,9 @@ def one_hot(spark, sf):
 @query(
     "one_hot_capped",
     """WITH top AS (SELECT p_type AS v FROM part GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 3),
-    names AS (SELECT v, row_number() OVER (ORDER BY v) AS at FROM (SELECT v FROM top UNION ALL SELECT 'other')),
+    names AS (SELECT v, row_number() OVER (ORDER BY v) AS pos FROM (SELECT v FROM top UNION ALL SELECT 'other')),
     e AS (SELECT p_partkey, CASE WHEN p_type IN (SELECT v FROM top) THEN p_type ELSE 'other' END AS v FROM part)
-    SELECT p_partkey, CAST(at = 2 AS INT) AS second, CAST(at = 3 AS INT) AS third, CAST(at = 4 AS INT) AS fourth
+    SELECT p_partkey, CAST(pos = 2 AS INT) AS second, CAST(pos = 3 AS INT) AS third, CAST(pos = 4 AS INT) AS fourth
     FROM e JOIN names USING (v)""",
 )
 def one_hot_capped(spark, sf):
@@ -393,11 +393,13 @@ DOMAIN = {
 LOAN_PLAN = loan_settings().feature_plan
 
 
-def feature_sql(columns: dict[str, str], digits: int = 6) -> str:
-    cells = ", ".join(
-        f'{e} AS "{n}"' if n == "Has_Coapplicant" else f'round({e}, {digits}) AS "{n}"' for n, e in columns.items()
-    )
-    return f"SELECT Customer_ID, {cells} FROM ({LOAN})"
+def feature_cells(columns: dict[str, str]) -> str:
+    """Plain arithmetic gives the same bits in both engines; only logarithms are rounded."""
+    return ", ".join(f'round({e}, 6) AS "{n}"' if n in LOGS else f'{e} AS "{n}"' for n, e in columns.items())
+
+
+def feature_sql(columns: dict[str, str]) -> str:
+    return f"SELECT Customer_ID, {feature_cells(columns)} FROM ({LOAN})"
 
 
 def _picked(df, names):
@@ -428,24 +430,24 @@ def log_methods(spark, sf):
 @query("interactions", feature_sql(INTERACTIONS))
 def interactions(spark, sf):
     out = features.formula_features(loan(spark, sf), LOAN_PLAN.interactions)
-    return rounded(_picked(out, INTERACTIONS), 6)
+    return _picked(out, INTERACTIONS)
 
 
-@query("polynomial", feature_sql(POLYNOMIAL, 2))
+@query("polynomial", feature_sql(POLYNOMIAL))
 def polynomial(spark, sf):
     out = features.polynomial_features(loan(spark, sf), LOAN_PLAN.polynomial)
-    return rounded(_picked(out, POLYNOMIAL), 2)
+    return _picked(out, POLYNOMIAL)
 
 
 @query("domain_features", feature_sql(DOMAIN))
 def domain_features(spark, sf):
-    return rounded(_picked(features.formula_features(loan(spark, sf), LOAN_PLAN.domain), DOMAIN), 6)
+    return _picked(features.formula_features(loan(spark, sf), LOAN_PLAN.domain), DOMAIN)
 
 
 @query(
     "formula_zero_division",
-    """SELECT l_orderkey, l_linenumber, CASE WHEN l_tax = 0 THEN 0 ELSE round(l_discount / l_tax, 6) END AS rate,
-      CAST(l_quantity >= 25 AS INT) AS large, round(abs(l_discount - l_tax) * 2, 6) AS gap FROM lineitem""",
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_tax = 0 THEN 0 ELSE l_discount / l_tax END AS rate,
+      CAST(l_quantity >= 25 AS INT) AS large, abs(l_discount - l_tax) * 2 AS gap FROM lineitem""",
 )
 def formula_zero_division(spark, sf):
     specs = {
@@ -455,7 +457,7 @@ def formula_zero_division(spark, sf):
         "gap": "half_gap * 2",
     }
     out = features.formula_features(table(spark, sf, "lineitem"), specs)
-    return rounded(out.select("l_orderkey", "l_linenumber", "rate", "large", "gap"), 6)
+    return out.select("l_orderkey", "l_linenumber", "rate", "large", "gap")
 
 
 ENGINEERED = LOGS | INTERACTIONS | DOMAIN
@@ -482,9 +484,10 @@ def feature_report(spark, sf):
 ALL_FEATURES = LOGS | INTERACTIONS | POLYNOMIAL | DOMAIN
 
 
-@query("feature_plan", feature_sql(ALL_FEATURES, 2))
+@query("feature_plan", feature_sql(ALL_FEATURES))
 def feature_plan(spark, sf):
-    return rounded(_picked(LOAN_PLAN.fit(loan(spark, sf)).apply(loan(spark, sf)), ALL_FEATURES), 2)
+    out = LOAN_PLAN.fit(loan(spark, sf)).apply(loan(spark, sf))
+    return rounded(_picked(out, ALL_FEATURES), 6, list(LOGS))
 
 
 SCALED = ["Dependents", A, C, L, TERM]
@@ -504,21 +507,21 @@ ONE_HOT = [
     counts AS (SELECT Loan_Status AS cls, count(*) AS n FROM loan GROUP BY 1),
     total AS (SELECT sum(n) AS n, sum(n) - ceil(0.2 * sum(n)) AS n_train FROM counts),
     exact AS (SELECT cls, counts.n * n_train / total.n AS x, n_train FROM counts, total),
-    ranked AS (SELECT *, row_number() OVER (ORDER BY x - floor(x) DESC, cls) AS at, n_train - sum(floor(x)) OVER () AS spare FROM exact),
-    share AS (SELECT cls, floor(x) + CASE WHEN at <= spare THEN 1 ELSE 0 END AS k FROM ranked),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY x - floor(x) DESC, cls) AS pos, n_train - sum(floor(x)) OVER () AS spare FROM exact),
+    share AS (SELECT cls, floor(x) + CASE WHEN pos <= spare THEN 1 ELSE 0 END AS k FROM ranked),
     r AS (SELECT *, row_number() OVER (PARTITION BY Loan_Status
             ORDER BY md5(concat(CAST(Customer_ID AS VARCHAR), '-42'))) AS rn FROM loan),
     s AS (SELECT r.*, CASE WHEN rn <= k THEN 'train' ELSE 'test' END AS split FROM r JOIN share ON cls = Loan_Status),
     p AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in SCALED)} FROM s WHERE split = 'train')
     SELECT {", ".join(f"round(({c} - m_{c}) / s_{c}, 4) + 0.0 AS {c}" for c in SCALED)}, Credit_History,
-      {", ".join(f'{e} AS "{n}"' if n == "Has_Coapplicant" else f'round({e}, 2) AS "{n}"' for n, e in ALL_FEATURES.items())},
+      {feature_cells(ALL_FEATURES)},
       {", ".join(f"CAST({c} = '{v}' AS INT) AS \"{c}_{v}\"" for c, v in ONE_HOT)},
       CASE Loan_Status WHEN 'Y' THEN 1 ELSE 0 END AS Loan_Status, split
     FROM s, p""",
 )
 def prepared_loans(spark, sf):
-    ready, _ = prepare(loan(spark, sf), loan_settings())
-    return rounded(rounded(ready, 4, SCALED), 2, [n for n in ALL_FEATURES if n != "Has_Coapplicant"])
+    ready, _ = prepare(loan(spark, sf), loan_settings(), check_shift=False)
+    return rounded(rounded(ready, 4, SCALED), 6, list(LOGS))
 
 
 # ---- selection ------------------------------------------------------------------------------

@@ -107,10 +107,12 @@ def fit_preparation(train: DataFrame, s: PrepareSettings) -> FittedPreparation:
     return fitted
 
 
-def prepare(df: DataFrame, s: PrepareSettings) -> tuple[DataFrame, FittedPreparation]:
+def prepare(
+    df: DataFrame, s: PrepareSettings, check_shift: bool = True
+) -> tuple[DataFrame, FittedPreparation]:
     """Split, fit on train and apply to both parts; the result carries a ``split`` column.
 
-    The split table is written once: the fits and the final projection then read
+    ``check_shift`` compares every prepared column of the two parts. The split table is written once: the fits and the final projection then read
     the same rows without recomputing what lies before.
     """
     selectors.validate(df, s.expected_columns, s.expected_numeric, s.expected_categorical, s.ranges)
@@ -121,10 +123,11 @@ def prepare(df: DataFrame, s: PrepareSettings) -> tuple[DataFrame, FittedPrepara
     ready = fitted.apply(split)
     order = [c for c in ready.columns if c not in (s.target, "split")]
     ready = ready.select(*[ref(c) for c in order], s.target, "split")
-    compared = numeric_columns(ready, [s.target, s.key])
-    fitted.shift = drift.distribution_shift(
-        ready.where(F.col("split") == "train"), ready.where(F.col("split") == "test"), compared
-    )
+    if check_shift:
+        compared = numeric_columns(ready, [s.target, s.key])
+        fitted.shift = drift.distribution_shift(
+            ready.where(F.col("split") == "train"), ready.where(F.col("split") == "test"), compared
+        )
     return ready, fitted
 
 
