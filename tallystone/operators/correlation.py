@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.functions.columns import long_numbers, number, ref
+from tallystone.functions.columns import (
+    column_aggregates,
+    double_literal,
+    long_numbers,
+    number,
+    quoted,
+    ref,
+    text_literal,
+)
 from tallystone.operators.ranks import average_ranks, value_cells
 from tallystone.session import materialize
 
 HOT_SHARE = 1000  # a value held by at least 1/HOT_SHARE of a column's rows is joined by broadcast
-PAIRS_PER_AGG = 200
+PAIRS_PER_AGG = 100
 
 Pair = tuple[str, str]
 
@@ -27,35 +38,52 @@ def correlation(
     Without one the tested columns are written once with a row number of their own.
     """
     pairs = list(combinations(columns, 2))
-    if method == "pearson":
-        wide = df.select(*[number(df, c).alias(c) for c in columns])
-        return _pair_correlations(wide, {p: p for p in pairs})
-    if method != "spearman":
+    if method not in ("pearson", "spearman"):
         raise ValueError(f"unknown correlation method: {method}")
     row_key = F.monotonically_increasing_id() if key is None else ref(key)
-    wide = df.select(row_key.alias("_key"), *[number(df, c).alias(c) for c in columns])
-    if key is None:
+    keyed = [row_key.alias("_key")] if method == "spearman" else []
+    wide = df.select(*keyed, *[number(df, c).alias(c) for c in columns])
+    if method == "spearman" and key is None:
         wide = materialize(wide, "keyed")
-    holes = wide.agg(*[F.count_if(ref(c).isNull()).alias(c) for c in columns]).first()
+    holes = {
+        r["column"]: r["n"] for r in column_aggregates(wide, columns, {"n": "count_if({v} IS NULL)"}).collect()
+    }
+    if not any(holes.values()):
+        return _matrix(_ranked(wide, columns) if method == "spearman" else wide, columns)
     sources: dict[Pair, Pair] = {}
-    masked: dict[str, tuple[str, str]] = {}
+    masked: dict[str, Pair] = {}
     for x, y in pairs:
         if holes[x] == holes[y] == 0:
             sources[x, y] = (x, y)
             continue
-        # ranks are taken over the rows where both are present
+        # each pair is judged over the rows where both are present
         sides = (f"{x}\0{y}", f"{y}\0{x}")
         masked |= {sides[0]: (x, y), sides[1]: (y, x)}
         sources[x, y] = sides
     needed = sorted({c for s in sources.values() for c in s})
     shaped = wide.select(
-        "_key",
+        *[ref(k) for k in wide.columns if k == "_key"],
         *[
             (F.when(ref(masked[c][1]).isNotNull(), ref(masked[c][0])) if c in masked else ref(c)).alias(c)
             for c in needed
         ],
     )
-    return _pair_correlations(_ranked(shaped, needed), sources)
+    return _pair_correlations(_ranked(shaped, needed) if method == "spearman" else shaped, sources)
+
+
+def _matrix(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson over complete columns: one pass for the whole matrix, which alone reaches the driver."""
+    safe = [f"c{i}" for i in range(len(columns))]
+    vectors = VectorAssembler(inputCols=safe, outputCol="v").transform(
+        wide.select(*[ref(c).alias(s) for c, s in zip(columns, safe)])
+    )
+    values = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
+    rows = []
+    for i, x in enumerate(columns):
+        for j in range(i + 1, len(columns)):
+            rho = float(values[i, j])
+            rows.append((x, columns[j], None if math.isnan(rho) else rho))
+    return wide.sparkSession.createDataFrame(rows, "x string, y string, correlation double")
 
 
 def _ranked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -66,11 +94,14 @@ def _ranked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows are spread over salted keys, so no join partition holds a hot value.
     """
     ranks = average_ranks(value_cells(df, columns)).select("column", "value", "ties", "rank")
-    totals = df.agg(*[F.count(ref(c)).alias(c) for c in columns]).first()
-    floor = None
-    for c in columns:
-        share = F.lit(max(2.0, totals[c] / HOT_SHARE))
-        floor = F.when(F.col("column") == c, share) if floor is None else floor.when(F.col("column") == c, share)
+    totals = column_aggregates(df, columns, {"n": "count({v})"}).collect()
+    floor = F.expr(
+        "CASE "
+        + " ".join(
+            f"WHEN `column` = {text_literal(c)} THEN {double_literal(max(2.0, n / HOT_SHARE))}" for c, n in totals
+        )
+        + " END"
+    )
     hot = ranks.where(F.col("ties") >= floor).select("column", "value", F.col("rank").alias("hot_rank"))
     cells = long_numbers(df, columns, ["_key"]).join(F.broadcast(hot), ["column", "value"], "left")
     is_hot = F.col("hot_rank").isNotNull()
@@ -93,25 +124,23 @@ def _ranked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _pair_correlations(wide: DataFrame, sources: dict[Pair, Pair]) -> DataFrame:
-    def corr(a: str, b: str):
-        both = F.when(ref(a).isNotNull() & ref(b).isNotNull(), True)
-        x, y = F.when(both, ref(a)), F.when(both, ref(b))
-        spread = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-        return F.when(spread, F.corr(x, y))  # a constant side has no correlation
+    """Pearson per pair; the two sides of a pair are missing together. No spread gives no value."""
+
+    def corr(a: str, b: str) -> str:
+        both = f"{quoted(a)} IS NOT NULL AND {quoted(b)} IS NOT NULL"
+        x, y = (f"CASE WHEN {both} THEN {quoted(c)} END" for c in (a, b))
+        return f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y}))"
 
     items = list(sources.items())
     out = None
     for start in range(0, len(items), PAIRS_PER_AGG):
         chunk = items[start : start + PAIRS_PER_AGG]
-        row = wide.agg(*[corr(*src).alias(f"p{i}") for i, (_, src) in enumerate(chunk)])
-        part = row.select(
-            F.inline(
-                F.array(*[
-                    F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"p{i}").alias("correlation"))
-                    for i, ((x, y), _) in enumerate(chunk)
-                ])
-            )
-        )
+        row = wide.selectExpr(*[f"{corr(*src)} AS p{i}" for i, (_, src) in enumerate(chunk)])
+        structs = [
+            f"named_struct('x', {text_literal(x)}, 'y', {text_literal(y)}, 'correlation', p{i})"
+            for i, ((x, y), _) in enumerate(chunk)
+        ]
+        part = row.selectExpr(f"inline(array({', '.join(structs)}))")
         out = part if out is None else out.unionByName(part)
     return out
 

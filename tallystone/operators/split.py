@@ -16,7 +16,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystone.functions.columns import order_key, ref, require_columns
+from tallystone.functions.columns import (
+    double_literal,
+    order_key,
+    quoted,
+    ref,
+    require_columns,
+    text_literal,
+)
 from tallystone.operators.association import MAX_TARGET_CLASSES
 from tallystone.operators.quantiles import exact_quantiles
 from tallystone.session import materialize
@@ -35,19 +42,18 @@ class Cutoffs:
 
     def below(self, index: int) -> Column:
         """True for the rows at or before the cut ``index`` of their class."""
-        order = order_key(self.key, self.seed)
-        hit = F.lit(False)
-        for cls, cuts in self.by_class.items():
-            if cuts[index] is None:  # nothing lies before a cut at position 0
-                continue
-            inside = order <= cuts[index]
-            hit = F.when(self._is(cls), inside).otherwise(hit)
-        return hit
-
-    def _is(self, cls: str | None) -> Column:
+        order = f"md5(concat(CAST({quoted(self.key)} AS STRING), '-{self.seed}'))"
+        # a cut at position 0 has no order value: nothing lies before it
+        cuts = {c: v[index] for c, v in self.by_class.items() if v[index] is not None}
+        if not cuts:
+            return F.lit(False)
         if self.label is None:
-            return F.lit(True)
-        return ref(self.label).cast("string").eqNullSafe(F.lit(cls))
+            return F.expr(f"coalesce({order} <= '{cuts[None]}', false)")
+        label = f"CAST({quoted(self.label)} AS STRING)"
+        whens = " ".join(
+            f"WHEN {label} <=> {'NULL' if c is None else text_literal(c)} THEN '{v}'" for c, v in cuts.items()
+        )
+        return F.expr(f"coalesce({order} <= CASE {whens} END, false)")
 
     def fold(self) -> Column:
         """The number of cuts before the row: folds 0 … k-1."""
@@ -165,6 +171,7 @@ def stratified_split(
         cut = round(exact_quantiles(df, [key], [q])[key].values[q])
         train = ref(key) <= cut
     else:
+
         def sizes(counts: Counts) -> dict[str | None, list[int]]:
             n = sum(counts.values())
             return {c: [k] for c, k in proportional(counts, n - math.ceil(test_size * n)).items()}
@@ -177,6 +184,7 @@ def stratified_folds(
     df: DataFrame, key: str, target: str, folds: int = 10, seed: int = 42, column: str = "fold"
 ) -> DataFrame:
     """Add a fold number 0 … folds-1; every class is spread over the folds as evenly as possible."""
+
     def even(counts: Counts) -> dict[str | None, list[int]]:
         return {c: [n * i // folds for i in range(1, folds)] for c, n in counts.items()}
 
@@ -185,6 +193,7 @@ def stratified_folds(
 
 def under_sample(df: DataFrame, key: str, target: str, seed: int = 42) -> DataFrame:
     """Keep as many rows of each class as the smallest class has."""
+
     def smallest(counts: Counts) -> dict[str | None, list[int]]:
         return {c: [min(counts.values())] for c in counts}
 
@@ -204,10 +213,11 @@ def with_class_weight(df: DataFrame, target: str, column: str = "weight") -> Dat
     """Add the balanced class weight to every row."""
     counts = {c: n for c, n in class_counts(df, target).items() if c is not None}
     total = sum(counts.values())
-    weight = F.lit(None).cast("double")
-    for c, n in counts.items():
-        weight = F.when(ref(target).cast("string") == c, total / (len(counts) * n)).otherwise(weight)
-    return df.withColumn(column, weight)
+    label = f"CAST({quoted(target)} AS STRING)"
+    whens = " ".join(
+        f"WHEN {label} = {text_literal(c)} THEN {double_literal(total / (len(counts) * n))}" for c, n in counts.items()
+    )
+    return df.withColumn(column, F.expr(f"CASE {whens} END"))
 
 
 def split_summary(df: DataFrame, columns: Sequence[str], target: str, split: str = "split") -> DataFrame:
