@@ -53,11 +53,13 @@ def distribution_shift(
     method: str = "ks_test",
     threshold: float = 0.05,
     exclude: Sequence[str] = (),
+    exact_rows: int = EXACT_KS_ROWS,
 ) -> DataFrame:
     """Compare each column of two tables; ``method`` is ``ks_test``, ``psi`` or ``chi_square``.
 
     Without ``columns``, the KS test and PSI take the numeric columns and
-    chi-square the other ones. Columns absent from either table are skipped.
+    chi-square the other ones. Columns absent from either table are skipped. The KS
+    p-value is exact while both samples have at most ``exact_rows`` rows.
     """
     pick = categorical_columns if method == "chi_square" else numeric_columns
     wanted = list(columns) if columns is not None else pick(base, exclude)
@@ -82,7 +84,7 @@ def distribution_shift(
     rows = []
     for r in ks_statistics(base, other, shared).collect():
         n1, n2 = r["n1"], r["n2"]
-        if max(n1, n2) <= EXACT_KS_ROWS:
+        if max(n1, n2) <= exact_rows:
             p = tails.ks_exact_sf(r["d"], n1, n2)
         else:
             p = tails.kolmogorov_sf(r["d"], n1 * n2 / (n1 + n2))

@@ -108,23 +108,21 @@ def production_comparison(
 
     Both sides are metric rows ``(metric, value)``; without an incumbent the candidate wins.
     """
-    new = candidate.agg(
-        F.coalesce(F.max(F.when(F.col("metric") == metric, F.col("value"))), F.lit(0.0)).alias("new_score"),
-        F.lit(0).alias("_k"),
+    rows = candidate.select("metric", "value", F.lit(True).alias("new"))
+    if incumbent is not None:
+        rows = rows.unionByName(incumbent.select("metric", "value", F.lit(False).alias("new")))
+
+    def best(side: Column) -> Column:
+        return F.coalesce(F.max(F.when(side & (F.col("metric") == metric), F.col("value"))), F.lit(0.0))
+
+    both = rows.agg(
+        best(F.col("new")).alias("new_score"),
+        best(~F.col("new")).alias("production_score"),
+        F.count_if(~F.col("new")).alias("n"),
     )
-    if incumbent is None:
-        old = new.select("_k", F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("production_score"))
-    else:
-        old = incumbent.agg(
-            F.count("*").alias("n"),
-            F.coalesce(F.max(F.when(F.col("metric") == metric, F.col("value"))), F.lit(0.0)).alias(
-                "production_score"
-            ),
-            F.lit(0).alias("_k"),
-        )
     gain = F.col("new_score") - F.col("production_score")
     none = F.col("n") == 0
-    return new.join(old, "_k").select(
+    return both.select(
         "production_score",
         "new_score",
         gain.alias("improvement"),

@@ -20,6 +20,7 @@ METRICS = (
     "brier_score",
     "log_loss",
 )
+RANKED = ("roc_auc", "average_precision")
 CLIP = 2.220446049250313e-16  # fixed value: probabilities are kept this far from 0 and 1
 
 
@@ -114,16 +115,17 @@ def evaluate(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Tidy ``(by…, metric, value)`` for the chosen metrics; unknown names are ignored."""
-    base = threshold_metrics(scored, y, p, pred, by)
-    ranked = [m for m in metrics if m in ("roc_auc", "average_precision")]
+    keys = [ref(b) for b in by]
+    ranked = [m for m in metrics if m in RANKED]
+    plain = [m for m in metrics if m in METRICS and m not in RANKED]
+    parts = []
+    if plain:
+        parts.append(threshold_metrics(scored, y, p, pred, by).unpivot(keys, plain, "metric", "value"))
     if ranked:
-        ranks = ranking_metrics(scored, y, p, by)
-        # one row per ``by`` value on either side
-        base = base.join(ranks, list(by)) if by else base.withColumn("_k", F.lit(0)).join(
-            ranks.withColumn("_k", F.lit(0)), "_k"
-        )
-    known = [m for m in metrics if m in METRICS]
-    return base.unpivot([ref(b) for b in by], known, "metric", "value")
+        parts.append(ranking_metrics(scored, y, p, by).unpivot(keys, ranked, "metric", "value"))
+    if not parts:
+        raise ValueError(f"no known metric among {list(metrics)}")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def confusion_matrix(

@@ -177,7 +177,7 @@ def cross_validate(
         return score(model, data.where(F.col(fold) == f), keep=[fold])
 
     with ThreadPool(min(parallelism, len(sizes))) as pool:
-        parts = pool.map(inheritable_thread_target(held_out), list(sizes))
+        parts = pool.map(inheritable_thread_target(data.sparkSession)(held_out), list(sizes))
     return threshold_metrics(reduce(DataFrame.unionByName, parts), by=[fold]).select(F.lit(name).alias("model"), fold, "f1_score")
 
 

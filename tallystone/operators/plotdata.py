@@ -162,12 +162,10 @@ def precision_recall_points(scored: DataFrame, y: str = "y", p: str = "p") -> Da
 
 
 def _curve(cells: DataFrame, make, end: tuple[float, float, float]) -> DataFrame:
-    totals = cells.agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"), F.lit(0).alias("all"))
+    pos, neg = cells.agg(F.sum("pos"), F.sum("neg")).first()  # two numbers
     tp, fp = F.col("pos_upto").cast("double"), F.col("neg_upto").cast("double")
-    columns = make(tp, fp, F.col("_p").cast("double"), F.col("_n").cast("double"))
-    points = cells.join(F.broadcast(totals), "all").select(  # a single row
-        F.col("score").alias("threshold"), *[c.alias(n) for n, c in columns.items()]
-    )
+    columns = make(tp, fp, F.lit(pos).cast("double"), F.lit(neg).cast("double"))
+    points = cells.select(F.col("score").alias("threshold"), *[c.alias(n) for n, c in columns.items()])
     last = cells.sparkSession.createDataFrame([end], points.schema)
     return points.unionByName(last)
 

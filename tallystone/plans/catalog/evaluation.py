@@ -18,8 +18,8 @@ RANKING = """
 cum AS (SELECT {k} g, p, sum(y) AS pos, sum(1 - y) AS neg FROM src GROUP BY ALL),
 run AS (SELECT *, sum(pos) OVER w AS tps, sum(neg) OVER w AS fps, sum(pos) OVER (PARTITION BY g) AS np,
         sum(neg) OVER (PARTITION BY g) AS nn FROM cum WINDOW w AS (PARTITION BY g ORDER BY p DESC)),
-ranked AS (SELECT g, 1 - sum(pos * (fps - neg / 2)) / any_value(CAST(np AS DOUBLE) * nn) AS roc_auc,
-        sum(pos * tps / (tps + fps)) / any_value(np) AS average_precision FROM run GROUP BY 1)
+ranked AS (SELECT g, 1 - sum(pos * (fps - neg / 2)) / nullif(any_value(CAST(np AS DOUBLE) * nn), 0) AS roc_auc,
+        coalesce(sum(pos * tps / (tps + fps)) / nullif(any_value(np), 0), 0) AS average_precision FROM run GROUP BY 1)
 """
 NAMES = ("accuracy", "precision", "recall", "f1_score", "roc_auc", "average_precision", "brier_score", "log_loss")
 
