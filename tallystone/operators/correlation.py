@@ -49,7 +49,10 @@ def correlation(
         r["column"]: r["n"] for r in column_aggregates(wide, columns, {"n": "count_if({v} IS NULL)"}).collect()
     }
     if not any(holes.values()):
-        return _matrix(_ranked(wide, columns) if method == "spearman" else wide, columns)
+        values = _ranked(wide, columns) if method == "spearman" else wide
+        if len(pairs) > PAIRS_PER_AGG:  # passes over the rows several times, so it gets a table
+            return _matrix(materialize(values, "matrix"), columns)
+        return _pair_correlations(values, {p: p for p in pairs})
     sources: dict[Pair, Pair] = {}
     masked: dict[str, Pair] = {}
     for x, y in pairs:
@@ -72,7 +75,7 @@ def correlation(
 
 
 def _matrix(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson over complete columns: one pass for the whole matrix, which alone reaches the driver."""
+    """Pearson over many complete columns at once; only the finished matrix reaches the driver."""
     safe = [f"c{i}" for i in range(len(columns))]
     vectors = VectorAssembler(inputCols=safe, outputCol="v").transform(
         wide.select(*[ref(c).alias(s) for c, s in zip(columns, safe)])
@@ -93,7 +96,9 @@ def _ranked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     number at most ``HOT_SHARE`` per column and are joined by broadcast; their
     rows are spread over salted keys, so no join partition holds a hot value.
     """
-    ranks = average_ranks(value_cells(df, columns)).select("column", "value", "ties", "rank")
+    ranks = materialize(  # read twice below
+        average_ranks(value_cells(df, columns)).select("column", "value", "ties", "rank"), "ranks"
+    )
     totals = column_aggregates(df, columns, {"n": "count({v})"}).collect()
     floor = F.expr(
         "CASE "

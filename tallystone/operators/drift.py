@@ -35,8 +35,9 @@ def ks_statistics(base: DataFrame, other: DataFrame, columns: Sequence[str]) ->
         .groupBy("column", "value")
         .agg(F.count_if(F.col("side") == 1).alias("a"), F.count_if(F.col("side") == 2).alias("b"))
     )
-    totals = cells.groupBy("column").agg(F.sum("a").alias("n1"), F.sum("b").alias("n2"))
     cum = running(cells, ["column"], ["value"], ["a", "b"])
+    # from the written counts, not from another scan of the tables
+    totals = cum.groupBy("column").agg(F.sum("a").alias("n1"), F.sum("b").alias("n2"))
     gap = F.abs(F.col("a_upto") / F.col("n1") - F.col("b_upto") / F.col("n2"))
     return (
         cum.join(F.broadcast(totals), "column")  # one row per column

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallystone.functions.columns import long_strings, ref
 from tallystone.operators.selectors import CheckFailed
 
-CATEGORY_LIMIT = 1000  # each category becomes a column
+CATEGORY_LIMIT = 500  # each category becomes a column; Spark cuts rank filters of up to 1000 before the shuffle
 OTHER = "other"
 
 ONE_HOT_SCHEMA = "column string, position int, category string, grouped boolean"

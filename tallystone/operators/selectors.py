@@ -42,6 +42,11 @@ def drop_columns(df: DataFrame, reasons: Mapping[str, str]) -> tuple[DataFrame,
     return df.drop(*[ref(c) for c in dropped]), dropped
 
 
+def mask_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace personal values by their SHA-256 digest; equal values stay equal, missing stays missing."""
+    return df.withColumns({c: F.sha2(ref(c).cast("string"), 256) for c in columns if c in df.columns})
+
+
 def filter_rows(df: DataFrame, condition: Column | str, columns: Sequence[str] | None = None) -> DataFrame:
     kept = df.where(condition)
     return kept.select(*[ref(c) for c in columns]) if columns else kept

@@ -95,6 +95,12 @@ def drop_columns(spark, sf):
     return selectors.drop_columns(table(spark, sf, "customer"), reasons)[0]
 
 
+@query("mask_columns", "SELECT c_custkey, sha256(c_name) AS c_name, c_acctbal FROM customer")
+def mask_columns(spark, sf):
+    df = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    return selectors.mask_columns(df, ["c_name", "absent"])
+
+
 FLAGS = ["l_returnflag", "l_linestatus"]
 COUNTS = "counts AS (SELECT \"column\", value, count(*) AS n FROM long GROUP BY 1, 2)"
 RANKED = (

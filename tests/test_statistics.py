@@ -179,6 +179,17 @@ def test_correlation_matches_pandas_with_nulls_ties_and_a_hot_value(spark, metho
                 assert r["correlation"] == pytest.approx(expected, abs=1e-9)
 
 
+def test_wide_correlation_goes_through_the_matrix(spark):
+    df = spark.range(80).selectExpr("id", *[f"CAST(id * {i + 3} % {17 + i} AS DOUBLE) AS c{i}" for i in range(15)], "1.0D AS same")
+    columns = [c for c in df.columns if c != "id"]
+    want = df.toPandas()[columns].corr(method="spearman")
+    rows = correlation.correlation(df, columns, "spearman", "id").collect()
+    assert len(rows) == 120
+    for r in rows:
+        expected = want.loc[r["x"], r["y"]]
+        assert r["correlation"] is None if np.isnan(expected) else r["correlation"] == pytest.approx(expected, abs=1e-9)
+
+
 def test_corrections(frame):
     df = frame([("a", 0.01), ("b", 0.02), ("c", 0.03), ("d", 0.6)], "column string, p_value double")
     b = by(compare.adjust_p_values(df, "bonferroni"), "column")
