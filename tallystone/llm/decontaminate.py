@@ -13,12 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.llm.common import (
-    ALNUM_BREAK, chunks, materialize, ngram_hashes, pick, power_of_two, scan, signed, split_words,
+    ALNUM_BREAK, chunks, materialize, ngram_hashes, pick, scan, signed, split_words,
 )
+from tallystone.llm.filters import bit_filter, in_filter
 
 WINDOW, K = 13, 5
-#: The filter sent to all tasks has 16 bits a fingerprint, 4 MB at most; a fuller filter lets more candidates pass.
-MOST_BITS = 1 << 25
 
 
 def _windows(words: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,25 +58,6 @@ def item_windows(items: DataFrame, window: int = WINDOW, k: int = K) -> DataFram
     return scan(items, work, "item_id string, fingerprint long, run long, size int", ["item_id", "text"]).distinct()
 
 
-def fingerprint_filter(prints: DataFrame) -> np.ndarray:
-    """A bit map of hashes; the driver gets ``MOST_BITS`` / 64 rows at most."""
-    bits = min(MOST_BITS, max(64, power_of_two(16 * prints.count())))
-    at = F.col("fingerprint").bitwiseAND(F.lit(bits - 1))
-    words = (
-        prints.select(F.shiftright(at, 6).alias("w"), F.pmod(at, F.lit(64)).alias("b"))
-        .groupBy("w").agg(F.expr("bit_or(shiftleft(1L, int(b)))").alias("v"))
-    ).collect()
-    table = np.zeros(bits // 64, np.int64)
-    for r in words:
-        table[r["w"]] = r["v"]
-    return table.view(np.uint64)
-
-
-def in_filter(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & np.uint64(len(table) * 64 - 1)
-    return (table[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-
-
 HITS = "array<struct<fingerprint:bigint,run:bigint,at:int>>"
 _HIT = pa.struct([("fingerprint", pa.int64()), ("run", pa.int64()), ("at", pa.int32())])
 
@@ -151,7 +131,8 @@ def contamination(
     rows = pick(docs, **{key: "doc_id", text: "text"})
     named = items.select(F.coalesce(F.col(item_key).cast("string"), F.lit("")).alias("item_id"), F.col(item_text).alias("text"))
     runs = materialize(item_windows(named, window, k), "item-runs")
-    table = spark.sparkContext.broadcast(fingerprint_filter(runs.select("fingerprint").distinct()))
+    prints = runs.select("fingerprint").distinct()
+    table = spark.sparkContext.broadcast(bit_filter(prints, lambda t: t["fingerprint"], prints.count()))
     sizes = sorted(r["size"] for r in runs.select("size").distinct().collect() if r["size"] < window)
     scanned = candidate_runs(rows, table, sizes, window, k).withColumn("row", F.monotonically_increasing_id())
     scanned = materialize(scanned, "candidate-runs")

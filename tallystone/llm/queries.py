@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm import decontaminate, exact_dedup, html_text, packing, quality, secrets, sharding
+from tallystone.llm import decontaminate, exact_dedup, html_text, jaccard, packing, quality, secrets, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_copies(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_quality": op3_quality,
     "op4_decontamination": op4_decontamination,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_secrets": op6_secrets,
     "op7_html_text": op7_html_text,
     "op9_exact_dedup": op9_exact_dedup,
