@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm import decontaminate, exact_dedup, html_text, jaccard, packing, quality, secrets, sharding, suffix_dedup
+from tallystone.llm import decontaminate, exact_dedup, html_text, jaccard, language_model, packing, quality, secrets, sharding, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_secrets": op6_secrets,
     "op7_html_text": op7_html_text,
+    "op8_language_model": op8_language_model,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_suffix_array": op10_suffix_array,
 }
