@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tallystone.session import materialize
 
-__all__ = ["materialize", "pick", "power_of_two", "scan", "split_words", "ngram_hashes", "mix", "WORD_BREAK", "ALNUM_BREAK"]
 
 
 def pick(df: DataFrame, **names: str) -> DataFrame:
@@ -139,5 +138,14 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def null_safe_text(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
+def row_mark(key: str = "doc_id", text: str = "text") -> Column:
+    """A row's identity where its key may be NULL or repeated: a hash of key and text."""
+    return F.xxhash64(F.col(key), F.col(text))
+
+
+def without(docs: DataFrame, marks: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` (all its columns) without the rows of the given ``mark``."""
+    columns = docs.columns
+    marked = docs.withColumn("_mark_of_row", row_mark(key, text))
+    left = marked.join(marks.select(F.col("mark").alias("_mark_of_row")), "_mark_of_row", "left_anti")
+    return left.select(*[F.col(f"`{c}`") for c in columns])

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.llm.common import (
-    ALNUM_BREAK, chunks, materialize, ngram_hashes, pick, scan, signed, split_words,
+    ALNUM_BREAK, chunks, materialize, ngram_hashes, pick, row_mark, scan, signed, split_words,
 )
 from tallystone.llm.filters import bit_filter, in_filter
 
@@ -108,7 +108,7 @@ def candidate_runs(docs: DataFrame, table, sizes: list[int], window: int = WINDO
 
     kind = docs.schema["doc_id"].dataType
     key = to_arrow_type(kind)
-    rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    rows = docs.select("doc_id", row_mark().alias("mark"), "text")
     schema = f"doc_id {kind.simpleString()}, mark long, n_words long, hits {HITS}"
     return scan(rows, work, schema, ["doc_id", "mark", "text"])
 
@@ -122,7 +122,7 @@ def contamination(
     Items of fewer words, but not none, count as one run. Texts are read once; only runs whose
     fingerprint passes a bit map of the items' fingerprints are shuffled, and joined on (fingerprint, run).
 
-    Returns one row per document: ``doc_id, mark`` (hash of the text), ``n_words, n_hit, items`` (sorted ids of
+    Returns one row per document: ``doc_id, mark`` (hash of key and text), ``n_words, n_hit, items`` (sorted ids of
     the items found, as strings) and ``spans`` (sorted ``at, size`` in words). NULL text has no words; a NULL
     item id counts as the empty string; repeated rows and items with one id are fine; without items or
     documents nothing is hit; other columns are not read.

@@ -7,10 +7,10 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import materialize, pick
+from tallystone.llm.common import materialize, pick, row_mark
 
 SLOTS = 4
 KICKS = 200
@@ -205,7 +205,8 @@ def digest_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """``doc_id, row, digest`` as a written table: texts are read once, and row numbers stay the same."""
     rows = pick(docs, **{key: "doc_id", text: "text"})
     digest = F.unhex(F.sha2(normalised(F.col("text")).cast("binary"), 256))
-    return materialize(rows.select("doc_id", F.monotonically_increasing_id().alias("row"), digest.alias("digest")), "digests")
+    number = F.monotonically_increasing_id().alias("row")
+    return materialize(rows.select("doc_id", number, row_mark().alias("mark"), digest.alias("digest")), "digests")
 
 
 def find_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -215,7 +216,7 @@ def find_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     looks its digest up in the index by an equi-join, whose large groups Spark can split, as only the row side
     is large.
 
-    Returns ``doc_id, keep_id, group_size, kept, text_sha256``, one row per input row. NULL text is the
+    Returns ``doc_id, keep_id, group_size, kept, text_sha256, mark`` (hash of key and text), one row per input row. NULL text is the
     empty text. A NULL key comes after all others; of rows with the same key and text one is kept. An
     empty table gives none; other columns are not read.
     """
@@ -228,4 +229,16 @@ def find_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         F.col("copies").alias("group_size"),
         (F.col("row") == F.col("first_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        "mark",
     )
+
+
+def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, that ``find_copies`` keeps."""
+    found = find_copies(docs, key, text)
+    columns = docs.columns
+    kept = found.filter("kept").select(F.col("mark").alias("_mark_of_row"))
+    marked = docs.withColumn("_mark_of_row", row_mark(key, text)).join(kept, "_mark_of_row", "left_semi")
+    # rows equal in key and text share a mark, and one of them stays; the join has brought them together
+    again = F.row_number().over(Window.partitionBy("_mark_of_row").orderBy("_mark_of_row"))
+    return marked.withColumn("_nth_of_mark", again).filter("_nth_of_mark = 1").select(*[F.col(f"`{c}`") for c in columns])

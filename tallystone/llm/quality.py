@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import _BASE, WORD_BREAK, chunks, materialize, mix, pick, scan, split_words
+from tallystone.llm.common import _BASE, WORD_BREAK, chunks, materialize, mix, pick, row_mark, scan, split_words
 
 #: Features are hashed to 2**18 places; the last two orders of words count, in two views.
 BITS = 18
@@ -144,7 +144,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED)
 
 
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``doc_id, mark`` (hash of the text) and ``score`` of rows of ``doc_id, text``: sparse dot products in tasks."""
+    """``doc_id, mark`` (hash of key and text) and ``score`` of rows of ``doc_id, text``: sparse dot products in tasks."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def work(got, n):
@@ -163,7 +163,7 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType
     key = to_arrow_type(kind)
-    rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    rows = docs.select("doc_id", row_mark().alias("mark"), "text")
     return scan(rows, work, f"doc_id {kind.simpleString()}, mark long, score double", ["doc_id", "mark", "text"])
 
 

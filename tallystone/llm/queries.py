@@ -47,7 +47,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_copies(table(spark, sf_dir, "documents"), size=4, percent=85)
+    return jaccard.near_copies(table(spark, sf_dir, "documents"), size=4, percent=85).drop("group", "mark")
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +69,7 @@ def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
+    return exact_dedup.find_copies(table(spark, sf_dir, "documents")).drop("mark")
 
 
 def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +89,58 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_array": op10_suffix_array,
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLES: dict[str, str] = {
+    "op4_decontamination": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        sized AS (SELECT item_id, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0),
+        runs AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS run
+            FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM sized)
+        ),
+        sizes AS (SELECT DISTINCT n FROM runs),
+        places AS (
+            SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS run
+            FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)
+        ),
+        hits AS (SELECT doc_id, item_id, i, n FROM places JOIN runs USING (n, run)),
+        words AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+        ),
+        items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+    "op5_ngram_jaccard": rf"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+            FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+        ),
+        links AS (
+            SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 85 * (x.n + y.n - k)
+        ),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM d
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        )
+        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id
+        FROM d JOIN reach r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+    """,
     "op9_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
