@@ -31,16 +31,19 @@ ENDS = {x: {"p"} for x in BLOCKS - {"button", "label", "option", "caption", "td"
     "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "option": {"option"},
 }
-#: Words in tags, classes, ids and roles that mark a labelled page's blocks.
-CONTENT_NAMES = {"article", "main", "articlebody", "post", "entry", "story"}
+#: What settles a block's state on a labelled page, and almost so elsewhere: its tag, and words of its class, id or role.
+CONTENT_NAMES = {"<article", "<main", "article", "main", "articlebody", "post", "entry", "story"}
 OTHER_NAMES = set(
+    "<nav <footer <aside <form <head <title <button <select <option <textarea <fieldset <dialog <menu "
     "nav navigation menu header masthead footer aside sidebar ad ads advert advertisement sponsored promo banner "
     "cookie cookies consent notice alert popup modal form newsletter subscribe signup login search comment comments "
     "reply replies disqus share social related recommended breadcrumb breadcrumbs pagination pager toolbar widget "
-    "copyright legal head title button label select option textarea fieldset dialog script style".split()
+    "copyright legal dialog".split()
 )
+#: Log-odds of a settling name, and of all that a node's other features may say together.
+SETTLED, UNSETTLED = 30.0, 2.0
 _TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S
+    r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<[/!?a-zA-Z][^>]*$", re.S
 )
 _NAMES = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _CAMEL = re.compile(r"[a-z0-9]+|[A-Z][a-z0-9]*")
@@ -58,7 +61,7 @@ class Page:
         self._read(source)
 
     def _open(self, tag: str, parent: int, attributes: str) -> int:
-        names = [tag]
+        names = ["<" + tag]
         if attributes:
             for m in _NAMES.finditer(attributes):
                 value = m[1] or m[2] or m[3] or ""
@@ -143,7 +146,7 @@ class Page:
             names = set(self.names[i])
             inside = state[self.parents[i]]
             state[i] = bool(CONTENT_NAMES & names) or inside
-            if OTHER_NAMES & names and not (inside and "header" in names):
+            if OTHER_NAMES & names and not CONTENT_NAMES & names:
                 state[i] = False
         return state
 
@@ -152,25 +155,32 @@ class Model:
     """Log-potentials: of each feature for content, and of a child's state given its parent's."""
 
     def __init__(self, counts: dict[str, tuple[int, int]], moves: dict[tuple[bool, bool], int]):
-        marked = {n: (0.0, 12.0) for n in OTHER_NAMES} | {n: (12.0, 0.0) for n in CONTENT_NAMES}
         total = [1.0 + sum(c[k] for w, c in counts.items() if w.startswith("#size")) for k in (1, 0)]
         self.speaks: dict[str, float] = {}
-        for word in {*counts, *marked}:
-            other, content = counts.get(word, (0, 0))
-            more = marked.get(word, (0.0, 0.0))
-            yes = (content + more[0] + 0.5) / (total[0] + 12.5)
-            no = (other + more[1] + 0.5) / (total[1] + 12.5)
-            self.speaks[word] = math.log(yes / no)
+        for word, (other, content) in counts.items():
+            self.speaks[word] = math.log((content + 0.5) / (total[0] + 0.5)) - math.log((other + 0.5) / (total[1] + 0.5))
         stay = {p: (moves.get((p, p), 0) + 8.0) / (moves.get((p, p), 0) + moves.get((p, not p), 0) + 9.0) for p in (False, True)}
         self.pair = {(p, c): stay[p] if p == c else 1 - stay[p] for p in (False, True) for c in (False, True)}
 
+    def alone(self, features: list[str]) -> float:
+        """Log-odds of content from what a node looks like on its own."""
+        settled, rest = 0.0, 0.0
+        for w in features:
+            if w in CONTENT_NAMES:
+                settled += SETTLED
+            elif w in OTHER_NAMES:
+                settled -= SETTLED
+            else:
+                rest += self.speaks.get(w, 0.0)
+        return settled + max(-UNSETTLED, min(UNSETTLED, rest))
+
     def marginals(self, page: Page) -> list[float]:
         """Probability of content for each node: one pass of messages to the root, one back."""
         n = len(page.tags)
-        speaks, pair = self.speaks, self.pair
+        pair = self.pair
         own = [0.0] * n
         for i in range(1, n):
-            own[i] = max(-30.0, min(30.0, sum(speaks.get(w, 0.0) for w in page.features(i))))
+            own[i] = self.alone(page.features(i))
         up = [(0.0, 0.0)] * n  # the message to the parent: log weights of its states other, content
         below = [[0.0, x] for x in own]  # own potential and the children's messages
         ff, ft, tf, tt = pair[False, False], pair[False, True], pair[True, False], pair[True, True]
