@@ -5,14 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystone.functions import tails
 from tallystone.functions.columns import long_strings, ref
 from tallystone.operators.compare import V_LIMITS, effect_label
-
-MAX_TARGET_CLASSES = 1000  # classes become columns of one aggregate
+from tallystone.session import materialize
 
 CHI_SCHEMA = (
     "column string, chi2 double, p_value double, dof bigint, cramers_v double, effect string, "
@@ -20,62 +19,48 @@ CHI_SCHEMA = (
 )
 
 
-def target_classes(df: DataFrame, target: str, limit: int = MAX_TARGET_CLASSES) -> list[str]:
-    """The sorted classes of a target; refuses a column that is no class label."""
-    label = ref(target).cast("string")
-    rows = df.select(label.alias("t")).where(F.col("t").isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{target} has more than {limit} classes")
-    return sorted(r["t"] for r in rows)
-
-
 def crosstab(df: DataFrame, column: str, target: str) -> DataFrame:
     """Pair counts ``(value, target, n)``; pairs with a missing side are dropped, absent pairs are 0."""
-    classes = target_classes(df, target)
     both = df.where(ref(column).isNotNull() & ref(target).isNotNull())
-    pairs = both.select(
-        ref(column).cast("string").alias("value"), ref(target).cast("string").alias("_target")
-    )
-    wide = pairs.groupBy("value").pivot("_target", classes).count().na.fill(0)
-    return wide.unpivot(["value"], [ref(c) for c in classes], "target", "n")
+    pairs = both.select(ref(column).cast("string").alias("value"), ref(target).cast("string").alias("target"))
+    cells = pairs.groupBy("value", "target").agg(F.count("*").alias("n"))
+    classes = [r["target"] for r in cells.select("target").distinct().collect()]  # the width of the table
+    every = cells.select("value").distinct().withColumn("target", F.explode(F.lit(sorted(classes))))
+    return every.join(cells, ["value", "target"], "left").na.fill(0, ["n"])
 
 
 def chi_square_parts(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """All that the test needs, one row per column.
 
-    The classes of the target become counters, so one group-by on (column, value)
-    holds every cell and the margins need no join: with R the row total,
-    chi2 = n (sum_j T_j / C_j - 1), where T_j = sum O_j^2 / R and C_j = sum O_j.
+    The rows are reduced once to counts of (column, value, class); margins come from those cells. The
+    statistic adds up (O - E)^2 / E over the cells, and what absent cells add: a row's
+    total times the totals of the classes it lacks, over n.
     """
-    classes = target_classes(df, target)
     rows = df.where(ref(target).isNotNull()).withColumn("_target", ref(target).cast("string"))
-    cells = (
-        long_strings(rows, columns, ["_target"])
-        .groupBy("column", "value")
-        .agg(*[F.count_if(F.col("_target") == t).alias(f"o{j}") for j, t in enumerate(classes)])
+    counted = long_strings(rows, columns, ["_target"]).groupBy("column", "value", "_target").agg(F.count("*").alias("o"))
+    cells = materialize(counted, "cells")
+    classes = cells.groupBy("column", "_target").agg(F.sum("o").alias("c"))
+    whole = classes.groupBy("column").agg(
+        F.sum("c").alias("n"), F.count("*").alias("n_cols"), F.min("c").alias("least_col"),
+        F.sum(1.0 / F.col("c")).alias("inverse_cols"),
+    )
+    row_total = F.sum("o").over(Window.partitionBy("column", "value"))
+    expected = F.col("r").cast("double") * F.col("c") / F.col("n")
+    off = F.col("o") - F.col("expected")
+    by_row = (
+        cells.withColumn("r", row_total)
+        .join(classes, ["column", "_target"])
+        .join(F.broadcast(whole), "column")  # one row per column
+        .withColumn("expected", expected)
+        .groupBy("column", "value", "n", "n_cols", "least_col", "inverse_cols", "r")
+        .agg(F.sum(off * off / F.col("expected")).alias("met"), F.sum("c").alias("c_met"))
     )
-    o = [F.col(f"o{j}").cast("double") for j in range(len(classes))]
-    total = sum(o[1:], o[0])
-    sums = cells.withColumn("r", total).groupBy("column").agg(
+    absent = F.col("r").cast("double") * (F.col("n") - F.col("c_met")) / F.col("n")
+    return by_row.groupBy("column", "n", "n_cols", "least_col", "inverse_cols").agg(
         F.count("*").alias("n_rows"),
-        F.sum("r").alias("n"),
-        F.sum(1.0 / F.col("r")).alias("inverse_rows"),
+        F.sum(F.col("met") + absent).alias("chi2"),
         F.min("r").alias("least_row"),
-        *[F.sum(o[j] * o[j] / F.col("r")).alias(f"t{j}") for j in range(len(classes))],
-        *[F.sum(o[j]).alias(f"c{j}") for j in range(len(classes))],
-    )
-    used = [F.when(F.col(f"c{j}") > 0, F.col(f"c{j}")) for j in range(len(classes))]
-    zero = F.lit(0.0)
-    return sums.select(
-        "column",
-        "n",
-        "n_rows",
-        sum((F.when(c.isNotNull(), 1).otherwise(0) for c in used), F.lit(0)).alias("n_cols"),
-        sum((F.coalesce(F.col(f"t{j}") / used[j], zero) for j in range(len(classes))), zero).alias("s"),
-        "inverse_rows",
-        sum((F.coalesce(1.0 / c, zero) for c in used), zero).alias("inverse_cols"),
-        "least_row",
-        F.array_min(F.array(*used)).alias("least_col"),
+        F.sum(1.0 / F.col("r")).alias("inverse_rows"),
     )
 
 
@@ -95,7 +80,7 @@ def chi_square_tests(
     result = []
     for r in chi_square_parts(df, columns, target).collect():
         n, dof = r["n"], (r["n_rows"] - 1) * (r["n_cols"] - 1)
-        chi2 = max(0.0, n * (r["s"] - 1.0)) if dof else 0.0
+        chi2 = r["chi2"] if dof else 0.0
         if dof == 1 and yates:
             # in a 2x2 table every cell is off by the same amount
             inverse_expected = n * r["inverse_rows"] * r["inverse_cols"]

@@ -21,6 +21,8 @@ from tallystone.functions.normality import shapiro_wilk
 from tallystone.operators.ranks import average_ranks, tie_term, value_cells
 from tallystone.session import materialize
 
+EXACT_CELLS = 1_000_000
+LIMIT_CELLS = 20_000  # hash bounds that are broadcast
 GATE_ROWS = 5000  # fixed value: the normality check looks at no more rows than this per group
 TWO_GROUP_SCHEMA = (
     "column string, test_type string, group1_mean double, group2_mean double, group1_std double, "
@@ -95,7 +97,7 @@ def sample_per_group(
     long = long_numbers(base, columns, ["group", "hash"])
     slack = 8.0
     while True:
-        near = long.join(gate_limits(sizes, slack), ["column", "group"]).where("hash <= top")
+        near = _below_limits(long, gate_limits(sizes, slack))
         w = Window.partitionBy("column", "group").orderBy("hash")
         sample = materialize(
             near.withColumn("at", F.row_number().over(w)).where("at <= k"), "sample"
@@ -107,6 +109,21 @@ def sample_per_group(
         slack *= 8.0  # the hash was less even than expected: widen the bound, never settle for less
 
 
+def _below_limits(long: DataFrame, limits: DataFrame) -> DataFrame:
+    """Rows at or below the hash bound of their (column, group), cut before any shuffle.
+
+    Up to ``LIMIT_CELLS`` bounds are sent to every task; with more, rows are first cut by the loosest
+    bound of their column and then joined.
+    """
+    found = limits.limit(LIMIT_CELLS + 1).collect()
+    if len(found) <= LIMIT_CELLS:
+        small = long.sparkSession.createDataFrame(found, limits.schema)
+        return long.join(F.broadcast(small), ["column", "group"]).where("hash <= top")
+    loosest = F.broadcast(limits.groupBy("column").agg(F.max("top").alias("_most")))  # one row per column
+    some = long.join(loosest, "column").where("hash <= _most").drop("_most")
+    return some.join(limits, ["column", "group"]).where("hash <= top")
+
+
 def normality(
     df: DataFrame, columns: Sequence[str], group: str, key: str, sizes: DataFrame, seed: int = 42
 ) -> DataFrame:
@@ -171,11 +188,22 @@ def welch(n1: int, m1: float, s1: float, n2: int, m2: float, s2: float) -> tuple
     return t, tails.t_two_sided(t, freedom)
 
 
-def mann_whitney(n1: int, n2: int, rank_sum1: float, tie_sum: float) -> tuple[float, float]:
-    """U of the first group; exact when a group has at most 8 rows and nothing ties."""
+def mann_whitney(
+    n1: int, n2: int, rank_sum1: float, tie_sum: float, tail: str = "asymptotic"
+) -> tuple[float, float]:
+    """U of the first group; ``tail`` is ``asymptotic`` or ``exact`` (without ties only).
+
+    The exact tail counts arrangements in a table of ``n1 * n2`` cells; beyond ``EXACT_CELLS`` it is refused.
+    """
     u = rank_sum1 - n1 * (n1 + 1) / 2.0
-    if tie_sum == 0 and min(n1, n2) <= 8 and n1 * n2 <= 1_000_000:
+    if tail == "exact":
+        if tie_sum:
+            raise ValueError("the exact tail needs values without ties")
+        if n1 * n2 > EXACT_CELLS:
+            raise ValueError(f"the exact tail of {n1} and {n2} rows is too large")
         return u, tails.rank_sum_exact_two_sided(u, n1, n2)
+    if tail != "asymptotic":
+        raise ValueError(f"unknown tail: {tail}")
     n = n1 + n2
     variance = n1 * n2 / 12.0 * ((n + 1) - tie_sum / (n * (n - 1)))
     if variance <= 0:
@@ -203,12 +231,14 @@ def two_group_compare(
     alpha: float = 0.05,
     min_size: int = 3,
     seed: int = 42,
+    tail: str = "asymptotic",
 ) -> DataFrame:
     """Welch's t or Mann–Whitney U with Cohen's d, one row per column.
 
     ``test`` is ``welch``, ``rank`` or ``auto``; the last checks normality in both
     groups on a sample chosen by ``key`` and ranks only the columns that need it.
-    A column with fewer than ``min_size`` values in a group is left out.
+    A column with fewer than ``min_size`` values in a group is left out. ``tail`` is
+    that of :func:`mann_whitney`.
     """
     if test not in ("auto", "welch", "rank"):
         raise ValueError(f"unknown test: {test}")
@@ -237,7 +267,7 @@ def two_group_compare(
         a, b = moments[c][first], moments[c][second]
         if c in sums:
             ties = sum(g["tie_sum"] for g in sums[c].values())
-            stat, p = mann_whitney(a["n"], b["n"], sums[c][first]["rank_sum"], ties)
+            stat, p = mann_whitney(a["n"], b["n"], sums[c][first]["rank_sum"], ties, tail)
             name = "Mann-Whitney U"
         else:
             stat, p = welch(a["n"], a["mean"], a["std"], b["n"], b["mean"], b["std"])
@@ -352,20 +382,25 @@ def paired_t(df: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def two_proportions(df: DataFrame, group: str, first: str, second: str, success) -> DataFrame:
-    """Pooled two-proportion z-test of ``success`` (a boolean column) between two groups."""
+    """Pooled two-proportion z-test of ``success`` (a boolean column) between two groups.
+
+    With an empty group there is no test: its share, z and p are NULL.
+    """
     g = ref(group).cast("string")
     counts = df.agg(
         *[F.count_if((g == v) & success.isNotNull()).alias(f"n{i}") for i, v in enumerate((first, second))],
         *[F.count_if((g == v) & success).alias(f"x{i}") for i, v in enumerate((first, second))],
     ).first()
     n1, n2, x1, x2 = counts["n0"], counts["n1"], counts["x0"], counts["x1"]
+    schema = "n1 bigint, n2 bigint, share1 double, share2 double, z double, p_value double"
+    if not n1 or not n2:
+        shares = [round(x / n, 6) if n else None for x, n in ((x1, n1), (x2, n2))]
+        return df.sparkSession.createDataFrame([(n1, n2, *shares, None, None)], schema)
     p1, p2, pooled = x1 / n1, x2 / n2, (x1 + x2) / (n1 + n2)
     se = math.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n2))
     z = (p1 - p2) / se if se > 0 else 0.0
     row = (n1, n2, round(p1, 6), round(p2, 6), round(z, 4), round(2 * tails.normal_sf(abs(z)), 6))
-    return df.sparkSession.createDataFrame(
-        [row], "n1 bigint, n2 bigint, share1 double, share2 double, z double, p_value double"
-    )
+    return df.sparkSession.createDataFrame([row], schema)
 
 
 def adjust_p_values(results: DataFrame, method: str = "bonferroni", p: str = "p_value", alpha: float = 0.05) -> DataFrame:

@@ -13,8 +13,6 @@ from tallystone.operators.association import chi_square_tests
 from tallystone.operators.quantiles import exact_quantiles
 from tallystone.operators.ranks import running
 
-EXACT_KS_ROWS = 10_000  # fixed value: larger samples use the asymptotic tail
-
 SHIFT_SCHEMA = (
     "column string, statistic double, p_value double, shift_detected boolean, threshold double"
 )
@@ -54,14 +52,16 @@ def distribution_shift(
     method: str = "ks_test",
     threshold: float = 0.05,
     exclude: Sequence[str] = (),
-    exact_rows: int = EXACT_KS_ROWS,
+    tail: str = "asymptotic",
 ) -> DataFrame:
     """Compare each column of two tables; ``method`` is ``ks_test``, ``psi`` or ``chi_square``.
 
     Without ``columns``, the KS test and PSI take the numeric columns and
     chi-square the other ones. Columns absent from either table are skipped. The KS
-    p-value is exact while both samples have at most ``exact_rows`` rows.
+    p-value takes its tail from ``tail``: ``asymptotic`` or ``exact`` (counted on the driver, for small samples).
     """
+    if tail not in ("asymptotic", "exact"):
+        raise ValueError(f"unknown tail: {tail}")
     pick = categorical_columns if method == "chi_square" else numeric_columns
     wanted = list(columns) if columns is not None else pick(base, exclude)
     shared = [c for c in wanted if c in base.columns and c in other.columns]
@@ -85,7 +85,7 @@ def distribution_shift(
     rows = []
     for r in ks_statistics(base, other, shared).collect():
         n1, n2 = r["n1"], r["n2"]
-        if max(n1, n2) <= exact_rows:
+        if tail == "exact":
             p = tails.ks_exact_sf(r["d"], n1, n2)
         else:
             p = tails.kolmogorov_sf(r["d"], n1 * n2 / (n1 + n2))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tallystone.functions.columns import long_strings, ref
 from tallystone.operators.selectors import CheckFailed
 
-CATEGORY_LIMIT = 500  # each category becomes a column; Spark cuts rank filters of up to 1000 before the shuffle
 OTHER = "other"
 
 ONE_HOT_SCHEMA = "column string, position int, category string, grouped boolean"
@@ -20,22 +19,26 @@ def fit_one_hot(
     df: DataFrame,
     columns: Sequence[str],
     max_categories: int | None = None,
-    limit: int = CATEGORY_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """Sorted categories per column; position 0 is the dropped level.
 
     ``max_categories`` keeps the most frequent ones and folds the rest into
-    ``other``. Without it, a column with more than ``limit`` categories is refused.
+    ``other``. With a ``limit``, a column with more categories is refused; without one, every category
+    becomes a column.
     """
     counts = long_strings(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
     keep = max_categories if max_categories is not None else limit
-    w = Window.partitionBy("column").orderBy(F.desc("n"), "value")
-    # the rank filter leaves at most keep + 1 rows per column before the shuffle
-    top = counts.withColumn("at", F.row_number().over(w)).where(F.col("at") <= keep + 1).collect()
+    if keep is None:
+        top = counts.collect()  # each becomes a column of the result
+    else:
+        # the rank filter leaves at most keep + 1 rows per column
+        w = Window.partitionBy("column").orderBy(F.desc("n"), "value")
+        top = counts.withColumn("at", F.row_number().over(w)).where(F.col("at") <= keep + 1).collect()
     rows: list[tuple] = []
     for c in columns:
-        found = sorted((r for r in top if r["column"] == c), key=lambda r: r["at"])
-        over = len(found) > keep
+        found = sorted((r for r in top if r["column"] == c), key=lambda r: (-r["n"], r["value"]))
+        over = keep is not None and len(found) > keep
         if over and max_categories is None:
             raise ValueError(f"{c} has more than {limit} categories")
         names = sorted(r["value"] for r in found[:keep])

@@ -91,17 +91,17 @@ def _numeric_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
 
 
 def apply_imputer(df: DataFrame, params: DataFrame) -> DataFrame:
-    """Fill the fitted columns in one projection; integer columns keep their type where the
-    filled value is whole, and become double where it is not."""
+    """Fill the fitted columns in one projection. A mean or median makes its column double; a mode keeps
+    the type, and so does a constant that is whole."""
     fills = {r["column"]: r for r in params.collect() if r["column"] in df.columns}
     changes = {}
     for c, r in fills.items():
         if is_numeric(df.schema[c].dataType):
             if r["number"] is None:
                 continue
-            whole = float(r["number"]).is_integer()
-            typed = F.lit(r["number"]).cast(df.schema[c].dataType) if whole else F.lit(r["number"])
-            changes[c] = F.coalesce(present(df, c), typed)
+            kind = df.schema[c].dataType
+            keeps = r["strategy"] in ("mode", "constant") and float(r["number"]).is_integer()
+            changes[c] = F.coalesce(present(df, c), F.lit(r["number"])).cast(kind if keeps else "double")
         else:
             changes[c] = F.coalesce(ref(c), F.lit(r["text"]).cast(df.schema[c].dataType))
     return df.withColumns(changes)
@@ -136,8 +136,9 @@ def knn_impute(
     gaps = materialize(wide.where(any_gap), "holes")
     n_gaps = gaps.count()
     if n_gaps == 0:
-        return df
+        return df.select(*[number(df, c).alias(c) if c in columns else ref(c) for c in df.columns])
     pool = donors.select(ref(key).alias("_donor"), *[number(donors, c).alias(c) for c in columns])
+    kind = lambda d, c: d.schema[c].dataType.simpleString()
     hole_blocks = -(-n_gaps // holes_per_block)
     donor_blocks = max(1, -(-pool.count() // donors_per_block))
 
@@ -156,7 +157,7 @@ def knn_impute(
     candidates = (
         left.groupBy("hb", "db")
         .cogroup(right.groupBy("hb", "db"))
-        .applyInPandas(nearest, "_key long, column string, _donor long, distance double, value double")
+        .applyInPandas(nearest, f"_key {kind(wide, '_key')}, column string, _donor {kind(pool, '_donor')}, distance double, value double")
     )
     w = Window.partitionBy("_key", "column").orderBy("distance", "_donor")
     best = candidates.withColumn("at", F.row_number().over(w)).where(F.col("at") <= k)

@@ -255,10 +255,12 @@ def random_search(
 
 
 def native_importance(trained: Trained) -> DataFrame:
-    """``(feature, importance)`` of a tree model, largest first."""
+    """``(feature, importance)`` of a tree model, largest first; a model of another kind has none."""
+    spark = SparkSession.active()
+    if not hasattr(trained.model, "featureImportances"):
+        return spark.createDataFrame([], "feature string, importance double")
     values = trained.model.featureImportances.toArray()
     names = trained.features or [f"f{i}" for i in range(len(values))]
-    spark = SparkSession.active()
     rows = [(n, float(v)) for n, v in zip(names, values)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"

@@ -33,17 +33,25 @@ def missing_report(
     )
 
 
+EXACT_JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     """32 bytes that stand for the key columns, so that wide keys are not shuffled.
 
-    NULL equals NULL, NaN equals NULL and -0.0 equals 0.0, as in a group-by.
+    NULL equals NULL, NaN equals NULL and -0.0 equals 0.0, as in a group-by. Times keep
+    their microseconds and their offset.
     """
     cells = []
     for c in columns:
         v = present(df, c)
         numeric = df.schema[c].dataType.typeName() in ("double", "float")
         cells.append((v + F.lit(0.0) if numeric else v).alias(c))
-    text = F.to_json(F.struct(*cells), {"ignoreNullFields": "false"})
+    text = F.to_json(F.struct(*cells), EXACT_JSON)
     return F.unhex(F.sha2(text, 256))
 
 
@@ -68,12 +76,14 @@ def duplicate_rows(df: DataFrame, key: str, subset: Sequence[str] | None = None)
     """All rows but the first of each group of copies, first meaning lowest ``key``.
 
     The first rows are found by a map-side combined minimum, and removed by an
-    anti join on the unique row key: a group of copies of any size is never
-    brought together.
+    anti join on row key and digest: a group of copies of any size is never
+    brought together. A NULL key comes after all others of its group.
     """
     subset = list(subset or [c for c in df.columns if c != key])
-    firsts = df.groupBy(row_digest(df, subset).alias("_key")).agg(F.min(ref(key)).alias(key))
-    return df.join(firsts.select(ref(key)), key, "left_anti")
+    keyed = df.withColumn("_digest", row_digest(df, subset))
+    firsts = keyed.groupBy(F.col("_digest").alias("_first")).agg(F.min(ref(key)).alias("_first_key"))
+    same = (F.col("_digest") == F.col("_first")) & ref(key).eqNullSafe(F.col("_first_key"))
+    return keyed.join(firsts, same, "left_anti").drop("_digest")
 
 
 def iqr_bounds(

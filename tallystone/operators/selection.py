@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.functions.columns import column_aggregates, number, ref
-from tallystone.operators.association import target_classes
 from tallystone.operators.correlation import correlation
 from tallystone.operators.quantiles import exact_quantiles
+from tallystone.session import materialize
 
 
 def variance_filter(df: DataFrame, columns: Sequence[str], threshold: float = 0.01) -> DataFrame:
@@ -40,7 +40,6 @@ def correlation_filter(
 
 def mutual_information(df: DataFrame, columns: Sequence[str], target: str, bins: int = 10) -> DataFrame:
     """Mutual information (nats) of each column, cut at its quantiles, with a class label."""
-    classes = target_classes(df, target)
     cuts = exact_quantiles(df, columns, [i / bins for i in range(1, bins)])
     entries = []
     for c in columns:
@@ -51,22 +50,17 @@ def mutual_information(df: DataFrame, columns: Sequence[str], target: str, bins:
     rows = df.where(ref(target).isNotNull()).select(
         ref(target).cast("string").alias("_target"), F.inline(F.array(*entries))
     )
-    cells = rows.where(F.col("bin").isNotNull()).groupBy("column", "bin").agg(
-        *[F.count_if(F.col("_target") == t).cast("double").alias(f"o{j}") for j, t in enumerate(classes)]
-    )
-    o = [F.col(f"o{j}") for j in range(len(classes))]
+    some = rows.where(F.col("bin").isNotNull()).groupBy("column", "bin", "_target")
+    cells = materialize(some.agg(F.count("*").cast("double").alias("n")), "cells")
 
-    def xlogx(x):
-        return F.when(x > 0, x * F.ln(x)).otherwise(0.0)
+    def terms(keys: list[str], name: str) -> DataFrame:
+        """Sum of x ln x over the margin that keeps ``keys`` besides the column."""
+        margin = cells.groupBy("column", *keys).agg(F.sum("n").alias("x"))
+        return margin.groupBy("column").agg(F.sum(F.col("x") * F.ln("x")).alias(name), F.sum("x").alias("n"))
 
     # I = (sum o ln o - sum r ln r - sum c ln c + n ln n) / n
-    total = sum(o[1:], o[0])
-    sums = cells.groupBy("column").agg(
-        F.sum(sum((xlogx(x) for x in o), F.lit(0.0))).alias("cells"),
-        F.sum(xlogx(total)).alias("rows"),
-        F.sum(total).alias("n"),
-        *[F.sum(x).alias(f"c{j}") for j, x in enumerate(o)],
-    )
-    margins = sum((xlogx(F.col(f"c{j}")) for j in range(len(classes))), F.lit(0.0))
-    info = (F.col("cells") - F.col("rows") - margins + xlogx(F.col("n"))) / F.col("n")
+    sums = terms(["bin", "_target"], "cells")
+    for keys, name in ((["bin"], "rows"), (["_target"], "classes")):
+        sums = sums.join(terms(keys, name).drop("n"), "column")
+    info = (F.col("cells") - F.col("rows") - F.col("classes") + F.col("n") * F.ln("n")) / F.col("n")
     return sums.select("column", info.alias("mutual_information"))

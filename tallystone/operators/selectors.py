@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from tallystone.functions.columns import (
     categorical_columns,
     column_aggregates,
     double_literal,
+    is_float,
     is_numeric,
     missing_sql,
     numeric_columns,
@@ -90,13 +92,20 @@ def dtype_report(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequen
 
 
 def range_check(df: DataFrame, bounds: Mapping[str, tuple[float | None, float | None]]) -> DataFrame:
-    """Values outside inclusive bounds, for all columns in one aggregate. Missing values pass."""
+    """Values outside inclusive bounds, for all columns in one aggregate. Missing values pass.
+
+    Whole-number and decimal columns are compared in their own type, so that large keys keep all digits.
+    """
     columns = [c for c in bounds if c in df.columns]
 
     def beyond(side: int, sign: str):
         def text(c: str) -> str:
             limit = bounds[c][side]
-            return "count_if(false)" if limit is None else f"count_if({{v}} {sign} {double_literal(limit)})"
+            if limit is None:
+                return "count_if(false)"
+            if is_float(df.schema[c].dataType) or math.isinf(limit) or int(limit) != limit:
+                return f"count_if({{v}} {sign} {double_literal(float(limit))})"
+            return f"count_if({quoted(c)} {sign} {int(limit)}BD)"
 
         return text
 

@@ -24,8 +24,7 @@ from tallystone.functions.columns import (
     require_columns,
     text_literal,
 )
-from tallystone.operators.association import MAX_TARGET_CLASSES
-from tallystone.operators.quantiles import exact_quantiles
+from tallystone.operators.ranks import running
 from tallystone.session import materialize
 
 PREFIX = 4  # hex digits of the histogram: 65536 buckets per class
@@ -68,14 +67,16 @@ NO_CLASS = "\0"  # stands for a missing class, so that joins on the class need n
 
 def class_counts(df: DataFrame, label: str) -> Counts:
     counts = df.groupBy(ref(label).cast("string").alias("cls")).agg(F.count("*").alias("n"))
-    return _counts(counts, label)
+    return _counts(counts)
 
 
-def _counts(rows: DataFrame, label: str | None) -> Counts:
-    """Rows per class from ``(cls, n)``, sorted by class; refuses a column that is no class label."""
-    found = rows.limit(MAX_TARGET_CLASSES + 1).collect()
-    if len(found) > MAX_TARGET_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_TARGET_CLASSES} classes")
+def _counts(rows: DataFrame) -> Counts:
+    """Rows per class from ``(cls, n)``, sorted by class."""
+    found = rows.collect()  # one row per class
+    return _named_counts(found)
+
+
+def _named_counts(found: Sequence) -> Counts:
     named = {None if r["cls"] == NO_CLASS else r["cls"]: r["n"] for r in found}
     return dict(sorted(named.items(), key=lambda item: (item[0] is None, item[0] or "")))
 
@@ -99,7 +100,11 @@ def fit_cutoffs(
     rows = rows.withColumn("bucket", F.substring("order", 1, PREFIX))
     # at most 16^PREFIX rows per class
     histogram = materialize(rows.groupBy("cls", "bucket").agg(F.count("*").alias("n")), "buckets")
-    counts = _counts(histogram.groupBy("cls").agg(F.sum("n").alias("n")), label)
+    sizes = histogram.groupBy("cls").agg(F.sum("n").alias("n"), F.sum(F.when(F.isnull("bucket"), F.col("n"))).alias("keyless"))
+    found = sizes.collect()  # one row per class
+    if any(r["keyless"] for r in found):
+        raise ValueError(f"{key} has missing values: every row needs a key to be placed")
+    counts = _named_counts(found)
     positions = choose(counts)
     wanted = spark.createDataFrame(
         [(NO_CLASS if c is None else c, ps) for c, ps in positions.items()], "cls string, wanted array<long>"
@@ -156,20 +161,18 @@ def stratified_split(
     column: str = "split",
 ) -> DataFrame:
     """Add ``split`` = train/test. The test part has ceil(test_size · n) rows; with ``stratify``
-    every class keeps its share. ``shuffle=False`` cuts in key order (numeric keys)."""
+    every class keeps its share. ``shuffle=False`` cuts in key order, whatever the key's type. Keys
+    must be unique and present."""
     if not math.isclose(train_size + test_size, 1.0):
         raise ValueError(f"split sizes must sum to 1.0, got {train_size + test_size}")
     require_columns(df, [key, target])
     if not shuffle:
         if stratify:
             raise ValueError("an ordered cut cannot be stratified")
-        n = df.count()
-        n_train = n - math.ceil(test_size * n)
-        if n_train == 0:
+        cut = _ordered_cut(df, key, test_size)
+        if cut is None:
             return df.withColumn(column, F.lit("test"))
-        q = (n_train - 1) / (n - 1) if n > 1 else 0.0
-        cut = round(exact_quantiles(df, [key], [q])[key].values[q])
-        train = ref(key) <= cut
+        train = ref(key) <= F.lit(cut).cast(df.schema[key].dataType)
     else:
 
         def sizes(counts: Counts) -> dict[str | None, list[int]]:
@@ -180,6 +183,18 @@ def stratified_split(
     return df.withColumn(column, F.when(train, "train").otherwise("test"))
 
 
+def _ordered_cut(df: DataFrame, key: str, test_size: float):
+    """The key of the last train row, in its own type; None when there is no train row."""
+    cells = df.groupBy(ref(key).alias("_v")).agg(F.count("*").alias("n"))
+    upto = running(cells, [], ["_v"], ["n"])
+    size = upto.agg(F.sum("n").alias("n"), F.count_if(F.isnull("_v")).alias("keyless")).first()
+    if size["keyless"]:
+        raise ValueError(f"{key} has missing values: every row needs a key to be placed")
+    n_train = (size["n"] or 0) - math.ceil(test_size * (size["n"] or 0))
+    at = upto.where((F.col("n_upto") >= n_train) & (F.col("n_upto") - F.col("n") < n_train)).first()
+    return at["_v"] if at else None
+
+
 def stratified_folds(
     df: DataFrame, key: str, target: str, folds: int = 10, seed: int = 42, column: str = "fold"
 ) -> DataFrame:

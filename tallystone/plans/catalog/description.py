@@ -256,17 +256,15 @@ def histogram_auto(spark, sf):
 @query(
     "density",
     """WITH s AS (SELECT count(*) AS n, min(value) AS low, max(value) AS high, stddev_samp(value) AS sd FROM events),
-    bins AS (SELECT least(floor((value - low) * 2048 / (high - low)), 2047) AS b, count(*) AS k, avg(value) AS center
-             FROM events, s GROUP BY 1),
     grid AS (SELECT i AS point, low + i * (high - low) / 199 AS x, n, sd * pow(n, -0.2) AS h
              FROM s, generate_series(0, 199) t(i))
     SELECT 'value' AS "column", CAST(point AS INT) AS point, round(x, 4) AS x,
-      round(sum(k * exp(-0.5 * pow((x - center) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 8) AS density
-    FROM grid, bins GROUP BY point, x""",
+      round(sum(exp(-0.5 * pow((x - value) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 7) AS density
+    FROM grid, events GROUP BY point, x""",
 )
 def density(spark, sf):
     out = plotdata.density(table(spark, sf, "events"), ["value"])
-    return rounded(rounded(out, 4, ["x"]), 8, ["density"])
+    return rounded(rounded(out, 4, ["x"]), 7, ["density"])
 
 
 BOX = """

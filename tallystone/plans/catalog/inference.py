@@ -265,7 +265,7 @@ def ks_statistics(spark, sf):
 )
 def ks_shift(spark, sf):
     columns = ["l_quantity", "l_extendedprice"]
-    return rounded(drift.distribution_shift(*_line_halves(spark, sf), columns, exact_rows=0), 6)
+    return rounded(drift.distribution_shift(*_line_halves(spark, sf), columns), 6)
 
 
 @query("ks_shift_events")
