@@ -206,6 +206,18 @@ def chi_square_uncorrected(spark, sf):
     )
 
 
+@query(
+    "chi_square_many_classes",
+    """WITH cells AS (SELECT l_returnflag AS v, l_partkey AS t, count(*) AS o FROM lineitem GROUP BY ALL),
+    m AS (SELECT o, sum(o) OVER (PARTITION BY v) AS r, sum(o) OVER (PARTITION BY t) AS c, sum(o) OVER () AS n FROM cells)
+    SELECT 'l_returnflag' AS "column", round(any_value(n) * (sum(CAST(o AS DOUBLE) * o / (r * c)) - 1), 3) AS chi2,
+      (SELECT (count(DISTINCT v) - 1) * (count(DISTINCT t) - 1) FROM cells) AS dof FROM m""",
+)
+def chi_square_many_classes(spark, sf):
+    found = association.chi_square_tests(table(spark, sf, "lineitem"), ["l_returnflag"], "l_partkey")
+    return rounded(found.select("column", "chi2", "dof"), 3)
+
+
 @query(
     "chi_square_with_nulls",
     chi_sql(

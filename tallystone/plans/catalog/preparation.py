@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallystone.functions.columns import order_key
 from tallystone.operators import (
     encode,
     features,
@@ -74,6 +73,16 @@ def ordered_split(spark, sf):
     return cut.select("o_orderkey", "split")
 
 
+@query(
+    "ordered_split_decimal_key",
+    """WITH r AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn, count(*) OVER () AS n FROM orders)
+    SELECT o_orderkey / 10 AS tenth, CASE WHEN rn <= n - ceil(0.2 * n) THEN 'train' ELSE 'test' END AS split FROM r""",
+)
+def ordered_split_decimal_key(spark, sf):
+    df = table(spark, sf, "orders").selectExpr("o_orderkey / 10 AS tenth", "o_orderstatus")
+    return split.stratified_split(df, "tenth", "o_orderstatus", stratify=False, shuffle=False).select("tenth", "split")
+
+
 @query(
     "split_summary",
     f"""WITH {SHARES.format(label="o_orderstatus")},
@@ -110,14 +119,6 @@ def under_sample(spark, sf):
     return split.under_sample(df, "o_orderkey", "o_orderstatus")
 
 
-@query(
-    "order_key",
-    f"SELECT o_orderkey, {ORDER} AS order_key FROM orders",
-)
-def row_order(spark, sf):
-    return table(spark, sf, "orders").select("o_orderkey", order_key("o_orderkey", 42).alias("order_key"))
-
-
 @query(
     "class_weights",
     """WITH c AS (SELECT quality AS class, count(*) AS n FROM labels GROUP BY 1)
@@ -520,7 +521,7 @@ ONE_HOT = [
     FROM s, p""",
 )
 def prepared_loans(spark, sf):
-    ready, _ = prepare(loan(spark, sf), loan_settings(), check_shift=False)
+    ready, _ = prepare(loan(spark, sf), loan_settings())
     return rounded(rounded(ready, 4, SCALED), 6, list(LOGS))
 
 

@@ -39,6 +39,16 @@ def duplicate_report(spark, sf):
     return rounded(quality.duplicate_report(table(spark, sf, "documents"), ["text"]))
 
 
+@query(
+    "duplicate_report_times",
+    """WITH g AS (SELECT ts, user_id, count(*) AS n FROM events GROUP BY ALL)
+    SELECT CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(n - 1) AS BIGINT) AS duplicate_count,
+      round(sum(n - 1) * 100.0 / sum(n), 4) AS duplicate_percent, sum(n - 1) > 0 AS has_duplicates FROM g""",
+)
+def duplicate_report_times(spark, sf):
+    return rounded(quality.duplicate_report(table(spark, sf, "events"), ["ts", "user_id"]))
+
+
 @query(
     "duplicate_report_nullable_key",
     f"""WITH g AS (SELECT l_tax_n, l_quantity_n, l_returnflag_n, count(*) AS n FROM ({LINEITEM_HOLES}) GROUP BY ALL)

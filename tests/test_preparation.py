@@ -51,10 +51,40 @@ def test_split_guards(skewed):
     with pytest.raises(ValueError):
         split.stratified_split(skewed, "id", "t", shuffle=False)
     many = skewed.sparkSession.range(1100).withColumn("u", F.col("id"))
-    with pytest.raises(ValueError):
-        split.stratified_split(many, "id", "u")
-    full = split.stratified_split(many.where("id < 1000"), "id", "u")
-    assert full.where("split = 'test'").count() == 200
+    full = split.stratified_split(many, "id", "u")
+    assert full.where("split = 'test'").count() == 220
+
+
+def test_split_refuses_missing_keys(frame):
+    df = frame([(None if i < 3 else i, "a") for i in range(20)], "id long, t string")
+    with pytest.raises(ValueError, match="needs a key"):
+        split.stratified_split(df, "id", "t")
+    with pytest.raises(ValueError, match="needs a key"):
+        split.stratified_split(df, "id", "t", stratify=False, shuffle=False)
+
+
+@pytest.mark.parametrize(
+    ("keys", "kind"),
+    [([i / 10 for i in range(10)], "double"), ([2**60 + i for i in range(10)], "long"), ([f"k{i}" for i in range(10)], "string")],
+)
+def test_ordered_split_on_any_key(frame, keys, kind):
+    got = split.stratified_split(frame([(k, "a") for k in reversed(keys)], f"id {kind}, t string"), "id", "t", stratify=False, shuffle=False)
+    assert sorted(r["id"] for r in got.where("split = 'train'").collect()) == keys[:8]
+
+
+def test_imputed_types_do_not_depend_on_the_values(frame):
+    for values in ([1, 2, 3, None], [1, 2, 2, None]):
+        df = frame([(v,) for v in values], "v int")
+        for strategy, kind in (("mean", "double"), ("median", "double"), ("mode", "int"), ("constant", "int")):
+            out = impute.apply_imputer(df, impute.fit_imputer(df, numeric=strategy))
+            assert dict(out.dtypes)["v"] == kind, strategy
+
+
+def test_knn_takes_any_key_and_always_gives_doubles(frame):
+    holes = frame([("LP1", 1, 1), ("LP2", 2, None), ("LP3", 3, 5)], "id string, a int, b int")
+    whole = holes.where("b IS NOT NULL")
+    assert {r["id"]: r["b"] for r in impute.knn_impute(holes, "id", ["a", "b"], k=2).collect()}["LP2"] == 3.0
+    assert impute.knn_impute(holes, "id", ["a", "b"]).dtypes == impute.knn_impute(whole, "id", ["a", "b"]).dtypes
 
 
 def test_ordered_split_keeps_order(skewed):

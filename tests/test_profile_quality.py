@@ -155,3 +155,38 @@ def test_log_profile_flags(frame):
     r = by(profile.log_profile(frame([(0.0, -1.0), (2.0, 3.0)], "a double, b double"), ["a", "b"]), "column")
     assert r["a"]["has_zeros"] and not r["a"]["has_negatives"]
     assert r["b"]["has_negatives"] and not math.isnan(r["b"]["mean"])
+
+
+def test_duplicates_keep_microseconds_and_missing_keys(spark):
+    df = spark.sql(
+        """SELECT * FROM VALUES (1L, TIMESTAMP_NTZ '2024-01-01 00:00:00.000001', TIMESTAMP '2024-01-01 00:00:00.000001'),
+        (2L, TIMESTAMP_NTZ '2024-01-01 00:00:00.000002', TIMESTAMP '2024-01-01 00:00:00.000001'),
+        (3L, TIMESTAMP_NTZ '2024-01-01 00:00:00.000003', TIMESTAMP '2024-01-01 00:00:00.000001'),
+        (CAST(NULL AS BIGINT), TIMESTAMP_NTZ '2024-01-01 00:00:00.000003', TIMESTAMP '2024-01-01 00:00:00.000001'),
+        (CAST(NULL AS BIGINT), TIMESTAMP_NTZ '2024-01-02 00:00:00', NULL) AS t(id, a, b)"""
+    )
+    assert quality.duplicate_report(df, ["a"]).first()["duplicate_count"] == 1
+    assert quality.duplicate_report(df, ["b"]).first()["duplicate_count"] == 3
+    again = quality.duplicate_rows(df, "id", ["a"]).collect()
+    assert [(r["id"], r["a"].microsecond) for r in again] == [(None, 3)]
+
+
+def test_ranges_of_large_whole_numbers(spark):
+    df = spark.createDataFrame([(2**53,), (2**53 + 1,)], "v long")
+    r = selectors.range_check(df, {"v": (0, 2**53)}).first()
+    assert (r["n_below"], r["n_above"]) == (0, 1)
+    assert selectors.range_check(df, {"v": (0.5, float("inf"))}).first()["passed"]
+
+
+def test_density_with_a_long_tail(spark):
+    import numpy as np
+
+    from tallystone.operators import plotdata
+
+    x = np.append(np.random.default_rng(1).normal(size=3000), [400.0, -900.0])
+    got = plotdata.density(spark.createDataFrame([(float(v),) for v in x], "v double"), ["v"]).collect()
+    h = x.std(ddof=1) * len(x) ** -0.2
+    for r in got[::20]:
+        u = (r["x"] - x) / h
+        want = np.exp(-0.5 * u * u).sum() / (len(x) * h * np.sqrt(2 * np.pi))
+        assert abs(r["density"] - want) < 1e-6 * max(1.0, want)

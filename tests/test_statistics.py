@@ -40,8 +40,49 @@ def test_anova_example(frame):
 
 def test_mann_whitney_exact_for_small_untied_groups(frame):
     df = groups(frame, a=[1, 2, 3, 4], b=[5, 6, 7, 8])
-    r = compare.two_group_compare(df, ["x"], "g", "a", "b", test="rank").first()
+    r = compare.two_group_compare(df, ["x"], "g", "a", "b", test="rank", tail="exact").first()
     assert r["statistic"] == 0.0 and r["p_value"] == pytest.approx(2 / 70, abs=1e-6)
+    asymptotic = compare.two_group_compare(df, ["x"], "g", "a", "b", test="rank").first()
+    assert asymptotic["p_value"] == pytest.approx(0.030383, abs=1e-6)
+
+
+def test_a_test_does_not_change_with_the_size_of_the_table():
+    """One more row does not switch the method: p-values on both sides of a size are close."""
+    near = [compare.mann_whitney(8, n, 8 * 4.5 + 3000, 0.0)[1] for n in (124_999, 125_001)]
+    assert near[0] == pytest.approx(near[1], rel=1e-3)
+    with pytest.raises(ValueError, match="too large"):
+        compare.mann_whitney(8, 125_001, 3036.0, 0.0, "exact")
+    with pytest.raises(ValueError, match="ties"):
+        compare.mann_whitney(8, 10, 40.0, 6.0, "exact")
+
+
+def test_two_proportions_with_an_empty_group(frame):
+    df = frame([("a", True), ("a", False)], "g string, ok boolean")
+    r = compare.two_proportions(df, "g", "a", "b", df["ok"]).first()
+    assert (r["n1"], r["n2"], r["share1"], r["share2"], r["z"]) == (2, 0, 0.5, None, None)
+
+
+def test_chi_square_with_absent_pairs(spark):
+    cells = [(str(i), str(j)) for i in range(3) for j in range(4) for _ in range((i + 1) * (j + 2) + (i == j))]
+    df = spark.createDataFrame([c for c in cells if c != ("0", "3")], "v string, t string")
+    got = association.chi_square_tests(df, ["v"], "t").first()
+    table = df.toPandas().groupby(["v", "t"]).size().unstack(fill_value=0).to_numpy().astype(float)
+    expected = table.sum(1, keepdims=True) * table.sum(0, keepdims=True) / table.sum()
+    assert got["chi2"] == pytest.approx(((table - expected) ** 2 / expected).sum(), abs=1e-4) and got["dof"] == 6
+
+
+def test_crosstab_with_a_class_called_value(frame):
+    df = frame([("a", "value"), ("a", "n"), ("b", "value")], "c string, t string")
+    got = {(r["value"], r["target"]): r["n"] for r in association.crosstab(df, "c", "t").collect()}
+    assert got == {("a", "value"): 1, ("a", "n"): 1, ("b", "value"): 1, ("b", "n"): 0}
+
+
+def test_ks_tail_is_an_argument(spark):
+    a, b = spark.range(60).selectExpr("id * 1.0 AS x"), spark.range(50).selectExpr("id * 1.1 + 7 AS x")
+    exact, near = (drift.distribution_shift(a, b, ["x"], tail=t).first() for t in ("exact", "asymptotic"))
+    assert exact["statistic"] == near["statistic"] and exact["p_value"] != near["p_value"]
+    with pytest.raises(ValueError, match="unknown tail"):
+        drift.distribution_shift(a, b, ["x"], tail="large")
 
 
 def test_mann_whitney_all_tied(frame):
