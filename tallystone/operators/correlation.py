@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +21,8 @@ from tallystone.operators.ranks import average_ranks, value_cells
 from tallystone.session import materialize
 
 HOT_SHARE = 1000  # a value held by at least 1/HOT_SHARE of a column's rows is joined by broadcast
-PAIRS_PER_AGG = 100
+PAIRS_PER_AGG = 100  # pairs of one aggregate
+NO_HOLES = ""
 
 Pair = tuple[str, str]
 
@@ -45,48 +43,44 @@ def correlation(
     wide = df.select(*keyed, *[number(df, c).alias(c) for c in columns])
     if method == "spearman" and key is None:
         wide = materialize(wide, "keyed")
-    holes = {
-        r["column"]: r["n"] for r in column_aggregates(wide, columns, {"n": "count_if({v} IS NULL)"}).collect()
-    }
-    if not any(holes.values()):
-        values = _ranked(wide, columns) if method == "spearman" else wide
-        if len(pairs) > PAIRS_PER_AGG:  # passes over the rows several times, so it gets a table
-            return _matrix(materialize(values, "matrix"), columns)
-        return _pair_correlations(values, {p: p for p in pairs})
+    if method == "pearson":
+        return _pair_correlations(wide, {p: p for p in pairs})
+    patterns = _hole_patterns(wide, columns)
     sources: dict[Pair, Pair] = {}
     masked: dict[str, Pair] = {}
     for x, y in pairs:
-        if holes[x] == holes[y] == 0:
-            sources[x, y] = (x, y)
-            continue
-        # each pair is judged over the rows where both are present
-        sides = (f"{x}\0{y}", f"{y}\0{x}")
-        masked |= {sides[0]: (x, y), sides[1]: (y, x)}
-        sources[x, y] = sides
+        # each pair is judged over the rows where both are present: a column is ranked once for each
+        # hole pattern that it meets, however many columns share the pattern
+        sides = []
+        for c, other in ((x, y), (y, x)):
+            if patterns[other] in (NO_HOLES, patterns[c]):
+                sides.append(c)
+            else:
+                sides.append(f"{c}\0{patterns[other]}")
+                masked[sides[-1]] = (c, other)
+        sources[x, y] = (sides[0], sides[1])
     needed = sorted({c for s in sources.values() for c in s})
     shaped = wide.select(
-        *[ref(k) for k in wide.columns if k == "_key"],
+        "_key",
         *[
             (F.when(ref(masked[c][1]).isNotNull(), ref(masked[c][0])) if c in masked else ref(c)).alias(c)
             for c in needed
         ],
     )
-    return _pair_correlations(_ranked(shaped, needed) if method == "spearman" else shaped, sources)
+    ranked = _ranked(shaped, needed)
+    if len(pairs) > PAIRS_PER_AGG:  # read once for each group of pairs
+        ranked = materialize(ranked, "matrix")
+    return _pair_correlations(ranked, sources)
 
 
-def _matrix(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson over many complete columns at once; only the finished matrix reaches the driver."""
-    safe = [f"c{i}" for i in range(len(columns))]
-    vectors = VectorAssembler(inputCols=safe, outputCol="v").transform(
-        wide.select(*[ref(c).alias(s) for c, s in zip(columns, safe)])
-    )
-    values = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
-    rows = []
-    for i, x in enumerate(columns):
-        for j in range(i + 1, len(columns)):
-            rho = float(values[i, j])
-            rows.append((x, columns[j], None if math.isnan(rho) else rho))
-    return wide.sparkSession.createDataFrame(rows, "x string, y string, correlation double")
+def _hole_patterns(wide: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """A name for the set of rows in which a column is missing; equal sets have equal names."""
+    fields = {
+        "n": "count_if({v} IS NULL)",
+        "code": "coalesce(bit_xor(CASE WHEN {v} IS NULL THEN xxhash64(`_key`) END), 0L)",
+    }
+    found = column_aggregates(wide, columns, fields).collect()  # one row per column
+    return {r["column"]: f"{r['n']}:{r['code']}" if r["n"] else NO_HOLES for r in found}
 
 
 def _ranked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
