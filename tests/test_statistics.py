@@ -220,7 +220,7 @@ def test_correlation_matches_pandas_with_nulls_ties_and_a_hot_value(spark, metho
                 assert r["correlation"] == pytest.approx(expected, abs=1e-9)
 
 
-def test_wide_correlation_goes_through_the_matrix(spark):
+def test_wide_correlation_takes_the_same_route(spark):
     df = spark.range(80).selectExpr("id", *[f"CAST(id * {i + 3} % {17 + i} AS DOUBLE) AS c{i}" for i in range(15)], "1.0D AS same")
     columns = [c for c in df.columns if c != "id"]
     want = df.toPandas()[columns].corr(method="spearman")
