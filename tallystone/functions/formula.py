@@ -19,6 +19,17 @@ _BINARY = {
     ast.Add: lambda a, b: a + b,
     ast.Sub: lambda a, b: a - b,
     ast.Mult: lambda a, b: a * b,
+    ast.Pow: lambda a, b: F.pow(a, b),
+}
+# a logarithm or root outside its domain is missing
+_CALLS = {
+    "abs": (1, F.abs),
+    "sqrt": (1, lambda a: F.when(a >= 0, F.sqrt(a))),
+    "log": (1, lambda a: F.when(a > 0, F.ln(a))),
+    "log1p": (1, lambda a: F.when(a > -1, F.log1p(a))),
+    "exp": (1, F.exp),
+    "min": (2, F.least),
+    "max": (2, F.greatest),
 }
 _COMPARE = {
     ast.Gt: lambda a, b: a > b,
@@ -54,8 +65,10 @@ def formula_column(formula: str, columns: Mapping[str, Column]) -> Column:
             case ast.Compare(left=a, ops=[op], comparators=[b]) if type(op) in _COMPARE:
                 left, right = build(a, signed_divide), build(b, signed_divide)
                 return _COMPARE[type(op)](left, right).cast("double")
-            case ast.Call(func=ast.Name(id="abs"), args=[a], keywords=[]):
-                return F.abs(build(a, divide))
+            case ast.Call(func=ast.Name(id=name), args=args, keywords=[]) if name in _CALLS:
+                least, call = _CALLS[name]
+                if len(args) == least or len(args) > least > 1:
+                    return call(*[build(a, divide) for a in args])
         raise ValueError(f"not allowed in a formula: {ast.unparse(node)!r}")
 
     return build(ast.parse(formula, mode="eval"), F.try_divide)

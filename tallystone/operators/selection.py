@@ -38,6 +38,12 @@ def correlation_filter(
     )
 
 
+def keep_selected(df: DataFrame, report: DataFrame) -> DataFrame:
+    """``df`` without the columns that a fitted ``report`` (``column, kept``) drops; others stay as they are."""
+    dropped = {r["column"] for r in report.where("NOT kept").collect()}  # one row per column
+    return df.select(*[ref(c) for c in df.columns if c not in dropped])
+
+
 def mutual_information(df: DataFrame, columns: Sequence[str], target: str, bins: int = 10) -> DataFrame:
     """Mutual information (nats) of each column, cut at its quantiles, with a class label."""
     cuts = exact_quantiles(df, columns, [i / bins for i in range(1, bins)])
