@@ -22,6 +22,10 @@ def power_of_two(n: float) -> int:
     return 1 << max(0, int(np.ceil(np.log2(max(1.0, n)))))
 
 
+#: Rows that a worker holds as Python values at one time.
+ROWS_AT_ONCE = 2_500
+
+
 def scan(df: DataFrame, work: Callable[[dict[str, list], int], list[tuple] | None], schema: str, columns: list[str]) -> DataFrame:
     """``mapInArrow`` over rows: ``work`` gets lists of values (text as bytes) and gives columns."""
     from pyspark.sql.types import StructType
@@ -29,7 +33,7 @@ def scan(df: DataFrame, work: Callable[[dict[str, list], int], list[tuple] | Non
     names = StructType.fromDDL(schema).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             got = {}
             for c in columns:
                 col = batch.column(c)

@@ -22,10 +22,9 @@ def bit_filter(rows: DataFrame, hashed, entries: int, most_bits: int = MOST_BITS
         h = hashed({c: np.array(got[c], np.int64).view(np.uint64) for c in columns}) & np.uint64(bits - 1)
         return [pa.array(signed(h >> np.uint64(6))), pa.array((h & np.uint64(63)).astype(np.int32))]
 
-    words = scan(rows, work, "w long, b int", columns).groupBy("w").agg(F.expr("bit_or(shiftleft(1L, b))").alias("v")).collect()
+    words = scan(rows, work, "w long, b int", columns).groupBy("w").agg(F.expr("bit_or(shiftleft(1L, b))").alias("v")).toArrow()
     table = np.zeros(bits // 64, np.int64)
-    for r in words:
-        table[r["w"]] = r["v"]
+    table[words["w"].to_numpy()] = words["v"].to_numpy()
     return table.view(np.uint64)
 
 

@@ -18,7 +18,7 @@ SCALE = 32.0
 #: The labelled rows that are learnt from at most: a sample by hash of the key where there are more.
 MOST_LABELLED = 20_000
 #: Models trained side by side and then averaged.
-PARTS = 4
+PARTS = 8
 
 
 def _shape_bits() -> np.ndarray:
@@ -125,10 +125,9 @@ def train(labelled: DataFrame, epochs: int = 4, seed: int = 7) -> np.ndarray:
     dealt = labelled.select("text", "y", order.alias("order"), F.pmod(order, F.lit(PARTS)).alias("part"))
     parts = dealt.groupBy("part").applyInPandas(learn, "place long, w double")
     used = dealt.select("part").distinct().count()
-    found = parts.groupBy("place").agg((F.sum("w") / F.lit(max(1, used))).alias("w")).collect()
+    found = parts.groupBy("place").agg((F.sum("w") / F.lit(max(1, used))).alias("w")).toArrow()
     weights = np.zeros(SIZE + 1)
-    for r in found:
-        weights[r["place"]] = r["w"]
+    weights[found["place"].to_numpy()] = found["w"].to_numpy()
     return weights
 
 
