@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import _BASE, WORD_BREAK, chunks, materialize, mix, pick, scan, signed, split_words
+from tallystone.llm.common import _BASE, ROWS_AT_ONCE, WORD_BREAK, chunks, materialize, mix, pick, scan, signed, split_words
 from tallystone.llm.filters import bit_filter, in_filter
 from tallystone.llm.quality import is_held_out
 
 #: Share of the training tokens from which a pair or triple of words is an arc, and a word is told to all tasks.
 SHARE, WORD_SHARE = 2e-6, 2e-7
+#: Tokens that a task counts together.
+TOKENS_AT_ONCE = 4_000_000
 #: What is taken off every count of an arc, and left to shorter histories.
 DISCOUNT = 0.5
 END = mix(np.array([0x656E64], np.uint64))[0]
@@ -58,33 +60,43 @@ class Grams:
 def first_counts(train: DataFrame, share: float = SHARE) -> DataFrame:
     """Written ``kind, key, n`` per batch: all words (1), and the pairs (2) and triples (3) that may be arcs.
 
-    An n-gram with a share of all tokens has that share in one batch at least, so a batch names only those
-    that have it there.
+    An n-gram with a share of all tokens has that share in one batch at least, so a batch (a task's next
+    ``TOKENS_AT_ONCE`` tokens) names only those that have it there.
     """
 
-    def work(got, n):
-        texts = [t or b"" for t in got["text"]]
-        parts = [[], [], []]
-        for lo, hi in chunks(texts):
-            tokens, first = tokens_of(texts[lo:hi])
-            grams = Grams(tokens, first)
-            parts[0].append(tokens)
-            parts[1].append(grams.pair[grams.pair != 0])
-            parts[2].append(grams.triple[grams.triple != 0])
-        if not parts[0]:
-            return None
+    def settle(held: list[tuple]) -> pa.RecordBatch:
         kinds, keys, counts = [], [], []
-        total = sum(map(len, parts[0]))
-        for kind, part in enumerate(parts, 1):
-            key, n = np.unique(np.concatenate(part), return_counts=True)
+        total = sum(len(x[0]) for x in held)
+        for kind in (1, 2, 3):
+            key, n = np.unique(np.concatenate([x[kind - 1] for x in held]), return_counts=True)
             if kind > 1:
                 key, n = key[n >= share * total], n[n >= share * total]
             kinds.append(np.full(len(key), kind, np.int8))
             keys.append(key)
             counts.append(n)
-        return [pa.array(np.concatenate(kinds)), pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(counts))]
-
-    return scan(train, work, "kind tinyint, key long, n long", ["text"])
+        columns = [pa.array(np.concatenate(kinds)), pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(counts))]
+        return pa.RecordBatch.from_arrays(columns, names=["kind", "key", "n"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
+            texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+            for lo, hi in chunks(texts):
+                tokens, first = tokens_of(texts[lo:hi])
+                grams = Grams(tokens, first)
+                held.append((tokens, grams.pair[grams.pair != 0], grams.triple[grams.triple != 0]))
+                size += len(tokens)
+                if size >= 1.5 * TOKENS_AT_ONCE:  # what is left is never a small batch
+                    some, n = [], 0
+                    while n < TOKENS_AT_ONCE:
+                        some.append(held.pop(0))
+                        n += len(some[-1][0])
+                    size -= n
+                    yield settle(some)
+        if held:
+            yield settle(held)
+
+    return train.select("text").mapInArrow(run, "kind tinyint, key long, n long")
 
 
 def arc_counts(train: DataFrame, wanted) -> DataFrame:
@@ -186,17 +198,17 @@ def train_automaton(train: DataFrame) -> tuple[DataFrame, Automaton, int]:
     # at most 1 / SHARE of each order pass
     arcs = (
         arc_counts(train, wanted).groupBy("kind", "key", "history", "shorter").agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= max(2.0, SHARE * tokens)).toPandas()
+        .filter(F.col("n") >= max(2.0, SHARE * tokens)).toArrow()
     )
     table = {}
     for kind in (2, 3):
-        some = arcs[arcs["kind"] == kind]
-        columns = [some[c].to_numpy(np.int64).view(np.uint64) for c in ("key", "history", "shorter")]
+        some = arcs["kind"].to_numpy() == kind
+        columns = [arcs[c].to_numpy()[some].view(np.uint64) for c in ("key", "history", "shorter")]
         by = np.argsort(columns[0])
-        table[kind] = (*(c[by] for c in columns), some["n"].to_numpy(float)[by])
-    frequent = counts.filter(F.col("n") >= max(1.0, WORD_SHARE * tokens)).toPandas()
-    words = frequent["word"].to_numpy(np.int64).view(np.uint64)
-    return counts, Automaton(words, frequent["n"].to_numpy(np.int64), table, tokens, kinds), tokens
+        table[kind] = (*(c[by] for c in columns), arcs["n"].to_numpy()[some][by].astype(float))
+    frequent = counts.filter(F.col("n") >= max(1.0, WORD_SHARE * tokens)).toArrow()
+    words = frequent["word"].to_numpy().view(np.uint64)
+    return counts, Automaton(words, frequent["n"].to_numpy(), table, tokens, kinds), tokens
 
 
 def score_texts(
