@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import bisect
 import math
+import re
 import zlib
 from collections import defaultdict
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,21 +22,59 @@ from pyspark.sql import functions as F
 from tallystone.llm.common import materialize, pick, power_of_two, scan
 
 PIECES = "doc_id {key}, piece int, start long, length int, ids_crc32 long"
-#: Words that a worker keeps with their ids; it starts afresh beyond this number.
-WORDS_KEPT = 500_000
-_tokenizers: dict[str, tuple] = {}
-
-
-def _words_to_ids(path: str):
-    """A worker's tokenizer, and the ids of white-space-free words it has met (4 bytes each).
-
-    Neither the vocabulary's normaliser, its splitting rule nor a special token reaches across white space, so a
-    text's ids are those of its words in order.
+#: Words, and pieces of words, that a worker keeps with their ids; it starts afresh beyond these numbers.
+WORDS_KEPT, PARTS_KEPT = 400_000, 400_000
+#: Fixed rule of the vocabulary: how it splits a lower-case word before it is coded, for words of ASCII and
+#: Latin letters up to U+024F (others go through the whole tokenizer).
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u024f]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u024f0-9]+")
+PLAIN = re.compile("[!-~\u00df-\u00f6\u00f8-\u024f]+")
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: Fixed rule: bytes are coded as the characters of their number, or from U+0100 on where that is not printable.
+BYTES_AS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
+_tokenizers: dict[str, Words] = {}
+
+
+class Words(dict):
+    """Ids of white-space-free words, 4 bytes each, coded when they are first asked for.
+
+    Neither the vocabulary's normaliser, its splitting rule nor a special token reaches across white space, so
+    a text's ids are those of its words in order. A word of plain letters and signs is put together from its parts, which
+    are far fewer than words; any other goes through the whole tokenizer.
     """
-    if path not in _tokenizers:
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
+        self.whole = Tokenizer.from_file(path)
+        self.model, self.parts = self.whole.model, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        low = text.lower()
+        if PLAIN.fullmatch(low) and "<|" not in low and "\u03a3" not in text:
+            parts = self.parts
+            ids = b"".join([parts.get(p) or self._part(p) for p in PARTS.findall(low)])
+        else:
+            ids = np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = ids
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        shown = part.encode().decode("latin-1").translate(BYTES_AS)
+        ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+        self.parts[part] = ids
+        return ids
+
+    def trim(self) -> None:
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        if len(self.parts) > PARTS_KEPT:
+            self.parts.clear()
+
+
+def _words_to_ids(path: str) -> Words:
+    if path not in _tokenizers:
+        _tokenizers[path] = Words(path)
     return _tokenizers[path]
 
 
@@ -43,24 +83,15 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0
 
     NULL and empty texts give one piece of length 1. ``docs`` has ``doc_id`` and ``text``.
     """
-    import numpy as np
-
     end = np.array([end_id], "<u4").tobytes()
     step = 4 * capacity
 
     def work(got, n):
-        model, known = _words_to_ids(tokenizer)
+        known = _words_to_ids(tokenizer)
+        known.trim()
         out = ([], [], [], [], [])
-        texts = [(t or b"").split() for t in got["text"]]
-        if len(known) > WORDS_KEPT:
-            known.clear()
-        new = list(set().union(*texts).difference(known))
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            coded = model.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, coded, strict=True))
-        for key, words in zip(got["doc_id"], texts, strict=True):
-            ids = b"".join(map(known.__getitem__, words)) + end
+        for key, text in zip(got["doc_id"], got["text"], strict=True):
+            ids = b"".join(map(known.__getitem__, (text or b"").split())) + end
             for k, at in enumerate(range(0, len(ids), step)):
                 part = ids[at : at + step]
                 for column, value in zip(out, (key, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
