@@ -2,12 +2,12 @@
 
 States are the empty history and the word and word pair histories that have n-grams of their own; an arc
 to the next word carries its discounted log-probability, a failure arc the backoff weight to the next
-shorter history. After two words the automaton has forgotten all others, so the state at any place of a text
-follows from the two words before it, and all places of a batch are walked at once.
+shorter history. Every pair and triple seen twice in training is an arc, whatever the size of the corpus.
 
-Which n-grams get an arc is decided by their share of all training tokens, so at most 1 / ``SHARE`` of each
-order do, whatever the corpus. Word counts have no such limit: those of frequent words are told
-to all tasks, the others are joined.
+After two words the automaton has forgotten all others, and an arc of a triple implies those of both of its
+pairs. So the walk over a text is a sum with one value for each of its words, pairs and triples: what its arc weighs more
+than the failure path around it, and the failure weight of the state it leads to. Values are a written table; those of frequent
+n-grams are told to all tasks, the others are joined.
 """
 
 from __future__ import annotations
@@ -21,8 +21,12 @@ from tallystone.llm.common import _BASE, ROWS_AT_ONCE, WORD_BREAK, chunks, mater
 from tallystone.llm.filters import bit_filter, in_filter
 from tallystone.llm.quality import is_held_out
 
-#: Share of the training tokens from which a pair or triple of words is an arc, and a word is told to all tasks.
-SHARE, WORD_SHARE = 2e-6, 2e-7
+#: Times that a pair or triple is seen in training to be an arc; a share of the tokens below which none is (none is asked for).
+LEAST, SHARE = 2, 0.0
+#: Share of the training tokens from which the value of a pair or triple, and of a word, is told to all tasks.
+TOLD_SHARE, WORD_SHARE = 2e-6, 2e-7
+#: Bytes of training text for each part of the keys, which one task counts.
+PART_BYTES = 16_000_000
 #: Tokens that a task counts together.
 TOKENS_AT_ONCE = 4_000_000
 #: What is taken off every count of an arc, and left to shorter histories.
@@ -57,71 +61,104 @@ class Grams:
         self.pair_before[first] = 0
 
 
-def first_counts(train: DataFrame, share: float = SHARE) -> DataFrame:
-    """Written ``kind, key, n`` per batch: all words (1), and the pairs (2) and triples (3) that may be arcs.
+def _packed(parts: int, part_kind: int, key: np.ndarray, *columns: np.ndarray) -> list[tuple]:
+    """Rows ``part, kind, keys, columns`` of sorted keys; keys lie by bytes of the same place, which compresses."""
+    edges = np.array([-(-(p << 24) // parts) for p in range(1, parts)], np.uint64) << np.uint64(40)
+    cuts = [0, *np.searchsorted(key, edges), len(key)]
+    return [
+        (p, part_kind, key[a:b].view(np.uint8).reshape(-1, 8).T.tobytes(), *(c[a:b].tobytes() for c in columns))
+        for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b
+    ]
 
-    An n-gram with a share of all tokens has that share in one batch at least, so a batch (a task's next
-    ``TOKENS_AT_ONCE`` tokens) names only those that have it there.
-    """
 
-    def settle(held: list[tuple]) -> pa.RecordBatch:
-        kinds, keys, counts = [], [], []
-        total = sum(len(x[0]) for x in held)
-        for kind in (1, 2, 3):
-            key, n = np.unique(np.concatenate([x[kind - 1] for x in held]), return_counts=True)
-            if kind > 1:
-                key, n = key[n >= share * total], n[n >= share * total]
-            kinds.append(np.full(len(key), kind, np.int8))
-            keys.append(key)
-            counts.append(n)
-        columns = [pa.array(np.concatenate(kinds)), pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(counts))]
-        return pa.RecordBatch.from_arrays(columns, names=["kind", "key", "n"])
+def _unpacked(keys: bytes) -> np.ndarray:
+    return np.frombuffer(keys, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel()
+
+
+def _in_batches(train: DataFrame, settle, columns: list[str]) -> DataFrame:
+    """Rows of ``settle(token arrays of some texts)``, called for a task's next ``TOKENS_AT_ONCE`` tokens."""
+    names = ["part", "kind", "keys", *columns]
+    types = [pa.int32(), pa.int8(), *[pa.binary()] * (1 + len(columns))]
 
     def run(batches):
         held, size = [], 0
         for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
             for lo, hi in chunks(texts):
-                tokens, first = tokens_of(texts[lo:hi])
-                grams = Grams(tokens, first)
-                held.append((tokens, grams.pair[grams.pair != 0], grams.triple[grams.triple != 0]))
-                size += len(tokens)
-                if size >= 1.5 * TOKENS_AT_ONCE:  # what is left is never a small batch
-                    some, n = [], 0
-                    while n < TOKENS_AT_ONCE:
-                        some.append(held.pop(0))
-                        n += len(some[-1][0])
-                    size -= n
-                    yield settle(some)
+                held.append(tokens_of(texts[lo:hi]))
+                size += len(held[-1][0])
+                if size >= TOKENS_AT_ONCE:
+                    yield from out(settle(held))
+                    held, size = [], 0
         if held:
-            yield settle(held)
+            yield from out(settle(held))
 
-    return train.select("text").mapInArrow(run, "kind tinyint, key long, n long")
+    def out(rows):
+        for at in range(0, len(rows), 50):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 50]), types)], names=names)
 
+    schema = ", ".join(["part int, kind tinyint, keys binary", *(f"{c} binary" for c in columns)])
+    return train.select("text").mapInArrow(run, schema)
 
-def arc_counts(train: DataFrame, wanted) -> DataFrame:
-    """``kind, key, history, shorter, n``: counts of the named pairs and triples over all training texts."""
 
-    def work(got, n):
-        texts = [t or b"" for t in got["text"]]
+def gram_counts(train: DataFrame, parts: int) -> DataFrame:
+    """``kind, key, n``: all words (1), and the pairs (2) and triples (3) seen ``LEAST`` times over all texts."""
+    least = LEAST
+
+    def settle(held):
         rows = []
-        for lo, hi in chunks(texts):
-            tokens, first = tokens_of(texts[lo:hi])
-            g = Grams(tokens, first)
-            for kind, key, history, shorter in ((2, g.pair, g.before, tokens), (3, g.triple, g.pair_before, g.pair)):
-                at = np.flatnonzero((key != 0) & in_filter(wanted.value, mix(key + np.uint64(kind))))
-                if len(at):
-                    _, one, count = np.unique(key[at], return_index=True, return_counts=True)
-                    at = at[one]
-                    rows.append((np.full(len(at), kind, np.int8), key[at], history[at], shorter[at], count))
-        if not rows:
-            return None
-        kind, key, history, shorter, count = (np.concatenate(x) for x in zip(*rows, strict=True))
-        _, one, where = np.unique(key, return_index=True, return_inverse=True)
-        count = np.bincount(where, count).astype(np.int64)
-        return [pa.array(kind[one]), *(pa.array(signed(c[one])) for c in (key, history, shorter)), pa.array(count)]
-
-    return scan(train, work, "kind tinyint, key long, history long, shorter long, n long", ["text"])
+        grams = [Grams(*x) for x in held]
+        for kind, keys in ((1, [x[0] for x in held]), (2, [g.pair for g in grams]), (3, [g.triple for g in grams])):
+            key, n = np.unique(np.concatenate(keys), return_counts=True)
+            some = key != 0 if kind > 1 else slice(None)
+            rows += _packed(parts, kind, key[some], n[some].astype(np.uint32))
+        return rows
+
+    def count(table: pa.Table) -> pa.Table:
+        kinds, found = table["kind"].to_numpy(), [[], [], []]
+        for kind in (1, 2, 3):
+            some = table.filter(pa.array(kinds == kind))
+            if not some.num_rows:
+                continue
+            keys = np.concatenate([_unpacked(x.as_py()) for x in some["keys"]])
+            times = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in some["times"]])
+            by = np.argsort(keys)
+            keys, times = keys[by], times[by]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            n = np.add.reduceat(times.astype(np.int64), first)
+            keep = n >= (least if kind > 1 else 1)
+            for column, values in zip(found, (np.full(keep.sum(), kind, np.int8), signed(keys[first][keep]), n[keep])):
+                column.append(values)
+        return pa.table([pa.array(np.concatenate(c)) for c in found], names=["kind", "key", "n"])
+
+    dealt = _in_batches(train, settle, ["times"])
+    return dealt.groupBy("part").applyInArrow(count, "kind tinyint, key long, n long")
+
+
+def gram_histories(train: DataFrame, wanted, parts: int) -> DataFrame:
+    """``key, history, shorter`` once for each pair and triple that passes the filter."""
+
+    def settle(held):
+        rows = []
+        for kind in (2, 3):
+            found = []
+            for tokens, first in held:
+                g = Grams(tokens, first)
+                key, history, shorter = (g.pair, g.before, tokens) if kind == 2 else (g.triple, g.pair_before, g.pair)
+                at = np.flatnonzero((key != 0) & in_filter(wanted.value, mix(key)))
+                found.append((key[at], history[at], shorter[at]))
+            key, history, shorter = (np.concatenate(c) for c in zip(*found))
+            key, one = np.unique(key, return_index=True)
+            rows += _packed(parts, kind, key, history[one], shorter[one])
+        return rows
+
+    def once(table: pa.Table) -> pa.Table:
+        key, one = np.unique(np.concatenate([_unpacked(x.as_py()) for x in table["keys"]]), return_index=True)
+        rest = [np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table[c]])[one] for c in ("history", "shorter")]
+        return pa.table([pa.array(signed(c)) for c in (key, *rest)], names=["key", "history", "shorter"])
+
+    dealt = _in_batches(train, settle, ["history", "shorter"])
+    return dealt.groupBy("part").applyInArrow(once, "key long, history long, shorter long")
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -132,83 +169,58 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-class Automaton:
-    """Arcs and failure arcs; all values are log10, and what is missing weighs 0."""
-
-    def __init__(self, words, word_counts, arcs: dict[int, tuple], tokens: int, kinds: int):
-        by = np.argsort(words)
-        self.words, counts = words[by], word_counts[by].astype(float)
-        self.total = tokens + 0.5 * (kinds + 1)
-        p1 = (counts + 0.5) / self.total
-        self.word_logp = np.log10(p1)
-        self.pairs, history, shorter, n = arcs[2]
-        of = _find(self.words, history)
-        p2 = (n - DISCOUNT) / counts[of] if len(n) else np.zeros(0)
-        self.pair_logp = np.log10(p2)
-        self.word_fail = self._failure(len(self.words), of, p2, p1[_find(self.words, shorter)] if len(n) else p2)
-        self.triples, history, shorter, m = arcs[3]
-        of = _find(self.pairs, history)
-        p3 = (m - DISCOUNT) / n[of] if len(m) else np.zeros(0)
-        self.triple_logp = np.log10(p3)
-        self.pair_fail = self._failure(len(self.pairs), of, p3, p2[_find(self.pairs, shorter)] if len(m) else p3)
-
-    @staticmethod
-    def _failure(states: int, of: np.ndarray, p: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """Weight of each state's failure arc: what its arcs leave, over what they leave of the shorter history."""
-        if not states:
-            return np.zeros(0)
-        left = 1 - np.bincount(of, p, minlength=states)
-        rest = 1 - np.bincount(of, lower, minlength=states)
-        return np.log10(np.maximum(left, 1e-12) / np.maximum(rest, 1e-12))
-
-    def walk(self, tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Place of each token among the words (-1: not there), its word's log-probability, and the log weight of the walk to it.
-
-        The walk's weight leaves out the word's own log-probability where it ends at the empty history and
-        the word is not there.
-        """
-        g = Grams(tokens, first)
-        word, pair, triple = _find(self.words, tokens), _find(self.pairs, g.pair), _find(self.triples, g.triple)
-        alone = np.where(word >= 0, self._at(self.word_logp, word), 0.0)
-        before, pair_before = np.roll(word, 1), np.roll(pair, 1)
-        before[first], pair_before[first] = -1, -1
-        fail2 = np.where(pair_before >= 0, self._at(self.pair_fail, pair_before), 0.0)
-        fail1 = np.where(before >= 0, self._at(self.word_fail, before), 0.0)
-        weight = np.where(
-            triple >= 0, self._at(self.triple_logp, triple),
-            fail2 + np.where(pair >= 0, self._at(self.pair_logp, pair), fail1 + alone),
-        )
-        return word, alone, weight
-
-    @staticmethod
-    def _at(values: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return values[np.maximum(at, 0)] if len(values) else np.zeros(len(at))
-
-
-def train_automaton(train: DataFrame) -> tuple[DataFrame, Automaton, int]:
-    """Word counts of the training texts (a written table), the automaton, and the number of tokens."""
+def _failure(arcs: DataFrame) -> DataFrame:
+    """``history, fail``: log weight of each state's failure arc, what its arcs leave over what they leave of the shorter history."""
+    sums = arcs.groupBy("history").agg(F.sum("p").alias("p"), F.sum("lower").alias("lower"))
+    left, rest = (F.greatest(1 - F.col(c), F.lit(1e-12)) for c in ("p", "lower"))
+    return sums.select("history", F.log10(left / rest).alias("fail"))
+
+
+def _settled(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written; the shuffle files behind it go at once, not when the driver happens to collect its garbage."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        return materialize(df, label)
+    finally:
+        conf.set(name, before)
+
+
+def gram_values(train: DataFrame) -> tuple[DataFrame, np.ndarray, int, float]:
+    """Written ``kind, key, n, base, value`` of all words and arcs, a bit map of the keys, the number of tokens, and the
+    log-probability of a word that is not there. ``base`` is the word model's log-probability."""
     spark = train.sparkSession
-    seen = materialize(first_counts(train), "first-counts")
-    counts = seen.filter("kind = 1").groupBy(F.col("key").alias("word")).agg(F.sum("n").alias("n"))
-    counts = materialize(counts, "word-counts")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(8, -(-int(size) // PART_BYTES))
+    counts = _settled(gram_counts(train, parts), "gram-counts")
+    total = counts.filter("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, kinds = int(total[0]), int(total[1])
-    named = seen.filter("kind > 1").select(F.col("kind").cast("long").alias("kind"), "key").distinct()
-    wanted = spark.sparkContext.broadcast(bit_filter(named, lambda t: mix(t["key"] + t["kind"]), named.count()))
-    # at most 1 / SHARE of each order pass
-    arcs = (
-        arc_counts(train, wanted).groupBy("kind", "key", "history", "shorter").agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= max(2.0, SHARE * tokens)).toArrow()
-    )
-    table = {}
-    for kind in (2, 3):
-        some = arcs["kind"].to_numpy() == kind
-        columns = [arcs[c].to_numpy()[some].view(np.uint64) for c in ("key", "history", "shorter")]
-        by = np.argsort(columns[0])
-        table[kind] = (*(c[by] for c in columns), arcs["n"].to_numpy()[some][by].astype(float))
-    frequent = counts.filter(F.col("n") >= max(1.0, WORD_SHARE * tokens)).toArrow()
-    words = frequent["word"].to_numpy().view(np.uint64)
-    return counts, Automaton(words, frequent["n"].to_numpy(), table, tokens, kinds), tokens
+    z = tokens + 0.5 * (kinds + 1)
+    counts = counts.filter((F.col("kind") == 1) | (F.col("n") >= max(LEAST, SHARE * tokens)))
+    known = bit_filter(counts.select("key"), lambda t: mix(t["key"]), counts.count())
+    wanted = spark.sparkContext.broadcast(known)
+    arcs = _settled(counts.filter("kind > 1").join(gram_histories(train, wanted, parts), "key"), "arcs")
+
+    words = counts.filter("kind = 1").select("key", "n", ((F.col("n") + 0.5) / z).alias("p"))
+    of = lambda df, as_, *columns: df.select(F.col("key").alias(as_), *[F.col(a).alias(b) for a, b in columns])
+    p = (F.col("n") - DISCOUNT) / F.col("of")
+
+    def weighed(kind: int, lower: DataFrame) -> DataFrame:
+        some = arcs.filter(F.col("kind") == kind).join(of(lower, "history", ("n", "of")), "history")
+        return some.join(of(lower, "shorter", ("p", "lower")), "shorter").select("key", "history", "n", p.alias("p"), "lower")
+
+    pairs = _settled(weighed(2, words), "pairs")
+    triples = _settled(weighed(3, pairs), "triples")
+    word_fail, pair_fail = _failure(pairs), _failure(triples)
+    own = lambda fail: fail.withColumnRenamed("history", "key").withColumnRenamed("fail", "own")
+    base, more = F.log10("p"), F.log10(F.col("p") / F.col("lower")) - F.col("fail")
+    after = F.coalesce("own", F.lit(0.0))
+    row = lambda kind, base, value: [F.lit(kind).alias("kind"), "key", "n", base.alias("base"), value.alias("value")]
+    values = words.join(own(word_fail), "key", "left").select(row(1, base, base + after))
+    values = values.unionByName(pairs.join(word_fail, "history").join(own(pair_fail), "key", "left").select(row(2, F.lit(0.0), more + after)))
+    values = values.unionByName(triples.join(pair_fail, "history").select(row(3, F.lit(0.0), more)))
+    return _settled(values, "values"), known, tokens, float(np.log10(0.5 / z))
 
 
 def score_texts(
@@ -217,8 +229,8 @@ def score_texts(
     """Log10 probabilities of all texts under a word model and under the backoff automaton.
 
     Both learn from the rows whose key's CRC-32 modulo ``of`` is not ``remainder``. Tokens are lower-cased (A-Z)
-    words between white space, and each text's end. Words outside the table that all tasks have are joined
-    with their counts; they end no arc, so they add the same to both scores.
+    words between white space, and each text's end. Words, pairs and triples outside the table that all tasks have are
+    joined with their values.
 
     Returns one row per input row: ``doc_id, held_out, n_tokens, n_known`` (tokens met in training), ``train_tokens,
     base_score, score``. NULL and empty texts are one end token; NULL keys count as the empty text for the split; without
@@ -228,42 +240,59 @@ def score_texts(
     spark = docs.sparkSession
     rows = pick(docs, **{key: "doc_id", text: "text"})
     held_out = is_held_out(F.col("doc_id"), of, remainder)
-    counts, automaton, train_tokens = train_automaton(rows.filter(~held_out).select("text"))
-    shared = spark.sparkContext.broadcast(automaton)
+    values, known_keys, train_tokens, unknown = gram_values(rows.filter(~held_out).select("text"))
+    share = F.when(F.col("kind") == 1, F.lit(WORD_SHARE)).otherwise(F.lit(TOLD_SHARE))
+    is_told = F.col("n") >= share * train_tokens
+    told = values.filter(is_told).select("kind", "key", "base", "value").toArrow()
+    tables = {}
+    for order in (1, 2, 3):
+        some = told["kind"].to_numpy() == order
+        keys = told["key"].to_numpy()[some].view(np.uint64)
+        by = np.argsort(keys)
+        tables[order] = (keys[by], *(told[c].to_numpy()[some][by] for c in ("base", "value")))
+    shared = spark.sparkContext.broadcast((tables, known_keys))
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = rows.schema["doc_id"].dataType
     key_type = to_arrow_type(kind)
 
     def work(got, n):
-        model = shared.value
-        out = [[], [], [], []]
-        rare, rare_sizes = [], []
+        tables, known_keys = shared.value
+        out, rare, rare_sizes = [[], [], [], []], [], []
         texts = [t or b"" for t in got["text"]]
         for lo, hi in chunks(texts):
             tokens, first = tokens_of(texts[lo:hi])
-            word, alone, weight = model.walk(tokens, first)
-            there = word >= 0
-            for column, values in zip(out, (np.ones(len(tokens)), there, alone, weight), strict=True):
-                column.append(np.add.reduceat(values.astype(float), first))
-            rare.append(tokens[~there])
-            rare_sizes.append(np.add.reduceat((~there).astype(np.int64), first))
+            g = Grams(tokens, first)
+            base, score, left = np.zeros(len(tokens)), np.zeros(len(tokens)), []
+            for kind, keys in ((1, tokens), (2, g.pair), (3, g.triple)):
+                have, bases, values = tables[kind]
+                at = _find(have, keys)
+                there = at >= 0
+                base[there] += bases[at[there]]
+                score[there] += values[at[there]]
+                known = there if kind == 1 else known
+                left.append(~there & (keys != 0) & in_filter(known_keys, mix(keys)))
+            for column, x in zip(out, (np.ones(len(tokens)), known, base, score), strict=True):
+                column.append(np.add.reduceat(x.astype(float), first))
+            rare.append(np.stack([tokens, g.pair, g.triple], 1)[np.stack(left, 1)])
+            rare_sizes.append(np.add.reduceat(sum(x.astype(np.int64) for x in left), first))
         offsets = np.append(0, np.cumsum(np.concatenate(rare_sizes))) if rare else np.zeros(n + 1)
-        words = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(signed(np.concatenate(rare)) if rare else [], pa.int64()))
+        keys = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(signed(np.concatenate(rare)) if rare else [], pa.int64()))
         size, known, base, score = (np.concatenate(c) if c else np.zeros(0) for c in out)
-        return [pa.array(got["doc_id"], key_type), pa.array(size.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score), words]
+        return [pa.array(got["doc_id"], key_type), pa.array(size.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score), keys]
 
     schema = f"doc_id {kind.simpleString()}, n_tokens long, there long, base double, walk double, rare array<bigint>"
     walked = scan(rows, work, schema, ["doc_id", "text"]).withColumn("row", F.monotonically_increasing_id())
     walked = materialize(walked, "walked")
-    each = walked.select("row", F.explode("rare").alias("word"))
-    logp = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(automaton.total))
-    added = each.join(counts, "word", "left").groupBy("row").agg(F.sum(logp).alias("added"), F.count("n").alias("met"))
+    each = walked.select("row", F.explode("rare").alias("key"))
+    rest = values.filter(~is_told).select("key", "base", "value", (F.col("kind") == 1).cast("long").alias("met"))
+    added = each.join(rest, "key").groupBy("row").agg(*[F.sum(c).alias(c + "_added") for c in ("base", "value", "met")])
     joined = walked.drop("rare").join(added, "row", "left")
-    more = F.coalesce("added", F.lit(0.0))
+    more = {c: F.coalesce(c + "_added", F.lit(0)) for c in ("base", "value", "met")}
+    known = F.col("there") + more["met"]
+    missing = (F.col("n_tokens") - known) * F.lit(unknown)
     return joined.select(
-        "doc_id", is_held_out(F.col("doc_id"), of, remainder).alias("held_out"), "n_tokens",
-        (F.col("there") + F.coalesce("met", F.lit(0))).alias("n_known"),
+        "doc_id", is_held_out(F.col("doc_id"), of, remainder).alias("held_out"), "n_tokens", known.alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"), (F.col("walk") + more).alias("score"),
+        (F.col("base") + more["base"] + missing).alias("base_score"), (F.col("walk") + more["value"] + missing).alias("score"),
     )

@@ -202,3 +202,16 @@ def test_words_that_are_not_told_to_all_tasks_are_joined(docs, rows, words, monk
     want = brute_scores(rows, words)
     assert got["n"] == sum(w[3] for w in want)
     assert np.allclose([got["b"], got["s"]], [sum(w[5] for w in want), sum(w[6] for w in want)])
+
+
+def test_every_repeated_ngram_is_an_arc_in_a_large_corpus(spark):
+    filler = " ".join(f"f{i % 50}" for i in range(150_000))
+    texts = [filler] * 12 + ["rare one here"] * 2 + ["rare one here"]
+    keys = [i for i in range(100) if remainder(i) != 1][:14] + [next(i for i in range(100, 200) if remainder(i) == 1)]
+    df = spark.createDataFrame(list(zip(keys, texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in language_model.score_texts(df).collect()}
+    n, kinds = 12 * 150_001 + 2 * 4, 54
+    assert got[keys[-1]]["train_tokens"] == n
+    # each arc was seen twice: the first word by the word model, the next by a pair, the others by triples
+    first = math.log10(2.5 / (n + 0.5 * (kinds + 1)))
+    assert got[keys[-1]]["score"] == pytest.approx(first + math.log10(1.5 / 2) * 3)
