@@ -57,12 +57,12 @@ def train_random_forest(spark, sf):
 
 @query("train_boosted_trees")
 def train_boosted_trees(spark, sf):
-    return _trained_metrics(spark, sf, "XGBoost", {"n_estimators": 10})
+    return _trained_metrics(spark, sf, "XGBoost")
 
 
 @query("train_boosted_trees_second_preset")
 def train_boosted_trees_second_preset(spark, sf):
-    return _trained_metrics(spark, sf, "LightGBM", {"n_estimators": 10, "max_depth": 4})
+    return _trained_metrics(spark, sf, "LightGBM")
 
 
 @query("cross_validation")
@@ -80,9 +80,8 @@ def cross_validation_summary(spark, sf):
 @query("random_search")
 def random_search(spark, sf):
     train, _, _ = _ready(spark, sf)
-    folded = stratified_folds(train, KEY, models.LABEL, 3).persist()
-    space = {"n_estimators": ("int", 5, 15), "max_depth": ("int", 3, 6), "max_features": ("categorical", ["sqrt", "log2"])}
-    _, trials = models.random_search("RandomForest", folded, trials=4, space=space)
+    folded = stratified_folds(train, KEY, models.LABEL, 5).persist()
+    _, trials = models.random_search("RandomForest", folded)
     return trials
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallystone.operators import models
 from tallystone.operators.selectors import CheckFailed
 from tallystone.operators.split import stratified_folds
+from tallystone.plans.catalog import modelling
 from tallystone.plans.training import TrainingSettings, run_training, save_best
 from tallystone.session import materialize, shared_dir
 from tallystone.sources import tables
@@ -143,3 +144,30 @@ def test_results_and_metadata_accumulate(spark, tmp_path, frame):
 def test_intermediates_go_to_the_configured_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert all(f.startswith("file:" + shared_dir(spark)) or shared_dir(spark) in f for f in materialize(spark.range(3)).inputFiles())
+
+
+# ---- registered queries ---------------------------------------------------------------------
+
+
+def test_registered_fits_and_search_are_at_full_size(spark, separable, monkeypatch):
+    data = models.assemble(separable.withColumnRenamed("id", modelling.KEY), ["a", "b"], "y", keep=[modelling.KEY])
+    monkeypatch.setattr(modelling, "_ready", lambda spark, sf: (data, data, ["a", "b"]))
+    built, searched = {}, {}
+
+    def fit(name, rows, params=None, **_):
+        built[name] = models.make_estimator(name, params)
+        return models.Trained(name, {}, None, 0.0)
+
+    def search(name, folded, fold="fold", trials=50, space=None):
+        searched.update(folds=folded.select(fold).distinct().count(), trials=trials, space=space or models.SEARCH_SPACES[name])
+        return {}, None
+
+    scored = spark.createDataFrame([(1, 0.9, 1), (0, 0.1, 0)], "y int, p double, pred int")
+    monkeypatch.setattr(models, "train", fit)
+    monkeypatch.setattr(models, "score", lambda model, rows: scored)
+    monkeypatch.setattr(models, "random_search", search)
+    modelling.train_boosted_trees(spark, "")
+    modelling.train_boosted_trees_second_preset(spark, "")
+    modelling.random_search(spark, "")
+    assert {n: (e.getMaxIter(), e.getMaxDepth()) for n, e in built.items()} == {"XGBoost": (100, 5), "LightGBM": (100, 5)}
+    assert searched == {"folds": 5, "trials": 50, "space": models.SEARCH_SPACES["RandomForest"]}
