@@ -207,7 +207,15 @@ class Model:
 
 def train(pages: DataFrame, most: int = MOST_LABELLED) -> Model:
     """Counts over labelled pages (those that mark their article), of ``most`` rows by hash of the key at most."""
-    sample = pages.orderBy(F.xxhash64("page_id"), "page_id").limit(most) if most else pages
+
+    def labelled(got, n):
+        some = [i for i, source in enumerate(got["html"]) if Page((source or b"").decode()).labels() is not None]
+        return [pa.array([got[c][i] for i in some], t) for c, t in (("order", pa.int64()), ("html", pa.binary()))]
+
+    sample = pages.select("html")
+    if most:
+        ordered = pages.select(F.xxhash64("page_id").alias("order"), "html")
+        sample = scan(ordered, labelled, "order long, html binary", ["order", "html"]).orderBy("order", "html").limit(most)
 
     def work(got, n):
         counts: Counter = Counter()

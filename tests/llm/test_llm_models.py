@@ -141,6 +141,13 @@ def test_messages_give_exact_marginals():
     assert model.marginals(page) == pytest.approx([x / total[0] for x in total[1]])
 
 
+def test_the_sample_is_one_of_labelled_pages(spark):
+    plain = [(i, "<div><p>No marks here.</p></div>") for i in range(300)]
+    marked = [(1000 + i, "<body><article><p class='zebra'>Text</p></article></body>") for i in range(4)]
+    model = html_text.train(spark.createDataFrame(plain + marked, "page_id long, html string"), most=4)
+    assert model.speaks["zebra"] > 0
+
+
 def test_deep_markup_is_no_problem():
     page = html_text.Page("<div>" * 5000 + "x" + "</div>" * 5000)
     assert len(html_text.Model({}, {}).marginals(page)) == 5001
