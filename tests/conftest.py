@@ -37,8 +37,3 @@ def sf():
 def frame(spark):
     """Rows and a schema string to a DataFrame."""
     return lambda rows, schema: spark.createDataFrame(rows, schema)
-
-
-def by(df, *keys):
-    """Collected rows keyed by the given columns."""
-    return {tuple(r[k] for k in keys) if len(keys) > 1 else r[keys[0]]: r for r in df.collect()}

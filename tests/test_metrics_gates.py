@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import by
+from row_helpers import by
 
 from tallystone.operators import gates, metrics, plotdata
 

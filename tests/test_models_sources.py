@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import by
+from row_helpers import by
 from pyspark.sql import functions as F
 
 from tallystone.operators import models

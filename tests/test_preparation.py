@@ -3,7 +3,7 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
-from conftest import by
+from row_helpers import by
 from pyspark.sql import functions as F
 
 from tallystone.functions.formula import formula_column

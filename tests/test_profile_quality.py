@@ -2,7 +2,7 @@ import math
 
 import pandas as pd
 import pytest
-from conftest import by
+from row_helpers import by
 
 from tallystone.operators import profile, quality, selectors
 from tallystone.operators.quantiles import exact_quantiles

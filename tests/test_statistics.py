@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import by
+from row_helpers import by
 
 from tallystone.operators import association, compare, correlation, drift
 
