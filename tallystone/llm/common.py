@@ -14,8 +14,8 @@ from tallystone.session import materialize
 
 
 def pick(df: DataFrame, **names: str) -> DataFrame:
-    """Only the needed columns, under the operator's own names, so other columns cannot clash."""
-    return df.select([F.col(f"`{old}`").alias(new) for new, old in names.items()])
+    """Only the needed columns (given as ``column="own name"``), under the operator's own names, so other columns cannot clash."""
+    return df.select([F.col(f"`{old}`").alias(new) for old, new in names.items()])
 
 
 def power_of_two(n: float) -> int:

@@ -7,6 +7,7 @@ state with its edit spent that reaches the end of its word at a word's node is a
 walk only deletes letters, or replaces one by a later one; the other directions follow by turning pairs round.
 
 Letters are the 26 of a-z and 64 more, so a node has 90 edges at most, and a word makes states in proportion to its letters.
+Words are in the trie forwards and backwards, which keeps edits out of the upper nodes with their many edges.
 """
 
 from __future__ import annotations
@@ -52,11 +53,11 @@ def words_of(docs: DataFrame, drop_one_in: int | None = 97) -> DataFrame:
 def _after(word: str, at: str | Column, size: Column | None = None) -> Column:
     """What follows the first ``at`` letters, ``size`` letters of it if given."""
     at = F.col(at) if isinstance(at, str) else at
-    return F.substring(word, at + 1, F.lit(LONG) if size is None else size)
+    return F.substring(word, at + 1, F.lit(LONG + 1) if size is None else size)
 
 
 def trie(words: DataFrame) -> DataFrame:
-    """Edges ``node, first, label, child, ends, nexts`` of the compressed trie of ``word`` (distinct, shorter than ``LONG``).
+    """Edges ``node, first, label, child, ends, nexts`` of the compressed trie of ``word`` (distinct, ``LONG`` letters at most).
 
     ``ends`` tells whether the child is a word, ``nexts`` holds the first letters of its own edges. The child of
     a node and a letter is the common beginning of the least and the greatest word below them.
@@ -87,85 +88,102 @@ def _alive() -> Column:
     return F.when(over, F.col("ends")).otherwise(F.instr("nexts", _after("word", "at", F.lit(1))) > 0)
 
 
-def _steps(exact: DataFrame, edited: DataFrame) -> DataFrame:
-    """``word, at, node, edits, ends`` after one edge; ``exact`` is joined with all edges of its nodes, ``edited`` with one."""
+def _half(word: str = "word") -> Column:
+    """Where edits begin: the way to the middle of a word, after its mark, is walked letter by letter."""
+    return 1 + ((F.length(word) - 1) / 2).cast("int")
+
+
+def _steps(tried: DataFrame) -> DataFrame:
+    """``word, at, node, edits, ends`` after one edge, of states joined with the edges that they may follow."""
     size, rest = F.length("label"), _after("word", "at")
     same = F.startswith(rest, F.col("label"))
-    onward = lambda df, moved, edits: df.select("word", moved.alias("at"), F.col("child").alias("node"), F.lit(edits).alias("edits"), "ends", "nexts")
-    begin, longer = _after("word", "at", size), _after("word", "at", size + 1)
-    replaced = (F.col("label") > begin) & (F.length(begin) == size) & (F.levenshtein("label", begin, 1) == 1)
+    begin, longer, early = _after("word", "at", size), _after("word", "at", size + 1), _half() - F.col("at")
+    free = ~same & (F.col("edits") == 0) & (F.substring("label", F.lit(1), early) == _after("word", "at", early))
+    replaced = free & (F.col("label") > begin) & (F.length(begin) == size) & (F.levenshtein("label", begin, 1) == 1)
     # a letter that may be dropped after the edge is not dropped on it: each pair is found once
-    dropped = ~same & (F.length(longer) == size + 1) & (F.levenshtein("label", longer, 1) == 1)
-    none = F.lit(None).cast("struct<moved:int,edits:int>")
-    step = lambda moved, edits: F.struct(moved.cast("int").alias("moved"), F.lit(edits).alias("edits"))
-    ways = F.array(F.when(same, step(size, 0)).otherwise(none), F.when(replaced, step(size, 1)).otherwise(none), F.when(dropped, step(size + 1, 1)).otherwise(none))
-    tried = exact.filter(same | replaced | dropped).select("*", F.explode(ways).alias("way")).filter("way IS NOT NULL")
-    tried = tried.select("word", (F.col("at") + F.col("way.moved")).alias("at"), F.col("child").alias("node"), F.col("way.edits").alias("edits"), "ends", "nexts")
-    followed = onward(edited.filter(same), F.col("at") + size, 1)
+    dropped = free & (F.length(longer) == size + 1) & (F.levenshtein("label", longer, 1) == 1)
+    step = lambda hit, moved, edits: F.when(hit, F.struct(moved.cast("int").alias("moved"), edits.alias("edits")))
+    ways = F.array(step(same, size, F.col("edits")), step(replaced, size, F.lit(1)), step(dropped, size + 1, F.lit(1)))
+    moved = tried.select("word", "at", "child", "ends", "nexts", F.explode(ways).alias("way")).filter("way IS NOT NULL")
+    moved = moved.select("word", (F.col("at") + F.col("way.moved")).alias("at"), F.col("child").alias("node"), F.col("way.edits").alias("edits"), "ends", "nexts")
     # an exact state may also drop the last letter of its word here, so it lives on at a word with one letter left
     last = (F.col("edits") == 0) & F.col("ends") & (F.length("word") == F.col("at") + 1)
-    return tried.unionByName(followed).filter(_alive() | last).drop("nexts")
+    return moved.filter(_alive() | last).drop("nexts")
 
 
 def _short_pairs(words: DataFrame) -> DataFrame:
-    """``a, b`` of neighbours by the frontier, in one direction each."""
-    edges = trie(words)
+    """``a, b`` of neighbours by the frontier, in one direction each.
+
+    Of two words one edit apart, the first halves are equal or the last ones are. So words go into the trie forwards (marked ``>``) and
+    backwards (``<``), and edits are only spent behind the middle, where a node has few edges.
+    """
+    both = words.select(F.concat(F.lit(">"), "word").alias("word")).unionByName(words.select(F.concat(F.lit("<"), F.reverse("word")).alias("word")))
+    every = edges = trie(both)
     found = []
-    states = words.select("word", F.lit(0).alias("at"), F.lit("").alias("node"), F.lit(0).alias("edits"))
+    states = both.select("word", F.lit(0).alias("at"), F.substring("word", 1, 0).alias("node"), F.lit(0).alias("edits"))
     hot = edges.filter("node = ''").select("node").distinct()  # every word starts at the root
     while True:
         told = F.broadcast(edges.join(F.broadcast(hot), "node", "left_semi"))
         apart = states.join(F.broadcast(hot), "node", "left_anti")
-        by_letter = lambda df: df.withColumn("first", _after("word", "at", F.lit(1)))
-        parts = []
+        fans = (F.col("edits") == 0) & (F.col("at") >= _half())
+        tried = None
         for some, of in ((states, told), (apart, edges)):
-            exact, edited = some.filter("edits = 0").join(of.drop("first"), "node"), by_letter(some.filter("edits = 1")).join(of, ["node", "first"])
-            parts.append(_steps(exact, edited))
-        reached = materialize(parts[0].unionByName(parts[1]), "frontier")
+            one = some.filter(~fans).withColumn("first", _after("word", "at", F.lit(1))).join(of, ["node", "first"]).drop("first")
+            part = one.unionByName(some.filter(fans).join(of.drop("first"), "node"))
+            tried = part if tried is None else tried.unionByName(part)
+        reached = materialize(_steps(tried), "frontier")
         left = F.length("word") - F.col("at")
         found.append(reached.filter(F.col("ends") & (left + F.col("edits") == 1)).select(F.col("word").alias("a"), F.col("node").alias("b")))
         states = reached.filter(left > 0).select("word", "at", "node", "edits")
         counted = materialize(states.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "frontier-nodes")
-        total = counted.agg(F.sum("n")).first()[0] or 0
+        total, low, high = counted.agg(F.sum("n"), F.min(F.length("node")), F.max(F.length("node"))).first()
         if not total:
             break
+        edges = every.filter(F.length("node").between(low, high))
         hot = counted.filter(F.col("n") > total * HOT_SHARE).select("node")
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return pairs
+    plain = lambda c: _after(c, F.lit(1))
+    forth = pairs.filter(F.startswith("a", F.lit(">"))).select(plain("a").alias("a"), plain("b").alias("b"))
+    back = pairs.filter(F.startswith("a", F.lit("<"))).select(F.reverse(plain("a")).alias("a"), F.reverse(plain("b")).alias("b"))
+    half = (F.length("a") / 2).cast("int")
+    return forth.unionByName(back.filter(F.substring("a", F.lit(1), half) != F.substring("b", F.lit(1), half)))
 
 
 def _long_pairs(words: DataFrame) -> DataFrame:
-    """``a, b`` of neighbours among words of ``LONG`` letters or more, both directions or one.
+    """``a, b`` of neighbours among words of ``LONG`` letters or more, in one direction each.
 
     Neighbours of equal length are equal without the letter of one place; of two lengths, the shorter one equals the longer one
-    without a letter. Both are met by hash and checked.
+    without a letter. Both are met by hash, one row a letter without the word itself, and checked letter by letter.
     """
 
     def work(got, n):
-        own, place, hashed = [], [], []
         if not n:
             return None
-        for i, word in enumerate(got["word"]):
-            letters = np.frombuffer(word.decode().encode("latin-1"), np.uint8)
-            sums = prefix_hash(letters)
-            size = len(letters)
+        own, place, hashed = [], [], []
+        for name, word in zip(got["id"], got["word"], strict=True):
+            sums = prefix_hash(np.frombuffer(word.decode().encode("latin-1"), np.uint8))
             # moving what follows the missing letter one place up is a product with the inverse of the base
-            rest = (sums[size] - sums[1:]) * _INVERSE
-            hashed.append(signed(mix(np.append(sums[:-1] + rest, sums[size]))))
-            place.append(np.append(np.arange(1, size + 1), 0))
-            own.append(np.full(size + 1, i))
-        at = np.concatenate(own)
-        return [pa.array(got["word"], pa.binary()).take(pa.array(at)).cast(pa.string()), pa.array(np.concatenate(place)), pa.array(np.concatenate(hashed))]
-
-    cut = materialize(scan(words, work, "word string, place long, hashed long", ["word"]), "long-words")
-    whole = cut.filter("place = 0").select(F.col("word").alias("b"), "hashed")
-    less = cut.filter("place > 0").withColumnRenamed("word", "a")
-    again = less.select(F.col("a").alias("b"), "hashed", "place")
-    pairs = less.join(again, ["hashed", "place"]).filter("a < b").select("a", "b")
-    pairs = pairs.unionByName(less.join(whole, "hashed").select("a", "b"))
-    return pairs.distinct().filter(F.levenshtein("a", "b", 1) == 1)
+            rest = (sums[-1] - sums[1:]) * _INVERSE
+            hashed.append(signed(mix(np.append(sums[:-1] + rest, sums[-1]))))
+            place.append(np.append(np.arange(1, len(sums)), 0))
+            own.append(np.full(len(sums), name))
+        return [pa.array(np.concatenate(c)) for c in (own, place, hashed)]
+
+    named = words.select("word", F.xxhash64("word").alias("id"))
+    cut = materialize(scan(named, work, "id long, place long, hashed long", ["id", "word"]), "long-words")
+    less = cut.filter("place > 0").withColumnRenamed("id", "x")
+    other = cut.withColumnRenamed("id", "y")
+    same = less.join(other, ["hashed", "place"]).filter("x < y").select("x", "y", "place")
+    one_less = less.join(other.filter("place = 0").drop("place"), "hashed").select("x", "y", "place")
+    pairs = same.unionByName(one_less).groupBy("x", "y").agg(F.min("place").alias("place"))
+    pairs = materialize(pairs, "long-pairs")
+    of = lambda letter, word: named.select(F.col("id").alias(letter), F.col("word").alias(word))
+    both = pairs.join(of("x", "a"), "x").join(of("y", "b"), "y")
+    without = lambda w: F.concat(F.substring(w, F.lit(1), F.col("place").cast("int") - 1), F.substring(w, F.col("place").cast("int") + 1, F.length(w)))
+    right = F.when(F.length("a") == F.length("b"), without("b")).otherwise(F.col("b"))
+    return both.filter((F.col("a") != F.col("b")) & (without("a") == right)).select("a", "b")
 
 
 def neighbours(words: DataFrame) -> DataFrame:
