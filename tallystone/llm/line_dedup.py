@@ -25,6 +25,8 @@ from tallystone.llm.common import _LOWER, WORD_BREAK, chunks, materialize, mix,
 HOT_SHARE = 1 / 4096
 #: Bytes of text for each shard.
 SHARD_BYTES = 16_000_000
+#: Bytes of text that a worker hashes at one time.
+TEXT_AT_ONCE = 1_000_000
 #: Bits a line in each level of the perfect hash.
 GAMMA = 2
 #: The key of a row without one: before all others.
@@ -33,6 +35,12 @@ NO_KEY = -(2**63)
 
 def line_keys(texts: list[bytes], least: int) -> tuple[np.ndarray, ...]:
     """Hash, fingerprint, text and place in it of each line with ``least`` code points once trimmed and lower-cased."""
+    parts = [(lo, _line_keys(texts[lo:hi], least)) for lo, hi in chunks(texts, TEXT_AT_ONCE)]
+    hashed, mark, text, place = (np.concatenate(c) for c in zip(*((h, m, lo + t, p) for lo, (h, m, t, p) in parts), strict=True))
+    return hashed, mark, text, place
+
+
+def _line_keys(texts: list[bytes], least: int) -> tuple[np.ndarray, ...]:
     data = np.frombuffer(b"\n".join(texts).translate(_LOWER), np.uint8)
     breaks = np.flatnonzero(data == 10)
     begins, ends = np.append(0, breaks + 1), np.append(breaks, len(data))
@@ -131,20 +139,16 @@ class LineIndex:
 
         def gather(got, n):
             """What a batch holds of each line: documents and the largest key, one entry a line."""
-            out, keys = [], _keys(got["key"])
-            texts = [t or b"" for t in got["text"]]
-            for lo, hi in chunks(texts, 16_000_000):
-                hashed, mark, text, _ = line_keys(texts[lo:hi], least)
-                by = np.lexsort((text, mark, hashed))
-                hashed, mark, text = hashed[by], mark[by], text[by]
-                line = np.append(True, (hashed[1:] != hashed[:-1]) | (mark[1:] != mark[:-1]))[: len(by)]
-                seen = np.append(True, line[1:] | (text[1:] != text[:-1]))[: len(by)]
-                first = np.flatnonzero(line)
-                if len(first):
-                    counts = np.add.reduceat(seen.astype(np.int64), first)
-                    out += _by_shard(shards, hashed[first], mark[first], counts, np.maximum.reduceat(keys[lo:hi][text], first))
-            if not out:
+            hashed, mark, text, _ = line_keys([t or b"" for t in got["text"]], least)
+            if not len(hashed):
                 return None
+            by = np.lexsort((text, mark, hashed))
+            hashed, mark, text = hashed[by], mark[by], text[by]
+            line = np.append(True, (hashed[1:] != hashed[:-1]) | (mark[1:] != mark[:-1]))
+            seen = line | np.append(True, text[1:] != text[:-1])
+            first = np.flatnonzero(line)
+            counts = np.add.reduceat(seen.astype(np.int64), first)
+            out = _by_shard(shards, hashed[first], mark[first], counts, np.maximum.reduceat(_keys(got["key"])[text], first))
             return [pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int32(), *[pa.binary()] * 4], strict=True)]
 
         def number(table: pa.Table) -> pa.Table:
@@ -188,23 +192,20 @@ class LineIndex:
             hot = hot.view(np.uint64)
             by = np.argsort(hot, kind="stable")
             hot, hot_mark, hot_n, hot_last = hot[by], hot_mark[by], hot_n[by], hot_last[by]
-            keys, marks, out = _keys(got["key"]), np.array(got["mark"], np.int64), []
-            texts = [t or b"" for t in got["text"]]
-            for lo, hi in chunks(texts, 16_000_000):
-                hashed, mark, text, place = line_keys(texts[lo:hi], least)
-                key, row = keys[lo:hi][text], marks[lo:hi][text]
-                known = np.zeros(len(hashed), bool)
-                drop = np.zeros(len(hashed), bool)
-                at = np.searchsorted(hot, hashed)
-                for step in range(int(np.unique(hot, return_counts=True)[1].max(initial=0))):
-                    spot = np.minimum(at + step, len(hot) - 1)
-                    same = (hot[spot] == hashed) & (hot_mark[spot] == mark)
-                    known |= same
-                    drop |= same & (hot_n[spot] >= documents) & (hot_last[spot] > key)
-                if drop.any():
-                    out.append((-1, b"", b"", b"", row[drop].tobytes(), place[drop].astype(np.int64).tobytes()))
-                left = ~known
-                out += _by_shard(shards, hashed[left], mark[left], key[left], row[left], place[left].astype(np.int64))
+            hashed, mark, text, place = line_keys([t or b"" for t in got["text"]], least)
+            key, row = _keys(got["key"])[text], np.array(got["mark"], np.int64)[text]
+            known = np.zeros(len(hashed), bool)
+            drop = np.zeros(len(hashed), bool)
+            at = np.searchsorted(hot, hashed)
+            for step in range(int(np.unique(hot, return_counts=True)[1].max(initial=0))):
+                spot = np.minimum(at + step, len(hot) - 1)
+                same = (hot[spot] == hashed) & (hot_mark[spot] == mark)
+                known |= same
+                drop |= same & (hot_n[spot] >= documents) & (hot_last[spot] > key)
+            left = ~known
+            out = _by_shard(shards, hashed[left], mark[left], key[left], row[left], place[left].astype(np.int64))
+            if drop.any():
+                out.append((-1, b"", b"", b"", row[drop].tobytes(), place[drop].astype(np.int64).tobytes()))
             if not out:
                 return None
             return [pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int32(), *[pa.binary()] * 5], strict=True)]
