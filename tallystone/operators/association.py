@@ -95,3 +95,31 @@ def chi_square_tests(
             p < alpha, low,
         ))
     return df.sparkSession.createDataFrame(result, CHI_SCHEMA)
+
+
+def fisher_exact(df: DataFrame, columns: Sequence[str], target: str, alpha: float = 0.05) -> DataFrame:
+    """Fisher's exact test of every two-valued column against a two-valued target.
+
+    The rows are reduced to counts of (column, value, class); missing values are left out. Values and classes are taken in
+    sorted order, so the odds ratio is that of the first value for the first class. A column with other than two values, or a
+    target with other than two classes, is refused.
+
+    Returns ``(column, n, odds_ratio, p_value, significant)``; the ratio is NULL where a cell of the other diagonal is empty.
+    """
+    rows = df.where(ref(target).isNotNull()).withColumn("_target", ref(target).cast("string"))
+    cells = materialize(long_strings(rows, columns, ["_target"]).groupBy("column", "value", "_target").agg(F.count("*").alias("n")), "cells")
+    width = cells.groupBy("column").agg(F.countDistinct("value").alias("v"), F.countDistinct("_target").alias("t")).collect()
+    wrong = sorted(r["column"] for r in width if (r["v"], r["t"]) != (2, 2))
+    if wrong:
+        raise ValueError(f"not a 2x2 table: {wrong}")
+    found: dict[str, dict] = {}
+    for r in cells.collect():  # four per column
+        found.setdefault(r["column"], {})[r["value"], r["_target"]] = r["n"]
+    result = []
+    for c in (c for c in columns if c in found):
+        values, classes = (sorted({k[i] for k in found[c]}) for i in (0, 1))
+        a, b, x, y = (found[c].get((v, t), 0) for v in values for t in classes)
+        p = tails.fisher_two_sided(a, b, x, y)
+        ratio = round(a * y / (b * x), 4) if b * x else None
+        result.append((c, a + b + x + y, ratio, round(p, 6), p < alpha))
+    return df.sparkSession.createDataFrame(result, "column string, n bigint, odds_ratio double, p_value double, significant boolean")

@@ -75,7 +75,7 @@ def rank_sums(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
 def gate_limits(sizes: DataFrame, slack: float) -> DataFrame:
     """Hash bounds from ``(column, group, n, k)``: keep a little more than ``k`` of ``n`` rows."""
     share = (F.col("k") + slack * F.sqrt("k") + 16.0) / F.col("n")
-    top = (share * F.lit(2.0**64) - F.lit(2.0**63)).cast("long")
+    top = (share * F.lit(2.0**60)).cast("long")
     return sizes.select(
         "column", "group", "k", F.when(share >= 1.0, F.lit(2**63 - 1)).otherwise(top).alias("top")
     )
@@ -91,7 +91,7 @@ def sample_per_group(
     """
     base = df.where(ref(group).isNotNull()).select(
         ref(group).cast("string").alias("group"),
-        F.xxhash64(ref(key), F.lit(seed)).alias("hash"),
+        F.conv(F.substring(F.md5(F.concat(F.coalesce(ref(key).cast("string"), F.lit("")), F.lit(f"-{seed}")).cast("binary")), 1, 15), 16, 10).cast("long").alias("hash"),
         *[number(df, c).alias(c) for c in columns],
     )
     long = long_numbers(base, columns, ["group", "hash"])
@@ -306,6 +306,41 @@ def anova(groups: int, total: int, between: float, within: float) -> tuple[float
     return f, tails.f_sf(f, d1, d2)
 
 
+def tukey_hsd(df: DataFrame, columns: Sequence[str], group: str, alpha: float = 0.05) -> DataFrame:
+    """Tukey's honestly significant difference (Tukey-Kramer for unequal groups) of all pairs of groups, per column.
+
+    Only group moments are paired, never rows. Groups with fewer than two values are left out; a column with fewer than two
+    groups has no row, one without any spread inside its groups has no p-value.
+
+    Returns ``(column, group1, group2, mean_difference, statistic, p_value, significant)``.
+    """
+    moments = materialize(group_moments(df, columns, group).where("n >= 2"), "moments")
+    pooled = anova_parts(moments).where("groups >= 2").select(
+        "column", "groups", (F.col("total") - F.col("groups")).alias("freedom"), (F.col("within") / (F.col("total") - F.col("groups"))).alias("mse")
+    )
+    side = lambda i: moments.select("column", F.col("group").alias(f"group{i}"), F.col("n").alias(f"n{i}"), F.col("mean").alias(f"mean{i}"))
+    pairs = side(1).join(side(2), "column").where("group1 < group2").join(F.broadcast(pooled), "column")  # one row per column
+    gap = F.col("mean1") - F.col("mean2")
+    error = F.sqrt(F.col("mse") / 2 * (1 / F.col("n1") + 1 / F.col("n2")))
+    tested = pairs.withColumns({"gap": gap, "q": F.when(F.col("mse") > 0, F.abs(gap) / error)})
+
+    def tail(batches):
+        for pdf in batches:
+            p = pd.Series(math.nan, index=pdf.index)
+            for (k, freedom), rows in pdf[pdf["q"].notna()].groupby(["groups", "freedom"]):
+                p.loc[rows.index] = tails.studentized_range_sf(rows["q"].to_numpy(), int(k), float(freedom))
+            yield pdf.assign(p=p)
+
+    schema = "column string, group1 string, group2 string, gap double, q double, groups long, freedom long"
+    names = [f.split()[0] for f in schema.split(", ")]
+    found = tested.select(*names).mapInPandas(tail, f"{schema}, p double")
+    p = F.nanvl("p", F.lit(None).cast("double"))
+    return found.select(
+        "column", "group1", "group2", F.round("gap", 4).alias("mean_difference"), F.round("q", 4).alias("statistic"),
+        F.round(p, 6).alias("p_value"), (p < alpha).alias("significant"),
+    )
+
+
 def kruskal_parts(sums: DataFrame) -> DataFrame:
     square = F.col("rank_sum") * F.col("rank_sum") / F.col("n")
     return sums.groupBy("column").agg(

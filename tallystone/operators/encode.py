@@ -12,6 +12,9 @@ from tallystone.operators.selectors import CheckFailed
 
 OTHER = "other"
 
+#: Categories of a column that are allowed without asking for more: each becomes a column of the result.
+MOST_CATEGORIES = 1000
+
 ONE_HOT_SCHEMA = "column string, position int, category string, grouped boolean"
 
 
@@ -19,26 +22,23 @@ def fit_one_hot(
     df: DataFrame,
     columns: Sequence[str],
     max_categories: int | None = None,
-    limit: int | None = None,
+    limit: int = MOST_CATEGORIES,
 ) -> DataFrame:
     """Sorted categories per column; position 0 is the dropped level.
 
     ``max_categories`` keeps the most frequent ones and folds the rest into
-    ``other``. With a ``limit``, a column with more categories is refused; without one, every category
-    becomes a column.
+    ``other``. Without it every category becomes a column, and a column with more categories than ``limit`` is refused; the
+    driver sees one level more than that at most.
     """
     counts = long_strings(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
     keep = max_categories if max_categories is not None else limit
-    if keep is None:
-        top = counts.collect()  # each becomes a column of the result
-    else:
-        # the rank filter leaves at most keep + 1 rows per column
-        w = Window.partitionBy("column").orderBy(F.desc("n"), "value")
-        top = counts.withColumn("at", F.row_number().over(w)).where(F.col("at") <= keep + 1).collect()
+    # the rank filter leaves at most keep + 1 rows per column
+    w = Window.partitionBy("column").orderBy(F.desc("n"), "value")
+    top = counts.withColumn("at", F.row_number().over(w)).where(F.col("at") <= keep + 1).collect()
     rows: list[tuple] = []
     for c in columns:
         found = sorted((r for r in top if r["column"] == c), key=lambda r: (-r["n"], r["value"]))
-        over = keep is not None and len(found) > keep
+        over = len(found) > keep
         if over and max_categories is None:
             raise ValueError(f"{c} has more than {limit} categories")
         names = sorted(r["value"] for r in found[:keep])

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +17,7 @@ from tallystone.functions.columns import (
     ref,
     text_literal,
 )
+from tallystone.operators.neighbours import nearest_donors
 from tallystone.operators.profile import categorical_profile
 from tallystone.operators.quantiles import exact_quantiles
 from tallystone.operators.ranks import value_cells
@@ -122,72 +121,71 @@ def knn_impute(
 ) -> DataFrame:
     """Fill each hole with the mean of the ``k`` nearest donors that have the value.
 
-    Distance is Euclidean over the columns both rows have, scaled up by the share
-    of columns left out. Every donor is considered: incomplete rows and donors are
-    hashed into blocks of bounded size, each pair of blocks is one task, and a task
-    hands on only its ``k`` best donors per hole. The work grows with holes times
-    donors. Equal distances go to the lower donor key; a hole without any donor
-    takes the mean of the donors' column.
+    Distance is Euclidean over the columns both rows have, scaled up by the share of columns left out. Rows with the same
+    columns present form a pattern; for each pattern of incomplete rows and each of donors the columns of both are searched
+    by a pivot index (see :mod:`tallystone.operators.neighbours`), so that donors which cannot be nearer are not visited, and the
+    nearest over all donor patterns are taken. Equal distances go to the lower donor key, a row is not its own donor; a hole
+    without any donor takes the mean of the donors' column.
+    """
+    return knn_search(df, key, columns, donors, k, holes_per_block, donors_per_block)[0]
+
+
+def knn_search(
+    df: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    donors: DataFrame | None = None,
+    k: int = 5,
+    holes_per_block: int = KNN_HOLES,
+    donors_per_block: int = KNN_DONORS,
+) -> tuple[DataFrame, DataFrame | None]:
+    """The filled table, and ``(g, queries, donors, pairs)``: the distances measured for each pair of patterns.
+
+    Without holes, or where no donor shares a column with an incomplete row, there is nothing to measure and the second is None.
     """
     donors = donors if donors is not None else df
     columns = list(columns)
-    wide = df.select(ref(key).alias("_key"), *[number(df, c).alias(c) for c in columns])
-    any_gap = F.exists(F.array(*[ref(c).isNull() for c in columns]), lambda gap: gap)
-    gaps = materialize(wide.where(any_gap), "holes")
-    n_gaps = gaps.count()
-    if n_gaps == 0:
-        return df.select(*[number(df, c).alias(c) if c in columns else ref(c) for c in df.columns])
-    pool = donors.select(ref(key).alias("_donor"), *[number(donors, c).alias(c) for c in columns])
-    kind = lambda d, c: d.schema[c].dataType.simpleString()
-    hole_blocks = -(-n_gaps // holes_per_block)
-    donor_blocks = max(1, -(-pool.count() // donors_per_block))
-
-    def block(column: str, n: int):
-        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-
-    def each(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = gaps.withColumn("hb", block("_key", hole_blocks)).withColumn("db", each(donor_blocks))
-    right = pool.withColumn("db", block("_donor", donor_blocks)).withColumn("hb", each(hole_blocks))
-
-    def nearest(holes: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
-        return _nearest(holes, near, columns, k)
-
-    candidates = (
-        left.groupBy("hb", "db")
-        .cogroup(right.groupBy("hb", "db"))
-        .applyInPandas(nearest, f"_key {kind(wide, '_key')}, column string, _donor {kind(pool, '_donor')}, distance double, value double")
+    plain = [number(df, c).alias(c) if c in columns else ref(c) for c in df.columns]
+    values = lambda d: F.array(*[number(d, c) for c in columns])
+    pattern = F.concat_ws("", F.transform("v", lambda v: F.when(v.isNull(), "0").otherwise("1")))
+    holes = df.select(ref(key).alias("_key"), values(df).alias("v")).withColumn("has", pattern)
+    holes = materialize(holes.where(F.contains("has", F.lit("0"))), "holes")
+    pool = donors.select(ref(key).alias("d"), values(donors).alias("v")).withColumn("has", pattern)
+    means = donors.agg(*[F.avg(number(donors, c)).alias(c) for c in columns]).first()
+    mean_or = lambda c, fill: F.coalesce(number(df, c), fill, F.lit(means[c]))
+    by_mean = df.select(*[mean_or(c, F.lit(None).cast("double")).alias(c) if c in columns else ref(c) for c in df.columns])
+
+    patterns = lambda d: sorted(r["has"] for r in d.select("has").distinct().collect())
+    wanted = patterns(holes)
+    if not wanted:
+        return df.select(*plain), None
+    met = []
+    for o in wanted:
+        for d in patterns(pool):
+            shared = "".join("1" if a == b == "1" else "0" for a, b in zip(o, d))
+            if "1" in shared and any(a == "0" and b == "1" for a, b in zip(o, d)):
+                met.append((f"{o}|{d}", o, d, shared))
+    if not met:
+        return by_mean, None
+    pairs = F.broadcast(df.sparkSession.createDataFrame(met, "g string, o string, p string, shared string"))  # pairs of patterns
+    part = F.filter(
+        F.transform("v", lambda v, i: F.when(F.substring("shared", i + 1, F.lit(1)) == "1", v)), lambda v: v.isNotNull()
     )
-    w = Window.partitionBy("_key", "column").orderBy("distance", "_donor")
-    best = candidates.withColumn("at", F.row_number().over(w)).where(F.col("at") <= k)
+    asked = holes.join(pairs, F.col("has") == F.col("o")).select("_key", "g", part.alias("x"), "v")
+    given = pool.join(pairs, F.col("has") == F.col("p")).select("g", "d", part.alias("x"), "v")
+    # one more than k: a row's own key may be among the donors
+    near = nearest_donors(asked, given, k + 1, holes_per_block, donors_per_block)
+    found = asked.select("_key", "g", "x", F.col("v").alias("mine")).join(near.found, ["g", "x"]).where(F.col("d") != F.col("_key"))
+    scale = F.sqrt(F.lit(float(len(columns))) / F.size("x"))
+    cells = found.select(
+        "_key", "d", (F.col("distance") * scale).alias("distance"),
+        F.posexplode(F.transform("mine", lambda m, i: F.when(m.isNull(), F.get("v", i)))).alias("at", "value"),
+    ).where(F.col("value").isNotNull())
+    w = Window.partitionBy("_key", "at").orderBy("distance", "d")
+    best = cells.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k)
     filled = best.groupBy("_key").agg(
-        *[F.avg(F.when(F.col("column") == c, F.col("value"))).alias(f"{c}|fill") for c in columns]
+        *[F.avg(F.when(F.col("at") == i, F.col("value"))).alias(f"{c}|fill") for i, c in enumerate(columns)]
     )
-    means = donors.agg(*[F.avg(number(donors, c)).alias(c) for c in columns]).first()
     joined = df.join(filled, df[key] == filled["_key"], "left")
-    return joined.select(*[
-        F.coalesce(number(df, c), ref(f"{c}|fill"), F.lit(means[c])).alias(c) if c in columns else ref(c)
-        for c in df.columns
-    ])
-
-
-def _nearest(holes: pd.DataFrame, near: pd.DataFrame, columns: list[str], k: int) -> pd.DataFrame:
-    """The ``k`` nearest donors of one block for every hole of another."""
-    target, donor = holes[columns].to_numpy(dtype=float), near[columns].to_numpy(dtype=float)
-    keys, donor_keys = holes["_key"].to_numpy(), near["_donor"].to_numpy()
-    known = ~np.isnan(donor)
-    found = []
-    for i, key in enumerate(keys):
-        gap = np.isnan(target[i])
-        both = known & ~gap
-        n_both = both.sum(axis=1)
-        diff = np.where(both, donor - target[i], 0.0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            dist = np.sqrt((diff * diff).sum(axis=1) * len(columns) / n_both)
-        usable = (n_both > 0) & (donor_keys != key)
-        for j in np.flatnonzero(gap):
-            pick = np.flatnonzero(usable & known[:, j])
-            order = pick[np.lexsort((donor_keys[pick], dist[pick]))[:k]]
-            found += [(key, columns[j], donor_keys[d], dist[d], donor[d, j]) for d in order]
-    return pd.DataFrame(found, columns=["_key", "column", "_donor", "distance", "value"])
+    done = joined.select(*[mean_or(c, ref(f"{c}|fill")).alias(c) if c in columns else ref(c) for c in df.columns])
+    return done, near.work

@@ -7,16 +7,16 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from math import exp, log
+from math import exp, log, log2
 from multiprocessing.pool import ThreadPool
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -24,6 +24,11 @@ from pyspark.util import inheritable_thread_target
 from tallystone.functions.columns import number, ref
 from tallystone.operators.metrics import threshold_metrics
 from tallystone.operators.split import with_class_weight
+from tallystone.session import materialize, scratch_path
+
+DEEPEST = 30  # of Spark's trees
+#: Rows that a part of a training table should hold: iterative fits run one job a step, small parts only add to its cost.
+ROWS_PER_PART = 50_000
 
 FEATURES, WEIGHT, LABEL = "features", "weight", "label"
 SEED = 42
@@ -32,8 +37,8 @@ SEED = 42
 DEFAULTS: dict[str, dict] = {
     "LogisticRegression": {"C": 1.0, "penalty": "l2", "max_iter": 1000},
     "RandomForest": {"n_estimators": 100},
-    "XGBoost": {"n_estimators": 100, "learning_rate": 0.1},
-    "LightGBM": {"n_estimators": 100, "learning_rate": 0.1},
+    "XGBoost": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 6},
+    "LightGBM": {"n_estimators": 100, "learning_rate": 0.1, "num_leaves": 31, "min_child_samples": 20},
 }
 
 # fixed values: search spaces as (kind, low, high) or (kind, choices)
@@ -41,10 +46,12 @@ SEARCH_SPACES: dict[str, dict[str, tuple]] = {
     "LogisticRegression": {
         "C": ("log_uniform", 0.001, 100),
         "penalty": ("categorical", ["l1", "l2"]),
+        "solver": ("categorical", ["liblinear", "saga"]),
     },
     "RandomForest": {
         "n_estimators": ("int", 50, 500),
         "max_depth": ("int", 3, 30),
+        "min_samples_split": ("int", 2, 20),
         "min_samples_leaf": ("int", 1, 10),
         "max_features": ("categorical", ["sqrt", "log2"]),
     },
@@ -61,6 +68,7 @@ SEARCH_SPACES: dict[str, dict[str, tuple]] = {
         "n_estimators": ("int", 50, 500),
         "max_depth": ("int", 3, 15),
         "learning_rate": ("log_uniform", 0.001, 0.3),
+        "num_leaves": ("int", 20, 150),
         "min_child_samples": ("int", 5, 100),
         "subsample": ("uniform", 0.6, 1.0),
         "colsample_bytree": ("uniform", 0.6, 1.0),
@@ -82,7 +90,12 @@ _TREE_NAMES = {
 
 
 def make_estimator(name: str, params: Mapping | None = None, rows: int = 1, seed: int = SEED) -> Estimator:
-    """A Spark estimator for a model name; ``rows`` turns C into a per-row penalty."""
+    """A Spark estimator for a model name; ``rows`` turns C into a per-row penalty.
+
+    Three parameters have no exact counterpart. ``solver`` changes nothing: Spark has one for each penalty. ``num_leaves`` bounds the
+    depth so that no tree can have more leaves. ``min_samples_split`` asks for half as many rows in both children, so that no
+    node with fewer rows is split (and some with more are not either).
+    """
     if name not in DEFAULTS:
         raise ValueError(f"unknown model: {name}; known: {sorted(DEFAULTS)}")
     p = {**DEFAULTS[name], **(params or {})}
@@ -96,6 +109,10 @@ def make_estimator(name: str, params: Mapping | None = None, rows: int = 1, seed
             standardization=False,
         )
     rounds = p.pop("n_estimators")
+    if "num_leaves" in p:
+        p["max_depth"] = min(p.get("max_depth", DEEPEST), int(log2(p.pop("num_leaves"))))
+    if "min_samples_split" in p:
+        p["min_samples_leaf"] = max(p.get("min_samples_leaf", 1), -(-p.pop("min_samples_split") // 2))
     spark_params = {}
     for key, value in p.items():
         if key not in _TREE_NAMES:
@@ -118,6 +135,12 @@ def assemble(df: DataFrame, features: Sequence[str], label: str, keep: Sequence[
     return vector.transform(ready).select(*[ref(k) for k in keep], LABEL, WEIGHT, FEATURES)
 
 
+def sized(data: DataFrame, key: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """The table written in parts of even size, in key order within each, so that a fit sees the same rows in the same order again."""
+    parts = max(1, -(-data.count() // rows_per_part))
+    return materialize(data.repartition(parts, ref(key)).sortWithinPartitions(ref(key)), "sized")
+
+
 @dataclass
 class Trained:
     name: str
@@ -210,48 +233,64 @@ def draw(space: Mapping[str, tuple], rng: random.Random) -> dict:
     return point
 
 
+TRIALS_SCHEMA = "model string, params string, score double, seconds double, trial int, fold int"
+
+
 def random_search(
     name: str,
     data: DataFrame,
     fold: str = "fold",
     trials: int = 50,
     space: Mapping[str, tuple] | None = None,
-    parallelism: int = 4,
+    parallelism: int = 8,
     seed: int = SEED,
+    path: str | None = None,
 ) -> tuple[dict, DataFrame]:
     """Best parameters by mean F1 over the folds, and every trial with its score.
 
-    Parameters outside the space keep their defaults, also in the returned set.
+    Parameters outside the space keep their defaults, also in the returned set. Each (trial, fold) is written to ``path`` as soon as it
+    ends. A search that is started again with the same path and seed fits only what is missing, so one that broke off goes on; trials
+    depend on the seed alone, and more trials may be asked for later.
     """
+    spark = data.sparkSession
     space = SEARCH_SPACES[name] if space is None else space
     rng = random.Random(seed)
     points = [draw(space, rng) for _ in range(trials)]
-    rows = data.count()
-    estimator = make_estimator(name, None, rows, seed)
-    # a trial is the parameter map of an estimator built for that point
-    maps = [
-        {estimator.getParam(p.name): v for p, v in make_estimator(name, pt, rows, seed).extractParamMap().items()}
-        for pt in points
-    ]
-    n_folds = data.agg(F.max(fold)).first()[0] + 1
-    cv = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=maps,
-        evaluator=MulticlassClassificationEvaluator(
-            labelCol=LABEL, metricName="fMeasureByLabel", metricLabel=1.0, beta=1.0
-        ),
-        numFolds=n_folds,
-        foldCol=fold,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    scores = [float(x) for x in cv.fit(data).avgMetrics]
-    best = max(range(trials), key=lambda i: (scores[i], -i))
-    trials_df = data.sparkSession.createDataFrame(
-        [(name, i, str(points[i]), scores[i]) for i in range(trials)],
-        "model string, trial int, params string, score double",
-    )
-    return {**DEFAULTS[name], **points[best]}, trials_df
+    sizes = {r[0]: r[1] for r in data.groupBy(fold).count().collect()}  # one row per fold
+    path = path or scratch_path(spark, "trials")
+    done = {(r["trial"], r["fold"]): r["params"] for r in _trial_rows(spark, path).select("trial", "fold", "params").collect()}
+    other = [t for (t, _), params in done.items() if t < trials and params != str(points[t])]
+    if other:
+        raise ValueError(f"{path} holds trials of another search: {sorted(set(other))[:5]}")
+    evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="fMeasureByLabel", metricLabel=1.0, beta=1.0)
+
+    def fit(job: tuple[int, int]) -> None:
+        trial, held = job
+        start = time.monotonic()
+        estimator = make_estimator(name, points[trial], sum(sizes.values()) - sizes[held], seed)
+        model = estimator.fit(data.where(F.col(fold) != held))
+        score = float(evaluator.evaluate(model.transform(data.where(F.col(fold) == held))))
+        row = [(name, str(points[trial]), score, time.monotonic() - start)]
+        one = spark.createDataFrame(row, "model string, params string, score double, seconds double")
+        one.coalesce(1).write.mode("overwrite").json(f"{path}/trial={trial}/fold={held}")
+
+    left = [(t, f) for t in range(trials) for f in sorted(sizes) if (t, f) not in done]
+    with ThreadPool(parallelism) as pool:
+        for _ in pool.imap_unordered(inheritable_thread_target(spark)(fit), left):
+            pass
+    rows = _trial_rows(spark, path).where((F.col("trial") < trials) & F.col("fold").isin(list(sizes)))
+    found = rows.groupBy("model", "trial", "params").agg(F.avg("score").alias("score"))
+    best = min(found.collect(), key=lambda r: (-r["score"], r["trial"]))["trial"]  # one row per trial
+    return {**DEFAULTS[name], **points[best]}, found
+
+
+def _trial_rows(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(TRIALS_SCHEMA).json(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], TRIALS_SCHEMA)
+        raise
 
 
 def native_importance(trained: Trained) -> DataFrame:

@@ -296,3 +296,9 @@ def box_stats(spark, sf):
 )
 def box_outliers(spark, sf):
     return plotdata.box_outliers(table(spark, sf, "events"), ["value"])
+
+
+@query("preview", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5")
+def preview(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return selectors.preview(orders.orderBy("o_orderkey"), 5)

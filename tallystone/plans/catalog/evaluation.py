@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallystone.operators import gates, metrics, plotdata
+from tallystone.operators import gates, metrics, models, plotdata
 from tallystone.plans.catalog.registry import RIVAL, SCORED, query, rival, rounded, scored
 
 COUNTS = """count(*) FILTER (WHERE y = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE y = 0 AND pred = 1) AS fp,
@@ -338,3 +338,16 @@ def precision_recall_points(spark, sf):
 )
 def calibration_curve(spark, sf):
     return rounded(plotdata.calibration_curve(scored(spark, sf)), 6)
+
+
+@query(
+    "cv_median",
+    f"""WITH s AS (SELECT *, doc_id % 5 AS fold FROM ({SCORED})),
+    f AS (SELECT fold, coalesce(2.0 * count(*) FILTER (y = 1 AND pred = 1) / nullif(count(*) FILTER (y = 1 OR pred = 1) + count(*) FILTER (y = 1 AND pred = 1), 0), 0) AS f1 FROM s GROUP BY 1)
+    SELECT 'text_length' AS model, count(*) AS n_folds, round(median(f1), 6) AS cv_median, round(stddev_pop(f1), 6) AS cv_std,
+      round(min(f1), 6) AS cv_min, round(max(f1), 6) AS cv_max FROM f""",
+)
+def cv_median(spark, sf):
+    folded = scored(spark, sf).withColumn("fold", F.col("doc_id") % 5)
+    scores = metrics.threshold_metrics(folded, by=["fold"]).select(F.lit("text_length").alias("model"), "fold", "f1_score")
+    return rounded(models.cv_summary(scores, "median"), 6)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallystone.functions import normality
 from tallystone.operators import association, compare, correlation, drift
 from tallystone.plans.catalog.registry import (
     LINE_NUMBERS,
@@ -110,14 +111,97 @@ def mann_whitney(spark, sf):
     return rounded(compare.two_group_compare(df, LINE_NUMBERS, "l_linestatus", "F", "O", test="rank"), 6)
 
 
-@query("two_group_compare")
-def two_group_compare(spark, sf):
-    return compare.two_group_compare(loan(spark, sf), LOAN_NUMBERS, "Loan_Status", "Y", "N", "Customer_ID")
+@query(
+    "two_group_min_size",
+    f"""WITH long AS ({long_values(["l_quantity", "l_quantity_n"], f"({LINEITEM_HOLES})", "l_linestatus AS g")}),
+    {NODES}, {TWO_MOMENTS.format(a="F", b="O")},
+    t AS (SELECT *, (m1 - m2) / sqrt(v1 + v2) AS stat,
+          (v1 + v2) * (v1 + v2) / (v1*v1/(n1-1) + v2*v2/(n2-1)) AS v FROM e WHERE least(n1, n2) >= 2500),
+    p AS (SELECT "column", 2 * {t_tail("abs(stat)", "v")} AS p FROM t, nodes GROUP BY 1)
+    SELECT "column", 'Welch''s t-test' AS test_type, {TWO_COLUMNS} FROM t JOIN p USING ("column")""",
+)
+def two_group_min_size(spark, sf):
+    columns = ["l_quantity", "l_quantity_n"]
+    found = compare.two_group_compare(lineitem_holes(spark, sf), columns, "l_linestatus", "F", "O", test="welch", min_size=2500)
+    return rounded(found, 6)
+
+
+# ---- the normality gate: the same 5000 rows a group, Royston's statistic, then the test it picks ----
+
+# fixed values: the rational pieces of the published normal quantile AS 241, highest power first
+QUANTILE_CENTRE = (
+    [2509.0809287301226727, 33430.575583588128105, 67265.770927008700853, 45921.953931549871457, 13731.693765509461125, 1971.5909503065514427, 133.14166789178437745, 3.387132872796366608],
+    [5226.495278852854561, 28729.085735721942674, 39307.89580009271061, 21213.794301586595867, 5394.1960214247511077, 687.1870074920579083, 42.313330701600911252, 1.0],
+)
+QUANTILE_SIDE = (
+    [7.7454501427834140764e-4, 0.0227238449892691845833, 0.24178072517745061177, 1.27045825245236838258, 3.64784832476320460504, 5.7694972214606914055, 4.6303378461565452959, 1.42343711074968357734],
+    [1.05075007164441684324e-9, 5.475938084995344946e-4, 0.0151986665636164571966, 0.14810397642748007459, 0.68976733498510000455, 1.6763848301838038494, 2.05319162663775882187, 1.0],
+)
+
+
+def polynomial(coefficients, x: str) -> str:
+    """By Horner's rule, highest power first."""
+    text = repr(coefficients[0])
+    for c in coefficients[1:]:
+        text = f"({text} * {x} + {c!r})"
+    return text
+
+
+def rational(pieces, x: str) -> str:
+    return f"({polynomial(pieces[0], x)} / {polynomial(pieces[1], x)})"
+
+
+def royston(source: str, rows: str) -> str:
+    """Subqueries up to ``sw ("column", g, n, w, p)`` over ``source ("column", g, value, hash)``; ``rows`` is a group's sample size."""
+    weight = lambda name, u: polynomial(list(reversed(getattr(normality, name))), u)
+    return f"""
+    counted AS (SELECT "column", g, count(*) AS n_all FROM {source} GROUP BY 1, 2),
+    limits AS (SELECT "column", g, CAST({rows} AS BIGINT) AS k FROM counted),
+    ordered AS (SELECT "column", g, value, row_number() OVER (PARTITION BY "column", g ORDER BY hash) AS pos FROM {source}),
+    picked AS (SELECT o."column", o.g, value, k AS n, row_number() OVER (PARTITION BY o."column", o.g ORDER BY value) AS i
+               FROM ordered o JOIN limits USING ("column", g) WHERE pos <= k),
+    shares AS (SELECT *, (i - 0.375) / (n + 0.25) - 0.5 AS q FROM picked),
+    reduced AS (SELECT *, 0.180625 - q * q AS r1, sqrt(-ln(0.5 - abs(q))) - 1.6 AS r2 FROM shares),
+    scored AS MATERIALIZED (SELECT *, CASE WHEN abs(q) <= 0.425 THEN q * {rational(QUANTILE_CENTRE, "r1")}
+               ELSE sign(q) * {rational(QUANTILE_SIDE, "r2")} END AS m FROM reduced),
+    norms AS (SELECT "column", g, n, sum(m * m) AS norm, max(m) FILTER (WHERE i = n) AS mn, max(m) FILTER (WHERE i = n - 1) AS mp,
+              avg(value) AS mean, var_samp(value) * (n - 1) AS spread, 1 / sqrt(n) AS u FROM scored GROUP BY 1, 2, 3),
+    ends AS (SELECT *, mn / sqrt(norm) + {weight("WEIGHT_LAST", "u")} AS e1, mp / sqrt(norm) + {weight("WEIGHT_SECOND", "u")} AS e2 FROM norms),
+    whole AS (SELECT *, sqrt((norm - 2 * mn * mn - 2 * mp * mp) / (1 - 2 * e1 * e1 - 2 * e2 * e2)) AS phi FROM ends),
+    stats AS (SELECT "column", g, w.n, least(1, pow(sum(value * CASE WHEN i = w.n THEN e1 WHEN i = w.n - 1 THEN e2 WHEN i = 1 THEN -e1 WHEN i = 2 THEN -e2
+              ELSE m / phi END), 2) / any_value(spread)) AS w FROM scored JOIN whole w USING ("column", g) GROUP BY 1, 2, 3),
+    zeds AS (SELECT *, ln(n) AS l, ln(1 - w) AS y FROM stats),
+    zed AS (SELECT *, (y - {weight("LARGE_MEAN", "l")}) / exp({weight("LARGE_LOG_SD", "l")}) AS z FROM zeds),
+    sw AS (SELECT "column", g, n, w, {normal_tail("z")} AS p FROM zed, nodes GROUP BY 1, 2, 3, 4)"""
+
+
+HASH = "substr(md5(CAST(Customer_ID AS VARCHAR) || '-42'), 1, 15) AS hash"
+LOAN_HASHED = f"long AS MATERIALIZED ({long_values(LOAN_NUMBERS, f'({LOAN})', f'Loan_Status AS g, {HASH}')})"
 
 
-@query("normality_check")
+@query(
+    "normality_check",
+    f"""WITH {LOAN_HASHED}, {NODES}, {royston("long", "least(n_all, 5000)")}
+    SELECT "column", g AS "group", n, round(w, 6) AS w, round(p, 6) AS p_value FROM sw""",
+)
 def normality_check(spark, sf):
-    return compare.normality_check(loan(spark, sf), LOAN_NUMBERS, "Loan_Status", "Customer_ID")
+    return rounded(compare.normality_check(loan(spark, sf), LOAN_NUMBERS, "Loan_Status", "Customer_ID"), 6)
+
+
+@query(
+    "two_group_compare",
+    f"""WITH {LOAN_HASHED}, {NODES}, {TWO_MOMENTS.format(a="Y", b="N")}, {RANKS}, {U_TEST.format(a="Y")},
+    {royston("long", 'least(min(n_all) OVER (PARTITION BY "column"), 5000)')},
+    gate AS (SELECT "column", min(p) < 0.05 AS ranked FROM sw GROUP BY 1),
+    t AS (SELECT *, (m1 - m2) / sqrt(v1 + v2) AS t, (v1 + v2) * (v1 + v2) / (v1*v1/(n1-1) + v2*v2/(n2-1)) AS v FROM e),
+    pw AS (SELECT "column", 2 * {t_tail("abs(t)", "v")} AS pw FROM t, nodes GROUP BY 1),
+    pm AS (SELECT "column", least(1, 2 * {normal_tail("zed")}) AS pm FROM zz, nodes GROUP BY 1),
+    f AS (SELECT t.*, ranked, CASE WHEN ranked THEN zz.stat ELSE t END AS stat, CASE WHEN ranked THEN pm ELSE pw END AS p
+          FROM t JOIN zz USING ("column") JOIN gate USING ("column") JOIN pw USING ("column") JOIN pm USING ("column"))
+    SELECT "column", CASE WHEN ranked THEN 'Mann-Whitney U' ELSE 'Welch''s t-test' END AS test_type, {TWO_COLUMNS} FROM f""",
+)
+def two_group_compare(spark, sf):
+    return rounded(compare.two_group_compare(loan(spark, sf), LOAN_NUMBERS, "Loan_Status", "Y", "N", "Customer_ID"), 6)
 
 
 PART = f"long AS ({long_values(['p_retailprice', 'p_size'], 'part', 'p_type AS g')})"
@@ -156,11 +240,71 @@ def kruskal(spark, sf):
     return rounded(compare.multi_group_compare(df, ["p_retailprice", "p_size"], "p_type", test="rank"), 6)
 
 
-@query("multi_group_compare")
+AREA = long_values(["Applicant_Income", "Loan_Amount"], f"({LOAN})", f"Property_Area AS g, {HASH}")
+
+
+@query(
+    "multi_group_compare",
+    f"""WITH long AS MATERIALIZED ({AREA}), {NODES}, {RANKS}, {royston("long", "least(n_all, 5000)")},
+    gate AS (SELECT "column", min(p) < 0.05 AS ranked FROM sw GROUP BY 1),
+    k AS (SELECT "column", g, count(*) AS n, avg(value) AS m, var_samp(value) AS s2, sum(rk) AS rs FROM r GROUP BY 1, 2),
+    t AS (SELECT "column", avg(value) AS grand FROM long GROUP BY 1),
+    f AS (SELECT "column", count(*) AS n_groups, CAST(sum(n) AS DOUBLE) AS total, sum(rs * rs / n) AS q,
+          (sum(n * (m - grand) * (m - grand)) / (count(*) - 1)) / (sum((n - 1) * s2) / (sum(n) - count(*))) AS a
+          FROM k JOIN t USING ("column") GROUP BY 1),
+    h AS (SELECT *, (12 / (total * (total + 1)) * q - 3 * (total + 1)) / (1 - tie / (total * total * total - total)) AS h
+          FROM f JOIN ties USING ("column")),
+    p AS (SELECT "column", {chi2_tail("h", "(n_groups - 1)")} AS ph, {f_tail("a", "(n_groups - 1)", "(total - n_groups)")} AS pa
+          FROM h, nodes GROUP BY 1),
+    c AS (SELECT "column", ranked, n_groups, CASE WHEN ranked THEN h ELSE a END AS stat, CASE WHEN ranked THEN ph ELSE pa END AS p
+          FROM h JOIN p USING ("column") JOIN gate USING ("column"))
+    SELECT "column", CASE WHEN ranked THEN 'Kruskal-Wallis H-test' ELSE 'One-way ANOVA' END AS test_type, n_groups,
+      round(stat, 4) AS statistic, round(p, 6) AS p_value, p < 0.05 AS significant FROM c""",
+)
 def multi_group_compare(spark, sf):
-    return compare.multi_group_compare(
+    found = compare.multi_group_compare(
         loan(spark, sf), ["Applicant_Income", "Loan_Amount"], "Property_Area", "Customer_ID"
     )
+    return rounded(found, 6)
+
+
+# fixed values: the published rational form of the normal distribution function, highest power first
+CDF_PIECES = (
+    [0.0352624965998911, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871, 221.213596169931, 220.206867912376],
+    [0.0883883476483184, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752],
+)
+
+
+def normal_below(x: str) -> str:
+    far = f"exp(-{x} * {x} / 2) / 2.506628274631 / (abs({x}) + 1 / (abs({x}) + 2 / (abs({x}) + 3 / (abs({x}) + 4 / (abs({x}) + 0.65)))))"
+    upper = f"CASE WHEN abs({x}) > 37 THEN 0 WHEN abs({x}) < 7 THEN exp(-{x} * {x} / 2) * {rational(CDF_PIECES, f'abs({x})')} ELSE {far} END"
+    return f"(CASE WHEN {x} > 0 THEN 1 - {upper} ELSE {upper} END)"
+
+
+FLAGS = f"long AS ({long_values(LINE_NUMBERS, 'lineitem', 'l_returnflag AS g')})"
+
+
+@query(
+    "tukey_hsd",
+    f"""WITH {FLAGS},
+    k AS (SELECT "column", g, count(*) AS n, avg(value) AS m, var_samp(value) AS s2 FROM long GROUP BY 1, 2),
+    f AS (SELECT "column", count(*) AS n_groups, CAST(sum(n) - count(*) AS DOUBLE) AS v, sum((n - 1) * s2) / (sum(n) - count(*)) AS mse FROM k GROUP BY 1),
+    pairs AS (SELECT a."column", a.g AS group1, b.g AS group2, n_groups, v, a.m - b.m AS gap,
+              abs(a.m - b.m) / sqrt(mse / 2 * (1.0 / a.n + 1.0 / b.n)) AS q
+              FROM k a JOIN k b ON a."column" = b."column" AND a.g < b.g JOIN f ON f."column" = a."column"),
+    zs AS (SELECT z, {normal_below("z")} AS below, exp(-z * z / 2) / sqrt(2 * pi()) * 17 / 400 AS share
+           FROM (SELECT -8.5 + (i + 0.5) * 17 / 400 AS z FROM generate_series(0, 399) t(i))),
+    wide AS (SELECT *, greatest(0, 1 - 12 / sqrt(2 * v)) AS low, 1 + 12 / sqrt(2 * v) AS high FROM pairs),
+    ss AS (SELECT *, low + (i + 0.5) * (high - low) / 80 AS s FROM wide, generate_series(0, 79) t(i)),
+    weighed AS (SELECT *, exp((v - 1) * ln(s) - v * (s * s - 1) / 2) AS w FROM ss),
+    cells AS (SELECT weighed.*, below, share, z - q * s AS x FROM weighed, zs),
+    inner_sums AS (SELECT "column", group1, group2, gap, q, s, w,
+                   sum(n_groups * share * pow(greatest(0, below - {normal_below("x")}), n_groups - 1)) AS h FROM cells GROUP BY ALL),
+    p AS (SELECT "column", group1, group2, gap, q, greatest(0, least(1, 1 - sum(w * h) / sum(w))) AS p FROM inner_sums GROUP BY ALL)
+    SELECT "column", group1, group2, round(gap, 4) AS mean_difference, round(q, 4) AS statistic, round(p, 6) AS p_value, p < 0.05 AS significant FROM p""",
+)
+def tukey_hsd(spark, sf):
+    return rounded(compare.tukey_hsd(table(spark, sf, "lineitem"), LINE_NUMBERS, "l_returnflag"), 6)
 
 
 # ---- association ----------------------------------------------------------------------------
@@ -230,6 +374,28 @@ def chi_square_with_nulls(spark, sf):
     return rounded(association.chi_square_tests(df, ["l_returnflag_n", "l_linenumber"], "l_linestatus"), 6)
 
 
+TWO_VALUED = ["Gender", "Married", "Education", "Self_Employed"]
+
+
+@query(
+    "fisher_exact",
+    f"""WITH long AS ({long_texts(TWO_VALUED, f"({LOAN})", "Loan_Status AS t")}),
+    marked AS (SELECT "column", value = min(value) OVER (PARTITION BY "column") AS v1, t = min(t) OVER () AS t1 FROM long),
+    m AS (SELECT "column", count(*) FILTER (v1 AND t1) AS a, count(*) FILTER (v1 AND NOT t1) AS b, count(*) FILTER (NOT v1 AND t1) AS c,
+          count(*) FILTER (NOT v1 AND NOT t1) AS d FROM marked GROUP BY 1),
+    s AS (SELECT *, a + b AS r, a + c AS k, a + b + c + d AS n FROM m),
+    x AS (SELECT *, unnest(generate_series(greatest(0, r + k - n), least(r, k))) AS x FROM s),
+    w AS (SELECT *, lgamma(k + 1) - lgamma(x + 1) - lgamma(k - x + 1) + lgamma(n - k + 1) - lgamma(r - x + 1) - lgamma(n - k - r + x + 1)
+          - lgamma(n + 1) + lgamma(r + 1) + lgamma(n - r + 1) AS l FROM x),
+    o AS (SELECT "column", l AS own FROM w WHERE x = a),
+    p AS (SELECT "column", any_value(n) AS n, any_value(a * d / (b * c)) AS odds, least(1, sum(exp(l)) FILTER (l <= own + 1e-7)) AS p
+          FROM w JOIN o USING ("column") GROUP BY 1)
+    SELECT "column", n, round(odds, 4) AS odds_ratio, round(p, 6) AS p_value, p < 0.05 AS significant FROM p""",
+)
+def fisher_exact(spark, sf):
+    return rounded(association.fisher_exact(loan(spark, sf), TWO_VALUED, "Loan_Status"), 6)
+
+
 # ---- drift ----------------------------------------------------------------------------------
 
 CUT = "2024-01-16"

@@ -10,12 +10,16 @@ from tallystone.operators import metrics, models, plotdata
 from tallystone.operators.split import stratified_folds
 from tallystone.plans.analysis import AnalysisSettings, analyze
 from tallystone.plans.catalog.preparation import ALL_FEATURES
-from tallystone.plans.catalog.registry import LOAN, loan, query, rounded
+from tallystone.plans.catalog.registry import LOAN, loan, query, rounded, table
 from tallystone.plans.prepare import FittedPreparation, fit_preparation, loan_settings, prepare
 from tallystone.session import materialize, scratch_path
 from tallystone.sources.tables import (
     LOAN_SCHEMA,
+    append_run_metadata,
+    load_run_metadata,
     load_split,
+    publish_run,
+    read_published,
     read_table,
     save_split,
     training_metadata,
@@ -34,8 +38,8 @@ def _ready(spark, sf):
     ready, _ = prepare(loan(spark, sf), replace(loan_settings(), keep_key=True), check_shift=False)
     names = [c for c in ready.columns if c not in (KEY, TARGET, "split")]
     parts = (ready.where(F.col("split") == s).drop("split") for s in ("train", "test"))
-    train, test = (models.assemble(part, names, TARGET, keep=[KEY]) for part in parts)
-    return train.persist(), test, names  # iterative fits read train many times
+    train, test = (models.sized(models.assemble(part, names, TARGET, keep=[KEY]), KEY) for part in parts)
+    return train, test, names
 
 
 def _trained_metrics(spark, sf, name, params=None):
@@ -68,7 +72,7 @@ def train_boosted_trees_second_preset(spark, sf):
 @query("cross_validation")
 def cross_validation(spark, sf):
     train, _, _ = _ready(spark, sf)
-    folded = stratified_folds(train, KEY, models.LABEL, 10).persist()
+    folded = materialize(stratified_folds(train, KEY, models.LABEL, 10), "folds")
     return models.cross_validate("LogisticRegression", folded)
 
 
@@ -80,7 +84,7 @@ def cross_validation_summary(spark, sf):
 @query("random_search")
 def random_search(spark, sf):
     train, _, _ = _ready(spark, sf)
-    folded = stratified_folds(train, KEY, models.LABEL, 5).persist()
+    folded = materialize(stratified_folds(train, KEY, models.LABEL, 5), "folds")
     _, trials = models.random_search("RandomForest", folded)
     return trials
 
@@ -147,6 +151,40 @@ def metadata(spark, sf):
     return training_metadata(*load_split(spark, path, "o_orderstatus"), "o_orderstatus")
 
 
+@query(
+    "run_metadata",
+    """SELECT 'r1' AS run_id, 'rows' AS fact, CAST(count(*) AS VARCHAR) AS value FROM orders
+    UNION ALL SELECT 'r1', 'status', string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) FROM orders
+    UNION ALL SELECT 'r2', 'rows', CAST(count(*) AS VARCHAR) FROM orders WHERE o_orderstatus = 'F'""",
+)
+def run_metadata(spark, sf):
+    """Two runs, the first of them tried again: its facts stand once."""
+    path = scratch_path(spark, "metadata")
+    orders = table(spark, sf, "orders")
+    status = ",".join(r[0] for r in orders.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect())
+    append_run_metadata(spark, path, "r1", {"rows": "unfinished"})
+    append_run_metadata(spark, path, "r1", {"rows": orders.count(), "status": status})
+    append_run_metadata(spark, path, "r2", {"rows": orders.where("o_orderstatus = 'F'").count()})
+    return load_run_metadata(spark, path).select("run_id", "fact", "value")
+
+
+@query(
+    "analysis_results",
+    f"""WITH loan AS ({LOAN})
+    SELECT '2024-01-01' AS run_id, Loan_Status AS class, count(*) AS n FROM loan GROUP BY 2
+    UNION ALL SELECT 'r2', Loan_Status, count(*) FROM loan WHERE Gender = 'Male' GROUP BY 2""",
+)
+def analysis_results(spark, sf):
+    """Published, published again in place of the first attempt, and read back beside another run."""
+    path = scratch_path(spark, "results")
+    df = materialize(loan(spark, sf), "loan")
+    counts = lambda rows: {"classes": rows.groupBy(F.col(TARGET).alias("class")).agg(F.count("*").alias("n")), "sizes": rows.agg(F.count("*").alias("n"))}
+    publish_run(counts(df.where("Gender = 'Female'")), path, "2024-01-01")
+    publish_run(counts(df), path, "2024-01-01", replace=True)
+    publish_run(counts(df.where("Gender = 'Male'")), path, "r2")
+    return read_published(spark, path, "classes").select("run_id", "class", "n")
+
+
 # ---- streams --------------------------------------------------------------------------------
 
 
@@ -165,17 +203,24 @@ def _loan_folder(spark, sf):
 
 
 STREAMED = ["Applicant_Income", "Loan_Amount"]
-
-
-@query(
-    "stream_preparation",
-    f"""WITH loan AS ({LOAN}),
+PREPARED = f"""WITH loan AS ({LOAN}),
     s AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in STREAMED)} FROM loan)
     SELECT Customer_ID, {", ".join(f"round(({c} - m_{c}) / s_{c}, 4) + 0.0 AS {c}" for c in STREAMED)},
       {ALL_FEATURES["Income_Ratio"]} AS Income_Ratio, CAST(Property_Area = 'Urban' AS INT) AS Property_Area_Urban,
       CASE Loan_Status WHEN 'Y' THEN 1 ELSE 0 END AS Loan_Status
-    FROM loan, s""",
-)
+    FROM loan, s"""
+
+
+@query("prepared_from_folder", PREPARED)
+def prepared_from_folder(spark, sf):
+    """Everything that a fitted preparation needs lies in its folder."""
+    path = scratch_path(spark, "fitted")
+    fit_preparation(loan(spark, sf), replace(loan_settings(), keep_key=True)).save(path)
+    ready = FittedPreparation.load(spark, path).apply(loan(spark, sf))
+    return rounded(ready.select(KEY, *STREAMED, "Income_Ratio", "Property_Area_Urban", TARGET), 4, STREAMED)
+
+
+@query("stream_preparation", PREPARED)
 def stream_preparation(spark, sf):
     fitted = _fitted(spark, sf)
     stream = read_stream(spark, _loan_folder(spark, sf), LOAN_SCHEMA)

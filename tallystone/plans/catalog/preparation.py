@@ -9,6 +9,7 @@ from tallystone.operators import (
     features,
     impute,
     outliers,
+    resample,
     scale,
     selection,
     split,
@@ -201,6 +202,33 @@ def knn_impute(spark, sf):
     return rounded(impute.knn_impute(df, "p_partkey", ["p_retailprice", "p_size"]))
 
 
+SMOTE_ROW = f"[{', '.join(f'CAST({c} AS DOUBLE)' for c in LOAN_NUMBERS)}]"
+SMOTE_GAP = " + ".join(f"(a.x[{i}] - b.x[{i}]) * (a.x[{i}] - b.x[{i}])" for i in range(1, len(LOAN_NUMBERS) + 1))
+SMOTE_HEX = "list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(range(1, {n} + 1), lambda i: CAST(instr('123456789abcdef', {h}[i]) AS BIGINT))), lambda a, b: a * 16 + b)"
+
+
+@query(
+    "smote",
+    f"""WITH loan AS ({LOAN}),
+    sizes AS (SELECT Loan_Status AS c, count(*) AS n, max(count(*)) OVER () AS most FROM loan GROUP BY 1),
+    small AS MATERIALIZED (SELECT Customer_ID AS id, Loan_Status AS c, {SMOTE_ROW} AS x, most - n AS need, n,
+      row_number() OVER (PARTITION BY Loan_Status ORDER BY md5(CAST(Customer_ID AS VARCHAR) || '-42')) AS pos
+      FROM loan JOIN sizes ON c = Loan_Status WHERE n < most),
+    base AS (SELECT *, need // n + CASE WHEN pos <= need % n THEN 1 ELSE 0 END AS copies FROM small),
+    near AS (SELECT a.id, list(b.id ORDER BY sqrt({SMOTE_GAP}), b.id)[1:5] AS ids
+      FROM base a JOIN small b ON a.c = b.c AND a.id <> b.id WHERE copies > 0 GROUP BY a.id),
+    made AS (SELECT base.id, c, x, ids, unnest(range(1, copies + 1)) AS copy FROM base JOIN near USING (id) WHERE copies > 0),
+    drawn AS (SELECT *, md5(id || '-' || copy || '-42-neighbour') AS h1, md5(id || '-' || copy || '-42-gap') AS h2 FROM made),
+    picked AS (SELECT drawn.*, ids[1 + {SMOTE_HEX.format(n=15, h="h1")} % len(ids)] AS other, {SMOTE_HEX.format(n=13, h="h2")} / pow(16, 13) AS gap FROM drawn)
+    SELECT p.c AS Loan_Status, {", ".join(f"round(p.x[{i + 1}] + gap * (o.x[{i + 1}] - p.x[{i + 1}]), 4) AS {c}" for i, c in enumerate(LOAN_NUMBERS))},
+      p.id AS base, other AS neighbour, CAST(copy AS INTEGER) AS copy, round(gap, 6) AS gap
+    FROM picked p JOIN small o ON o.id = other""",
+)
+def smote(spark, sf):
+    made = resample.smote(loan(spark, sf), "Customer_ID", "Loan_Status", LOAN_NUMBERS)
+    return rounded(rounded(made, 4, LOAN_NUMBERS), 6, ["gap"])
+
+
 # ---- outliers -------------------------------------------------------------------------------
 
 BOUNDS = """WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events),

@@ -131,3 +131,29 @@ def validate(spark, sf):
         numeric=LINE_NUMBERS,
         bounds={"l_quantity": (1, 50), "l_discount": (0, 1), "l_tax": (0, None)},
     )
+
+
+WANTED = ["l_orderkey", "l_quantity", "l_tax", "l_colour", "l_weight"]
+
+
+@query(
+    "schema_check",
+    f"""WITH have AS (SELECT column_name AS c FROM (DESCRIBE lineitem)), want AS (SELECT unnest({WANTED}) AS c)
+    SELECT 'schema' AS "check", c AS "column", 'error' AS severity, 'missing column' AS detail FROM want ANTI JOIN have USING (c)
+    UNION ALL SELECT 'schema', c, 'warning', 'extra column' FROM have ANTI JOIN want USING (c)""",
+)
+def schema_check(spark, sf):
+    return selectors.schema_report(table(spark, sf, "lineitem"), WANTED)
+
+
+@query(
+    "dtype_check",
+    """WITH have AS (SELECT column_name AS c, CASE column_type WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS kind FROM (DESCRIBE lineitem))
+    SELECT 'dtype' AS "check", c AS "column", 'error' AS severity, 'expected numeric, got ' || kind AS detail
+    FROM have WHERE c IN ('l_returnflag', 'l_tax', 'l_linestatus') AND kind = 'string'
+    UNION ALL SELECT 'dtype', c, 'warning', 'expected categorical, got ' || kind
+    FROM have WHERE c IN ('l_orderkey', 'l_linestatus', 'l_discount') AND kind <> 'string'""",
+)
+def dtype_check(spark, sf):
+    df = table(spark, sf, "lineitem")
+    return selectors.dtype_report(df, ["l_returnflag", "l_tax", "l_linestatus"], ["l_orderkey", "l_linestatus", "l_discount"])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystone.functions.columns import numeric_columns, ref
@@ -42,6 +43,23 @@ class PrepareSettings:
     ranges: Mapping[str, tuple[float | None, float | None]] = field(default_factory=dict)
 
 
+SETTINGS_VERSION = 1
+
+
+def settings_from(stored: Mapping) -> PrepareSettings:
+    """Settings from their plain form (nested dicts and lists)."""
+    plan = stored["feature_plan"]
+    formulas = lambda found: {k: v if isinstance(v, str) else features.FormulaSpec(**v) for k, v in found.items()}
+    rebuilt = features.FeaturePlan(
+        {c: features.LogSpec(**v) for c, v in plan["logs"].items()},
+        formulas(plan["interactions"]),
+        features.PolynomialSpec(**plan["polynomial"]) if plan["polynomial"] else None,
+        formulas(plan["domain"]),
+    )
+    ranges = {c: tuple(v) for c, v in stored["ranges"].items()}
+    return PrepareSettings(**{**stored, "feature_plan": rebuilt, "ranges": ranges})
+
+
 @dataclass
 class FittedPreparation:
     """Small parameter tables; :meth:`apply` is one projection, on batch or streaming input."""
@@ -71,13 +89,24 @@ class FittedPreparation:
         return out.drop(*[ref(c) for c in s.drop if c not in kept])
 
     def save(self, path: str) -> None:
+        """The fitted parameters, and the settings as one row with the version of their form."""
+        row = [(SETTINGS_VERSION, json.dumps(asdict(self.settings)))]
+        spark = SparkSession.active()
+        spark.createDataFrame(row, "version int, settings string").write.mode("overwrite").json(f"{path}/settings")
         for name in ("one_hot", "scaler", "imputer", "bounds"):
             params = getattr(self, name)
             if params is not None:
                 save_params(params, f"{path}/{name}")
 
     @classmethod
-    def load(cls, spark, path: str, settings: PrepareSettings) -> FittedPreparation:
+    def load(cls, spark, path: str, settings: PrepareSettings | None = None) -> FittedPreparation:
+        """What :meth:`save` wrote; the folder is enough, other ``settings`` may be given in place of its own."""
+        if settings is None:
+            row = spark.read.schema("version int, settings string").json(f"{path}/settings").first()
+            if row["version"] != SETTINGS_VERSION:
+                raise ValueError(f"settings of version {row['version']}, this is {SETTINGS_VERSION}")
+            settings = settings_from(json.loads(row["settings"]))
+
         def get(name: str) -> DataFrame | None:
             try:
                 return load_params(spark, f"{path}/{name}")
@@ -124,6 +153,7 @@ def prepare(
     order = [c for c in ready.columns if c not in (s.target, "split")]
     ready = ready.select(*[ref(c) for c in order], s.target, "split")
     if check_shift:
+        ready = materialize(ready, "ready")  # both sides and the result read it
         compared = numeric_columns(ready, [s.target, s.key])
         fitted.shift = drift.distribution_shift(
             ready.where(F.col("split") == "train"), ready.where(F.col("split") == "test"), compared

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -120,10 +121,14 @@ def load_params(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_run_metadata(spark: SparkSession, path: str, run_id: str, facts: Mapping[str, object]) -> None:
-    """Append ``(run_id, fact, value)`` rows; values are kept as text."""
-    rows = [(run_id, k, str(v)) for k, v in facts.items()]
-    table = spark.createDataFrame(rows, "run_id string, fact string, value string")
-    table.coalesce(1).write.mode("append").json(path)
+    """``(run_id, fact, value)`` rows beside those of other runs; values are kept as text. A repeated run id replaces its rows."""
+    rows = [(k, str(v)) for k, v in facts.items()]
+    table = spark.createDataFrame(rows, "fact string, value string")
+    table.coalesce(1).write.mode("overwrite").json(f"{path}/run_id={run_id}")
+
+
+def load_run_metadata(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("fact string, value string, run_id string").json(path)
 
 
 def save_results(results: Mapping[str, DataFrame], path: str, run_id: str, fmt: str = "parquet") -> None:
@@ -138,6 +143,50 @@ def load_results(spark: SparkSession, path: str, name: str, fmt: str = "parquet"
     return spark.read.format(fmt).load(f"{path}/{name}")
 
 
+class RunPublished(ValueError):
+    """A run of this id is already published."""
+
+
+def publish_run(results: Mapping[str, DataFrame], path: str, run_id: str, replace: bool = False, fmt: str = "parquet") -> None:
+    """Write all result tables of a run so that readers see either all of them or none.
+
+    The tables are staged under the name of this attempt; one row that names the attempt is written last, and
+    :func:`read_published` follows only such rows. A run that breaks off, or is tried again after it, leaves nothing behind that a
+    reader could count twice. A published run id is refused, or with ``replace`` its new attempt takes over.
+    """
+    if fmt not in ("parquet", "json"):
+        raise ValueError(f"unknown result format: {fmt}")
+    if not results:
+        raise ValueError("a run without results")
+    spark = next(iter(results.values())).sparkSession
+    if not replace and not _published(spark, path).where(F.col("run_id") == run_id).isEmpty():
+        raise RunPublished(run_id)
+    attempt = uuid.uuid4().hex
+    for name, df in results.items():
+        df.write.mode("errorifexists").format(fmt).save(f"{path}/tables/{name}/attempt={attempt}")
+    row = spark.createDataFrame([(attempt, sorted(results))], "attempt string, tables array<string>")
+    row.write.mode("overwrite" if replace else "errorifexists").json(f"{path}/published/run_id={run_id}")
+
+
+def _published(spark: SparkSession, path: str) -> DataFrame:
+    """``(attempt, tables, run_id)``, one row per published run."""
+    schema = "attempt string, tables array<string>, run_id string"
+    try:
+        return spark.read.schema(schema).json(f"{path}/published")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def read_published(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """A result table of all published runs, with their ``run_id``; attempts that were not published are not read."""
+    runs = _published(spark, path).where(F.array_contains("tables", name)).select("attempt", "run_id")
+    rows = spark.read.format(fmt).load(f"{path}/tables/{name}")
+    rows = rows.withColumn("attempt", F.col("attempt").cast("string"))
+    return rows.join(F.broadcast(runs), "attempt").drop("attempt")  # one row per run; it prunes the folders
+
+
 def save_model(
     model: Model, path: str, features: Sequence[str], metrics: DataFrame, cv: DataFrame | None = None
 ) -> None:

@@ -98,6 +98,47 @@ def test_training_flow_selects_gates_and_saves(spark, separable, tmp_path):
     assert same == pytest.approx(models.score(result.best.model, data).agg(F.sum("p")).first()[0])
 
 
+def test_search_goes_on_where_it_broke_off(separable, tmp_path, monkeypatch):
+    data = models.assemble(separable, ["a", "b"], "y", keep=["id"])
+    folded = materialize(stratified_folds(data, "id", models.LABEL, 2))
+    path, space = str(tmp_path / "trials"), {"C": ("log_uniform", 0.01, 10), "solver": ("categorical", ["liblinear", "saga"])}
+    built, make, limit = [], models.make_estimator, 3
+
+    def counted(*args):
+        if len(built) == limit:
+            raise RuntimeError("the machine is gone")
+        built.append(args)
+        return make(*args)
+
+    monkeypatch.setattr(models, "make_estimator", counted)
+    search = lambda trials: models.random_search("LogisticRegression", folded, trials=trials, space=space, parallelism=1, path=path)
+    with pytest.raises(RuntimeError):
+        search(3)
+    limit = 99
+    best, found = search(3)
+    assert len(built) == 6 and found.count() == 3  # three trials of two folds, none fitted twice
+    again, same = search(3)
+    assert len(built) == 6 and again == best and sorted(map(tuple, same.collect())) == sorted(map(tuple, found.collect()))
+    rows = by(found, "trial")
+    assert rows[max(rows, key=lambda t: (rows[t]["score"], -t))]["params"] in str([{k: best[k] for k in space}])
+    search(4)
+    assert len(built) == 8
+    with pytest.raises(ValueError, match="another search"):
+        models.random_search("LogisticRegression", folded, trials=3, space=space, path=path, seed=1)
+
+
+def test_leaves_and_splits_are_bounded(separable):
+    data = models.assemble(separable, ["a", "b"], "y", keep=["id"])
+    for leaves in (2, 5, 31):
+        model = models.train("LightGBM", data, {"n_estimators": 3, "num_leaves": leaves, "min_child_samples": 1}).model
+        assert all((t.numNodes + 1) // 2 <= leaves for t in model.trees)
+    model = models.train("RandomForest", data, {"n_estimators": 5, "max_depth": 20, "min_samples_split": 200}).model
+    nodes = data.sparkSession.createDataFrame([(t.numNodes,) for t in model.trees], "n int")
+    assert nodes.where("n > 11").count() == 0  # 600 rows, 100 or more on each side
+    presets = {n: models.make_estimator(n).extractParamMap() for n in ("XGBoost", "LightGBM")}
+    assert len({str(sorted((p.name, v) for p, v in m.items())) for m in presets.values()}) == 2
+
+
 # ---- sources --------------------------------------------------------------------------------
 
 
@@ -141,6 +182,31 @@ def test_results_and_metadata_accumulate(spark, tmp_path, frame):
         tables.save_results({"numeric": df}, str(tmp_path / "res"), "r3", "pickle")
 
 
+def test_runs_are_published_once_and_whole(spark, tmp_path, frame):
+    path = str(tmp_path / "runs")
+    one, two = frame([("x", 1.0)], "column string, value double"), frame([("y", 2.0), ("z", 3.0)], "column string, value double")
+    tables.publish_run({"a": one, "b": two}, path, "2024-01-01")
+    with pytest.raises(tables.RunPublished):
+        tables.publish_run({"a": two}, path, "2024-01-01")
+    broken = two.select("column", F.raise_error(F.lit("lost")).cast("double").alias("value"))
+    with pytest.raises(Exception, match="lost"):
+        tables.publish_run({"a": two, "b": broken}, path, "r2")
+    read = lambda name: sorted((r["run_id"], r["column"]) for r in tables.read_published(spark, path, name).collect())
+    assert read("a") == [("2024-01-01", "x")]  # what r2 staged is not seen
+    tables.publish_run({"a": two, "b": one}, path, "r2")
+    assert read("a") == [("2024-01-01", "x"), ("r2", "y"), ("r2", "z")] and read("b")[-1] == ("r2", "x")
+    tables.publish_run({"a": two}, path, "2024-01-01", replace=True)
+    assert [c for run, c in read("a") if run == "2024-01-01"] == ["y", "z"] and read("b") == [("r2", "x")]
+    with pytest.raises(ValueError):
+        tables.publish_run({}, path, "r3")
+
+
+def test_repeated_metadata_replaces(spark, tmp_path):
+    for rows in (1, 2):
+        tables.append_run_metadata(spark, str(tmp_path / "m"), "2024-01-01", {"rows": rows})
+    assert [tuple(r) for r in tables.load_run_metadata(spark, str(tmp_path / "m")).collect()] == [("rows", "2", "2024-01-01")]
+
+
 def test_intermediates_go_to_the_configured_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert all(f.startswith("file:" + shared_dir(spark)) or shared_dir(spark) in f for f in materialize(spark.range(3)).inputFiles())
@@ -169,5 +235,5 @@ def test_registered_fits_and_search_are_at_full_size(spark, separable, monkeypat
     modelling.train_boosted_trees(spark, "")
     modelling.train_boosted_trees_second_preset(spark, "")
     modelling.random_search(spark, "")
-    assert {n: (e.getMaxIter(), e.getMaxDepth()) for n, e in built.items()} == {"XGBoost": (100, 5), "LightGBM": (100, 5)}
+    assert {n: (e.getMaxIter(), e.getMaxDepth()) for n, e in built.items()} == {"XGBoost": (100, 6), "LightGBM": (100, 4)}
     assert searched == {"folds": 5, "trials": 50, "space": models.SEARCH_SPACES["RandomForest"]}

@@ -1,5 +1,6 @@
+import json
 import math
-from dataclasses import replace
+from dataclasses import asdict, replace
 
 import numpy as np
 import pytest
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from tallystone.functions.formula import formula_column
 from tallystone.operators import encode, features, impute, outliers, scale, selection, split
 from tallystone.operators.selectors import CheckFailed
-from tallystone.plans.prepare import FittedPreparation, fit_preparation, loan_settings, prepare, save_prepared
+from tallystone.plans.catalog.registry import loan
+from tallystone.plans.prepare import FittedPreparation, fit_preparation, loan_settings, prepare, save_prepared, settings_from
 
 NAN = float("nan")
 
@@ -390,3 +392,24 @@ def test_selection_is_fitted_and_applied(frame):
     assert selection.keep_selected(test, flat).columns == ["a", "twice", "id"]
     near = selection.correlation_filter(train, ["a", "twice"], "id")
     assert selection.keep_selected(test, near).columns == ["a", "same", "id"]
+
+
+def test_fitted_state_loads_from_its_folder_alone(spark, sf, tmp_path):
+    settings = replace(loan_settings(), keep_key=True, outlier_method="iqr", outlier_columns=["Loan_Amount"], max_categories=2)
+    df = loan(spark, sf)
+    fitted = fit_preparation(df, settings)
+    fitted.save(str(tmp_path / "p"))
+    loaded = FittedPreparation.load(spark, str(tmp_path / "p"))
+    assert loaded.settings == settings or loaded.settings == settings_from(json.loads(json.dumps(asdict(settings))))
+    assert loaded.apply(df).exceptAll(fitted.apply(df)).count() == 0 and loaded.apply(df).columns == fitted.apply(df).columns
+    row = spark.createDataFrame([(99, "{}")], "version int, settings string")
+    row.write.mode("overwrite").json(str(tmp_path / "p/settings"))
+    with pytest.raises(ValueError, match="version 99"):
+        FittedPreparation.load(spark, str(tmp_path / "p"))
+
+
+def test_one_hot_refuses_keys_without_a_word(spark):
+    keys = spark.range(encode.MOST_CATEGORIES + 1).selectExpr("CAST(id AS STRING) AS k")
+    with pytest.raises(ValueError, match="more than 1000"):
+        encode.fit_one_hot(keys, ["k"])
+    assert encode.fit_one_hot(keys, ["k"], limit=2000).count() == encode.MOST_CATEGORIES + 1

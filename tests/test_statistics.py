@@ -244,3 +244,18 @@ def test_two_proportions_example(frame):
     df = frame(rows, "g string, ok boolean")
     r = compare.two_proportions(df, "g", "a", "b", df["ok"]).first()
     assert r["z"] == -2.4618 and r["p_value"] == pytest.approx(0.0138, abs=5e-5)
+
+
+def test_tukey_and_fisher_on_small_tables(frame):
+    rows = [(g, float(v)) for g, vs in (("a", (1, 2, 3, 4)), ("b", (2, 3, 4, 5, 6)), ("c", (8, 9, 10)), ("one", (7,))) for v in vs]
+    got = {(r["group1"], r["group2"]): r for r in compare.tukey_hsd(frame(rows, "g string, x double"), ["x"], "g").collect()}
+    assert set(got) == {("a", "b"), ("a", "c"), ("b", "c")}
+    assert got["a", "c"]["significant"] and not got["a", "b"]["significant"] and got["a", "b"]["mean_difference"] == -1.5
+    flat = frame([("a", 1.0), ("a", 1.0), ("b", 1.0), ("b", 1.0)], "g string, x double")
+    assert [(r["statistic"], r["p_value"]) for r in compare.tukey_hsd(flat, ["x"], "g").collect()] == [(None, None)]
+    assert compare.tukey_hsd(flat.where("g = 'a'"), ["x"], "g").collect() == []
+    tea = [("milk", "milk")] * 3 + [("milk", "tea")] + [("tea", "milk")] + [("tea", "tea")] * 3 + [(None, "tea")]
+    r = association.fisher_exact(frame(tea, "c string, t string"), ["c"], "t").first()
+    assert (r["n"], r["odds_ratio"], r["p_value"], r["significant"]) == (8, 9.0, 0.485714, False)
+    with pytest.raises(ValueError, match="2x2"):
+        association.fisher_exact(frame([("x", "a"), ("y", "b"), ("z", "a")], "c string, t string"), ["c"], "t")

@@ -3,6 +3,8 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tallystone.functions import tails
 from tallystone.functions.normality import shapiro_wilk
@@ -77,3 +79,44 @@ def test_shapiro_wilk_tells_normal_from_uniform():
     assert shapiro_wilk(rng.uniform(size=2000))[1] < 1e-10
     assert shapiro_wilk(np.ones(10)) == (1.0, 1.0)
     assert 0 <= shapiro_wilk(np.array([1.0, 2.0, 4.0]))[1] <= 1
+
+
+def range_by_hand(q, k, df):
+    """The tail as plain sums over fine grids."""
+    z = np.linspace(-9, 9, 3601)
+    cdf = np.array([0.5 * math.erfc(-x / math.sqrt(2)) for x in z])
+    density = np.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+    s = np.linspace(1e-6, 1 + 14 / math.sqrt(2 * df), 8001)
+    weight = np.exp((df - 1) * np.log(s) - df * (s * s - 1) / 2)
+    inner = [k * (density * (cdf - np.interp(z - q * t, z, cdf, left=0.0)) ** (k - 1)).sum() * (z[1] - z[0]) for t in s]
+    return 1 - float((weight * inner).sum() / weight.sum())
+
+
+@pytest.mark.parametrize(("q", "k", "df"), [(3.5, 3, 10), (1.0, 4, 3), (4.2, 10, 30), (2.77, 2, 1000), (6.0, 5, 2), (0.2, 3, 50)])
+def test_studentized_range_matches_a_plain_integral(q, k, df):
+    assert tails.studentized_range_sf(np.array([q]), k, df)[0] == pytest.approx(range_by_hand(q, k, df), abs=2e-6)
+
+
+def test_studentized_range_known_values():
+    # the published 5 per cent points, and with two groups the t test
+    for q, k, df in ((3.877, 3, 10), (4.232, 5, 20), (3.314, 3, 1e9), (4.474, 10, 1e9)):
+        assert tails.studentized_range_sf(np.array([q]), k, df)[0] == pytest.approx(0.05, abs=2e-4)
+    for t, df in ((0.5, 5), (2.1, 17), (3.3, 400)):
+        assert tails.studentized_range_sf(np.array([t * math.sqrt(2)]), 2, df)[0] == pytest.approx(tails.t_two_sided(t, df), abs=1e-9)
+    assert list(tails.studentized_range_sf(np.array([0.0, 1e9]), 3, 5)) == pytest.approx([1.0, 0.0], abs=1e-10)
+
+
+@given(st.integers(0, 40), st.integers(0, 40), st.integers(0, 40), st.integers(0, 40))
+@settings(max_examples=200, deadline=None)
+def test_fisher_matches_all_tables(a, b, c, d):
+    rows, cols, n = a + b, a + c, a + b + c + d
+    weight = {x: math.comb(cols, x) * math.comb(n - cols, rows - x) for x in range(max(0, rows + cols - n), min(rows, cols) + 1)}
+    want = sum(w for w in weight.values() if w <= weight[a] * (1 + 1e-7)) / sum(weight.values())
+    assert tails.fisher_two_sided(a, b, c, d) == pytest.approx(want, rel=1e-9)
+
+
+def test_fisher_at_any_size():
+    big = tails.fisher_two_sided(500_300_000, 499_700_000, 499_900_000, 500_100_000)
+    z = (0.5003 - 0.4999) / math.sqrt(0.5001 * 0.4999 * 2e-9)
+    assert big == pytest.approx(2 * tails.normal_sf(z), rel=0.01, abs=1e-12)
+    assert tails.fisher_two_sided(10**9, 0, 0, 10**9) == 0.0
