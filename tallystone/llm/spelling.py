@@ -193,6 +193,7 @@ def neighbours(words: DataFrame) -> DataFrame:
     if long.filter(F.length("word") >= LONG).take(1):
         both_short = (F.length("a") < LONG) & (F.length("b") < LONG)
         pairs = pairs.unionByName(_long_pairs(long).filter(~both_short))
+    pairs = materialize(pairs, "spelling-pairs")  # the frontiers behind it are read once
     return pairs.select(F.col("a").alias("word"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("word"), F.col("a").alias("other")))
 
 
