@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.session import materialize
+from tallystone.session import materialize, shared_dir
 
 
 
@@ -18,6 +18,17 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
     return df.select([F.col(f"`{old}`").alias(new) for old, new in names.items()])
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` wrote, when all that reads it is written itself."""
+    spark = table.sparkSession
+    ours = f"{shared_dir(spark).split('://')[-1].removeprefix('file:')}/tallystone/"
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        if ours not in folder:
+            raise ValueError(f"{folder} is no intermediate table")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def power_of_two(n: float) -> int:
     return 1 << max(0, int(np.ceil(np.log2(max(1.0, n)))))
 

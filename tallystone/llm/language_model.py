@@ -7,17 +7,19 @@ shorter history. Every pair and triple seen twice in training is an arc, whateve
 After two words the automaton has forgotten all others, and an arc of a triple implies those of both of its
 pairs. So the walk over a text is a sum with one value for each of its words, pairs and triples: what its arc weighs more
 than the failure path around it, and the failure weight of the state it leads to. Values are a written table; those of frequent
-n-grams are told to all tasks, the others are joined.
+n-grams are told to all tasks, the others answer packed requests by parts of the keys.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import _BASE, ROWS_AT_ONCE, WORD_BREAK, chunks, materialize, mix, pick, scan, signed, split_words
+from tallystone.llm.common import _BASE, ROWS_AT_ONCE, WORD_BREAK, chunks, discard, materialize, mix, pick, scan, signed, split_words
 from tallystone.llm.filters import bit_filter, in_filter
 from tallystone.llm.quality import is_held_out
 
@@ -31,6 +33,11 @@ PART_BYTES = 16_000_000
 TOKENS_AT_ONCE = 4_000_000
 #: What is taken off every count of an arc, and left to shorter histories.
 DISCOUNT = 0.5
+#: Bytes of training text for each part of the values that texts are answered from, and of the texts that ask together.
+ANSWER_BYTES, ASK_BYTES = 32_000_000, 4_000_000
+#: Keys in one row of packed counts.
+KEYS_A_ROW = 1_000_000
+PACKED = [pa.int32(), pa.int8(), pa.binary(), pa.binary()]
 END = mix(np.array([0x656E64], np.uint64))[0]
 
 
@@ -61,16 +68,26 @@ class Grams:
         self.pair_before[first] = 0
 
 
+def _laid(key: np.ndarray) -> bytes:
+    """Sorted keys, by bytes of the same place, which compresses."""
+    return key.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
 def _packed(parts: int, part_kind: int, key: np.ndarray, *columns: np.ndarray) -> list[tuple]:
-    """Rows ``part, kind, keys, columns`` of sorted keys; keys lie by bytes of the same place, which compresses."""
+    """Rows ``part, kind, keys, columns`` of sorted keys."""
     edges = np.array([-(-(p << 24) // parts) for p in range(1, parts)], np.uint64) << np.uint64(40)
     cuts = [0, *np.searchsorted(key, edges), len(key)]
     return [
-        (p, part_kind, key[a:b].view(np.uint8).reshape(-1, 8).T.tobytes(), *(c[a:b].tobytes() for c in columns))
+        (p, part_kind, _laid(key[a:b]), *(c[a:b].tobytes() for c in columns))
         for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b
     ]
 
 
+def _part(parts: int) -> Column:
+    """The part of a ``key``, as ``_packed`` deals them."""
+    return F.shiftright(F.shiftrightunsigned("key", 40) * F.lit(parts), 24).cast("int")
+
+
 def _unpacked(keys: bytes) -> np.ndarray:
     return np.frombuffer(keys, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel()
 
@@ -102,7 +119,7 @@ def _in_batches(train: DataFrame, settle, columns: list[str]) -> DataFrame:
 
 
 def gram_counts(train: DataFrame, parts: int) -> DataFrame:
-    """``kind, key, n``: all words (1), and the pairs (2) and triples (3) seen ``LEAST`` times over all texts."""
+    """Packed ``part, kind, keys, times``: all words (1), and the pairs (2) and triples (3) seen ``LEAST`` times over all texts."""
     least = LEAST
 
     def settle(held):
@@ -115,7 +132,7 @@ def gram_counts(train: DataFrame, parts: int) -> DataFrame:
         return rows
 
     def count(table: pa.Table) -> pa.Table:
-        kinds, found = table["kind"].to_numpy(), [[], [], []]
+        kinds, part, rows = table["kind"].to_numpy(), table["part"][0].as_py(), []
         for kind in (1, 2, 3):
             some = table.filter(pa.array(kinds == kind))
             if not some.num_rows:
@@ -127,16 +144,30 @@ def gram_counts(train: DataFrame, parts: int) -> DataFrame:
             first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
             n = np.add.reduceat(times.astype(np.int64), first)
             keep = n >= (least if kind > 1 else 1)
-            for column, values in zip(found, (np.full(keep.sum(), kind, np.int8), signed(keys[first][keep]), n[keep])):
-                column.append(values)
-        return pa.table([pa.array(np.concatenate(c)) for c in found], names=["kind", "key", "n"])
+            for at in range(0, int(keep.sum()), KEYS_A_ROW):
+                own = slice(at, at + KEYS_A_ROW)
+                rows.append((part, kind, _laid(keys[first][keep][own]), n[keep][own].tobytes()))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, PACKED, strict=True)], names=names)
+
+    names, dealt = ["part", "kind", "keys", "times"], _in_batches(train, settle, ["times"])
+    return dealt.groupBy("part").applyInArrow(count, "part int, kind tinyint, keys binary, times binary")
+
 
-    dealt = _in_batches(train, settle, ["times"])
-    return dealt.groupBy("part").applyInArrow(count, "kind tinyint, key long, n long")
+def gram_rows(counts: DataFrame) -> DataFrame:
+    """``kind, key, n`` of packed counts."""
 
+    def run(batches):
+        for batch in batches:
+            for kind, keys, times in zip(*(batch.column(c).to_pylist() for c in ("kind", "keys", "times")), strict=True):
+                n = np.frombuffer(times, np.int64)
+                columns = [np.full(len(n), kind, np.int8), signed(_unpacked(keys)), n]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "key", "n"])
+
+    return counts.select("kind", "keys", "times").mapInArrow(run, "kind tinyint, key long, n long")
 
-def gram_histories(train: DataFrame, wanted, parts: int) -> DataFrame:
-    """``key, history, shorter`` once for each pair and triple that passes the filter."""
+
+def gram_arcs(train: DataFrame, counts: DataFrame, wanted, parts: int, least: float) -> DataFrame:
+    """``kind, key, n, history, shorter`` of the pairs and triples seen ``least`` times; both sides meet packed, by part."""
 
     def settle(held):
         rows = []
@@ -152,13 +183,22 @@ def gram_histories(train: DataFrame, wanted, parts: int) -> DataFrame:
             rows += _packed(parts, kind, key, history[one], shorter[one])
         return rows
 
-    def once(table: pa.Table) -> pa.Table:
-        key, one = np.unique(np.concatenate([_unpacked(x.as_py()) for x in table["keys"]]), return_index=True)
-        rest = [np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table[c]])[one] for c in ("history", "shorter")]
-        return pa.table([pa.array(signed(c)) for c in (key, *rest)], names=["key", "history", "shorter"])
+    def meet(counted: pa.Table, found: pa.Table) -> pa.Table:
+        key, one = np.unique(np.concatenate([np.zeros(0, np.uint64), *(_unpacked(x.as_py()) for x in found["keys"])]), return_index=True)
+        rest = [np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) for x in found[c])])[one] for c in ("history", "shorter")]
+        out = [[] for _ in range(5)]
+        for kind, keys, times in zip(*(counted[c].to_pylist() for c in ("kind", "keys", "times")), strict=True):
+            keys, n = _unpacked(keys), np.frombuffer(times, np.int64)
+            keys, n = keys[n >= least], n[n >= least]
+            at = _find(key, keys)
+            for column, values in zip(out, (np.full(len(n), kind, np.int8), signed(keys), n, signed(rest[0][at]), signed(rest[1][at])), strict=True):
+                column.append(values)
+        none = (np.zeros(0, t) for t in (np.int8, *[np.int64] * 4))
+        return pa.table([pa.array(np.concatenate([z, *c])) for z, c in zip(none, out, strict=True)], names=["kind", "key", "n", "history", "shorter"])
 
     dealt = _in_batches(train, settle, ["history", "shorter"])
-    return dealt.groupBy("part").applyInArrow(once, "key long, history long, shorter long")
+    both = counts.filter("kind > 1").groupBy("part").cogroup(dealt.groupBy("part"))
+    return both.applyInArrow(meet, "kind tinyint, key long, n long, history long, shorter long")
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -187,40 +227,101 @@ def _settled(df: DataFrame, label: str) -> DataFrame:
         conf.set(name, before)
 
 
-def gram_values(train: DataFrame) -> tuple[DataFrame, np.ndarray, int, float]:
+def gram_values(train: DataFrame, size: int) -> tuple[DataFrame, np.ndarray, int, float]:
     """Written ``kind, key, n, base, value`` of all words and arcs, a bit map of the keys, the number of tokens, and the
-    log-probability of a word that is not there. ``base`` is the word model's log-probability."""
+    log-probability of a word that is not there. ``base`` is the word model's log-probability. ``size`` is in bytes.
+
+    Tables on the way keep whole numbers, from which weights follow, and go as soon as the next ones are written.
+    """
     spark = train.sparkSession
-    size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(8, -(-int(size) // PART_BYTES))
+    parts = max(8, -(-size // PART_BYTES))
     counts = _settled(gram_counts(train, parts), "gram-counts")
-    total = counts.filter("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    every = gram_rows(counts)
+    total = every.filter("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, kinds = int(total[0]), int(total[1])
-    z = tokens + 0.5 * (kinds + 1)
-    counts = counts.filter((F.col("kind") == 1) | (F.col("n") >= max(LEAST, SHARE * tokens)))
-    known = bit_filter(counts.select("key"), lambda t: mix(t["key"]), counts.count())
+    z, least = tokens + 0.5 * (kinds + 1), max(LEAST, SHARE * tokens)
+    every = every.filter((F.col("kind") == 1) | (F.col("n") >= least))
+    known = bit_filter(every.select("key"), lambda t: mix(t["key"]), every.count())
     wanted = spark.sparkContext.broadcast(known)
-    arcs = _settled(counts.filter("kind > 1").join(gram_histories(train, wanted, parts), "key"), "arcs")
+    words = _settled(every.filter("kind = 1").select("key", "n"), "words")
+    arcs = _settled(gram_arcs(train, counts, wanted, parts, least), "arcs")
+    discard(counts)
 
-    words = counts.filter("kind = 1").select("key", "n", ((F.col("n") + 0.5) / z).alias("p"))
     of = lambda df, as_, *columns: df.select(F.col("key").alias(as_), *[F.col(a).alias(b) for a, b in columns])
-    p = (F.col("n") - DISCOUNT) / F.col("of")
 
-    def weighed(kind: int, lower: DataFrame) -> DataFrame:
+    def weighed(kind: int, lower: DataFrame, *less: tuple[str, str]) -> DataFrame:
         some = arcs.filter(F.col("kind") == kind).join(of(lower, "history", ("n", "of")), "history")
-        return some.join(of(lower, "shorter", ("p", "lower")), "shorter").select("key", "history", "n", p.alias("p"), "lower")
-
-    pairs = _settled(weighed(2, words), "pairs")
-    triples = _settled(weighed(3, pairs), "triples")
-    word_fail, pair_fail = _failure(pairs), _failure(triples)
+        return some.join(of(lower, "shorter", *less), "shorter").select("key", "history", "n", "of", *[b for _, b in less])
+
+    pairs = _settled(weighed(2, words, ("n", "less_n")), "pairs")
+    triples = _settled(weighed(3, pairs, ("n", "less_n"), ("of", "less_of")), "triples")
+    discard(arcs)
+    word_p = lambda n: (F.col(n) + 0.5) / z
+    arc_p = lambda n, of: (F.col(n) - DISCOUNT) / F.col(of)
+    two = pairs.select("key", "history", "n", arc_p("n", "of").alias("p"), word_p("less_n").alias("lower"))
+    three = triples.select("key", "history", "n", arc_p("n", "of").alias("p"), arc_p("less_n", "less_of").alias("lower"))
+    word_fail, pair_fail = _failure(two), _settled(_failure(three), "failures")
     own = lambda fail: fail.withColumnRenamed("history", "key").withColumnRenamed("fail", "own")
-    base, more = F.log10("p"), F.log10(F.col("p") / F.col("lower")) - F.col("fail")
+    base, more = F.log10(word_p("n")), F.log10(F.col("p") / F.col("lower")) - F.col("fail")
     after = F.coalesce("own", F.lit(0.0))
     row = lambda kind, base, value: [F.lit(kind).alias("kind"), "key", "n", base.alias("base"), value.alias("value")]
     values = words.join(own(word_fail), "key", "left").select(row(1, base, base + after))
-    values = values.unionByName(pairs.join(word_fail, "history").join(own(pair_fail), "key", "left").select(row(2, F.lit(0.0), more + after)))
-    values = values.unionByName(triples.join(pair_fail, "history").select(row(3, F.lit(0.0), more)))
-    return _settled(values, "values"), known, tokens, float(np.log10(0.5 / z))
+    values = values.unionByName(two.join(word_fail, "history").join(own(pair_fail), "key", "left").select(row(2, F.lit(0.0), more + after)))
+    values = values.unionByName(three.join(pair_fail, "history").select(row(3, F.lit(0.0), more)))
+    values = _settled(values, "values")
+    for used in (words, pairs, triples, pair_fail):
+        discard(used)
+    return values, known, tokens, float(np.log10(0.5 / z))
+
+
+ASKED = "part int, batch long, kind tinyint, keys binary, at binary, times binary, row int, doc_id {key}, n_tokens long, there long, base double, walk double"
+ANSWERED = "batch long, at binary, met binary, bases binary, values binary, row int, doc_id {key}, n_tokens long, there long, base double, walk double"
+
+
+def _answers(found: pa.Table, asked: pa.Table) -> pa.Table:
+    """What the values of one part add to the rows of each batch that asks; rows of texts (kind 0) go through as they are."""
+    texts = pc.equal(asked["kind"], 0)
+    out = [("batch", asked["batch"].filter(texts)), *((c, asked[c].filter(texts)) for c in ("row", "doc_id", "n_tokens", "there", "base", "walk"))]
+    through = pa.table(dict(out))
+    rows = []
+    for kind in (1, 2, 3):
+        own = found.filter(pc.equal(found["kind"], kind))
+        have = own["key"].to_numpy().view(np.uint64)
+        by = np.argsort(have)
+        have, base, value = have[by], own["base"].to_numpy()[by], own["value"].to_numpy()[by]
+        some = asked.filter(pc.equal(asked["kind"], kind))
+        for batch, keys, at, times in zip(*(some[c].to_pylist() for c in ("batch", "keys", "at", "times")), strict=True):
+            where = _find(have, _unpacked(keys))
+            hit = where >= 0
+            where, times = where[hit], np.frombuffer(times, np.uint32)[hit].astype(float)
+            row, place = np.unique(np.frombuffer(at, np.int32)[hit], return_inverse=True)
+            add = lambda x: np.bincount(place, x, len(row))  # noqa: E731, B023
+            if kind == 1:
+                first = add(times).astype(np.uint32).tobytes(), add(base[where] * times).tobytes()
+            else:
+                first = None, None
+            rows.append((batch, row.tobytes(), *first, add(value[where] * times).tobytes()))
+    types = [pa.int64(), *[pa.binary()] * 4]
+    answers = pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types, strict=True)], names=["batch", "at", "met", "bases", "values"])
+    order = ["batch", "at", "met", "bases", "values", "row", "doc_id", "n_tokens", "there", "base", "walk"]
+    return pa.concat_tables([answers, through], promote_options="default").select(order)
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """The texts of one batch with all answers added."""
+    texts = table.filter(pc.is_null(table["at"]))
+    row = texts["row"].to_numpy()
+    met, base, value = (np.zeros(len(row)) for _ in range(3))
+    some = table.filter(pc.is_valid(table["at"]))
+    for at, mets, bases, values in zip(*(some[c].to_pylist() for c in ("at", "met", "bases", "values")), strict=True):
+        at = np.frombuffer(at, np.int32)
+        value[at] += np.frombuffer(values)
+        if mets is not None:
+            met[at] += np.frombuffer(mets, np.uint32)
+            base[at] += np.frombuffer(bases)
+    more = {"there": met.astype(np.int64), "base": base, "walk": value}
+    out = {c: texts[c] for c in ("doc_id", "n_tokens")} | {c: pa.array(texts[c].to_numpy() + x[row]) for c, x in more.items()}
+    return pa.table(out)
 
 
 def score_texts(
@@ -230,17 +331,20 @@ def score_texts(
 
     Both learn from the rows whose key's CRC-32 modulo ``of`` is not ``remainder``. Tokens are lower-cased (A-Z)
     words between white space, and each text's end. Words, pairs and triples outside the table that all tasks have are
-    joined with their values.
+    asked for packed, by batches of texts and parts of the keys, and answered with one sum for each text and part.
 
     Returns one row per input row: ``doc_id, held_out, n_tokens, n_known`` (tokens met in training), ``train_tokens,
     base_score, score``. NULL and empty texts are one end token; NULL keys count as the empty text for the split; without
     training rows every token is unknown; repeated rows are scored each; an empty table gives
-    none; other columns are not read.
+    none; other columns are not read. A task that is tried again must meet its rows in the same order, as when
+    they come from files.
     """
     spark = docs.sparkSession
     rows = pick(docs, **{key: "doc_id", text: "text"})
     held_out = is_held_out(F.col("doc_id"), of, remainder)
-    values, known_keys, train_tokens, unknown = gram_values(rows.filter(~held_out).select("text"))
+    train = rows.filter(~held_out).select("text")
+    size = int(train.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    values, known_keys, train_tokens, unknown = gram_values(train, size)
     share = F.when(F.col("kind") == 1, F.lit(WORD_SHARE)).otherwise(F.lit(TOLD_SHARE))
     is_told = F.col("n") >= share * train_tokens
     told = values.filter(is_told).select("kind", "key", "base", "value").toArrow()
@@ -251,19 +355,26 @@ def score_texts(
         by = np.argsort(keys)
         tables[order] = (keys[by], *(told[c].to_numpy()[some][by] for c in ("base", "value")))
     shared = spark.sparkContext.broadcast((tables, known_keys))
-    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+    from pyspark.sql.types import StructType
 
     kind = rows.schema["doc_id"].dataType
     key_type = to_arrow_type(kind)
+    asked, answered = (x.format(key=kind.simpleString()) for x in (ASKED, ANSWERED))
+    types = [f.type for f in to_arrow_schema(StructType.fromDDL(asked))]
+    parts = max(8, -(-size // ANSWER_BYTES))
+    batches = [0]  # a task's own count
 
     def work(got, n):
         tables, known_keys = shared.value
-        out, rare, rare_sizes = [[], [], [], []], [], []
-        texts = [t or b"" for t in got["text"]]
-        for lo, hi in chunks(texts):
+        texts, out = [t or b"" for t in got["text"]], []
+        for lo, hi in chunks(texts, ASK_BYTES):
+            batch = (TaskContext.get().partitionId() << 32) + batches[0]
+            batches[0] += 1
             tokens, first = tokens_of(texts[lo:hi])
             g = Grams(tokens, first)
-            base, score, left = np.zeros(len(tokens)), np.zeros(len(tokens)), []
+            row = np.repeat(np.arange(hi - lo, dtype=np.int32), np.diff(np.append(first, len(tokens))))
+            base, score = np.zeros(len(tokens)), np.zeros(len(tokens))
             for kind, keys in ((1, tokens), (2, g.pair), (3, g.triple)):
                 have, bases, values = tables[kind]
                 at = _find(have, keys)
@@ -271,28 +382,25 @@ def score_texts(
                 base[there] += bases[at[there]]
                 score[there] += values[at[there]]
                 known = there if kind == 1 else known
-                left.append(~there & (keys != 0) & in_filter(known_keys, mix(keys)))
-            for column, x in zip(out, (np.ones(len(tokens)), known, base, score), strict=True):
-                column.append(np.add.reduceat(x.astype(float), first))
-            rare.append(np.stack([tokens, g.pair, g.triple], 1)[np.stack(left, 1)])
-            rare_sizes.append(np.add.reduceat(sum(x.astype(np.int64) for x in left), first))
-        offsets = np.append(0, np.cumsum(np.concatenate(rare_sizes))) if rare else np.zeros(n + 1)
-        keys = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(signed(np.concatenate(rare)) if rare else [], pa.int64()))
-        size, known, base, score = (np.concatenate(c) if c else np.zeros(0) for c in out)
-        return [pa.array(got["doc_id"], key_type), pa.array(size.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score), keys]
-
-    schema = f"doc_id {kind.simpleString()}, n_tokens long, there long, base double, walk double, rare array<bigint>"
-    walked = scan(rows, work, schema, ["doc_id", "text"]).withColumn("row", F.monotonically_increasing_id())
-    walked = materialize(walked, "walked")
-    each = walked.select("row", F.explode("rare").alias("key"))
-    rest = values.filter(~is_told).select("key", "base", "value", (F.col("kind") == 1).cast("long").alias("met"))
-    added = each.join(rest, "key").groupBy("row").agg(*[F.sum(c).alias(c + "_added") for c in ("base", "value", "met")])
-    joined = walked.drop("rare").join(added, "row", "left")
-    more = {c: F.coalesce(c + "_added", F.lit(0)) for c in ("base", "value", "met")}
-    known = F.col("there") + more["met"]
-    missing = (F.col("n_tokens") - known) * F.lit(unknown)
-    return joined.select(
-        "doc_id", is_held_out(F.col("doc_id"), of, remainder).alias("held_out"), "n_tokens", known.alias("n_known"),
+                left = np.flatnonzero(~there & (keys != 0) & in_filter(known_keys, mix(keys)))
+                left = left[np.argsort(keys[left], kind="stable")]  # rows of a key stay in order
+                if len(left):
+                    one = np.flatnonzero(np.append(True, (np.diff(keys[left]) != 0) | (np.diff(row[left]) != 0)))
+                    times = np.diff(np.append(one, len(left))).astype(np.uint32)
+                    packed = _packed(parts, kind, keys[left[one]], row[left[one]], times)
+                    out += [(p, batch, *rest, *[None] * 6) for p, *rest in packed]
+            sums = (np.add.reduceat(x, first).tolist() for x in (np.ones(len(tokens), np.int64), known.astype(np.int64), base, score))
+            own = zip(range(hi - lo), got["doc_id"][lo:hi], *sums, strict=True)
+            out += [(batch % parts, batch, 0, None, None, None, *x) for x in own]
+        return [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(types), types, strict=True)]
+
+    asks = scan(rows, work, asked, ["doc_id", "text"])
+    rest = values.filter(~is_told).select(_part(parts).alias("part"), "kind", "key", "base", "value")
+    answers = rest.groupBy("part").cogroup(asks.groupBy("part")).applyInArrow(_answers, answered)
+    summed = answers.groupBy("batch").applyInArrow(_summed, f"doc_id {kind.simpleString()}, n_tokens long, there long, base double, walk double")
+    missing = (F.col("n_tokens") - F.col("there")) * F.lit(unknown)
+    return summed.select(
+        "doc_id", is_held_out(F.col("doc_id"), of, remainder).alias("held_out"), "n_tokens", F.col("there").alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + more["base"] + missing).alias("base_score"), (F.col("walk") + more["value"] + missing).alias("score"),
+        (F.col("base") + missing).alias("base_score"), (F.col("walk") + missing).alias("score"),
     )
