@@ -19,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import _BASE, ROWS_AT_ONCE, WORD_BREAK, chunks, discard, materialize, mix, pick, scan, signed, split_words
-from tallystone.llm.filters import bit_filter, in_filter
+from tallystone.llm.common import _BASE, ROWS_AT_ONCE, WORD_BREAK, chunks, discard, materialize, mix, pick, power_of_two, scan, signed, split_words
+from tallystone.llm.filters import MOST_BITS, in_filter
 from tallystone.llm.quality import is_held_out
 
 #: Times that a pair or triple is seen in training to be an arc; a share of the tokens below which none is (none is asked for).
@@ -30,14 +30,14 @@ TOLD_SHARE, WORD_SHARE = 2e-6, 2e-7
 #: Bytes of training text for each part of the keys, which one task counts.
 PART_BYTES = 16_000_000
 #: Tokens that a task counts together.
-TOKENS_AT_ONCE = 4_000_000
+TOKENS_AT_ONCE = 2_000_000
 #: What is taken off every count of an arc, and left to shorter histories.
 DISCOUNT = 0.5
 #: Bytes of training text for each part of the values that texts are answered from, and of the texts that ask together.
 ANSWER_BYTES, ASK_BYTES = 32_000_000, 4_000_000
 #: Keys in one row of packed counts.
 KEYS_A_ROW = 1_000_000
-PACKED = [pa.int32(), pa.int8(), pa.binary(), pa.binary()]
+PACKED = [pa.int32(), pa.int8(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
 END = mix(np.array([0x656E64], np.uint64))[0]
 
 
@@ -119,14 +119,14 @@ def _in_batches(train: DataFrame, settle, columns: list[str]) -> DataFrame:
 
 
 def gram_counts(train: DataFrame, parts: int) -> DataFrame:
-    """Packed ``part, kind, keys, times``: all words (1), and the pairs (2) and triples (3) seen ``LEAST`` times over all texts."""
+    """Packed ``part, kind, keys, times`` with their ``size`` and the ``total`` of times: all words (1), and the pairs (2) and
+    triples (3) seen ``LEAST`` times over all texts."""
     least = LEAST
 
     def settle(held):
         rows = []
-        grams = [Grams(*x) for x in held]
-        for kind, keys in ((1, [x[0] for x in held]), (2, [g.pair for g in grams]), (3, [g.triple for g in grams])):
-            key, n = np.unique(np.concatenate(keys), return_counts=True)
+        for kind, keys in ((1, lambda x: x[0]), (2, lambda x: Grams(*x).pair), (3, lambda x: Grams(*x).triple)):
+            key, n = np.unique(np.concatenate([keys(x) for x in held]), return_counts=True)
             some = key != 0 if kind > 1 else slice(None)
             rows += _packed(parts, kind, key[some], n[some].astype(np.uint32))
         return rows
@@ -146,11 +146,46 @@ def gram_counts(train: DataFrame, parts: int) -> DataFrame:
             keep = n >= (least if kind > 1 else 1)
             for at in range(0, int(keep.sum()), KEYS_A_ROW):
                 own = slice(at, at + KEYS_A_ROW)
-                rows.append((part, kind, _laid(keys[first][keep][own]), n[keep][own].tobytes()))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, PACKED, strict=True)], names=names)
+                some, these = keys[first][keep][own], n[keep][own]
+                rows.append((part, kind, _laid(some), these.tobytes(), len(some), int(these.sum())))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, PACKED, strict=True)], names=names)
 
-    names, dealt = ["part", "kind", "keys", "times"], _in_batches(train, settle, ["times"])
-    return dealt.groupBy("part").applyInArrow(count, "part int, kind tinyint, keys binary, times binary")
+    names, dealt = ["part", "kind", "keys", "times", "size", "total"], _in_batches(train, settle, ["times"])
+    return dealt.groupBy("part").applyInArrow(count, "part int, kind tinyint, keys binary, times binary, size long, total long")
+
+
+def key_filter(counts: DataFrame, least: float, entries: int) -> np.ndarray:
+    """A bit map of all packed keys seen ``least`` times, and of all words: each task sets bits of its own map, maps meet in pieces."""
+    bits = min(MOST_BITS, max(1 << 16, power_of_two(16 * entries)))
+    piece = 1 << 13  # words of 64 bits; the driver gets the map once, whatever the number of tasks
+
+    def run(batches):
+        own = np.zeros(bits >> 6, np.uint64)
+        for batch in batches:
+            for kind, keys, times in zip(*(batch.column(c).to_pylist() for c in ("kind", "keys", "times")), strict=True):
+                h = mix(_unpacked(keys))
+                if kind > 1:
+                    h = h[np.frombuffer(times, np.int64) >= least]
+                h = np.sort(h & np.uint64(bits - 1))
+                word = (h >> np.uint64(6)).astype(np.int64)
+                first = np.flatnonzero(np.diff(word, prepend=-1))
+                if len(first):
+                    own[word[first]] |= np.bitwise_or.reduceat(np.uint64(1) << (h & np.uint64(63)), first)
+        for at in range(0, len(own), piece):
+            some = own[at : at + piece]
+            if some.any():
+                yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([some.tobytes()], pa.binary())], names=["at", "map"])
+
+    def both(table: pa.Table) -> pa.Table:
+        maps = [np.frombuffer(x.as_py(), np.uint64) for x in table["map"]]
+        return pa.table([table["at"][:1], pa.array([np.bitwise_or.reduce(maps).tobytes()], pa.binary())], names=["at", "map"])
+
+    pieces = counts.select("kind", "keys", "times").mapInArrow(run, "at long, map binary").groupBy("at").applyInArrow(both, "at long, map binary")
+    table = np.zeros(bits >> 6, np.uint64)
+    found = pieces.toArrow()
+    for at, some in zip(found["at"].to_pylist(), found["map"].to_pylist(), strict=True):
+        table[at : at + piece] = np.frombuffer(some, np.uint64)
+    return table
 
 
 def gram_rows(counts: DataFrame) -> DataFrame:
@@ -236,25 +271,24 @@ def gram_values(train: DataFrame, size: int) -> tuple[DataFrame, np.ndarray, int
     spark = train.sparkSession
     parts = max(8, -(-size // PART_BYTES))
     counts = _settled(gram_counts(train, parts), "gram-counts")
-    every = gram_rows(counts)
-    total = every.filter("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    tokens, kinds = int(total[0]), int(total[1])
+    sums = counts.groupBy(F.col("kind") == 1).agg(F.sum("size"), F.sum("total")).collect()
+    kinds, tokens = next((r[1:] for r in sums if r[0]), (0, 0))
     z, least = tokens + 0.5 * (kinds + 1), max(LEAST, SHARE * tokens)
-    every = every.filter((F.col("kind") == 1) | (F.col("n") >= least))
-    known = bit_filter(every.select("key"), lambda t: mix(t["key"]), every.count())
+    known = key_filter(counts, least, sum(r[1] for r in sums))
     wanted = spark.sparkContext.broadcast(known)
-    words = _settled(every.filter("kind = 1").select("key", "n"), "words")
+    words = _settled(gram_rows(counts.filter("kind = 1")).select("key", "n"), "words")
     arcs = _settled(gram_arcs(train, counts, wanted, parts, least), "arcs")
     discard(counts)
 
     of = lambda df, as_, *columns: df.select(F.col("key").alias(as_), *[F.col(a).alias(b) for a, b in columns])
+    hashed = lambda unique: unique.hint("shuffle_hash")  # noqa: E731  keys are there once, so no part of the hashed side is large
 
     def weighed(kind: int, lower: DataFrame, *less: tuple[str, str]) -> DataFrame:
         some = arcs.filter(F.col("kind") == kind).join(of(lower, "history", ("n", "of")), "history")
         return some.join(of(lower, "shorter", *less), "shorter").select("key", "history", "n", "of", *[b for _, b in less])
 
     pairs = _settled(weighed(2, words, ("n", "less_n")), "pairs")
-    triples = _settled(weighed(3, pairs, ("n", "less_n"), ("of", "less_of")), "triples")
+    triples = _settled(weighed(3, hashed(pairs), ("n", "less_n"), ("of", "less_of")), "triples")
     discard(arcs)
     word_p = lambda n: (F.col(n) + 0.5) / z
     arc_p = lambda n, of: (F.col(n) - DISCOUNT) / F.col(of)
@@ -266,8 +300,8 @@ def gram_values(train: DataFrame, size: int) -> tuple[DataFrame, np.ndarray, int
     after = F.coalesce("own", F.lit(0.0))
     row = lambda kind, base, value: [F.lit(kind).alias("kind"), "key", "n", base.alias("base"), value.alias("value")]
     values = words.join(own(word_fail), "key", "left").select(row(1, base, base + after))
-    values = values.unionByName(two.join(word_fail, "history").join(own(pair_fail), "key", "left").select(row(2, F.lit(0.0), more + after)))
-    values = values.unionByName(three.join(pair_fail, "history").select(row(3, F.lit(0.0), more)))
+    values = values.unionByName(two.join(word_fail, "history").join(hashed(own(pair_fail)), "key", "left").select(row(2, F.lit(0.0), more + after)))
+    values = values.unionByName(three.join(hashed(pair_fail), "history").select(row(3, F.lit(0.0), more)))
     values = _settled(values, "values")
     for used in (words, pairs, triples, pair_fail):
         discard(used)
