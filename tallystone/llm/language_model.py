@@ -28,13 +28,13 @@ LEAST, SHARE = 2, 0.0
 #: Share of the training tokens from which the value of a pair or triple, and of a word, is told to all tasks.
 TOLD_SHARE, WORD_SHARE = 2e-6, 2e-7
 #: Bytes of training text for each part of the keys, which one task counts.
-PART_BYTES = 16_000_000
+PART_BYTES = 8_000_000
 #: Tokens that a task counts together.
-TOKENS_AT_ONCE = 2_000_000
+TOKENS_AT_ONCE = 1_000_000
 #: What is taken off every count of an arc, and left to shorter histories.
 DISCOUNT = 0.5
 #: Bytes of training text for each part of the values that texts are answered from, and of the texts that ask together.
-ANSWER_BYTES, ASK_BYTES = 32_000_000, 4_000_000
+ANSWER_BYTES, ASK_BYTES = 16_000_000, 2_000_000
 #: Keys in one row of packed counts.
 KEYS_A_ROW = 1_000_000
 PACKED = [pa.int32(), pa.int8(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
