@@ -2,7 +2,8 @@
 
 Every block element is a node with a hidden state, content or not. A node's tag, names, size and
 link share speak for a state; its parent's state speaks for the same state. Messages pass from leaves to
-root and back, and each node's marginal decides on its own text.
+root and back, and each node's marginal decides on its own text. Potentials come from counts over labelled pages; listed
+names begin with some counts, and what they say is weighed against the node's looks, parent and children.
 """
 
 from __future__ import annotations
@@ -31,17 +32,23 @@ ENDS = {x: {"p"} for x in BLOCKS - {"button", "label", "option", "caption", "td"
     "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "option": {"option"},
 }
-#: What settles a block's state on a labelled page, and almost so elsewhere: its tag, and words of its class, id or role.
-CONTENT_NAMES = {"<article", "<main", "article", "main", "articlebody", "post", "entry", "story"}
+# Names that label the blocks of training pages and that the model expects something of before it has seen any page: tags
+# (``<``), and words of class, id and role.
+CONTENT_TAGS, CONTENT_NAMES = {"<article", "<main"}, {"article", "main", "articlebody", "post", "entry", "story"}
+OTHER_TAGS = set("<nav <footer <aside <form <head <title <button <select <option <textarea <fieldset <dialog <menu".split())
 OTHER_NAMES = set(
-    "<nav <footer <aside <form <head <title <button <select <option <textarea <fieldset <dialog <menu "
     "nav navigation menu header masthead footer aside sidebar ad ads advert advertisement sponsored promo banner "
     "cookie cookies consent notice alert popup modal form newsletter subscribe signup login search comment comments "
     "reply replies disqus share social related recommended breadcrumb breadcrumbs pagination pager toolbar widget "
     "copyright legal dialog".split()
 )
-#: Log-odds of a settling name, and of all that a node's other features may say together.
-SETTLED, UNSETTLED = 30.0, 2.0
+#: Elements that hold prose: a name says less about them than about a box around other elements.
+PROSE = set("p h1 h2 h3 h4 h5 h6 section blockquote pre li dl dt dd table tr td th figure figcaption".split())
+#: Blocks that a name counts as seen in before training: a tag or a box's whole name (``=``), and a word of other names.
+SURE, CONTENT_HINT, OTHER_HINT = 20_000, 400, 40
+#: Bounds of what tag, size, links and unlisted words say together: these depend on each other, and a list of links inside an
+#: article is text. The least share of children that differ from their parent.
+LOOKS, TURNS = (-0.5, 2.0), 0.001
 _TAG = re.compile(
     r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<[/!?a-zA-Z][^>]*$", re.S
 )
@@ -66,7 +73,8 @@ class Page:
             for m in _NAMES.finditer(attributes):
                 value = m[1] or m[2] or m[3] or ""
                 names += [w.lower() for w in _CAMEL.findall(value)]
-                names += [w.lower() for w in value.split()]
+                if tag not in PROSE:
+                    names += ["=" + w.lower() for w in value.split()]
         self.tags.append(tag)
         self.parents.append(parent)
         self.names.append(tuple(dict.fromkeys(names)))
@@ -137,54 +145,70 @@ class Page:
     def labels(self) -> list[bool] | None:
         """States of the nodes of a page that marks its article itself, or None.
 
-        What lies in a node named as content is content, unless a node between is named otherwise.
+        What lies in a node marked as content is content, unless a node between is marked otherwise. Tags and whole names of boxes
+        mark a node; words of other names do not, so counts can tell which of them occur inside articles.
         """
-        if not any(CONTENT_NAMES & set(n) for n in self.names):
+        if not any(MARKS_CONTENT & set(n) for n in self.names):
             return None
         state = [False] * len(self.tags)
         for i in range(1, len(state)):
             names = set(self.names[i])
-            inside = state[self.parents[i]]
-            state[i] = bool(CONTENT_NAMES & names) or inside
-            if OTHER_NAMES & names and not CONTENT_NAMES & names:
-                state[i] = False
+            state[i] = bool(MARKS_CONTENT & names) or (state[self.parents[i]] and not MARKS_OTHER & names)
         return state
 
 
+MARKS_CONTENT = CONTENT_TAGS | {"=" + n for n in CONTENT_NAMES}
+MARKS_OTHER = OTHER_TAGS | {"=" + n for n in OTHER_NAMES}
+MARKED = MARKS_CONTENT | MARKS_OTHER
+EVEN = {(p, c): 0.5 for p in (False, True) for c in (False, True)}
+#: Blocks (other, content) that each listed name counts as seen in.
+PRIOR = (
+    {n: (SURE, 0) for n in MARKS_OTHER} | {n: (0, SURE) for n in MARKS_CONTENT}
+    | {n: (OTHER_HINT, 0) for n in OTHER_NAMES} | {n: (0, CONTENT_HINT) for n in CONTENT_NAMES}
+)
+
+
 class Model:
     """Log-potentials: of each feature for content, and of a child's state given its parent's."""
 
     def __init__(self, counts: dict[str, tuple[int, int]], moves: dict[tuple[bool, bool], int]):
         total = [1.0 + sum(c[k] for w, c in counts.items() if w.startswith("#size")) for k in (1, 0)]
         self.speaks: dict[str, float] = {}
-        for word, (other, content) in counts.items():
-            self.speaks[word] = math.log((content + 0.5) / (total[0] + 0.5)) - math.log((other + 0.5) / (total[1] + 0.5))
-        stay = {p: (moves.get((p, p), 0) + 8.0) / (moves.get((p, p), 0) + moves.get((p, not p), 0) + 9.0) for p in (False, True)}
-        self.pair = {(p, c): stay[p] if p == c else 1 - stay[p] for p in (False, True) for c in (False, True)}
+        for word in {*counts, *PRIOR}:
+            (other, content), (less, more) = counts.get(word, (0, 0)), PRIOR.get(word, (0, 0))
+            odds = math.log(content + more + 0.5) - math.log(other + less + 0.5)
+            self.speaks[word] = odds - math.log((total[0] + 0.5) / (total[1] + 0.5))
+        self.pair = {}
+        for p in (False, True):
+            same, turned = moves.get((p, p), 0) + 200.0, moves.get((p, not p), 0) + 1.0
+            self.pair[p, not p] = max(TURNS, turned / (same + turned))
+            self.pair[p, p] = 1 - self.pair[p, not p]
+
+    def edge(self, names: tuple[str, ...]) -> dict[tuple[bool, bool], float]:
+        """Potentials between a node and its parent: a marked box is what it is under any parent, so it tells nothing of it."""
+        return EVEN if MARKED.intersection(names) else self.pair
 
     def alone(self, features: list[str]) -> float:
-        """Log-odds of content from what a node looks like on its own."""
-        settled, rest = 0.0, 0.0
+        """Log-odds of content from what a node looks like on its own: its listed names, each as counts have it, and its looks."""
+        named, looks = 0.0, 0.0
         for w in features:
-            if w in CONTENT_NAMES:
-                settled += SETTLED
-            elif w in OTHER_NAMES:
-                settled -= SETTLED
+            if w in PRIOR:
+                named += self.speaks[w]
             else:
-                rest += self.speaks.get(w, 0.0)
-        return settled + max(-UNSETTLED, min(UNSETTLED, rest))
+                looks += self.speaks.get(w, 0.0)
+        return named + max(LOOKS[0], min(LOOKS[1], looks))
 
     def marginals(self, page: Page) -> list[float]:
         """Probability of content for each node: one pass of messages to the root, one back."""
         n = len(page.tags)
-        pair = self.pair
+        edges = [tuple(e[k] for k in ((False, False), (False, True), (True, False), (True, True))) for e in map(self.edge, page.names)]
         own = [0.0] * n
         for i in range(1, n):
             own[i] = self.alone(page.features(i))
         up = [(0.0, 0.0)] * n  # the message to the parent: log weights of its states other, content
         below = [[0.0, x] for x in own]  # own potential and the children's messages
-        ff, ft, tf, tt = pair[False, False], pair[False, True], pair[True, False], pair[True, True]
         for i in range(n - 1, 0, -1):
+            ff, ft, tf, tt = edges[i]
             a, b = below[i]
             m = max(a, b)
             ea, eb = math.exp(a - m), math.exp(b - m)
@@ -195,6 +219,7 @@ class Model:
         belief = [(0.0, 0.0)] * n
         belief[0] = (below[0][0], below[0][1] - 5.0)  # the page as a whole is no content
         for i in range(1, n):
+            ff, ft, tf, tt = edges[i]
             p = belief[page.parents[i]]
             a, b = p[0] - up[i][0], p[1] - up[i][1]  # without what this node said
             m = max(a, b)
@@ -210,12 +235,22 @@ def train(pages: DataFrame, most: int = MOST_LABELLED) -> Model:
 
     def labelled(got, n):
         some = [i for i, source in enumerate(got["html"]) if Page((source or b"").decode()).labels() is not None]
-        return [pa.array([got[c][i] for i in some], t) for c, t in (("order", pa.int64()), ("html", pa.binary()))]
+        return [pa.array([got["order"][i] for i in some], pa.int64())]
 
     sample = pages.select("html")
     if most:
-        ordered = pages.select(F.xxhash64("page_id").alias("order"), "html")
-        sample = scan(ordered, labelled, "order long, html binary", ["order", "html"]).orderBy("order", "html").limit(most)
+        # the labelled pages first in hash order lie in the first part of all pages that has enough of them; pages stay where they are
+        ordered = pages.select(F.xxhash64("page_id", "html").alias("order"), "html")
+        share = min(1.0, 4 * most / max(1, pages.count()))
+        while True:
+            first = ordered if share >= 1 else ordered.filter(F.col("order") < int(-(2**63) + share * 2**64))
+            orders = scan(first, labelled, "order long", ["order", "html"]).distinct().orderBy("order").limit(most)
+            orders = [r["order"] for r in orders.collect()]
+            if len(orders) >= most or share >= 1:
+                break
+            share = min(1.0, 8 * share)
+        cut = max(orders, default=-(2**63))
+        sample = ordered.filter(F.col("order") <= cut).dropDuplicates(["order"])  # copies of a page count once
 
     def work(got, n):
         counts: Counter = Counter()
@@ -227,7 +262,8 @@ def train(pages: DataFrame, most: int = MOST_LABELLED) -> Model:
             for i in range(1, len(states)):
                 for w in page.features(i):
                     counts[w, states[i]] += 1
-                counts[f"->{int(states[page.parents[i]])}", states[i]] += 1
+                if not MARKED.intersection(page.names[i]):
+                    counts[f"->{int(states[page.parents[i]])}", states[i]] += 1
         words = list(counts)
         return [pa.array([w for w, _ in words], pa.string()), pa.array([s for _, s in words], pa.bool_()), pa.array([counts[w] for w in words], pa.int64())]
 

@@ -92,6 +92,7 @@ def test_find_secrets(spark, docs, nothing):
     assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan)
 
 
+LONG_TEXT = "Soup is a dish that is made by boiling things in water, and every land has one of its own that it likes best."
 PAGES = [
     ("<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href='/x'>Home</a></ul></nav>"
      "<article><h1>T</h1><p><b>One&amp;two<br><p>Three  <i>four</i>\nfive&lt;</p></article><footer>&copy; x</footer>", "T One&two Three four five<"),
@@ -103,6 +104,17 @@ PAGES = [
     ("<div><p>No marks here at all, but text.</p><p>And more of it.</p><p>And a third.</p><p>Fourth.</p></div>", "No marks here at all, but text. And more of it. And a third. Fourth."),
     ("", ""),
     (None, ""),
+    *((f"<body><nav><ul><li><a href='/x'>Home</a></li></ul></nav><article><h1>Head</h1><p>{LONG_TEXT}</p>{block}<p>{LONG_TEXT}</p></article>"
+       "<footer>x</footer></body>", f"Head {LONG_TEXT} {inner} {LONG_TEXT}")
+      for block, inner in (
+          (f'<section class="related-work"><h2>Related</h2><p>{LONG_TEXT}</p></section>', f"Related {LONG_TEXT}"),
+          (f'<p class="legal">{LONG_TEXT}</p>', LONG_TEXT), ('<h2 class="section-header">Part two</h2>', "Part two"),
+          (f'<div id="notice-of-terms"><p>{LONG_TEXT}</p></div>', LONG_TEXT), ('<p class="menu-item">Soup of the day</p>', "Soup of the day"),
+          ('<ul><li><a href="/a">One</a> and more</li><li>Two</li></ul>', "One and more Two"))),
+    *((f"<article><p>{LONG_TEXT}</p>{block}<p>{LONG_TEXT}</p></article>", f"{LONG_TEXT} {LONG_TEXT}")
+      for block in ("<div class='ad'>Buy now</div>", "<aside><p>See also</p></aside>", "<div class='comments'><p>Me too</p></div>",
+                    "<div id='cookie-notice'>We use cookies</div>", "<form><p>Mail</p></form>", "<nav><p>Up</p></nav>")),
+    ("<body><div class='menu'>Home</div><div class='entry-content'><p>Body text.</p></div><div class='site-footer'>x</div></body>", "Body text."),
 ]
 
 
@@ -134,13 +146,20 @@ def test_messages_give_exact_marginals():
         w = -5.0 * state[0]
         for i in range(1, n):
             own = model.alone(page.features(i))
-            w += own * state[i] + math.log(model.pair[state[page.parents[i]], state[i]])
+            w += own * state[i] + math.log(model.edge(page.names[i])[state[page.parents[i]], state[i]])
         total[0] += math.exp(w)
         for i in range(n):
             total[1][i] += math.exp(w) * state[i]
     assert model.marginals(page) == pytest.approx([x / total[0] for x in total[1]])
 
 
+def test_counts_can_outweigh_a_listed_name():
+    page = html_text.Page("<body><div><div class='widget-text'><p>a</p></div></div></body>")
+    features = page.features(page.names.index(("<div", "widget", "text", "=widget-text")))
+    few, many = (html_text.Model({"widget": (0, n), "#size1": (500, 500)}, {}).alone(features) for n in (0, 400))
+    assert few < 0 < many
+
+
 def test_the_sample_is_one_of_labelled_pages(spark):
     plain = [(i, "<div><p>No marks here.</p></div>") for i in range(300)]
     marked = [(1000 + i, "<body><article><p class='zebra'>Text</p></article></body>") for i in range(4)]
