@@ -18,6 +18,8 @@ BARE = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}"
 KINDS = [*BASE_KINDS, "bare"]
 #: A value found with this many owners is a copied example.
 EXAMPLE_OWNERS = 3
+#: A value with more than one owner is also an example if it is in this many repositories.
+EXAMPLE_REPOSITORIES = 20
 
 
 def _places(text: Column, pattern: str, found: Column) -> Column:
@@ -85,12 +87,13 @@ def _text_of(spans: Column) -> Column:
 
 def find_secrets(
     docs: DataFrame, owner: str = "source", repository: str = "doc_id", key: str = "doc_id", text: str = "text",
-    example_owners: int = EXAMPLE_OWNERS,
+    example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES,
 ) -> DataFrame:
     """Base secrets of every text, bare credentials of few owners, and how widely each value is copied.
 
-    Candidate values are hashed; a hash found with ``example_owners`` distinct owners or more is a copied
-    example, any other looks live. Bare runs (long, with both cases and digits, outside base spans) are
+    Candidate values are hashed; a hash found with ``example_owners`` distinct owners or more, or in ``example_repositories``
+    repositories of more than one owner, is a copied example, any other looks live: one owner may hold a credential
+    in any number of repositories. Bare runs (long, with both cases and digits, outside base spans) are
     added as spans only if they look live; base spans always stay.
 
     Returns one row per input row: ``doc_id, base`` and ``spans`` (lists of ``at, kind, end, value``, sorted),
@@ -107,7 +110,8 @@ def find_secrets(
     found = materialize(found, "secrets")
     spans = found.select("row", "owner", "repository", F.explode(F.concat("base", "bare")).alias("span"))
     spans = spans.withColumn("hash", F.sha2(F.col("span.value").cast("binary"), 256))
-    judged = spans.join(ownership(spans), "hash").withColumn("example", F.col("owners") >= example_owners)
+    spread = (F.col("owners") > 1) & (F.col("repositories") >= example_repositories)
+    judged = spans.join(ownership(spans), "hash").withColumn("example", (F.col("owners") >= example_owners) | spread)
     keep = F.when((F.col("span.kind") < len(BASE_KINDS)) | ~F.col("example"), F.col("span"))
     per_row = judged.groupBy("row").agg(
         F.array_sort(F.collect_list(keep)).alias("spans"),

@@ -92,6 +92,15 @@ def test_find_secrets(spark, docs, nothing):
     assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan)
 
 
+def test_repositories_decide_between_two_owners(spark):
+    one, two = "Zx9Zx9Zx9Zx9Zx9Zx9Zx9Q", "Abc123Abc123Abc123Abc123"
+    rows = [(i, f"key {one}", "o1") for i in range(30)] + [(100 + i, f"key {two}", f"o{i % 2}") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    live = lambda **kw: {r["doc_id"] < 100: r["n_live"] for r in secrets.find_secrets(df, **kw).collect()}
+    assert live() == {True: 1, False: 1}
+    assert live(example_repositories=5) == {True: 1, False: 0}  # one owner's credential stays live in any number of them
+
+
 LONG_TEXT = "Soup is a dish that is made by boiling things in water, and every land has one of its own that it likes best."
 PAGES = [
     ("<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href='/x'>Home</a></ul></nav>"
