@@ -16,6 +16,8 @@ SLOTS = 4
 KICKS = 200
 #: Digests that one bucket of the index is laid out for.
 PER_BUCKET = 20_000
+#: Batches that the rows of a table are inserted in, one after the other within each bucket.
+BATCHES = 4
 
 
 class CuckooFilter:
@@ -93,6 +95,7 @@ class Bucket:
 
     def __init__(self, stored: dict[bytes, tuple] | None = None, filter_bytes: bytes | None = None):
         self.stored = stored or {}
+        self.hits = 0  # digests met again and verified
         if filter_bytes:
             self.filter = CuckooFilter.load(filter_bytes)
         else:
@@ -115,6 +118,7 @@ class Bucket:
     def insert(self, digest: bytes, first: tuple, copies: int) -> None:
         found = self.lookup(digest)
         if found is not None:
+            self.hits += 1
             self.stored[digest] = (min(found[0], first, key=_order), found[1] + copies)
             return
         self.stored[digest] = (first, copies)
@@ -135,9 +139,9 @@ ENTRY = "bucket int, digest binary, late boolean, first_id {key}, first_row long
 class CuckooIndex:
     """An index of live digests as a written table; each change writes a new one.
 
-    A digest belongs to one of ``buckets``; every bucket keeps one row per digest and its filter in a row
-    without a digest. Batches are reduced to one row per digest before they are shuffled, so copies of one text
-    never meet in a task.
+    A digest belongs to one of ``buckets``; every bucket keeps one row per digest, and its filter in a row
+    without a digest (whose ``copies`` are the hits of the last change). Batches are reduced to one row per digest before they are
+    shuffled, so copies of one text never meet in a task; what is in an earlier batch too is found by the filter.
     """
 
     def __init__(self, table: DataFrame, buckets: int):
@@ -164,21 +168,22 @@ class CuckooIndex:
             change(bucket, rows)
             number = (rows or entries)[0]["bucket"]
             out = [(number, d, *first, n, None) for d, (first, n) in bucket.stored.items()]
-            out.append((number, None, None, None, None, None, bucket.filter.dump()))
+            out.append((number, None, None, None, None, bucket.hits, bucket.filter.dump()))
             return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
         batch = batch.withColumn("bucket", self._bucket())
         both = self.table.groupBy("bucket").cogroup(batch.groupBy("bucket"))
         return CuckooIndex(materialize(both.applyInArrow(run, self.table.schema), "cuckoo"), self.buckets)
 
-    def insert(self, rows: DataFrame) -> CuckooIndex:
-        """Add rows of ``doc_id, row, digest``; the smallest (key, row) of a digest is remembered."""
+    def insert(self, rows: DataFrame, batches: int = 1) -> CuckooIndex:
+        """Add rows of ``doc_id, row, digest`` in so many batches; the smallest (key, row) of a digest is remembered."""
         first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row"))
-        batch = rows.groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
-        batch = batch.select("digest", "first.late", F.col("first.doc_id").alias("first_id"), F.col("first.row").alias("first_row"), "copies")
+        dealt = rows.withColumn("batch", F.pmod(F.xxhash64("row"), F.lit(batches)).cast("int"))
+        batch = dealt.groupBy("digest", "batch").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
+        batch = batch.select("digest", "batch", "first.late", F.col("first.doc_id").alias("first_id"), F.col("first.row").alias("first_row"), "copies")
 
         def change(bucket: Bucket, new: list[dict]) -> None:
-            for x in new:
+            for x in sorted(new, key=lambda x: x["batch"]):
                 bucket.insert(x["digest"], (x["late"], x["first_id"], x["first_row"]), x["copies"])
 
         return self._apply(batch, change)
@@ -192,6 +197,10 @@ class CuckooIndex:
 
         return self._apply(digests.select("digest").distinct(), change)
 
+    def hits(self) -> int:
+        """Digests of the last insertion that an earlier batch, or the index before, held already."""
+        return self.table.filter("digest IS NULL").agg(F.sum("copies")).first()[0] or 0
+
     def entries(self) -> DataFrame:
         return self.table.filter("digest IS NOT NULL").select("digest", "late", "first_id", "first_row", "copies")
 
@@ -212,7 +221,7 @@ def digest_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def find_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row, the row of its equal texts that stays: the one with the smallest key.
 
-    Digests go into a cuckoo index (reduced to one row per text before the shuffle); then each row
+    Digests go into a cuckoo index in ``BATCHES`` batches (each reduced to one row per text before the shuffle); then each row
     looks its digest up in the index by an equi-join, whose large groups Spark can split, as only the row side
     is large.
 
@@ -221,7 +230,7 @@ def find_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     empty table gives none; other columns are not read.
     """
     rows = digest_rows(docs, key, text)
-    index = CuckooIndex.empty(rows, rows.count()).insert(rows)
+    index = CuckooIndex.empty(rows, rows.count()).insert(rows, BATCHES)
     joined = rows.join(index.entries(), "digest")
     return joined.select(
         "doc_id",
@@ -234,7 +243,11 @@ def find_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all columns, that ``find_copies`` keeps."""
+    """The rows of ``docs``, with all columns, that ``find_copies`` keeps.
+
+    NULL and empty texts are equal and one row of them stays; a NULL key comes after all others; of rows equal in key and text one
+    stays; an empty table gives none. Other columns come back as they are, whatever their names but those that begin with ``_``.
+    """
     found = find_copies(docs, key, text)
     columns = docs.columns
     kept = found.filter("kept").select(F.col("mark").alias("_mark_of_row"))

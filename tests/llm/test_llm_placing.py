@@ -148,3 +148,13 @@ def test_index_takes_batches_and_deletes(spark):
     assert {r["first_id"] for r in index.entries().collect()} == set(range(10, 40))
     index = index.insert(two.filter("doc_id = 41"))
     assert {r["first_id"]: r["copies"] for r in index.entries().collect()}[41] == 1
+
+
+def test_later_batches_hit_the_filter_which_grows(spark):
+    rows = spark.range(400).selectExpr("id AS doc_id", "id AS row", "unhex(sha2(cast(id % 90 AS string), 256)) AS digest")
+    index = exact_dedup.CuckooIndex.empty(rows, 400).insert(rows, 4)
+    assert {(r["first_id"], r["copies"]) for r in index.entries().collect()} == {(i, 5 if i < 40 else 4) for i in range(90)}
+    assert index.hits() > 90  # most digests are in several of the four batches
+    first = len(exact_dedup.CuckooFilter.for_size(0).dump())
+    assert index.table.filter("digest IS NULL").selectExpr("max(length(filter)) AS n").first()["n"] > first
+    assert exact_dedup.CuckooIndex.empty(rows, 400).insert(rows).hits() == 0
