@@ -10,7 +10,6 @@ from functools import reduce
 from math import exp, log, log2
 from multiprocessing.pool import ThreadPool
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -25,6 +24,7 @@ from tallystone.functions.columns import number, ref
 from tallystone.operators.metrics import threshold_metrics
 from tallystone.operators.split import with_class_weight
 from tallystone.session import materialize, scratch_path
+from tallystone.sources.tables import read_or_empty
 
 DEEPEST = 30  # of Spark's trees
 #: Rows that a part of a training table should hold: iterative fits run one job a step, small parts only add to its cost.
@@ -35,7 +35,7 @@ SEED = 42
 
 # fixed values: the parameters each model starts from
 DEFAULTS: dict[str, dict] = {
-    "LogisticRegression": {"C": 1.0, "penalty": "l2", "max_iter": 1000},
+    "LogisticRegression": {"C": 1.0, "penalty": "l2", "max_iter": 1000, "tol": 1e-4},
     "RandomForest": {"n_estimators": 100},
     "XGBoost": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 6},
     "LightGBM": {"n_estimators": 100, "learning_rate": 0.1, "num_leaves": 31, "min_child_samples": 20},
@@ -106,6 +106,7 @@ def make_estimator(name: str, params: Mapping | None = None, rows: int = 1, seed
             regParam=1.0 / (p["C"] * rows),
             elasticNetParam=1.0 if p["penalty"] == "l1" else 0.0,
             maxIter=p["max_iter"],
+            tol=p["tol"],
             standardization=False,
         )
     rounds = p.pop("n_estimators")
@@ -245,12 +246,14 @@ def random_search(
     parallelism: int = 8,
     seed: int = SEED,
     path: str | None = None,
+    timeout: float | None = 3600.0,
 ) -> tuple[dict, DataFrame]:
     """Best parameters by mean F1 over the folds, and every trial with its score.
 
     Parameters outside the space keep their defaults, also in the returned set. Each (trial, fold) is written to ``path`` as soon as it
     ends. A search that is started again with the same path and seed fits only what is missing, so one that broke off goes on; trials
-    depend on the seed alone, and more trials may be asked for later.
+    depend on the seed alone, and more trials may be asked for later. After ``timeout`` seconds no further fit starts (None: no
+    limit); the best is then chosen among the trials that have all folds, and it is an error if there is none.
     """
     spark = data.sparkSession
     space = SEARCH_SPACES[name] if space is None else space
@@ -258,7 +261,7 @@ def random_search(
     points = [draw(space, rng) for _ in range(trials)]
     sizes = {r[0]: r[1] for r in data.groupBy(fold).count().collect()}  # one row per fold
     path = path or scratch_path(spark, "trials")
-    done = {(r["trial"], r["fold"]): r["params"] for r in _trial_rows(spark, path).select("trial", "fold", "params").collect()}
+    done = {(r["trial"], r["fold"]): r["params"] for r in read_or_empty(spark, path, TRIALS_SCHEMA).select("trial", "fold", "params").collect()}
     other = [t for (t, _), params in done.items() if t < trials and params != str(points[t])]
     if other:
         raise ValueError(f"{path} holds trials of another search: {sorted(set(other))[:5]}")
@@ -274,25 +277,25 @@ def random_search(
         one = spark.createDataFrame(row, "model string, params string, score double, seconds double")
         one.coalesce(1).write.mode("overwrite").json(f"{path}/trial={trial}/fold={held}")
 
+    def in_time(job: tuple[int, int]) -> None:
+        if timeout is None or time.monotonic() < begun + timeout:
+            fit(job)
+
+    begun = time.monotonic()
     left = [(t, f) for t in range(trials) for f in sorted(sizes) if (t, f) not in done]
     with ThreadPool(parallelism) as pool:
-        for _ in pool.imap_unordered(inheritable_thread_target(spark)(fit), left):
+        for _ in pool.imap_unordered(inheritable_thread_target(spark)(in_time), left):
             pass
-    rows = _trial_rows(spark, path).where((F.col("trial") < trials) & F.col("fold").isin(list(sizes)))
-    found = rows.groupBy("model", "trial", "params").agg(F.avg("score").alias("score"))
-    best = min(found.collect(), key=lambda r: (-r["score"], r["trial"]))["trial"]  # one row per trial
+    rows = read_or_empty(spark, path, TRIALS_SCHEMA).where((F.col("trial") < trials) & F.col("fold").isin(list(sizes)))
+    found = rows.groupBy("model", "trial", "params").agg(F.avg("score").alias("score"), F.count("*").alias("n"))
+    found = found.where(F.col("n") == len(sizes)).drop("n")
+    ended = found.collect()  # one row per trial
+    if not ended:
+        raise TimeoutError(f"no trial of {name} ended in {timeout} s")
+    best = min(ended, key=lambda r: (-r["score"], r["trial"]))["trial"]
     return {**DEFAULTS[name], **points[best]}, found
 
 
-def _trial_rows(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(TRIALS_SCHEMA).json(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], TRIALS_SCHEMA)
-        raise
-
-
 def native_importance(trained: Trained) -> DataFrame:
     """``(feature, importance)`` of a tree model, largest first; a model of another kind has none."""
     spark = SparkSession.active()

@@ -12,6 +12,7 @@ from tallystone.plans.analysis import AnalysisSettings, analyze
 from tallystone.plans.catalog.preparation import ALL_FEATURES
 from tallystone.plans.catalog.registry import LOAN, loan, query, rounded, table
 from tallystone.plans.prepare import FittedPreparation, fit_preparation, loan_settings, prepare
+from tallystone.plans.training import PRIMARY, TrainingSettings, run_training
 from tallystone.session import materialize, scratch_path
 from tallystone.sources.tables import (
     LOAN_SCHEMA,
@@ -28,16 +29,22 @@ from tallystone.sources.tables import (
 from tallystone.streaming.score import prepare_stream, read_stream, score_stream, write_stream
 
 KEY, TARGET = "Customer_ID", "Loan_Status"
+LOAN_TRAINING = TrainingSettings(KEY, TARGET)
+
+
+def _prepared(spark, sf):
+    """Train and test rows of the prepared loans, with their key. The shift step is a query of its own."""
+    ready, _ = prepare(loan(spark, sf), replace(loan_settings(), keep_key=True), check_shift=False)
+    return tuple(ready.where(F.col("split") == s).drop("split") for s in ("train", "test"))
 
 
 def _ready(spark, sf):
     """Prepared loans with their key, as ``(train, test, feature names)`` of assembled rows.
 
-    Class weights of train come from train alone. The shift step is a query of its own.
+    Class weights of train come from train alone.
     """
-    ready, _ = prepare(loan(spark, sf), replace(loan_settings(), keep_key=True), check_shift=False)
-    names = [c for c in ready.columns if c not in (KEY, TARGET, "split")]
-    parts = (ready.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    parts = _prepared(spark, sf)
+    names = [c for c in parts[0].columns if c not in (KEY, TARGET)]
     train, test = (models.sized(models.assemble(part, names, TARGET, keep=[KEY]), KEY) for part in parts)
     return train, test, names
 
@@ -89,6 +96,39 @@ def random_search(spark, sf):
     return trials
 
 
+@query("search_logistic_regression")
+def search_logistic_regression(spark, sf):
+    train, _, _ = _ready(spark, sf)
+    folded = materialize(stratified_folds(train, KEY, models.LABEL, 5), "folds")
+    _, trials = models.random_search("LogisticRegression", folded)
+    return trials
+
+
+def _run_rows(result):
+    """Leaderboard, gates and verdict of a training run as ``(step, model, is_tuned, fact, value, passed)``."""
+    model, tuned = F.lit(result.best.name).alias("model"), F.lit(result.best.is_tuned).alias("is_tuned")
+    row = lambda df, step, fact, value, passed="passed": df.select(
+        F.lit(step).alias("step"), model, tuned, fact.alias("fact"), value.cast("double").alias("value"), F.col(passed).alias("passed")
+    )
+    out = result.board.select(F.lit("board").alias("step"), "model", "is_tuned", F.lit(PRIMARY).alias("fact"), F.col("score").alias("value"), F.lit(None).cast("boolean").alias("passed"))
+    out = out.unionByName(row(result.checks["performance"], "performance", F.col("metric"), F.col("value")))
+    out = out.unionByName(row(result.checks["overfitting"], "overfitting", F.col("metric"), F.col("gap")))
+    out = out.unionByName(row(result.checks["business"], "business", F.col("rule"), F.col("value")))
+    return out.unionByName(row(result.verdict, "verdict", F.lit("n_failed"), F.col("n_failed"), "overall_passed"))
+
+
+@query("training_run")
+def training_run(spark, sf):
+    """The linear model from baseline to gates: ten folds, 50 trials of five folds, the tuned model with its ten folds."""
+    return _run_rows(run_training(*_prepared(spark, sf), replace(LOAN_TRAINING, models={"LogisticRegression": {}}, tune_top=1)))
+
+
+@query("training_run_baselines")
+def training_run_baselines(spark, sf):
+    """All four models as they start, each with ten folds."""
+    return _run_rows(run_training(*_prepared(spark, sf), replace(LOAN_TRAINING, tune_top=0)))
+
+
 @query("native_importance")
 def native_importance(spark, sf):
     train, _, names = _ready(spark, sf)

@@ -170,13 +170,7 @@ def publish_run(results: Mapping[str, DataFrame], path: str, run_id: str, replac
 
 def _published(spark: SparkSession, path: str) -> DataFrame:
     """``(attempt, tables, run_id)``, one row per published run."""
-    schema = "attempt string, tables array<string>, run_id string"
-    try:
-        return spark.read.schema(schema).json(f"{path}/published")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+    return read_or_empty(spark, f"{path}/published", "attempt string, tables array<string>, run_id string")
 
 
 def read_published(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
@@ -187,6 +181,16 @@ def read_published(spark: SparkSession, path: str, name: str, fmt: str = "parque
     return rows.join(F.broadcast(runs), "attempt").drop("attempt")  # one row per run; it prunes the folders
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON rows of a folder with a given schema; none while nothing has been written there."""
+    try:
+        return spark.read.schema(schema).json(path).select(*T.StructType.fromDDL(schema).names)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def save_model(
     model: Model, path: str, features: Sequence[str], metrics: DataFrame, cv: DataFrame | None = None
 ) -> None:

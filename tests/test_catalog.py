@@ -11,7 +11,7 @@ from tools.check_oracles import compare, connect
 SLOW = {
     "cross_validation", "cross_validation_summary", "random_search", "train_boosted_trees", "permutation_importance",
     "train_boosted_trees_second_preset", "train_random_forest", "native_importance", "batch_scoring",
-    "analysis_report", "preparation_shift", "stream_scoring",
+    "analysis_report", "preparation_shift", "stream_scoring", "search_logistic_regression", "training_run", "training_run_baselines",
 }
 
 

@@ -1,5 +1,7 @@
 import random
+from dataclasses import replace
 
+import duckdb
 import numpy as np
 import pytest
 from row_helpers import by
@@ -9,7 +11,7 @@ from tallystone.operators import models
 from tallystone.operators.selectors import CheckFailed
 from tallystone.operators.split import stratified_folds
 from tallystone.plans.catalog import modelling
-from tallystone.plans.training import TrainingSettings, run_training, save_best
+from tallystone.plans.training import OtherRun, TrainingSettings, run_training, save_best
 from tallystone.session import materialize, shared_dir
 from tallystone.sources import tables
 
@@ -73,19 +75,25 @@ def test_cross_validation_and_permutation(separable):
         assert imp["a"]["importance_mean"] > 0.2 > 0.05 > abs(imp["b"]["importance_mean"])
 
 
-def test_training_flow_selects_gates_and_saves(spark, separable, tmp_path):
-    train, test = separable.where("id % 5 > 0"), separable.where("id % 5 = 0")
-    s = TrainingSettings(
-        key="id",
-        target="y",
-        models={"LogisticRegression": {}, "RandomForest": {"n_estimators": 5}},
-        cv_folds=2,
-        tuning_folds=2,
-        tune_top=1,
-        trials=2,
-        search_spaces={n: {"max_depth": ("int", 2, 3)} if n != "LogisticRegression" else {"C": ("uniform", 0.5, 1)} for n in models.DEFAULTS},
-    )
-    result = run_training(train, test, s)
+def small_run(**more):
+    return TrainingSettings(
+        key="id", target="y", models={"LogisticRegression": {}, "RandomForest": {"n_estimators": 3}}, cv_folds=2, tuning_folds=2,
+        tune_top=1, trials=2, search_spaces={"RandomForest": {"max_depth": ("int", 2, 3)}, "LogisticRegression": {"C": ("uniform", 0.5, 1)}}, **more,
+    )
+
+
+@pytest.fixture(scope="module")
+def split_rows(separable):
+    return separable.where("id % 5 > 0"), separable.where("id % 5 = 0")
+
+
+@pytest.fixture(scope="module")
+def result(split_rows, tmp_path_factory):
+    return run_training(*split_rows, small_run(), str(tmp_path_factory.mktemp("training") / "whole"))
+
+
+def test_training_flow_selects_gates_and_saves(spark, split_rows, result, tmp_path):
+    train, test = split_rows
     assert len(result.all_models) == 3 and result.board.count() == 3 and result.cv.count() == 6
     assert result.board.first()["model"] == result.best.name
     assert {r["metric"] for r in result.metrics.collect()} >= {"roc_auc", "log_loss"}
@@ -98,6 +106,69 @@ def test_training_flow_selects_gates_and_saves(spark, separable, tmp_path):
     assert same == pytest.approx(models.score(result.best.model, data).agg(F.sum("p")).first()[0])
 
 
+def test_training_goes_on_where_it_broke_off(split_rows, result, tmp_path, monkeypatch):
+    train, test = split_rows
+    path, made, make = str(tmp_path / "run"), [], models.make_estimator
+
+    def breaking(limit):
+        def counted(*args):
+            if len(made) >= limit:
+                raise RuntimeError("the machine is gone")
+            made.append(args[0])
+            return make(*args)
+
+        return counted
+
+    # two baselines of one fit and two folds, a search of two trials and two folds, a tuned fit and its two folds
+    for limit in (4, 9):
+        monkeypatch.setattr(models, "make_estimator", breaking(limit))
+        with pytest.raises(RuntimeError):
+            run_training(train, test, small_run(parallelism=1), path)
+    monkeypatch.setattr(models, "make_estimator", breaking(10**9))
+    parts = run_training(train, test, small_run(parallelism=1), path)
+    assert len(made) <= 13 + 1  # the folds of one fit are written together, so those of a broken set are fitted again
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    for table in ("metrics", "board", "cv", "gaps", "verdict"):
+        assert rows(getattr(parts, table)) == rows(getattr(result, table)), table
+
+
+def test_a_run_folder_belongs_to_one_run(split_rows, tmp_path):
+    train, test = split_rows
+    s = TrainingSettings(key="id", target="y", models={"RandomForest": {"n_estimators": 2}}, cv_folds=0, tune_top=0)
+    path = str(tmp_path / "run")
+    run_training(train, test, s, path)
+    run_training(train.orderBy(F.desc("id")), test, s, path)  # the order of rows says nothing
+    with pytest.raises(OtherRun, match="train"):
+        run_training(train.where("id <> 1"), test, s, path)
+    with pytest.raises(OtherRun, match="seed"):
+        run_training(train, test, replace(s, seed=7), path)
+
+
+def test_board_and_gates_follow_from_the_stored_rows(result):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW m AS SELECT * FROM read_json('{result.path}/metrics/*/*.json')")
+    board = con.execute("SELECT model, is_tuned, value FROM m WHERE dataset = 'val' AND metric = 'f1_score' ORDER BY value DESC, model, is_tuned")
+    assert [tuple(r) for r in result.board.collect()] == board.fetchall()
+    sides = "max(value) FILTER (dataset = '{}')"
+    gaps = con.execute(f"SELECT model, is_tuned, metric, {sides.format('train')} - {sides.format('val')} FROM m GROUP BY ALL").fetchall()
+    assert {(r["model"], r["is_tuned"], r["metric"]): r["gap"] for r in result.gaps.collect()} == pytest.approx({r[:3]: r[3] for r in gaps})
+    best = result.best
+    score = dict(con.execute("SELECT metric, value FROM m WHERE dataset = 'val' AND model = ? AND is_tuned = ?", [best.name, best.is_tuned]).fetchall())
+    passed = {r["metric"]: r["passed"] for r in result.checks["performance"].collect()}
+    assert passed == {"f1_score": score["f1_score"] >= 0.7, "roc_auc": score["roc_auc"] >= 0.75}
+    assert result.verdict.first()["overall_passed"] == (result.verdict.first()["n_failed"] == 0)
+
+
+def test_a_search_stops_at_its_time(separable, tmp_path):
+    data = models.assemble(separable, ["a", "b"], "y", keep=["id"])
+    folded = materialize(stratified_folds(data, "id", models.LABEL, 2))
+    space, path = {"C": ("log_uniform", 0.01, 10)}, str(tmp_path / "t")
+    search = lambda timeout: models.random_search("LogisticRegression", folded, trials=3, space=space, path=path, parallelism=1, timeout=timeout)
+    with pytest.raises(TimeoutError):
+        search(0.0)
+    assert search(None)[1].count() == 3 and search(0.0)[1].count() == 3  # trials that stand need no time
+
+
 def test_search_goes_on_where_it_broke_off(separable, tmp_path, monkeypatch):
     data = models.assemble(separable, ["a", "b"], "y", keep=["id"])
     folded = materialize(stratified_folds(data, "id", models.LABEL, 2))
