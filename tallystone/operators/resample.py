@@ -26,7 +26,7 @@ def smote(
 
     Every complete row of a class makes the same number of synthetic rows, give or take one; the rows that make one more
     come first in a hash order of the key. Each lies at a random place between its row and one of the row's ``k`` nearest
-    rows of the same class (Euclidean distance over ``columns``, ties by key). Neighbours are exact: they come from a pivot index per
+    rows of the same class (Euclidean distance over ``columns``, ties by key). Neighbours are exact: they come from a tree of blocks per
     class, not from all pairs. Draws are md5 hashes of key, copy and seed, so a run can be repeated. Rows with a missing value in
     ``columns`` count for their class but make nothing; a class that must grow needs two complete rows. Keys must be unique and present.
 

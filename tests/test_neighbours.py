@@ -114,3 +114,9 @@ def test_smote_limits(spark, uneven):
     copies = spark.createDataFrame([(i, "a", 1.0) for i in range(9)] + [(i, "b", 2.0) for i in range(9, 12)], "id long, t string, a double")
     made = resample.smote(copies, "id", "t", ["a"])
     assert made.count() == 6 and made.where((F.col("a") != 2.0) | (F.col("base") == F.col("neighbour"))).count() == 0
+
+
+def test_measured_pairs_of_a_query_do_not_grow_with_the_donors(spark):
+    rng = np.random.default_rng(12)
+    each = {n: search(spark, rng.normal(size=(n, 2)), 5, donors_per_block=1000).work.first()["pairs"] / n for n in (2000, 16000)}
+    assert each[16000] < 1.5 * each[2000]
