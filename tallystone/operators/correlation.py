@@ -22,6 +22,7 @@ from tallystone.session import materialize
 
 HOT_SHARE = 1000  # a value held by at least 1/HOT_SHARE of a column's rows is joined by broadcast
 PAIRS_PER_AGG = 100  # pairs of one aggregate
+CELLS_PER_PART = 1_000_000  # cells that a task ranks, joins or groups, whatever the splits and shuffle settings
 NO_HOLES = ""
 
 Pair = tuple[str, str]
@@ -89,11 +90,14 @@ def _ranked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Ranks are looked up by value. Values frequent enough to make a join task hot
     number at most ``HOT_SHARE`` per column and are joined by broadcast; their
     rows are spread over salted keys, so no join partition holds a hot value.
+    Every step is dealt into parts of about ``CELLS_PER_PART`` cells.
     """
+    totals = column_aggregates(df, columns, {"n": "count({v})"}).collect()
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-sum(n for _, n in totals) // CELLS_PER_PART))
+    df = df.repartition(parts, "_key")
     ranks = materialize(  # read twice below
         average_ranks(value_cells(df, columns)).select("column", "value", "ties", "rank"), "ranks"
     )
-    totals = column_aggregates(df, columns, {"n": "count({v})"}).collect()
     floor = F.expr(
         "CASE "
         + " ".join(
@@ -111,13 +115,13 @@ def _ranked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.when(~is_hot, F.col("value")).alias("value"),
         F.when(is_hot, F.pmod(F.xxhash64("_key"), F.lit(HOT_SHARE))).otherwise(F.lit(-1)).alias("salt"),
     )
-    found = salted.join(
+    found = salted.repartition(parts, "column", "value", "salt").join(
         ranks.select("column", "value", "rank", F.lit(-1).cast("long").alias("salt")),
         ["column", "value", "salt"],
         "left",
     )
     rank = F.coalesce("hot_rank", "rank")
-    return found.groupBy("_key").agg(
+    return found.repartition(parts, "_key").groupBy("_key").agg(
         *[F.max(F.when(F.col("column") == c, rank)).alias(c) for c in columns]
     )
 
@@ -128,7 +132,9 @@ def _pair_correlations(wide: DataFrame, sources: dict[Pair, Pair]) -> DataFrame:
     def corr(a: str, b: str) -> str:
         both = f"{quoted(a)} IS NOT NULL AND {quoted(b)} IS NOT NULL"
         x, y = (f"CASE WHEN {both} THEN {quoted(c)} END" for c in (a, b))
-        return f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y}))"
+        # by the extremes: merged partial deviations of a constant may differ from 0 by rounding
+        spread = f"min({x}) < max({x}) AND min({y}) < max({y})"
+        return f"CASE WHEN {spread} THEN try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y})) END"
 
     items = list(sources.items())
     out = None
