@@ -7,12 +7,12 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from math import exp, log, log2
+from math import exp, inf, log, log2
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.base import Estimator
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -358,7 +358,8 @@ def permutation_importance(
     For each repeat the rows fall into random buckets by a hash of the key; inside a
     bucket each row takes the value of the next row in random order. That is a
     permutation of the whole table that needs windows of bounded size only, and one
-    shuffle serves all features of a repeat.
+    shuffle serves all features of a repeat. A binary linear model is judged by its margin, which a permuted column moves by its
+    coefficient times the difference: no row is made for each feature. Other models predict every permuted row.
     """
     buckets = max(1, data.count() // bucket_rows)
     base = data.select(ref(key).alias("_key"), LABEL, vector_to_array(FEATURES).alias("x"))
@@ -369,8 +370,24 @@ def permutation_importance(
     w = Window.partitionBy("repeat", "bucket").orderBy("order")
     first = F.first("x").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     donors = shuffled.withColumn("donor", F.coalesce(F.lead("x").over(w), first))
-    j = F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1)))
-    permuted = donors.withColumn("j", j).select(
+    right = F.avg((F.col("prediction") == F.col(LABEL)).cast("double"))
+    is_odd = F.exists(vector_to_array(FEATURES), lambda v: F.isnan(v) | (F.abs(v) == float("inf")))
+    facts = model.transform(data).agg(right.alias("s"), F.count_if(is_odd).alias("odd")).first()
+    is_linear = isinstance(model, LogisticRegressionModel) and model.numClasses == 2 and not model.isSet("thresholds")
+    if is_linear and not facts["odd"]:
+        per = _right_by_margin(model, donors, len(features))
+    else:
+        per = _right_by_prediction(model, donors, len(features))
+    names = F.array(*[F.lit(f) for f in features])
+    drop = F.lit(facts["s"]) - F.col("s")
+    return per.groupBy(F.element_at(names, F.col("j") + 1).alias("feature")).agg(
+        F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std")
+    )
+
+
+def _right_by_prediction(model: Model, donors: DataFrame, width: int) -> DataFrame:
+    """``(j, repeat, s)``: share of right predictions with feature ``j`` of the donor; the model sees a row for each feature."""
+    permuted = donors.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(width - 1)))).select(
         "repeat",
         "j",
         LABEL,
@@ -379,13 +396,23 @@ def permutation_importance(
         ).alias(FEATURES),
     )
     right = F.avg((F.col("prediction") == F.col(LABEL)).cast("double"))
-    base_score = model.transform(data).agg(right.alias("s")).first()["s"]
-    per = model.transform(permuted).groupBy("j", "repeat").agg(right.alias("s"))
-    names = F.array(*[F.lit(f) for f in features])
-    drop = F.lit(base_score) - F.col("s")
-    return per.groupBy(F.element_at(names, F.col("j") + 1).alias("feature")).agg(
-        F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std")
-    )
+    return model.transform(permuted).groupBy("j", "repeat").agg(right.alias("s"))
+
+
+def _right_by_margin(model: LogisticRegressionModel, donors: DataFrame, width: int) -> DataFrame:
+    """The same of a binary linear model over finite features: one count for each feature, no row."""
+    weights, t = [float(c) for c in model.coefficients.toArray()], model.getThreshold()
+    cut = -inf if t <= 0 else inf if t >= 1 else log(t / (1 - t))
+    terms = [F.col("x")[i] * F.lit(c) for i, c in enumerate(weights)]
+    rows = donors.withColumn("margin", reduce(Column.__add__, terms, F.lit(0.0)) + F.lit(float(model.intercept)))
+
+    def right(j: int) -> Column:
+        moved = F.col("margin") + F.lit(weights[j]) * (F.col("donor")[j] - F.col("x")[j])
+        return F.sum((F.when(moved > cut, 1.0).otherwise(0.0) == F.col(LABEL)).cast("long"))
+
+    counts = rows.groupBy("repeat").agg(F.count(LABEL).alias("n"), *[right(j).alias(f"n{j}") for j in range(width)])
+    shares = F.array(*[F.col(f"n{j}") / F.col("n") for j in range(width)])
+    return counts.select("repeat", F.posexplode(shares).alias("j", "s"))
 
 
 def scoring_pipeline(features: Sequence[str], model: Model) -> PipelineModel:

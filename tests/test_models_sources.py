@@ -75,6 +75,22 @@ def test_cross_validation_and_permutation(separable):
         assert imp["a"]["importance_mean"] > 0.2 > 0.05 > abs(imp["b"]["importance_mean"])
 
 
+def test_linear_importance_makes_no_row_for_each_feature(separable, monkeypatch):
+    data = models.assemble(separable, ["a", "b"], "y", keep=["id"])
+    model = models.train("LogisticRegression", data).model.setThreshold(0.6)
+    shown = lambda rows: models.permutation_importance(model, rows, "id", ["a", "b"], repeats=3, bucket_rows=40)
+    found = lambda rows: {r["feature"]: pytest.approx([r["importance_mean"], r["importance_std"]]) for r in shown(rows).collect()}
+    predicted = []
+    general = models._right_by_prediction
+    monkeypatch.setattr(models, "_right_by_prediction", lambda *x: predicted.append(1) or general(*x))
+    fast = found(data)
+    assert not predicted
+    odd = models.assemble(separable.withColumn("b", F.when(F.col("id") == 0, float("inf")).otherwise(F.col("b"))), ["a", "b"], "y", keep=["id"])
+    assert found(odd) and predicted  # what an infinite value adds cannot be taken off again
+    monkeypatch.setattr(models, "_right_by_margin", general)
+    assert {r["feature"]: [r["importance_mean"], r["importance_std"]] for r in shown(data).collect()} == fast
+
+
 def small_run(**more):
     return TrainingSettings(
         key="id", target="y", models={"LogisticRegression": {}, "RandomForest": {"n_estimators": 3}}, cv_folds=2, tuning_folds=2,
