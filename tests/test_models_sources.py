@@ -91,6 +91,28 @@ def test_linear_importance_makes_no_row_for_each_feature(separable, monkeypatch)
     assert {r["feature"]: [r["importance_mean"], r["importance_std"]] for r in shown(data).collect()} == fast
 
 
+def test_fits_read_even_parts(separable, monkeypatch):
+    """Parts beyond one for each core come in equal numbers for all, and a task of a fit reads one of them."""
+    spark = separable.sparkSession
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.files.openCostInBytes")
+    data = models.assemble(separable, ["a", "b"], "y", keep=["id"])
+    small, large = (models.sized(data, "id", rows, -(-600 // (2 * cores))) for rows in (600 // 2, 600 // (3 * cores)))
+    read = lambda table: sorted(r["n"] for r in table.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+    with models.part_by_part(spark):
+        assert len(read(small)) == 2 and len(read(large)) == 2 * cores
+    assert len(read(large)) <= cores + 1 and spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+    seen = []
+
+    class Probe:
+        def fit(self, rows):
+            seen.append(len(read(rows)))
+
+    monkeypatch.setattr(models, "make_estimator", lambda *_: Probe())
+    models.train("RandomForest", large)
+    assert seen == [2 * cores]
+
+
 def small_run(**more):
     return TrainingSettings(
         key="id", target="y", models={"LogisticRegression": {}, "RandomForest": {"n_estimators": 3}}, cv_folds=2, tuning_folds=2,
