@@ -68,17 +68,21 @@ class Grams:
         self.pair_before[first] = 0
 
 
-def _laid(key: np.ndarray) -> bytes:
-    """Sorted keys, by bytes of the same place, which compresses."""
-    return key.view(np.uint8).reshape(-1, 8).T.tobytes()
+def _laid(values: np.ndarray) -> bytes:
+    """Sorted keys, or small numbers, by bytes of the same place, which compresses."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _edges(parts: int) -> np.ndarray:
+    """The first key of each part but the first."""
+    return np.array([-(-(p << 24) // parts) for p in range(1, parts)], np.uint64) << np.uint64(40)
 
 
 def _packed(parts: int, part_kind: int, key: np.ndarray, *columns: np.ndarray) -> list[tuple]:
     """Rows ``part, kind, keys, columns`` of sorted keys."""
-    edges = np.array([-(-(p << 24) // parts) for p in range(1, parts)], np.uint64) << np.uint64(40)
-    cuts = [0, *np.searchsorted(key, edges), len(key)]
+    cuts = [0, *np.searchsorted(key, _edges(parts)), len(key)]
     return [
-        (p, part_kind, _laid(key[a:b]), *(c[a:b].tobytes() for c in columns))
+        (p, part_kind, _laid(key[a:b]), *(_laid(c[a:b]) for c in columns))
         for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b
     ]
 
@@ -88,14 +92,14 @@ def _part(parts: int) -> Column:
     return F.shiftright(F.shiftrightunsigned("key", 40) * F.lit(parts), 24).cast("int")
 
 
-def _unpacked(keys: bytes) -> np.ndarray:
-    return np.frombuffer(keys, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel()
+def _unpacked(laid: bytes, kind: type = np.uint64) -> np.ndarray:
+    return np.frombuffer(laid, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
 
 
 def _in_batches(train: DataFrame, settle, columns: list[str]) -> DataFrame:
     """Rows of ``settle(token arrays of some texts)``, called for a task's next ``TOKENS_AT_ONCE`` tokens."""
-    names = ["part", "kind", "keys", *columns]
-    types = [pa.int32(), pa.int8(), *[pa.binary()] * (1 + len(columns))]
+    names = ["part", "kind", *columns]
+    types = [pa.int32(), pa.int8(), *[pa.binary()] * len(columns)]
 
     def run(batches):
         held, size = [], 0
@@ -114,7 +118,7 @@ def _in_batches(train: DataFrame, settle, columns: list[str]) -> DataFrame:
         for at in range(0, len(rows), 50):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 50]), types)], names=names)
 
-    schema = ", ".join(["part int, kind tinyint, keys binary", *(f"{c} binary" for c in columns)])
+    schema = ", ".join(["part int, kind tinyint", *(f"{c} binary" for c in columns)])
     return train.select("text").mapInArrow(run, schema)
 
 
@@ -138,7 +142,7 @@ def gram_counts(train: DataFrame, parts: int) -> DataFrame:
             if not some.num_rows:
                 continue
             keys = np.concatenate([_unpacked(x.as_py()) for x in some["keys"]])
-            times = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in some["times"]])
+            times = np.concatenate([_unpacked(x.as_py(), np.uint32) for x in some["times"]])
             by = np.argsort(keys)
             keys, times = keys[by], times[by]
             first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -150,7 +154,7 @@ def gram_counts(train: DataFrame, parts: int) -> DataFrame:
                 rows.append((part, kind, _laid(some), these.tobytes(), len(some), int(these.sum())))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, PACKED, strict=True)], names=names)
 
-    names, dealt = ["part", "kind", "keys", "times", "size", "total"], _in_batches(train, settle, ["times"])
+    names, dealt = ["part", "kind", "keys", "times", "size", "total"], _in_batches(train, settle, ["keys", "times"])
     return dealt.groupBy("part").applyInArrow(count, "part int, kind tinyint, keys binary, times binary, size long, total long")
 
 
@@ -201,26 +205,56 @@ def gram_rows(counts: DataFrame) -> DataFrame:
     return counts.select("kind", "keys", "times").mapInArrow(run, "kind tinyint, key long, n long")
 
 
+def _spelled(parts: int, part_kind: int, key: np.ndarray, codes: np.ndarray, vocabulary: np.ndarray) -> list[tuple]:
+    """Rows ``part, kind, words, places``: the words of n-grams with sorted keys (``codes`` are places in ``vocabulary``), told once a row
+    with the places of each n-gram's words among them. The key and all shorter n-grams follow from the words, in less than their own bytes."""
+    place, rows = np.zeros(len(vocabulary), np.uint32), []
+    cuts = [0, *np.searchsorted(key, _edges(parts)), len(key)]
+    for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
+            some = codes[:, a:b]
+            some = some[:, np.argsort(some[0] * len(vocabulary) + some[1])]  # equal first words side by side, which compresses
+            there = np.zeros(len(vocabulary), bool)
+            there[some] = True
+            used = np.flatnonzero(there)
+            place[used] = np.arange(len(used), dtype=np.uint32)
+            rows.append((p, part_kind, vocabulary[used].tobytes(), _laid(place[some].ravel())))
+    return rows
+
+
+def _read_out(part_kind: int, words: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, histories and shorter n-grams of one row of ``_spelled``."""
+    w = np.frombuffer(words, np.uint64)[_unpacked(places, np.uint32).reshape(part_kind, -1)]
+    history, shorter = (w[0], w[1]) if part_kind == 2 else (mix(w[0] * _BASE + w[1]), mix(w[1] * _BASE + w[2]))
+    return mix(history * _BASE + w[-1]), history, shorter
+
+
 def gram_arcs(train: DataFrame, counts: DataFrame, wanted, parts: int, least: float) -> DataFrame:
     """``kind, key, n, history, shorter`` of the pairs and triples seen ``least`` times; both sides meet packed, by part."""
 
     def settle(held):
+        vocabulary, code = np.unique(np.concatenate([tokens for tokens, _ in held]), return_inverse=True)
+        begins = np.cumsum([0, *(len(tokens) for tokens, _ in held)])
         rows = []
         for kind in (2, 3):
             found = []
-            for tokens, first in held:
+            for (tokens, first), begin in zip(held, begins):
                 g = Grams(tokens, first)
-                key, history, shorter = (g.pair, g.before, tokens) if kind == 2 else (g.triple, g.pair_before, g.pair)
+                key = g.pair if kind == 2 else g.triple
                 at = np.flatnonzero((key != 0) & in_filter(wanted.value, mix(key)))
-                found.append((key[at], history[at], shorter[at]))
-            key, history, shorter = (np.concatenate(c) for c in zip(*found))
+                found.append((key[at], begin + at))
+            key, at = (np.concatenate(c) for c in zip(*found))
             key, one = np.unique(key, return_index=True)
-            rows += _packed(parts, kind, key, history[one], shorter[one])
+            at = at[one]
+            rows += _spelled(parts, kind, key, np.stack([code[at - back] for back in range(kind - 1, -1, -1)]), vocabulary)
         return rows
 
     def meet(counted: pa.Table, found: pa.Table) -> pa.Table:
-        key, one = np.unique(np.concatenate([np.zeros(0, np.uint64), *(_unpacked(x.as_py()) for x in found["keys"])]), return_index=True)
-        rest = [np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) for x in found[c])])[one] for c in ("history", "shorter")]
+        read = [(np.zeros(0, np.uint64),) * 3, *map(_read_out, *(found[c].to_pylist() for c in ("kind", "words", "places")))]
+        key, *rest = (np.concatenate(c) for c in zip(*read))
+        del read
+        key, one = np.unique(key, return_index=True)
+        rest = [c[one] for c in rest]
         out = [[] for _ in range(5)]
         for kind, keys, times in zip(*(counted[c].to_pylist() for c in ("kind", "keys", "times")), strict=True):
             keys, n = _unpacked(keys), np.frombuffer(times, np.int64)
@@ -231,7 +265,7 @@ def gram_arcs(train: DataFrame, counts: DataFrame, wanted, parts: int, least: fl
         none = (np.zeros(0, t) for t in (np.int8, *[np.int64] * 4))
         return pa.table([pa.array(np.concatenate([z, *c])) for z, c in zip(none, out, strict=True)], names=["kind", "key", "n", "history", "shorter"])
 
-    dealt = _in_batches(train, settle, ["history", "shorter"])
+    dealt = _in_batches(train, settle, ["words", "places"])
     both = counts.filter("kind > 1").groupBy("part").cogroup(dealt.groupBy("part"))
     return both.applyInArrow(meet, "kind tinyint, key long, n long, history long, shorter long")
 
@@ -317,7 +351,7 @@ def _answers(found: pa.Table, asked: pa.Table) -> pa.Table:
     texts = pc.equal(asked["kind"], 0)
     out = [("batch", asked["batch"].filter(texts)), *((c, asked[c].filter(texts)) for c in ("row", "doc_id", "n_tokens", "there", "base", "walk"))]
     through = pa.table(dict(out))
-    rows = []
+    sums = {}
     for kind in (1, 2, 3):
         own = found.filter(pc.equal(found["kind"], kind))
         have = own["key"].to_numpy().view(np.uint64)
@@ -327,14 +361,18 @@ def _answers(found: pa.Table, asked: pa.Table) -> pa.Table:
         for batch, keys, at, times in zip(*(some[c].to_pylist() for c in ("batch", "keys", "at", "times")), strict=True):
             where = _find(have, _unpacked(keys))
             hit = where >= 0
-            where, times = where[hit], np.frombuffer(times, np.uint32)[hit].astype(float)
-            row, place = np.unique(np.frombuffer(at, np.int32)[hit], return_inverse=True)
-            add = lambda x: np.bincount(place, x, len(row))  # noqa: E731, B023
-            if kind == 1:
-                first = add(times).astype(np.uint32).tobytes(), add(base[where] * times).tobytes()
-            else:
-                first = None, None
-            rows.append((batch, row.tobytes(), *first, add(value[where] * times).tobytes()))
+            where, times = where[hit], _unpacked(times, np.uint32)[hit].astype(float)
+            row, place = np.unique(_unpacked(at, np.int32)[hit], return_inverse=True)
+            met = times if kind == 1 else 0.0 * times
+            adds = (np.bincount(place, x, len(row)) for x in (met, base[where] * met, value[where] * times))
+            sums.setdefault(batch, []).append((row, *adds))
+    rows = []
+    for batch, parts in sums.items():  # words, pairs and triples answer together
+        row, *adds = (np.concatenate(c) for c in zip(*parts))
+        row, place = np.unique(row, return_inverse=True)
+        met, base, value = (np.bincount(place, x, len(row)) for x in adds)
+        first = (met.astype(np.uint32).tobytes(), base.tobytes()) if met.any() else (None, None)
+        rows.append((batch, row.tobytes(), *first, value.tobytes()))
     types = [pa.int64(), *[pa.binary()] * 4]
     answers = pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types, strict=True)], names=["batch", "at", "met", "bases", "values"])
     order = ["batch", "at", "met", "bases", "values", "row", "doc_id", "n_tokens", "there", "base", "walk"]

@@ -239,6 +239,22 @@ def test_words_that_are_not_told_to_all_tasks_are_joined(docs, rows, words, monk
     assert np.allclose([got["b"], got["s"]], [sum(w[5] for w in want), sum(w[6] for w in want)])
 
 
+def test_ngrams_are_sent_in_less_than_their_hashes():
+    rng = np.random.default_rng(3)
+    vocabulary = np.sort(rng.integers(1, 2**63, 300).astype(np.uint64))
+    codes = np.minimum(rng.zipf(1.5, (3, 20_000)) - 1, 299)
+    w = vocabulary[codes]
+    tokens = np.stack(w, axis=1).ravel()
+    g = language_model.Grams(tokens, np.arange(0, len(tokens), 3))
+    key, one = np.unique(g.triple[2::3], return_index=True)
+    rows = language_model._spelled(8, 3, key, codes[:, one], vocabulary)
+    assert [r[0] for r in rows] == list(range(8))
+    found = sorted(x for r in rows for x in zip(*(c.tolist() for c in language_model._read_out(*r[1:]))))
+    assert found == list(zip(key.tolist(), g.pair_before[2::3][one].tolist(), g.pair[2::3][one].tolist()))
+    packed = [zlib.compress(b"".join(r[2:]), 1) for r in rows]
+    assert sum(map(len, packed)) < 8 * len(key)  # a key with its two shorter n-grams took 24
+
+
 def test_every_repeated_ngram_is_an_arc_in_a_large_corpus(spark):
     filler = " ".join(f"f{i % 50}" for i in range(150_000))
     texts = [filler] * 12 + ["rare one here"] * 2 + ["rare one here"]
