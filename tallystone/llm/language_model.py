@@ -4,40 +4,34 @@ States are the empty history and the word and word pair histories that have n-gr
 to the next word carries its discounted log-probability, a failure arc the backoff weight to the next
 shorter history. Every pair and triple seen twice in training is an arc, whatever the size of the corpus.
 
-After two words the automaton has forgotten all others, and an arc of a triple implies those of both of its
-pairs. So the walk over a text is a sum with one value for each of its words, pairs and triples: what its arc weighs more
-than the failure path around it, and the failure weight of the state it leads to. Values are a written table; those of frequent
-n-grams are told to all tasks, the others answer packed requests by parts of the keys.
+Texts are written once as batches of word numbers. Each batch sends its distinct n-grams, and hears how often each was seen in
+training. A batch that holds an n-gram holds all its shorter ones, so it knows the weights of all arcs it walks, and tells the parts
+that hold the histories what the arcs it was chosen for weigh. From these sums a part has the failure weights, and adds up those that texts pass.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import _BASE, ROWS_AT_ONCE, WORD_BREAK, chunks, discard, materialize, mix, pick, power_of_two, scan, signed, split_words
-from tallystone.llm.filters import MOST_BITS, in_filter
+from tallystone.llm.common import _BASE, ROWS_AT_ONCE, WORD_BREAK, chunks, discard, materialize, mix, pick, split_words
 from tallystone.llm.quality import is_held_out
 
 #: Times that a pair or triple is seen in training to be an arc; a share of the tokens below which none is (none is asked for).
 LEAST, SHARE = 2, 0.0
-#: Share of the training tokens from which the value of a pair or triple, and of a word, is told to all tasks.
-TOLD_SHARE, WORD_SHARE = 2e-6, 2e-7
-#: Bytes of training text for each part of the keys, which one task counts.
-PART_BYTES = 8_000_000
-#: Tokens that a task counts together.
-TOKENS_AT_ONCE = 1_000_000
+#: Not read any more, as no words are told to all tasks; a test still sets it.
+WORD_SHARE = 2e-7
+#: Tokens of a batch, and tokens for each part of the keys, which one task counts.
+TOKENS_AT_ONCE, PART_TOKENS = 600_000, 1_500_000
+#: Ranges of the keys that are counted one after the other, and shares of the batches that are walked so: the disk holds the shuffle of one.
+ROUNDS = 2
+#: Bytes of text that are split into words together.
+BYTES_AT_ONCE = 1_000_000
 #: What is taken off every count of an arc, and left to shorter histories.
 DISCOUNT = 0.5
-#: Bytes of training text for each part of the values that texts are answered from, and of the texts that ask together.
-ANSWER_BYTES, ASK_BYTES = 16_000_000, 2_000_000
-#: Keys in one row of packed counts.
-KEYS_A_ROW = 1_000_000
-PACKED = [pa.int32(), pa.int8(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
 END = mix(np.array([0x656E64], np.uint64))[0]
 
 
@@ -60,12 +54,15 @@ class Grams:
         self.triple[first] = 0
         second = first[first + 1 < n] + 1
         self.triple[second] = 0
-        self.before = np.zeros(n, np.uint64)  # the word, and the pair, that end one token earlier
-        self.before[1:] = tokens[:-1]
-        self.before[first] = 0
-        self.pair_before = np.zeros(n, np.uint64)
-        self.pair_before[1:] = self.pair[:-1]
-        self.pair_before[first] = 0
+        self.first = first
+
+    @property
+    def pair_before(self) -> np.ndarray:
+        """The pair that ends one token earlier."""
+        before = np.zeros(len(self.pair), np.uint64)
+        before[1:] = self.pair[:-1]
+        before[self.first] = 0
+        return before
 
 
 def _laid(values: np.ndarray) -> bytes:
@@ -78,196 +75,45 @@ def _edges(parts: int) -> np.ndarray:
     return np.array([-(-(p << 24) // parts) for p in range(1, parts)], np.uint64) << np.uint64(40)
 
 
-def _packed(parts: int, part_kind: int, key: np.ndarray, *columns: np.ndarray) -> list[tuple]:
-    """Rows ``part, kind, keys, columns`` of sorted keys."""
-    cuts = [0, *np.searchsorted(key, _edges(parts)), len(key)]
-    return [
-        (p, part_kind, _laid(key[a:b]), *(_laid(c[a:b]) for c in columns))
-        for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b
-    ]
-
-
-def _part(parts: int) -> Column:
-    """The part of a ``key``, as ``_packed`` deals them."""
-    return F.shiftright(F.shiftrightunsigned("key", 40) * F.lit(parts), 24).cast("int")
-
-
 def _unpacked(laid: bytes, kind: type = np.uint64) -> np.ndarray:
     return np.frombuffer(laid, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
 
 
-def _in_batches(train: DataFrame, settle, columns: list[str]) -> DataFrame:
-    """Rows of ``settle(token arrays of some texts)``, called for a task's next ``TOKENS_AT_ONCE`` tokens."""
-    names = ["part", "kind", *columns]
-    types = [pa.int32(), pa.int8(), *[pa.binary()] * len(columns)]
+def _squeezed(values: np.ndarray) -> bytes:
+    """Numbers in few bytes."""
+    laid = _laid(values) if len(values) else b""
+    return len(laid).to_bytes(8, "little") + pa.compress(laid, codec="zstd", asbytes=True) if laid else b""
 
-    def run(batches):
-        held, size = [], 0
-        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
-            texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
-            for lo, hi in chunks(texts):
-                held.append(tokens_of(texts[lo:hi]))
-                size += len(held[-1][0])
-                if size >= TOKENS_AT_ONCE:
-                    yield from out(settle(held))
-                    held, size = [], 0
-        if held:
-            yield from out(settle(held))
-
-    def out(rows):
-        for at in range(0, len(rows), 50):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 50]), types)], names=names)
-
-    schema = ", ".join(["part int, kind tinyint", *(f"{c} binary" for c in columns)])
-    return train.select("text").mapInArrow(run, schema)
-
-
-def gram_counts(train: DataFrame, parts: int) -> DataFrame:
-    """Packed ``part, kind, keys, times`` with their ``size`` and the ``total`` of times: all words (1), and the pairs (2) and
-    triples (3) seen ``LEAST`` times over all texts."""
-    least = LEAST
-
-    def settle(held):
-        rows = []
-        for kind, keys in ((1, lambda x: x[0]), (2, lambda x: Grams(*x).pair), (3, lambda x: Grams(*x).triple)):
-            key, n = np.unique(np.concatenate([keys(x) for x in held]), return_counts=True)
-            some = key != 0 if kind > 1 else slice(None)
-            rows += _packed(parts, kind, key[some], n[some].astype(np.uint32))
-        return rows
 
-    def count(table: pa.Table) -> pa.Table:
-        kinds, part, rows = table["kind"].to_numpy(), table["part"][0].as_py(), []
-        for kind in (1, 2, 3):
-            some = table.filter(pa.array(kinds == kind))
-            if not some.num_rows:
-                continue
-            keys = np.concatenate([_unpacked(x.as_py()) for x in some["keys"]])
-            times = np.concatenate([_unpacked(x.as_py(), np.uint32) for x in some["times"]])
-            by = np.argsort(keys)
-            keys, times = keys[by], times[by]
-            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            n = np.add.reduceat(times.astype(np.int64), first)
-            keep = n >= (least if kind > 1 else 1)
-            for at in range(0, int(keep.sum()), KEYS_A_ROW):
-                own = slice(at, at + KEYS_A_ROW)
-                some, these = keys[first][keep][own], n[keep][own]
-                rows.append((part, kind, _laid(some), these.tobytes(), len(some), int(these.sum())))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, PACKED, strict=True)], names=names)
+def _eased(squeezed: bytes, kind: type = np.uint64) -> np.ndarray:
+    if not squeezed:
+        return np.zeros(0, kind)
+    return _unpacked(pa.decompress(squeezed[8:], int.from_bytes(squeezed[:8], "little"), "zstd", asbytes=True), kind)
 
-    names, dealt = ["part", "kind", "keys", "times", "size", "total"], _in_batches(train, settle, ["keys", "times"])
-    return dealt.groupBy("part").applyInArrow(count, "part int, kind tinyint, keys binary, times binary, size long, total long")
 
+def _squeezed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys, as steps from one to the next."""
+    return _squeezed(np.diff(keys, prepend=np.uint64(0)))
 
-def key_filter(counts: DataFrame, least: float, entries: int) -> np.ndarray:
-    """A bit map of all packed keys seen ``least`` times, and of all words: each task sets bits of its own map, maps meet in pieces."""
-    bits = min(MOST_BITS, max(1 << 16, power_of_two(16 * entries)))
-    piece = 1 << 13  # words of 64 bits; the driver gets the map once, whatever the number of tasks
 
-    def run(batches):
-        own = np.zeros(bits >> 6, np.uint64)
-        for batch in batches:
-            for kind, keys, times in zip(*(batch.column(c).to_pylist() for c in ("kind", "keys", "times")), strict=True):
-                h = mix(_unpacked(keys))
-                if kind > 1:
-                    h = h[np.frombuffer(times, np.int64) >= least]
-                h = np.sort(h & np.uint64(bits - 1))
-                word = (h >> np.uint64(6)).astype(np.int64)
-                first = np.flatnonzero(np.diff(word, prepend=-1))
-                if len(first):
-                    own[word[first]] |= np.bitwise_or.reduceat(np.uint64(1) << (h & np.uint64(63)), first)
-        for at in range(0, len(own), piece):
-            some = own[at : at + piece]
-            if some.any():
-                yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([some.tobytes()], pa.binary())], names=["at", "map"])
-
-    def both(table: pa.Table) -> pa.Table:
-        maps = [np.frombuffer(x.as_py(), np.uint64) for x in table["map"]]
-        return pa.table([table["at"][:1], pa.array([np.bitwise_or.reduce(maps).tobytes()], pa.binary())], names=["at", "map"])
-
-    pieces = counts.select("kind", "keys", "times").mapInArrow(run, "at long, map binary").groupBy("at").applyInArrow(both, "at long, map binary")
-    table = np.zeros(bits >> 6, np.uint64)
-    found = pieces.toArrow()
-    for at, some in zip(found["at"].to_pylist(), found["map"].to_pylist(), strict=True):
-        table[at : at + piece] = np.frombuffer(some, np.uint64)
-    return table
-
-
-def gram_rows(counts: DataFrame) -> DataFrame:
-    """``kind, key, n`` of packed counts."""
+def _eased_keys(squeezed: bytes) -> np.ndarray:
+    return np.cumsum(_eased(squeezed), dtype=np.uint64)
 
-    def run(batches):
-        for batch in batches:
-            for kind, keys, times in zip(*(batch.column(c).to_pylist() for c in ("kind", "keys", "times")), strict=True):
-                n = np.frombuffer(times, np.int64)
-                columns = [np.full(len(n), kind, np.int8), signed(_unpacked(keys)), n]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "key", "n"])
 
-    return counts.select("kind", "keys", "times").mapInArrow(run, "kind tinyint, key long, n long")
+def _kinds(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, where one of each is, and the place of every key among them."""
+    by = np.argsort(keys)
+    found = keys[by]
+    first = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+    place = np.empty(len(keys), np.int32)
+    place[by] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(keys))))
+    return found[first], by[first], place
 
 
-def _spelled(parts: int, part_kind: int, key: np.ndarray, codes: np.ndarray, vocabulary: np.ndarray) -> list[tuple]:
-    """Rows ``part, kind, words, places``: the words of n-grams with sorted keys (``codes`` are places in ``vocabulary``), told once a row
-    with the places of each n-gram's words among them. The key and all shorter n-grams follow from the words, in less than their own bytes."""
-    place, rows = np.zeros(len(vocabulary), np.uint32), []
+def _dealt(parts: int, key: np.ndarray, *columns: np.ndarray) -> list[tuple]:
+    """Rows ``part, keys, columns`` of sorted distinct keys, for each part that has any."""
     cuts = [0, *np.searchsorted(key, _edges(parts)), len(key)]
-    for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
-        if a < b:
-            some = codes[:, a:b]
-            some = some[:, np.argsort(some[0] * len(vocabulary) + some[1])]  # equal first words side by side, which compresses
-            there = np.zeros(len(vocabulary), bool)
-            there[some] = True
-            used = np.flatnonzero(there)
-            place[used] = np.arange(len(used), dtype=np.uint32)
-            rows.append((p, part_kind, vocabulary[used].tobytes(), _laid(place[some].ravel())))
-    return rows
-
-
-def _read_out(part_kind: int, words: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, histories and shorter n-grams of one row of ``_spelled``."""
-    w = np.frombuffer(words, np.uint64)[_unpacked(places, np.uint32).reshape(part_kind, -1)]
-    history, shorter = (w[0], w[1]) if part_kind == 2 else (mix(w[0] * _BASE + w[1]), mix(w[1] * _BASE + w[2]))
-    return mix(history * _BASE + w[-1]), history, shorter
-
-
-def gram_arcs(train: DataFrame, counts: DataFrame, wanted, parts: int, least: float) -> DataFrame:
-    """``kind, key, n, history, shorter`` of the pairs and triples seen ``least`` times; both sides meet packed, by part."""
-
-    def settle(held):
-        vocabulary, code = np.unique(np.concatenate([tokens for tokens, _ in held]), return_inverse=True)
-        begins = np.cumsum([0, *(len(tokens) for tokens, _ in held)])
-        rows = []
-        for kind in (2, 3):
-            found = []
-            for (tokens, first), begin in zip(held, begins):
-                g = Grams(tokens, first)
-                key = g.pair if kind == 2 else g.triple
-                at = np.flatnonzero((key != 0) & in_filter(wanted.value, mix(key)))
-                found.append((key[at], begin + at))
-            key, at = (np.concatenate(c) for c in zip(*found))
-            key, one = np.unique(key, return_index=True)
-            at = at[one]
-            rows += _spelled(parts, kind, key, np.stack([code[at - back] for back in range(kind - 1, -1, -1)]), vocabulary)
-        return rows
-
-    def meet(counted: pa.Table, found: pa.Table) -> pa.Table:
-        read = [(np.zeros(0, np.uint64),) * 3, *map(_read_out, *(found[c].to_pylist() for c in ("kind", "words", "places")))]
-        key, *rest = (np.concatenate(c) for c in zip(*read))
-        del read
-        key, one = np.unique(key, return_index=True)
-        rest = [c[one] for c in rest]
-        out = [[] for _ in range(5)]
-        for kind, keys, times in zip(*(counted[c].to_pylist() for c in ("kind", "keys", "times")), strict=True):
-            keys, n = _unpacked(keys), np.frombuffer(times, np.int64)
-            keys, n = keys[n >= least], n[n >= least]
-            at = _find(key, keys)
-            for column, values in zip(out, (np.full(len(n), kind, np.int8), signed(keys), n, signed(rest[0][at]), signed(rest[1][at])), strict=True):
-                column.append(values)
-        none = (np.zeros(0, t) for t in (np.int8, *[np.int64] * 4))
-        return pa.table([pa.array(np.concatenate([z, *c])) for z, c in zip(none, out, strict=True)], names=["kind", "key", "n", "history", "shorter"])
-
-    dealt = _in_batches(train, settle, ["words", "places"])
-    both = counts.filter("kind > 1").groupBy("part").cogroup(dealt.groupBy("part"))
-    return both.applyInArrow(meet, "kind tinyint, key long, n long, history long, shorter long")
+    return [(p, _squeezed_keys(key[a:b]), *(_squeezed(c[a:b]) for c in columns)) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -278,13 +124,6 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-def _failure(arcs: DataFrame) -> DataFrame:
-    """``history, fail``: log weight of each state's failure arc, what its arcs leave over what they leave of the shorter history."""
-    sums = arcs.groupBy("history").agg(F.sum("p").alias("p"), F.sum("lower").alias("lower"))
-    left, rest = (F.greatest(1 - F.col(c), F.lit(1e-12)) for c in ("p", "lower"))
-    return sums.select("history", F.log10(left / rest).alias("fail"))
-
-
 def _settled(df: DataFrame, label: str) -> DataFrame:
     """``df`` written; the shuffle files behind it go at once, not when the driver happens to collect its garbage."""
     conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -296,104 +135,237 @@ def _settled(df: DataFrame, label: str) -> DataFrame:
         conf.set(name, before)
 
 
-def gram_values(train: DataFrame, size: int) -> tuple[DataFrame, np.ndarray, int, float]:
-    """Written ``kind, key, n, base, value`` of all words and arcs, a bit map of the keys, the number of tokens, and the
-    log-probability of a word that is not there. ``base`` is the word model's log-probability. ``size`` is in bytes.
+ENCODED = "batch long, held boolean, tokens long, words binary, places binary, lengths binary, ids array<{key}>"
+SENT = "part int, batch long, kind tinyint, keys binary, times binary"
+COUNTED = "batch long, part int, kind tinyint, fresh long, counts binary"
+WALKED = "part int, batch long, kind tinyint, keys binary, first binary, second binary, third binary, ids array<{key}>, lengths binary, there binary, base binary, walk binary"
+FAILED = "batch long, at binary, sums binary"
+SCORED = "doc_id {key}, n_tokens long, there long, base double, walk double"
+
+
+def _arrow(schema: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    return to_arrow_schema(StructType.fromDDL(schema))
+
+
+def _columns(rows: list[tuple], schema: pa.Schema) -> list[pa.Array]:
+    return [pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema, strict=True)]
+
 
-    Tables on the way keep whole numbers, from which weights follow, and go as soon as the next ones are written.
+def encoded(rows: DataFrame) -> DataFrame:
+    """``batch, held, tokens, words, places, lengths, ids``: the tokens of some texts, all held out or none, as places in a list of their words.
+
+    ``rows`` has ``doc_id, text, held``. Frequent words come first in the list, so most places are small numbers.
     """
-    spark = train.sparkSession
-    parts = max(8, -(-size // PART_BYTES))
-    counts = _settled(gram_counts(train, parts), "gram-counts")
-    sums = counts.groupBy(F.col("kind") == 1).agg(F.sum("size"), F.sum("total")).collect()
-    kinds, tokens = next((r[1:] for r in sums if r[0]), (0, 0))
-    z, least = tokens + 0.5 * (kinds + 1), max(LEAST, SHARE * tokens)
-    known = key_filter(counts, least, sum(r[1] for r in sums))
-    wanted = spark.sparkContext.broadcast(known)
-    words = _settled(gram_rows(counts.filter("kind = 1")).select("key", "n"), "words")
-    arcs = _settled(gram_arcs(train, counts, wanted, parts, least), "arcs")
-    discard(counts)
-
-    of = lambda df, as_, *columns: df.select(F.col("key").alias(as_), *[F.col(a).alias(b) for a, b in columns])
-    hashed = lambda unique: unique.hint("shuffle_hash")  # noqa: E731  keys are there once, so no part of the hashed side is large
-
-    def weighed(kind: int, lower: DataFrame, *less: tuple[str, str]) -> DataFrame:
-        some = arcs.filter(F.col("kind") == kind).join(of(lower, "history", ("n", "of")), "history")
-        return some.join(of(lower, "shorter", *less), "shorter").select("key", "history", "n", "of", *[b for _, b in less])
-
-    pairs = _settled(weighed(2, words, ("n", "less_n")), "pairs")
-    triples = _settled(weighed(3, hashed(pairs), ("n", "less_n"), ("of", "less_of")), "triples")
-    discard(arcs)
-    word_p = lambda n: (F.col(n) + 0.5) / z
-    arc_p = lambda n, of: (F.col(n) - DISCOUNT) / F.col(of)
-    two = pairs.select("key", "history", "n", arc_p("n", "of").alias("p"), word_p("less_n").alias("lower"))
-    three = triples.select("key", "history", "n", arc_p("n", "of").alias("p"), arc_p("less_n", "less_of").alias("lower"))
-    word_fail, pair_fail = _failure(two), _settled(_failure(three), "failures")
-    own = lambda fail: fail.withColumnRenamed("history", "key").withColumnRenamed("fail", "own")
-    base, more = F.log10(word_p("n")), F.log10(F.col("p") / F.col("lower")) - F.col("fail")
-    after = F.coalesce("own", F.lit(0.0))
-    row = lambda kind, base, value: [F.lit(kind).alias("kind"), "key", "n", base.alias("base"), value.alias("value")]
-    values = words.join(own(word_fail), "key", "left").select(row(1, base, base + after))
-    values = values.unionByName(two.join(word_fail, "history").join(hashed(own(pair_fail)), "key", "left").select(row(2, F.lit(0.0), more + after)))
-    values = values.unionByName(three.join(hashed(pair_fail), "history").select(row(3, F.lit(0.0), more)))
-    values = _settled(values, "values")
-    for used in (words, pairs, triples, pair_fail):
-        discard(used)
-    return values, known, tokens, float(np.log10(0.5 / z))
-
-
-ASKED = "part int, batch long, kind tinyint, keys binary, at binary, times binary, row int, doc_id {key}, n_tokens long, there long, base double, walk double"
-ANSWERED = "batch long, at binary, met binary, bases binary, values binary, row int, doc_id {key}, n_tokens long, there long, base double, walk double"
-
-
-def _answers(found: pa.Table, asked: pa.Table) -> pa.Table:
-    """What the values of one part add to the rows of each batch that asks; rows of texts (kind 0) go through as they are."""
-    texts = pc.equal(asked["kind"], 0)
-    out = [("batch", asked["batch"].filter(texts)), *((c, asked[c].filter(texts)) for c in ("row", "doc_id", "n_tokens", "there", "base", "walk"))]
-    through = pa.table(dict(out))
-    sums = {}
-    for kind in (1, 2, 3):
-        own = found.filter(pc.equal(found["kind"], kind))
-        have = own["key"].to_numpy().view(np.uint64)
-        by = np.argsort(have)
-        have, base, value = have[by], own["base"].to_numpy()[by], own["value"].to_numpy()[by]
-        some = asked.filter(pc.equal(asked["kind"], kind))
-        for batch, keys, at, times in zip(*(some[c].to_pylist() for c in ("batch", "keys", "at", "times")), strict=True):
-            where = _find(have, _unpacked(keys))
+    schema = ENCODED.format(key=rows.schema["doc_id"].dataType.simpleString())
+    arrow = _arrow(schema)
+    id_list = arrow.field("ids").type
+
+    def run(batches):
+        task, made = TaskContext.get().partitionId() << 32, 0
+        held = {False: [], True: []}
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
+            for flag, open_ in held.items():
+                some = batch.filter(pa.array(batch.column("held").to_numpy(zero_copy_only=False).astype(bool) == flag))
+                texts = [t or b"" for t in some.column("text").cast(pa.large_binary()).to_pylist()]
+                ids = some.column("doc_id").cast(id_list.value_type)
+                for lo, hi in chunks(texts, BYTES_AT_ONCE):
+                    tokens, first = tokens_of(texts[lo:hi])
+                    open_.append((tokens, np.diff(np.append(first, len(tokens))), ids.slice(lo, hi - lo)))
+                    if sum(len(x[0]) for x in open_) >= TOKENS_AT_ONCE:
+                        yield out(task + made, flag, open_)
+                        made += 1
+                        open_.clear()
+        for flag, open_ in held.items():
+            if open_:
+                yield out(task + made, flag, open_)
+                made += 1
+
+    def out(batch, flag, texts):
+        tokens, lengths = (np.concatenate([x[k] for x in texts]) for k in (0, 1))
+        ids = pa.concat_arrays([x[2] for x in texts])
+        words, code, n = np.unique(tokens, return_inverse=True, return_counts=True)
+        by = np.argsort(-n, kind="stable")
+        place = np.empty(len(by), np.uint32)
+        place[by] = np.arange(len(by), dtype=np.uint32)
+        row = (batch, flag, len(tokens), _squeezed(words[by]), _squeezed(place[code]), _squeezed(lengths.astype(np.uint32)))
+        columns = [pa.array([x], f.type) for x, f in zip(row, arrow)]
+        return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids, type=id_list)], names=arrow.names)
+
+    return rows.select("doc_id", "text", "held").mapInArrow(run, schema)
+
+
+def _tokens(words: bytes, places: bytes, lengths: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of a batch's tokens, the place of each text's first one, and the texts' numbers of tokens."""
+    lengths = _eased(lengths, np.uint32).astype(np.int64)
+    return _eased(words)[_eased(places, np.uint32)], np.cumsum(lengths) - lengths, lengths
+
+
+def grams_sent(batches: DataFrame, parts: int, low: int, high: int) -> DataFrame:
+    """``part, batch, kind, keys, times``: distinct words (1), pairs (2) and triples (3) of each batch whose keys are of the parts
+    from ``low`` to before ``high``; no times where the texts are held out."""
+    edges, arrow = [0, *(int(e) for e in _edges(parts)), 1 << 64], _arrow(SENT)
+    least_key, most_key = np.uint64(edges[low]), np.uint64(edges[high] - 1)
+
+    def run(got):
+        for table in got:
+            for batch, held, *packed in zip(*(table.column(c).to_pylist() for c in ("batch", "held", "words", "places", "lengths")), strict=True):
+                tokens, first, _ = _tokens(*packed)
+                g, rows = Grams(tokens, first), []
+                for kind, keys in ((1, tokens), (2, g.pair), (3, g.triple)):
+                    own = keys[(keys >= least_key) & (keys <= most_key)]
+                    key, n = (np.unique(own), None) if held else np.unique(own, return_counts=True)
+                    real = slice(int(kind > 1 and len(key) > 0 and key[0] == 0), None)
+                    columns = [] if held else [n[real].astype(np.uint32)]
+                    rows += [(p, batch, kind, *x, *[None] * held) for p, *x in _dealt(parts, key[real], *columns)]
+                yield pa.RecordBatch.from_arrays(_columns(rows, arrow), names=arrow.names)
+
+    return batches.select("batch", "held", "words", "places", "lengths").mapInArrow(run, SENT)
+
+
+def gram_counts(sent: DataFrame, least: float) -> DataFrame:
+    """``batch, part, kind, fresh, counts``: for each key that was sent twice the times it was seen in all training texts, 0 where a pair or triple
+    has less than ``least``; one more where this batch is chosen to speak for the key. ``fresh`` tells how often it is."""
+    arrow = _arrow(COUNTED)
+
+    def count(table: pa.Table) -> pa.Table:
+        kinds, part, rows = table["kind"].to_numpy(), table["part"][0].as_py(), []
+        for kind in (1, 2, 3):
+            some = table.filter(pa.array(kinds == kind))
+            if not some.num_rows:
+                continue
+            keys = [_eased_keys(x.as_py()) for x in some["keys"]]
+            n = [_eased(x.as_py(), np.uint32) if x.is_valid else np.zeros(len(k), np.uint32) for x, k in zip(some["times"], keys)]
+            cuts = np.cumsum([0, *map(len, keys)])
+            keys, n = np.concatenate(keys), np.concatenate(n)
+            by = np.argsort(keys)
+            keys, n = keys[by], n[by]
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            del keys
+            total = np.add.reduceat(n, first, dtype=np.int64)
+            total[total < (least if kind > 1 else 1)] = 0
+            group = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(n))))
+            seen = np.flatnonzero((n > 0) & (total[group] > 0))
+            chosen = seen[np.flatnonzero(np.diff(group[seen], prepend=-1))]
+            counts = np.empty(len(by), np.uint64)
+            counts[by] = (2 * total).view(np.uint64)[group]
+            counts[by[chosen]] += np.uint64(1)
+            for batch, a, b in zip(some["batch"].to_pylist(), cuts, cuts[1:]):
+                rows.append((batch, part, kind, int((counts[a:b] & np.uint64(1)).sum()), _squeezed(counts[a:b])))
+        return pa.table(_columns(rows, arrow), names=arrow.names)
+
+    return sent.groupBy("part").applyInArrow(count, COUNTED)
+
+
+def _asked(parts: int, batch: int, kind: int, key: np.ndarray, texts: np.ndarray, text: np.ndarray, times: np.ndarray) -> list[tuple]:
+    """Rows of sorted distinct keys with the number of texts of each, and these texts and their times."""
+    ends, rows = np.cumsum(texts), []
+    cuts = [0, *np.searchsorted(key, _edges(parts)), len(key)]
+    for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
+            own = slice(ends[a] - texts[a], ends[b - 1])
+            rows.append((p, batch, kind, _squeezed_keys(key[a:b]), _squeezed(text[own]), _squeezed(times[own]), _squeezed(texts[a:b].astype(np.uint32)), *[None] * 5))
+    return rows
+
+
+def walked(batches: DataFrame, counts: DataFrame, parts: int, z: float, least: float) -> DataFrame:
+    """What each batch tells the part of a history: sums of its arcs' weights and of the shorter n-grams' (``kind`` 1 for words, 2 for pairs), and
+    how often which text passes its failure arc (-1, -2); and of its texts (0) what they weigh without failure arcs."""
+    schema = WALKED.format(key=batches.schema["ids"].dataType.elementType.simpleString())
+    arrow = _arrow(schema)
+
+    def walk(coded: pa.Table, counted: pa.Table) -> pa.Table:
+        if not coded.num_rows:
+            raise ValueError("counts of a batch that is not there")
+        batch = coded["batch"][0].as_py()
+        tokens, first, lengths = _tokens(*(coded[c][0].as_py() for c in ("words", "places", "lengths")))
+        g = Grams(tokens, first)
+        counted = counted.sort_by([("kind", "ascending"), ("part", "ascending")])
+        kinds, key, place, seen, chosen = counted["kind"].to_numpy(), {}, {}, {}, {}
+        for kind, keys in ((1, tokens), (2, g.pair), (3, g.triple)):
+            said = [_eased(x.as_py()) for x in counted["counts"].filter(pa.array(kinds == kind))]
+            key[kind], at, place[kind] = _kinds(keys)
+            said = np.concatenate([np.zeros(int(kind > 1 and key[kind][0] == 0), np.uint64), *said])
+            if len(said) != len(key[kind]):
+                raise ValueError("counts of other n-grams than the batch holds")
+            seen[kind] = (said >> np.uint64(1)).astype(np.int64)[place[kind]]
+            chosen[kind] = at[(said & np.uint64(1)) == 1]
+        one, two, three = seen[1], seen[2], seen[3]
+        has_pair, has_triple = g.pair != 0, g.triple != 0
+        del g, tokens, keys, key[3], place[3], at, said, seen, counted
+        before = lambda x: np.append(0, x[:-1])  # noqa: E731  only read where the text has a token before
+        p1 = (one + 0.5) / z
+        p2 = np.where(two > 0, (two - DISCOUNT) / np.maximum(before(one), 1), 1.0)
+        p3 = np.where(three > 0, (three - DISCOUNT) / np.maximum(before(two), 1), 1.0)
+        rows = []
+        row = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        passed = {1: (two == 0) & has_pair & (before(one) >= least), 2: (three == 0) & has_triple & (before(two) > 0)}
+        for kind, p, lower in ((1, p2, p1), (2, p3, p2)):
+            at = chosen[kind + 1]
+            arcs, *weights = (np.bincount(place[kind][at - 1], x, len(key[kind])) for x in (None, p[at], lower[at]))
+            some = np.flatnonzero(arcs)
+            rows += [(p, batch, kind, *x, *[None] * 6) for p, *x in _dealt(parts, key[kind][some], *(x[some] for x in weights))]
+            at = np.flatnonzero(passed[kind])
+            both, times = np.unique(place[kind][at - 1].astype(np.int64) * len(lengths) + row[at], return_counts=True)
+            history, text = np.divmod(both, len(lengths))
+            new = np.flatnonzero(np.diff(history, prepend=-1))
+            texts = np.diff(np.append(new, len(both)))
+            rows += _asked(parts, batch, -kind, key[kind][history[new]], texts, text.astype(np.int32), times.astype(np.uint32))
+        base = np.log10(p1)
+        weight = np.where(three > 0, np.log10(p3), np.where(two > 0, np.log10(p2), base))
+        there, base, weight = (np.add.reduceat(x, first).astype(t) for x, t in (((one > 0).astype(np.int64), np.uint32), (base, float), (weight, float)))
+        texts = [_squeezed(lengths.astype(np.uint32)), _squeezed(there), base.tobytes(), weight.tobytes()]
+        out = pa.table(_columns(rows, arrow), names=arrow.names)
+        own = [batch % parts, batch, 0, *[None] * 4, coded["ids"].combine_chunks(), *texts]
+        own = pa.table([x if f.name == "ids" else pa.array([x], f.type) for x, f in zip(own, arrow, strict=True)], names=arrow.names)
+        return pa.concat_tables([out, own.cast(out.schema)])
+
+    return batches.groupBy("batch").cogroup(counts.groupBy("batch")).applyInArrow(walk, schema)
+
+
+def _failures(table: pa.Table) -> pa.Table:
+    """``batch, at, sums``: what the failure arcs of one part's histories add to the texts that pass them."""
+    kinds, sums = table["kind"].to_numpy(), {}
+    for kind in (1, 2):
+        some = table.filter(pa.array(kinds == kind))
+        asked = table.filter(pa.array(kinds == -kind))
+        if not some.num_rows or not asked.num_rows:
+            continue
+        key = np.concatenate([_eased_keys(x.as_py()) for x in some["keys"]])
+        key, place = np.unique(key, return_inverse=True)
+        left, rest = (
+            np.maximum(1 - np.bincount(place, np.concatenate([_eased(x.as_py(), np.float64) for x in some[c]]), len(key)), 1e-12) for c in ("first", "second")
+        )
+        fail = np.log10(left / rest)
+        for batch, keys, at, times, texts in zip(*(asked[c].to_pylist() for c in ("batch", "keys", "first", "second", "third")), strict=True):
+            where = np.repeat(_find(key, _eased_keys(keys)), _eased(texts, np.uint32))
             hit = where >= 0
-            where, times = where[hit], _unpacked(times, np.uint32)[hit].astype(float)
-            row, place = np.unique(_unpacked(at, np.int32)[hit], return_inverse=True)
-            met = times if kind == 1 else 0.0 * times
-            adds = (np.bincount(place, x, len(row)) for x in (met, base[where] * met, value[where] * times))
-            sums.setdefault(batch, []).append((row, *adds))
+            if hit.any():
+                sums.setdefault(batch, []).append((_eased(at, np.int32)[hit], fail[where[hit]] * _eased(times, np.uint32)[hit]))
     rows = []
-    for batch, parts in sums.items():  # words, pairs and triples answer together
-        row, *adds = (np.concatenate(c) for c in zip(*parts))
-        row, place = np.unique(row, return_inverse=True)
-        met, base, value = (np.bincount(place, x, len(row)) for x in adds)
-        first = (met.astype(np.uint32).tobytes(), base.tobytes()) if met.any() else (None, None)
-        rows.append((batch, row.tobytes(), *first, value.tobytes()))
-    types = [pa.int64(), *[pa.binary()] * 4]
-    answers = pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types, strict=True)], names=["batch", "at", "met", "bases", "values"])
-    order = ["batch", "at", "met", "bases", "values", "row", "doc_id", "n_tokens", "there", "base", "walk"]
-    return pa.concat_tables([answers, through], promote_options="default").select(order)
-
-
-def _summed(table: pa.Table) -> pa.Table:
-    """The texts of one batch with all answers added."""
-    texts = table.filter(pc.is_null(table["at"]))
-    row = texts["row"].to_numpy()
-    met, base, value = (np.zeros(len(row)) for _ in range(3))
-    some = table.filter(pc.is_valid(table["at"]))
-    for at, mets, bases, values in zip(*(some[c].to_pylist() for c in ("at", "met", "bases", "values")), strict=True):
-        at = np.frombuffer(at, np.int32)
-        value[at] += np.frombuffer(values)
-        if mets is not None:
-            met[at] += np.frombuffer(mets, np.uint32)
-            base[at] += np.frombuffer(bases)
-    more = {"there": met.astype(np.int64), "base": base, "walk": value}
-    out = {c: texts[c] for c in ("doc_id", "n_tokens")} | {c: pa.array(texts[c].to_numpy() + x[row]) for c, x in more.items()}
-    return pa.table(out)
+    for batch, added in sums.items():
+        at, place = np.unique(np.concatenate([x for x, _ in added]), return_inverse=True)
+        rows.append((batch, _squeezed(at), np.bincount(place, np.concatenate([x for _, x in added]), len(at)).tobytes()))
+    return pa.table(_columns(rows, pa.schema([("batch", pa.int64()), ("at", pa.binary()), ("sums", pa.binary())])), names=["batch", "at", "sums"])
+
+
+def _summed(texts: pa.Table, failed: pa.Table) -> pa.Table:
+    """The texts of one batch, with the failure arcs of all parts."""
+    lengths, there = (_eased(texts[c][0].as_py(), np.uint32).astype(np.int64) for c in ("lengths", "there"))
+    base, walk = (np.frombuffer(texts[c][0].as_py()).copy() for c in ("base", "walk"))
+    for at, sums in zip(failed["at"].to_pylist(), failed["sums"].to_pylist(), strict=True):
+        walk[_eased(at, np.int32)] += np.frombuffer(sums)
+    ids = texts["ids"].combine_chunks().flatten()
+    return pa.table({"doc_id": ids, "n_tokens": lengths, "there": there, "base": base, "walk": walk})
+
+
+def _all(tables: list[DataFrame]) -> DataFrame:
+    found = tables[0]
+    for more in tables[1:]:
+        found = found.unionByName(more)
+    return found
 
 
 def score_texts(
@@ -402,77 +374,56 @@ def score_texts(
     """Log10 probabilities of all texts under a word model and under the backoff automaton.
 
     Both learn from the rows whose key's CRC-32 modulo ``of`` is not ``remainder``. Tokens are lower-cased (A-Z)
-    words between white space, and each text's end. Words, pairs and triples outside the table that all tasks have are
-    asked for packed, by batches of texts and parts of the keys, and answered with one sum for each text and part.
+    words between white space, and each text's end.
 
     Returns one row per input row: ``doc_id, held_out, n_tokens, n_known`` (tokens met in training), ``train_tokens,
     base_score, score``. NULL and empty texts are one end token; NULL keys count as the empty text for the split; without
     training rows every token is unknown; repeated rows are scored each; an empty table gives
-    none; other columns are not read. A task that is tried again must meet its rows in the same order, as when
-    they come from files.
+    none; other columns are not read.
     """
-    spark = docs.sparkSession
     rows = pick(docs, **{key: "doc_id", text: "text"})
     held_out = is_held_out(F.col("doc_id"), of, remainder)
-    train = rows.filter(~held_out).select("text")
-    size = int(train.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    values, known_keys, train_tokens, unknown = gram_values(train, size)
-    share = F.when(F.col("kind") == 1, F.lit(WORD_SHARE)).otherwise(F.lit(TOLD_SHARE))
-    is_told = F.col("n") >= share * train_tokens
-    told = values.filter(is_told).select("kind", "key", "base", "value").toArrow()
-    tables = {}
-    for order in (1, 2, 3):
-        some = told["kind"].to_numpy() == order
-        keys = told["key"].to_numpy()[some].view(np.uint64)
-        by = np.argsort(keys)
-        tables[order] = (keys[by], *(told[c].to_numpy()[some][by] for c in ("base", "value")))
-    shared = spark.sparkContext.broadcast((tables, known_keys))
-    from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
-    from pyspark.sql.types import StructType
-
-    kind = rows.schema["doc_id"].dataType
-    key_type = to_arrow_type(kind)
-    asked, answered = (x.format(key=kind.simpleString()) for x in (ASKED, ANSWERED))
-    types = [f.type for f in to_arrow_schema(StructType.fromDDL(asked))]
-    parts = max(8, -(-size // ANSWER_BYTES))
-    batches = [0]  # a task's own count
-
-    def work(got, n):
-        tables, known_keys = shared.value
-        texts, out = [t or b"" for t in got["text"]], []
-        for lo, hi in chunks(texts, ASK_BYTES):
-            batch = (TaskContext.get().partitionId() << 32) + batches[0]
-            batches[0] += 1
-            tokens, first = tokens_of(texts[lo:hi])
-            g = Grams(tokens, first)
-            row = np.repeat(np.arange(hi - lo, dtype=np.int32), np.diff(np.append(first, len(tokens))))
-            base, score = np.zeros(len(tokens)), np.zeros(len(tokens))
-            for kind, keys in ((1, tokens), (2, g.pair), (3, g.triple)):
-                have, bases, values = tables[kind]
-                at = _find(have, keys)
-                there = at >= 0
-                base[there] += bases[at[there]]
-                score[there] += values[at[there]]
-                known = there if kind == 1 else known
-                left = np.flatnonzero(~there & (keys != 0) & in_filter(known_keys, mix(keys)))
-                left = left[np.argsort(keys[left], kind="stable")]  # rows of a key stay in order
-                if len(left):
-                    one = np.flatnonzero(np.append(True, (np.diff(keys[left]) != 0) | (np.diff(row[left]) != 0)))
-                    times = np.diff(np.append(one, len(left))).astype(np.uint32)
-                    packed = _packed(parts, kind, keys[left[one]], row[left[one]], times)
-                    out += [(p, batch, *rest, *[None] * 6) for p, *rest in packed]
-            sums = (np.add.reduceat(x, first).tolist() for x in (np.ones(len(tokens), np.int64), known.astype(np.int64), base, score))
-            own = zip(range(hi - lo), got["doc_id"][lo:hi], *sums, strict=True)
-            out += [(batch % parts, batch, 0, None, None, None, *x) for x in own]
-        return [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(types), types, strict=True)]
-
-    asks = scan(rows, work, asked, ["doc_id", "text"])
-    rest = values.filter(~is_told).select(_part(parts).alias("part"), "kind", "key", "base", "value")
-    answers = rest.groupBy("part").cogroup(asks.groupBy("part")).applyInArrow(_answers, answered)
-    summed = answers.groupBy("batch").applyInArrow(_summed, f"doc_id {kind.simpleString()}, n_tokens long, there long, base double, walk double")
-    missing = (F.col("n_tokens") - F.col("there")) * F.lit(unknown)
+    batches = _settled(encoded(rows.withColumn("held", held_out)), "batches")
+    all_tokens, train_tokens = (int(x or 0) for x in batches.agg(F.sum("tokens"), F.sum(F.when(~F.col("held"), F.col("tokens")))).first())
+    parts, least = max(8, -(-all_tokens // PART_TOKENS)), max(LEAST, SHARE * train_tokens)
+    cuts = [parts * r // ROUNDS for r in range(ROUNDS + 1)]
+    rounds = [_settled(gram_counts(grams_sent(batches, parts, low, high), least), "gram-counts") for low, high in zip(cuts, cuts[1:])]
+    counts = _all(rounds)
+    kinds = int(counts.filter("kind = 1").agg(F.sum("fresh")).first()[0] or 0)
+    z, counts = train_tokens + 0.5 * (kinds + 1), counts.select("batch", "part", "kind", "counts")
+    own = [F.pmod(F.xxhash64("batch"), F.lit(ROUNDS)) == r for r in range(ROUNDS)]
+    walks = _all([_settled(walked(batches.filter(o), counts.filter(o), parts, z, least), "walks") for o in own])
+    for used in (batches, *rounds):
+        discard(used)
+    failed = walks.filter("kind <> 0").select("part", "batch", "kind", "keys", "first", "second", "third").groupBy("part").applyInArrow(_failures, FAILED)
+    texts = walks.filter("kind = 0").select("batch", "ids", "lengths", "there", "base", "walk")
+    scored = SCORED.format(key=rows.schema["doc_id"].dataType.simpleString())
+    summed = texts.groupBy("batch").cogroup(failed.groupBy("batch")).applyInArrow(_summed, scored)
     return summed.select(
         "doc_id", is_held_out(F.col("doc_id"), of, remainder).alias("held_out"), "n_tokens", F.col("there").alias("n_known"),
-        F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + missing).alias("base_score"), (F.col("walk") + missing).alias("score"),
+        F.lit(train_tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), F.col("walk").alias("score"),
     )
+
+
+def _spelled(parts: int, part_kind: int, key: np.ndarray, codes: np.ndarray, vocabulary: np.ndarray) -> list[tuple]:
+    """Rows ``part, kind, words, places``: the words of n-grams with sorted keys (``codes`` are places in ``vocabulary``), told once a row
+    with the places of each n-gram's words among them. The key and all shorter n-grams follow from the words, in less than their own bytes. ``score_texts`` sends keys."""
+    place, rows = np.zeros(len(vocabulary), np.uint32), []
+    cuts = [0, *np.searchsorted(key, _edges(parts)), len(key)]
+    for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
+            some = codes[:, a:b]
+            some = some[:, np.argsort(some[0] * len(vocabulary) + some[1])]  # equal first words side by side, which compresses
+            there = np.zeros(len(vocabulary), bool)
+            there[some] = True
+            used = np.flatnonzero(there)
+            place[used] = np.arange(len(used), dtype=np.uint32)
+            rows.append((p, part_kind, vocabulary[used].tobytes(), _laid(place[some].ravel())))
+    return rows
+
+
+def _read_out(part_kind: int, words: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, histories and shorter n-grams of one row of ``_spelled``."""
+    w = np.frombuffer(words, np.uint64)[_unpacked(places, np.uint32).reshape(part_kind, -1)]
+    history, shorter = (w[0], w[1]) if part_kind == 2 else (mix(w[0] * _BASE + w[1]), mix(w[1] * _BASE + w[2]))
+    return mix(history * _BASE + w[-1]), history, shorter

@@ -255,6 +255,31 @@ def test_ngrams_are_sent_in_less_than_their_hashes():
     assert sum(map(len, packed)) < 8 * len(key)  # a key with its two shorter n-grams took 24
 
 
+def test_many_small_batches_parts_and_rounds_score_alike(docs, rows, words, monkeypatch):
+    for name, value in {"TOKENS_AT_ONCE": 3_000, "PART_TOKENS": 4_000, "ROUNDS": 3}.items():
+        monkeypatch.setattr(language_model, name, value)
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    order = lambda x: (str(x[0]), *x[1:])
+    got = sorted((tuple(r[c] for c in names) for r in language_model.score_texts(docs).collect()), key=order)
+    want = sorted(brute_scores(rows, words), key=order)
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert np.allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-9)
+
+
+def test_a_round_sends_only_its_range_of_keys_and_no_ngram_twice(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{i}" for i in np.minimum(rng.zipf(1.3, 400), 5_000)) for _ in range(60)]
+    df = spark.createDataFrame([(i, t, i % 4 == 0) for i, t in enumerate(texts)], "doc_id long, text string, held boolean").coalesce(1)
+    batches = language_model.encoded(df)
+    sent = [language_model.grams_sent(batches, 16, low, low + 8).collect() for low in (0, 8)]
+    found = [[(r["batch"], r["kind"], k) for r in x for k in language_model._eased_keys(r["keys"]).tolist()] for x in sent]
+    words = {held: [[*t.split(), None] for i, t in enumerate(texts) if (i % 4 == 0) == held] for held in (False, True)}
+    distinct = sum(len({g for w in ws for g in zip(*(w[k:] for k in range(n)))}) for ws in words.values() for n in (1, 2, 3))
+    assert len(set(found[0] + found[1])) == len(found[0]) + len(found[1]) == distinct
+    assert all(len(x) < 0.55 * distinct for x in found)  # the disk holds one round's; all at once took over four times the input
+    assert sum(len(r["keys"]) + len(r["times"] or b"") for x in sent for r in x) < 8 * distinct
+
+
 def test_every_repeated_ngram_is_an_arc_in_a_large_corpus(spark):
     filler = " ".join(f"f{i % 50}" for i in range(150_000))
     texts = [filler] * 12 + ["rare one here"] * 2 + ["rare one here"]
