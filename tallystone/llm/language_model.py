@@ -28,6 +28,8 @@ WORD_SHARE = 2e-7
 TOKENS_AT_ONCE, PART_TOKENS = 600_000, 1_500_000
 #: Ranges of the keys that are counted one after the other, and shares of the batches that are walked so: the disk holds the shuffle of one.
 ROUNDS = 2
+#: Parts of a range, however few the tokens.
+LEAST_PARTS = 16
 #: Bytes of text that are split into words together.
 BYTES_AT_ONCE = 1_000_000
 #: What is taken off every count of an arc, and left to shorter histories.
@@ -211,7 +213,8 @@ def grams_sent(batches: DataFrame, parts: int, low: int, high: int) -> DataFrame
 
     def run(got):
         for table in got:
-            for batch, held, *packed in zip(*(table.column(c).to_pylist() for c in ("batch", "held", "words", "places", "lengths")), strict=True):
+            for at in range(table.num_rows):  # one batch at a time is held as Python values
+                batch, held, *packed = (table.column(c)[at].as_py() for c in ("batch", "held", "words", "places", "lengths"))
                 tokens, first, _ = _tokens(*packed)
                 g, rows = Grams(tokens, first), []
                 for kind, keys in ((1, tokens), (2, g.pair), (3, g.triple)):
@@ -385,7 +388,7 @@ def score_texts(
     held_out = is_held_out(F.col("doc_id"), of, remainder)
     batches = _settled(encoded(rows.withColumn("held", held_out)), "batches")
     all_tokens, train_tokens = (int(x or 0) for x in batches.agg(F.sum("tokens"), F.sum(F.when(~F.col("held"), F.col("tokens")))).first())
-    parts, least = max(8, -(-all_tokens // PART_TOKENS)), max(LEAST, SHARE * train_tokens)
+    parts, least = max(LEAST_PARTS * ROUNDS, -(-all_tokens // PART_TOKENS)), max(LEAST, SHARE * train_tokens)
     cuts = [parts * r // ROUNDS for r in range(ROUNDS + 1)]
     rounds = [_settled(gram_counts(grams_sent(batches, parts, low, high), least), "gram-counts") for low, high in zip(cuts, cuts[1:])]
     counts = _all(rounds)
