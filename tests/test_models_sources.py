@@ -1,3 +1,4 @@
+import inspect
 import random
 from dataclasses import replace
 
@@ -207,6 +208,18 @@ def test_a_search_stops_at_its_time(separable, tmp_path):
     assert search(None)[1].count() == 3 and search(0.0)[1].count() == 3  # trials that stand need no time
 
 
+def test_a_search_never_answers_with_a_part_of_its_trials(separable, tmp_path):
+    data = models.assemble(separable, ["a", "b"], "y", keep=["id"])
+    folded = materialize(stratified_folds(data, "id", models.LABEL, 2))
+    for name, space in (("LogisticRegression", {"C": ("log_uniform", 0.01, 10)}), ("RandomForest", {"n_estimators": ("int", 2, 4)})):
+        search = lambda trials, **more: models.random_search(name, folded, trials=trials, space=space, path=str(tmp_path / name), **more)
+        assert search(1)[1].count() == 1
+        with pytest.raises(TimeoutError):
+            search(3, timeout=0.0)  # one trial stands, two are missing
+        assert search(3)[1].count() == 3
+    assert inspect.signature(models.random_search).parameters["timeout"].default is None and modelling.LOAN_TRAINING.timeout is None
+
+
 def test_search_goes_on_where_it_broke_off(separable, tmp_path, monkeypatch):
     data = models.assemble(separable, ["a", "b"], "y", keep=["id"])
     folded = materialize(stratified_folds(data, "id", models.LABEL, 2))
