@@ -1,13 +1,15 @@
 """Decontamination, near copies and repeated passages against brute force."""
 
 import hashlib
+import os
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from tallystone.llm import decontaminate, graph, jaccard, suffix_dedup
+from tallystone.llm import common, decontaminate, graph, jaccard, suffix_dedup
+from tallystone.session import shared_dir
 
 ALNUM = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -109,6 +111,23 @@ def test_large_clusters_are_compared_by_blocks(spark, words, monkeypatch):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
 
 
+def test_near_copies_leave_little_on_disk(spark, docs, monkeypatch):
+    """Shuffles go with the table they made, tables with the last that reads them; only what the result reads is left."""
+    folder, names = f"{shared_dir(spark)}/tallystone", lambda d: {x.rsplit("-", 1)[0] for x in d}
+    os.makedirs(folder, exist_ok=True)
+    before, write, dropped = set(os.listdir(folder)), common.materialize, []
+
+    def counted(df, label):
+        dropped.append(spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled"))
+        return write(df, label)
+
+    monkeypatch.setattr(common, "materialize", counted)
+    found = jaccard.near_copies(docs)
+    assert names(set(os.listdir(folder)) - before) == {"classes", "class-firsts", "stars"} and len(set(os.listdir(folder)) - before) == 3
+    assert len(dropped) > 10 and set(dropped) == {"true"} and found.count() == docs.count()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1060)]
